@@ -319,3 +319,198 @@ CTES = [
 def with_models(final: str) -> str:
     """``final`` preceded by every model as a CTE (DuckDB only evaluates those referenced)."""
     return "WITH " + ",\n".join(f"{n} AS ({body})" for n, body in CTES) + "\n" + final
+
+
+# --- report / semantic-model queries ----------------------------------------------------
+
+def _sum(c: str) -> str:
+    return f"CAST(sum({c}) AS BIGINT)"
+
+
+P1_FROM = ("FROM fct_ocorrencias f JOIN dim_data d ON f.sk_data = d.sk_data "
+           "JOIN dim_geografia g ON f.sk_geografia = g.sk_geografia JOIN dim_crime c ON f.sk_crime = c.sk_crime "
+           "WHERE d.ano BETWEEN {year_from} AND {year_to} AND g.district = {district}")
+P2_FROM = ("FROM fct_desempenho_mensal f JOIN dim_mes m ON f.sk_mes = m.sk_mes "
+           "JOIN dim_distrito dt ON f.sk_distrito = dt.sk_distrito JOIN dim_tipo_crime tc ON f.sk_tipo_crime = tc.sk_tipo_crime "
+           "WHERE m.ano BETWEEN {year_from} AND {year_to} AND tc.primary_type = '{crime_type}'")
+RATE = ratio_sql("sum(f.qtd_prisao)", "sum(f.qtd_ocorrencia)")
+
+
+def rpt_p1(year_from=2009, year_to=2013, district=12) -> str:
+    return (f"SELECT d.ano, d.numero_mes, d.nome_mes, g.nome_district, c.categoria_analitica, "
+            f"c.primary_type_atual AS tipo_crime, {_sum('f.qtd_ocorrencia')} AS ocorrencias, "
+            f"{_sum('f.qtd_prisao')} AS prisoes, {RATE} AS taxa_prisao_pct "
+            + P1_FROM.format(year_from=year_from, year_to=year_to, district=district)
+            + " GROUP BY d.ano, d.numero_mes, d.nome_mes, g.nome_district, c.categoria_analitica, c.primary_type_atual")
+
+
+def rpt_p1_rollup(year_from=2009, year_to=2013, district=12) -> str:
+    keys = "d.ano, g.nome_district, c.categoria_analitica"
+    return (f"SELECT {keys}, CAST(grouping({keys}) AS INTEGER) AS nivel, {_sum('f.qtd_ocorrencia')} AS ocorrencias, "
+            f"{_sum('f.qtd_prisao')} AS prisoes, {RATE} AS taxa_prisao_pct "
+            + P1_FROM.format(year_from=year_from, year_to=year_to, district=district)
+            + f" GROUP BY ROLLUP ({keys})")
+
+
+def rpt_p2(year_from=2009, year_to=2013, crime_type="THEFT") -> str:
+    keys = "m.ano, m.numero_mes, m.nome_mes, dt.nome_district, tc.nome_tipo_crime, tc.categoria_analitica"
+    return (f"SELECT {keys}, {_sum('f.qtd_ocorrencias')} AS ocorrencias, {_sum('f.qtd_prisoes')} AS prisoes, "
+            f"{_sum('f.qtd_domesticos')} AS domesticos "
+            + P2_FROM.format(year_from=year_from, year_to=year_to, crime_type=crime_type) + f" GROUP BY {keys}")
+
+
+def rpt_p2_rollup(year_from=2009, year_to=2013, crime_type="THEFT") -> str:
+    keys = "m.ano, dt.nome_district"
+    return (f"SELECT {keys}, CAST(grouping({keys}) AS INTEGER) AS nivel, {_sum('f.qtd_ocorrencias')} AS ocorrencias, "
+            f"{_sum('f.qtd_prisoes')} AS prisoes, {_sum('f.qtd_domesticos')} AS domesticos "
+            + P2_FROM.format(year_from=year_from, year_to=year_to, crime_type=crime_type) + f" GROUP BY ROLLUP ({keys})")
+
+
+RPT_PICK_DISTRICT = "SELECT district, nome_district FROM dim_distrito WHERE flag_versao_atual = true ORDER BY district"
+RPT_PICK_TYPE = "SELECT primary_type, nome_tipo_crime FROM dim_tipo_crime WHERE sk_tipo_crime <> '-1' ORDER BY nome_tipo_crime"
+
+RATIO_MEASURE = (
+    "SELECT m.ano, dt.nome_district, " + _sum("f.qtd_prisoes") + " AS qtd_prisoes, " + _sum("f.qtd_ocorrencias")
+    + " AS qtd_ocorrencias, " + ratio_sql("sum(f.qtd_prisoes)", "sum(f.qtd_ocorrencias)") + " AS taxa_prisao_pct "
+    "FROM fct_desempenho_mensal f JOIN dim_mes m ON f.sk_mes = m.sk_mes "
+    "JOIN dim_distrito dt ON f.sk_distrito = dt.sk_distrito GROUP BY m.ano, dt.nome_district"
+)
+
+DRILL_ACROSS = """
+SELECT CAST(coalesce(p1.sk_mes, p2.sk_mes) AS INTEGER) AS sk_mes, coalesce(p1.district, p2.district) AS district,
+  CAST(coalesce(p1.o, 0) AS BIGINT) AS ocorrencias_p1, CAST(coalesce(p1.p, 0) AS BIGINT) AS prisoes_p1,
+  CAST(coalesce(p2.o, 0) AS BIGINT) AS ocorrencias_p2, CAST(coalesce(p2.p, 0) AS BIGINT) AS prisoes_p2
+FROM (SELECT d.ano * 100 + d.numero_mes AS sk_mes, g.district, sum(f.qtd_ocorrencia) AS o, sum(f.qtd_prisao) AS p
+      FROM fct_ocorrencias f JOIN dim_data d ON f.sk_data = d.sk_data JOIN dim_geografia g ON f.sk_geografia = g.sk_geografia
+      GROUP BY 1, 2) p1
+FULL OUTER JOIN (SELECT f.sk_mes, dt.district, sum(f.qtd_ocorrencias) AS o, sum(f.qtd_prisoes) AS p
+      FROM fct_desempenho_mensal f JOIN dim_distrito dt ON f.sk_distrito = dt.sk_distrito GROUP BY 1, 2) p2
+  ON p1.sk_mes = p2.sk_mes AND p1.district = p2.district
+"""
+
+_COUNTS = f"{_sum('f.qtd_ocorrencia')} AS ocorrencias, {_sum('f.qtd_prisao')} AS prisoes"
+
+
+def _rollup(keys: str, join: str) -> str:
+    return (f"SELECT {keys}, {_COUNTS}, CAST(grouping({keys}) AS INTEGER) AS nivel FROM fct_ocorrencias f {join} "
+            f"GROUP BY ROLLUP ({keys})")
+
+
+DRILL_CALENDAR = _rollup("d.ano, d.trimestre, d.numero_mes, d.dia_do_mes", "JOIN dim_data d ON f.sk_data = d.sk_data")
+DRILL_GEO = _rollup("g.district, g.beat", "JOIN dim_geografia g ON f.sk_geografia = g.sk_geografia")
+DRILL_PARALLEL = (f"SELECT g.ward, g.community_area, {_COUNTS}, CAST(grouping(g.ward, g.community_area) AS INTEGER) AS nivel "
+                  "FROM fct_ocorrencias f JOIN dim_geografia g ON f.sk_geografia = g.sk_geografia "
+                  "GROUP BY GROUPING SETS ((g.ward), (g.community_area))")
+
+
+def drill_through(ano=2012, numero_mes=6, district=12, categoria_analitica="Crime violento") -> str:
+    return ("SELECT f.id_ocorrencia, f.case_number, f.data_hora_ocorrencia, f.sk_crime, f.sk_geografia, f.qtd_prisao "
+            "FROM fct_ocorrencias f "
+            f"WHERE f.sk_data IN (SELECT sk_data FROM dim_data WHERE ano = {ano} AND numero_mes = {numero_mes}) "
+            f"AND f.sk_geografia IN (SELECT sk_geografia FROM dim_geografia WHERE district = {district}) "
+            f"AND f.sk_crime IN (SELECT sk_crime FROM dim_crime WHERE categoria_analitica = {_q(categoria_analitica)})")
+
+
+def _zero_filled(dim: str, key: str, cols: str, fact: str, sums: dict[str, str]) -> str:
+    inner = ", ".join(f"sum({src}) AS {out}" for out, src in sums.items())
+    outs = ", ".join(f"CAST(coalesce(c.{out}, 0) AS BIGINT) AS {out}" for out in sums)
+    return (f"SELECT {cols}, {outs} FROM {dim} x LEFT JOIN (SELECT {key}, {inner} FROM {fact} GROUP BY {key}) c "
+            f"ON x.{key} = c.{key}")
+
+
+DAILY_SERIES = _zero_filled("dim_data", "sk_data", "x.sk_data, x.data_completa", "fct_ocorrencias",
+                            {"ocorrencias": "qtd_ocorrencia", "prisoes": "qtd_prisao"})
+HOUR_PROFILE = _zero_filled("dim_hora", "sk_hora", "x.sk_hora, x.hora_formatada, x.periodo_do_dia, x.faixa_operacional",
+                            "fct_ocorrencias", {"ocorrencias": "qtd_ocorrencia", "prisoes": "qtd_prisao"})
+FLAGS_PROFILE = _zero_filled("dim_flags", "sk_flags", "x.sk_flags, x.descricao_combinada", "fct_ocorrencias",
+                             {"ocorrencias": "qtd_ocorrencia"})
+MONTHLY_SERIES = _zero_filled("dim_mes", "sk_mes", "x.sk_mes, x.descricao_mes, x.flag_ano_parcial",
+                              "fct_desempenho_mensal", {"ocorrencias": "qtd_ocorrencias", "prisoes": "qtd_prisoes"})
+
+YEARLY_TREND = (f"SELECT d.ano, {_sum('f.qtd_prisao')} AS qtd_prisao, {_sum('f.qtd_ocorrencia')} AS qtd_ocorrencia, "
+                f"{RATE} AS taxa_prisao_pct FROM fct_ocorrencias f JOIN dim_data d ON f.sk_data = d.sk_data "
+                "WHERE NOT d.flag_ano_parcial GROUP BY d.ano")
+WARD_TREND = (f"SELECT d.ano, g.ward, {_COUNTS} FROM fct_ocorrencias f JOIN dim_data d ON f.sk_data = d.sk_data "
+              f"JOIN dim_geografia g ON f.sk_geografia = g.sk_geografia WHERE d.ano >= {K.WARD_COVERAGE_FROM} "
+              "GROUP BY d.ano, g.ward")
+BY_CURRENT_LABEL = (f"SELECT c.iucr, c.description_atual, {_sum('f.qtd_ocorrencia')} AS ocorrencias, "
+                    "CAST(count(DISTINCT c.description) AS BIGINT) AS grafias_historicas "
+                    "FROM fct_ocorrencias f JOIN dim_crime c ON f.sk_crime = c.sk_crime GROUP BY c.iucr, c.description_atual")
+DISTRICT_THEN_NOW = (f"SELECT g.district, g.district_atual, {_sum('f.qtd_ocorrencia')} AS ocorrencias "
+                     "FROM fct_ocorrencias f JOIN dim_geografia g ON f.sk_geografia = g.sk_geografia "
+                     "GROUP BY g.district, g.district_atual")
+
+
+# --- profiling (raw text) ----------------------------------------------------------------
+
+_CONTRA = ("FROM crimes_raw WHERE regexp_full_match(district, '\\d+') AND regexp_full_match(beat, '\\d+') "
+           "AND TRY_CAST(district AS INTEGER) <> TRY_CAST(beat AS INTEGER) // 100")
+_PAIRS = ("SELECT district, substring(lpad(beat, 4, '0'), 1, 2) AS prefixo_beat, min(year) AS primeiro_ano, "
+          f"max(year) AS ultimo_ano, count(*) AS qtd {_CONTRA} GROUP BY district, prefixo_beat")
+
+PROFILING = {
+    "prof_total": "SELECT count(*) AS total_registros FROM crimes_raw",
+    "prof_by_year": "SELECT year, count(*) AS qtd FROM crimes_raw GROUP BY year",
+    "prof_cardinality": (
+        "SELECT count(DISTINCT primary_type) AS tipos, count(DISTINCT iucr) AS iucr, count(DISTINCT description) AS descricoes, "
+        "count(DISTINCT fbi_code) AS fbi, count(DISTINCT location_description) AS locais, count(DISTINCT beat) AS beats, "
+        "count(DISTINCT district) AS distritos, count(DISTINCT ward) AS wards, count(DISTINCT community_area) AS areas "
+        "FROM crimes_raw"),
+    "prof_nulls": (
+        "SELECT count(*) - count(DISTINCT id) AS ids_duplicados, count(*) FILTER (WHERE latitude IS NULL) AS sem_coord, "
+        "count(*) FILTER (WHERE district IS NULL) AS sem_distrito, count(*) FILTER (WHERE ward IS NULL) AS sem_ward, "
+        "count(*) FILTER (WHERE community_area IS NULL) AS sem_area, "
+        "count(*) FILTER (WHERE location_description IS NULL) AS sem_local_desc FROM crimes_raw"),
+    "prof_ward_coverage": (
+        "SELECT year, count(*) FILTER (WHERE ward IS NULL) AS sem_ward, count(*) AS total FROM crimes_raw "
+        "GROUP BY year HAVING count(*) FILTER (WHERE ward IS NULL) > 0"),
+    "prof_iucr_combos": (
+        "SELECT count(*) AS iucr_com_mais_de_uma_combinacao FROM (SELECT iucr FROM crimes_raw GROUP BY iucr "
+        "HAVING count(DISTINCT primary_type || '|' || description || '|' || fbi_code) > 1) t"),
+    "prof_iucr_varies": (
+        "SELECT count(*) FILTER (WHERE n_primary > 1) AS iucr_varia_primary_type, "
+        "count(*) FILTER (WHERE n_desc > 1) AS iucr_varia_description, "
+        "count(*) FILTER (WHERE n_fbi > 1) AS iucr_varia_fbi_code FROM (SELECT iucr, count(DISTINCT primary_type) AS n_primary, "
+        "count(DISTINCT description) AS n_desc, count(DISTINCT fbi_code) AS n_fbi FROM crimes_raw GROUP BY iucr) t"),
+    "prof_description_drift": (
+        "SELECT iucr, primary_type, description, fbi_code, min(year) AS primeiro_ano, max(year) AS ultimo_ano, count(*) AS qtd "
+        "FROM crimes_raw WHERE iucr IN (SELECT iucr FROM crimes_raw GROUP BY iucr HAVING count(DISTINCT description) > 1) "
+        "GROUP BY iucr, primary_type, description, fbi_code "
+        "ORDER BY iucr NULLS LAST, primeiro_ano NULLS LAST, primary_type NULLS LAST, description NULLS LAST, "
+        "fbi_code NULLS LAST LIMIT 30"),
+    "prof_beat_inconsistent": f"SELECT count(*) AS beats_inconsistentes {_CONTRA}",
+    "prof_beat_pairs": f"SELECT * FROM ({_PAIRS}) ORDER BY qtd DESC, district, prefixo_beat LIMIT 20",
+    "prof_coordinates": (
+        "SELECT sem_coord, total, " + ratio_sql("sem_coord", "total") + " AS pct_sem_coord FROM "
+        "(SELECT count(*) FILTER (WHERE latitude IS NULL) AS sem_coord, count(*) AS total FROM crimes_raw)"),
+    "prof_beat_2012_share": (
+        "SELECT qtd_desvios, qtd_fim_ano, " + ratio_sql("qtd_fim_ano", "qtd_desvios") + " AS pct_fim_ano FROM "
+        "(SELECT CAST(coalesce(sum(qtd), 0) AS BIGINT) AS qtd_desvios, "
+        "CAST(coalesce(sum(CASE WHEN ultimo_ano = '2012' THEN qtd ELSE 0 END), 0) AS BIGINT) AS qtd_fim_ano "
+        f"FROM ({_PAIRS}))"),
+}
+
+
+# --- generic operators applied to the warehouse ---------------------------------------------
+
+LATEST_PER_KEY = _latest("iucr", CRIME_ATTRS, "true")
+ASOF_JOIN = ("SELECT o.id_ocorrencia, o.beat, o.data_hora_ocorrencia, coalesce(g.sk_geografia, '-1') AS sk_geografia, "
+             "g.district FROM stg_crimes o LEFT JOIN dim_geografia g ON o.beat = g.beat "
+             "AND o.data_hora_ocorrencia >= g.valido_de AND o.data_hora_ocorrencia < g.valido_ate")
+SCD2_CURRENT = ("SELECT s.beat, s.district, s.dbt_valid_from, s.dbt_valid_to, c.district AS district_atual "
+                "FROM snap_geografia s LEFT JOIN (SELECT * FROM snap_geografia WHERE dbt_valid_to IS NULL) c ON s.beat = c.beat")
+SCD2_DIMENSION = (f"SELECT s.*, CASE WHEN s.dbt_valid_from = (SELECT min(dbt_valid_from) FROM snap_crime) THEN {BEGIN} "
+                  f"ELSE s.dbt_valid_from END AS valido_de, coalesce(s.dbt_valid_to, {END}) AS valido_ate, "
+                  "s.dbt_valid_to IS NULL AS flag_versao_atual FROM snap_crime s")
+SCD2_FROM_EVENTS = (
+    f"SELECT beat, district, data_hora_ocorrencia AS valido_de, coalesce(lead(data_hora_ocorrencia) OVER "
+    f"(PARTITION BY beat ORDER BY data_hora_ocorrencia, id_ocorrencia), {END}) AS valido_ate FROM "
+    "(SELECT beat, district, data_hora_ocorrencia, id_ocorrencia, lag(district) OVER "
+    "(PARTITION BY beat ORDER BY data_hora_ocorrencia, id_ocorrencia) AS prev FROM stg_crimes "
+    "WHERE beat IS NOT NULL AND district IS NOT NULL) WHERE prev IS NULL OR prev <> district")
+INITCAP_WORDS = (f"SELECT primary_type, description, {INITCAP.format(c='primary_type')} AS nome_tipo, "
+                 f"{INITCAP.format(c='description')} AS nome_descricao "
+                 "FROM (SELECT DISTINCT primary_type, description FROM stg_crimes)")
+SURROGATE_KEY = (f"SELECT id_ocorrencia, "
+                 f"{sk('iucr', 'beat', 'flag_prisao', 'data_hora_ocorrencia', 'latitude')} AS sk FROM stg_crimes")
+LANDING_CSV = "SELECT * FROM crimes_raw"

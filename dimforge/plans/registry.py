@@ -49,3 +49,103 @@ register("snap_geografia", O.with_models("SELECT * FROM snap_geografia"))(
     lambda spark, sf: wh(spark, sf, history="merge").snap_geografia)
 register("snapshot_replay", O.with_models("SELECT * FROM snap_geografia"))(
     lambda spark, sf: wh(spark, sf, history="replay").snap_geografia)
+
+
+# --- reports and semantic-model questions -----------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from . import constants as K  # noqa: E402
+from . import profiling as P  # noqa: E402
+from . import quality as Q  # noqa: E402
+from . import reports as R  # noqa: E402
+from ..functions.keys import surrogate_key  # noqa: E402
+from ..functions.text import initcap_words  # noqa: E402
+from ..operators.joins import asof_join  # noqa: E402
+from ..operators.latest import latest_per_key  # noqa: E402
+from ..operators.scd2 import scd2_from_events, scd2_validity, with_current  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources.landing import read_landing, write_landing  # noqa: E402
+from .warehouse import CRIME_CHECK, LATEST_ORDER  # noqa: E402
+
+
+def _report(key: str, fn, sql: str):
+    register(key, O.with_models(sql))(lambda spark, sf: fn(wh(spark, sf)))
+
+
+_report("rpt_p1", lambda w: R.report_p1(w, **R.P1_DEFAULTS), O.rpt_p1(**R.P1_DEFAULTS))
+_report("rpt_p2", lambda w: R.report_p2(w, **R.P2_DEFAULTS), O.rpt_p2(**R.P2_DEFAULTS))
+_report("rpt_p1_rollup", lambda w: R.report_p1_rollup(w, **R.P1_DEFAULTS), O.rpt_p1_rollup(**R.P1_DEFAULTS))
+_report("rpt_p2_rollup", lambda w: R.report_p2_rollup(w, **R.P2_DEFAULTS), O.rpt_p2_rollup(**R.P2_DEFAULTS))
+_report("rpt_pick_district", R.pick_district, O.RPT_PICK_DISTRICT)
+_report("rpt_pick_type", R.pick_type, O.RPT_PICK_TYPE)
+_report("ratio_measure", R.arrest_rate_by_year_district, O.RATIO_MEASURE)
+_report("drill_across", R.drill_across, O.DRILL_ACROSS)
+_report("drill_calendar", R.drill_calendar, O.DRILL_CALENDAR)
+_report("drill_geo", R.drill_geo, O.DRILL_GEO)
+_report("drill_parallel", R.drill_parallel, O.DRILL_PARALLEL)
+_report("drill_through", lambda w: R.drill_through(w, **R.THROUGH_CELL), O.drill_through(**R.THROUGH_CELL))
+_report("daily_series", R.daily_series, O.DAILY_SERIES)
+_report("hour_profile", R.hour_profile, O.HOUR_PROFILE)
+_report("flags_profile", R.flags_profile, O.FLAGS_PROFILE)
+_report("monthly_series", R.monthly_series, O.MONTHLY_SERIES)
+_report("yearly_trend", R.yearly_trend, O.YEARLY_TREND)
+_report("ward_trend", R.ward_trend, O.WARD_TREND)
+_report("by_current_label", R.by_current_label, O.BY_CURRENT_LABEL)
+_report("district_then_now", R.district_then_now, O.DISTRICT_THEN_NOW)
+
+# --- profiling of the raw text table -----------------------------------------------------
+for _k, _sql in O.PROFILING.items():
+    register(_k, O.with_models(_sql))(lambda spark, sf, _f=getattr(P, _k): _f(wh(spark, sf).raw))
+
+# --- data tests ------------------------------------------------------------------------------
+_DQ = {
+    "dq_not_null": ("not_null",),
+    "dq_unique": ("unique",),
+    "dq_relationships": ("relationships",),
+    "dq_accepted_values": ("accepted_values",),
+    "dq_unique_combo": ("unique_combination",),
+    "dq_report": None,
+}
+for _k, _kinds in _DQ.items():
+    register(_k, O.with_models(Q.suite_sql(_kinds)))(lambda spark, sf, _kk=_kinds: Q.run(wh(spark, sf), _kk))
+
+# --- generic operators on the warehouse's data ---------------------------------------------
+register("latest_per_key", O.with_models(O.LATEST_PER_KEY))(
+    lambda spark, sf: latest_per_key(wh(spark, sf).stg, "iucr", CRIME_CHECK, LATEST_ORDER))
+
+
+@register("asof_join", O.with_models(O.ASOF_JOIN))
+def _asof(spark, sf):
+    w = wh(spark, sf)
+    return asof_join(w.stg.select("id_ocorrencia", "beat", "data_hora_ocorrencia"), w.dim_geografia, "beat", "beat",
+                     "data_hora_ocorrencia", {"sk_geografia": "sk_geografia", "district": "district"},
+                     unknown={"sk_geografia": K.UNKNOWN_KEY})
+
+
+register("scd2_current", O.with_models(O.SCD2_CURRENT))(
+    lambda spark, sf: with_current(wh(spark, sf).snap_geografia, "beat", {"district": "district_atual"}))
+register("scd2_dimension", O.with_models(O.SCD2_DIMENSION))(
+    lambda spark, sf: scd2_validity(wh(spark, sf).snap_crime, K.BEGINNING_OF_TIME, K.END_OF_TIME))
+register("scd2_from_events", O.with_models(O.SCD2_FROM_EVENTS))(
+    lambda spark, sf: scd2_from_events(wh(spark, sf).stg, "beat", "district", "data_hora_ocorrencia",
+                                       "id_ocorrencia", K.END_OF_TIME))
+
+
+@register("initcap_words", O.with_models(O.INITCAP_WORDS))
+def _initcap(spark, sf):
+    d = wh(spark, sf).stg.select("primary_type", "description").distinct()
+    return d.select("primary_type", "description", initcap_words(F.col("primary_type")).alias("nome_tipo"),
+                    initcap_words(F.col("description")).alias("nome_descricao"))
+
+
+register("surrogate_key", O.with_models(O.SURROGATE_KEY))(
+    lambda spark, sf: wh(spark, sf).stg.select(
+        "id_ocorrencia", surrogate_key("iucr", "beat", "flag_prisao", "data_hora_ocorrencia", "latitude").alias("sk")))
+
+
+@register("landing_csv", O.with_models(O.LANDING_CSV))
+def _landing(spark, sf):
+    """A1 round trip: the raw table written as landing CSV, then read back as text."""
+    path = scratch_path(spark, "landing")
+    write_landing(wh(spark, sf).raw, path)
+    return read_landing(spark, path)
