@@ -349,7 +349,7 @@ def rpt_p1_rollup(year_from=2009, year_to=2013, district=12) -> str:
     return (f"SELECT {keys}, CAST(grouping({keys}) AS INTEGER) AS nivel, {_sum('f.qtd_ocorrencia')} AS ocorrencias, "
             f"{_sum('f.qtd_prisao')} AS prisoes, {RATE} AS taxa_prisao_pct "
             + P1_FROM.format(year_from=year_from, year_to=year_to, district=district)
-            + f" GROUP BY ROLLUP ({keys})")
+            + f" GROUP BY ROLLUP ({keys}) HAVING count(*) > 0")
 
 
 def rpt_p2(year_from=2009, year_to=2013, crime_type="THEFT") -> str:
@@ -363,7 +363,8 @@ def rpt_p2_rollup(year_from=2009, year_to=2013, crime_type="THEFT") -> str:
     keys = "m.ano, dt.nome_district"
     return (f"SELECT {keys}, CAST(grouping({keys}) AS INTEGER) AS nivel, {_sum('f.qtd_ocorrencias')} AS ocorrencias, "
             f"{_sum('f.qtd_prisoes')} AS prisoes, {_sum('f.qtd_domesticos')} AS domesticos "
-            + P2_FROM.format(year_from=year_from, year_to=year_to, crime_type=crime_type) + f" GROUP BY ROLLUP ({keys})")
+            + P2_FROM.format(year_from=year_from, year_to=year_to, crime_type=crime_type)
+            + f" GROUP BY ROLLUP ({keys}) HAVING count(*) > 0")
 
 
 RPT_PICK_DISTRICT = "SELECT district, nome_district FROM dim_distrito WHERE flag_versao_atual = true ORDER BY district"
@@ -391,9 +392,11 @@ FULL OUTER JOIN (SELECT f.sk_mes, dt.district, sum(f.qtd_ocorrencias) AS o, sum(
 _COUNTS = f"{_sum('f.qtd_ocorrencia')} AS ocorrencias, {_sum('f.qtd_prisao')} AS prisoes"
 
 
+# Spark's ROLLUP emits no grand-total row over an empty input (a report over no data
+# shows nothing); DuckDB emits one, so the oracle keeps only groups that have rows.
 def _rollup(keys: str, join: str) -> str:
     return (f"SELECT {keys}, {_COUNTS}, CAST(grouping({keys}) AS INTEGER) AS nivel FROM fct_ocorrencias f {join} "
-            f"GROUP BY ROLLUP ({keys})")
+            f"GROUP BY ROLLUP ({keys}) HAVING count(*) > 0")
 
 
 DRILL_CALENDAR = _rollup("d.ano, d.trimestre, d.numero_mes, d.dia_do_mes", "JOIN dim_data d ON f.sk_data = d.sk_data")
