@@ -13,16 +13,35 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, known_rows: int | None = None) -> bool:
+    """Size check: ``known_rows`` is a proven bound (e.g. 24 hours + unknown, 2x2 flags);
+    otherwise the rows are counted, which is cheap when ``df`` is a materialised table."""
+    n = known_rows if known_rows is not None else df.count()
+    return n <= max_rows
+
+
 def broadcast_if_small(
     df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, known_rows: int | None = None
 ) -> DataFrame:
-    """Broadcast hint only behind a checked size.
+    """Broadcast hint only behind a checked size."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows, known_rows) else df
 
-    ``known_rows`` is a proven bound (e.g. 24 hours + unknown, 2x2 flags); otherwise the
-    rows are counted, which is cheap when ``df`` is a materialised dimension.
-    """
-    n = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if n <= max_rows else df
+
+def _left_join(fact: DataFrame, d: DataFrame, cond, fact_keys: Sequence[str], small: bool, how: str) -> DataFrame:
+    """Join; on the shuffled (non-broadcast) left-join path, rows with a NULL key skip the
+    shuffle - they can never match, and would otherwise all hash into one partition
+    (one NULL-heavy key holding a third of the rows would become a single hot task)."""
+    if small or how != "left":
+        return fact.join(F.broadcast(d) if small else d, cond, how)
+    is_null = None
+    for k in fact_keys:
+        t = fact[k].isNull()
+        is_null = t if is_null is None else (is_null | t)
+    keyed = fact.where(~is_null).join(d, cond, "left")
+    nulls = fact.where(is_null).select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in d.schema.fields]
+    )
+    return keyed.unionByName(nulls)
 
 
 def lookup_join(
@@ -45,9 +64,9 @@ def lookup_join(
         *[F.col(dc).alias(f"_k{i}") for i, (_, dc) in enumerate(on)],
         *[F.col(src).alias(f"_t_{out}") for src, out in take.items()],
     )
-    d = broadcast_if_small(d, max_rows, known_rows)
+    small = fits_broadcast(d, max_rows, known_rows)
     cond = [fact[fc] == d[f"_k{i}"] for i, (fc, _) in enumerate(on)]
-    j = fact.join(d, cond, how)
+    j = _left_join(fact, d, cond, [fc for fc, _ in on], small, how)
     outs = []
     for _, out in take.items():
         c = F.col(f"_t_{out}")
@@ -84,9 +103,9 @@ def asof_join(
         F.col(valid_to).alias("_at"),
         *[F.col(src).alias(f"_t_{out}") for src, out in take.items()],
     )
-    d = broadcast_if_small(d, max_rows, known_rows)
+    small = fits_broadcast(d, max_rows, known_rows)
     cond = (fact[fact_key] == d["_ak"]) & (fact[ts] >= d["_af"]) & (fact[ts] < d["_at"])
-    j = fact.join(d, cond, "left")
+    j = _left_join(fact, d, cond, [fact_key], small, "left")
     outs = []
     for _, out in take.items():
         c = F.col(f"_t_{out}")

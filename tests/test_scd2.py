@@ -97,8 +97,10 @@ def test_asof_boundaries_and_gap(spark):
     facts = spark.createDataFrame(
         [(10, 1, T2), (11, 1, T3), (12, 1, dt.datetime(2012, 5, 31, 23, 59, 59)), (13, None, T2), (14, 9, T2)],
         "id int, key int, ts timestamp_ntz")
-    got = {r.id: r.sk for r in asof_join(facts, dim, "key", "key", "ts", {"sk": "sk"}, unknown={"sk": "-1"}).collect()}
-    assert got == {10: "b", 11: "-1", 12: "a", 13: "-1", 14: "-1"}
+    want = {10: "b", 11: "-1", 12: "a", 13: "-1", 14: "-1"}
+    for max_rows in (1_000_000, 0):  # broadcast path and shuffled path (NULL keys split off)
+        j = asof_join(facts, dim, "key", "key", "ts", {"sk": "sk"}, unknown={"sk": "-1"}, max_rows=max_rows)
+        assert {r.id: r.sk for r in j.collect()} == want
 
 
 def test_latest_per_key_ties_and_hot_key(spark):
