@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,8 @@ def with_unknown(dim: DataFrame, row: Sequence[object]) -> DataFrame:
     """
     spark = dim.sparkSession
     lits = [
-        F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, dim.schema.fields)
+        F.lit(v.isoformat(sep=" ") if isinstance(v, dt.datetime) else v).cast(f.dataType).alias(f.name)
+        for v, f in zip(row, dim.schema.fields)
     ]
     return dim.unionByName(spark.range(1).select(*lits))
 

@@ -23,6 +23,9 @@ VALID_TO = "dbt_valid_to"
 
 
 def _ts(v: dt.datetime | str) -> Column:
+    """Wall-clock literal; built from text so no session/process time zone can shift it."""
+    if isinstance(v, dt.datetime):
+        v = v.isoformat(sep=" ")
     return F.lit(v).cast("timestamp_ntz")
 
 
