@@ -26,8 +26,20 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
+_WAREHOUSES: dict[tuple, Warehouse] = {}
+
+
 def wh(spark: SparkSession, sf_dir: str, **kw) -> Warehouse:
-    return Warehouse.from_sf(spark, sf_dir, **kw)
+    """The warehouse of one data folder, shared by all queries of a Spark application.
+
+    Models are materialised once (Parquet below the checkpoint root) on first use, like
+    the original's table models; later queries read those files instead of recomputing
+    the chain (and the broadcast size checks count materialised rows).
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), tuple(sorted(kw.items())))
+    if key not in _WAREHOUSES:
+        _WAREHOUSES[key] = Warehouse.from_sf(spark, sf_dir, materialize=True, **kw)
+    return _WAREHOUSES[key]
 
 
 def _model(key: str, attr: str | None = None, **kw):

@@ -93,7 +93,10 @@ class Warehouse:
 
     @classmethod
     def from_sf(cls, spark: SparkSession, sf_dir: str, **kw) -> Warehouse:
-        return cls(spark, crimes_raw(spark, sf_dir), **kw)
+        raw = crimes_raw(spark, sf_dir)
+        if kw.get("materialize"):
+            raw = _materialize(spark, raw, "crimes_raw")
+        return cls(spark, raw, **kw)
 
     def _m(self, name: str, df: DataFrame) -> DataFrame:
         return _materialize(self.spark, df, name) if self.materialize else df
