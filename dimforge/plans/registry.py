@@ -9,9 +9,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from ..functions.keys import surrogate_key
+from ..functions.text import initcap_words
+from ..operators.joins import asof_join
+from ..operators.latest import latest_per_key
+from ..operators.scd2 import scd2_from_events, scd2_validity, with_current
+from ..session import scratch_path
+from ..sources.landing import read_landing, write_landing
+from . import constants as K
 from . import oracle as O
-from .warehouse import Warehouse
+from . import profiling as P
+from . import quality as Q
+from . import reports as R
+from .warehouse import CRIME_CHECK, LATEST_ORDER, Warehouse
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,21 +76,6 @@ register("snapshot_replay", O.with_models("SELECT * FROM snap_geografia"))(
 
 
 # --- reports and semantic-model questions -----------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from . import constants as K  # noqa: E402
-from . import profiling as P  # noqa: E402
-from . import quality as Q  # noqa: E402
-from . import reports as R  # noqa: E402
-from ..functions.keys import surrogate_key  # noqa: E402
-from ..functions.text import initcap_words  # noqa: E402
-from ..operators.joins import asof_join  # noqa: E402
-from ..operators.latest import latest_per_key  # noqa: E402
-from ..operators.scd2 import scd2_from_events, scd2_validity, with_current  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources.landing import read_landing, write_landing  # noqa: E402
-from .warehouse import CRIME_CHECK, LATEST_ORDER  # noqa: E402
-
 
 def _report(key: str, fn, sql: str):
     register(key, O.with_models(sql))(lambda spark, sf: fn(wh(spark, sf)))
