@@ -42,8 +42,16 @@ def ratio_measure(df: DataFrame, keys: list[str], num: str, den: str, out: str =
 
 # --- paginated report datasets ------------------------------------------------------
 
+def date_key_range(year_from: int, year_to: int) -> Column:
+    """The smart YYYYMMDD key makes a year range a key range: pushed into the fact scan,
+    it prunes row groups (the fact files are sorted by ``sk_data``). Same rows as the
+    calendar join alone; the unknown key -1 is outside every range."""
+    return F.col("sk_data").between(year_from * 10000 + 101, year_to * 10000 + 1231)
+
+
 def _p1_base(w: Warehouse, year_from: int, year_to: int, district: int) -> DataFrame:
-    f = w.fct_ocorrencias.select("sk_data", "sk_geografia", "sk_crime", "qtd_ocorrencia", "qtd_prisao")
+    f = w.fct_ocorrencias.where(date_key_range(year_from, year_to)).select(
+        "sk_data", "sk_geografia", "sk_crime", "qtd_ocorrencia", "qtd_prisao")
     d = w.dim_data.where(F.col("ano").between(year_from, year_to))
     g = w.dim_geografia.where(F.col("district") == district)
     f = _join(f, d, "sk_data", ["ano", "numero_mes", "nome_mes"], known_rows=CALENDAR_ROWS)
@@ -78,7 +86,7 @@ def report_p1_rollup(w: Warehouse, year_from=2009, year_to=2013, district=12) ->
 
 
 def _p2_base(w: Warehouse, year_from: int, year_to: int, crime_type: str) -> DataFrame:
-    f = w.fct_desempenho_mensal
+    f = w.fct_desempenho_mensal.where(F.col("sk_mes").between(year_from * 100 + 1, year_to * 100 + 12))
     m = w.dim_mes.where(F.col("ano").between(year_from, year_to))
     tc = w.dim_tipo_crime.where(F.col("primary_type") == crime_type)
     f = _join(f, m, "sk_mes", ["ano", "numero_mes", "nome_mes"])
@@ -148,8 +156,9 @@ def drill_across(w: Warehouse) -> DataFrame:
     )
 
 
-def _fact_with(w: Warehouse, date_cols=None, geo_cols=None, crime_cols=None, date_where=None) -> DataFrame:
-    f = w.fct_ocorrencias
+def _fact_with(w: Warehouse, date_cols=None, geo_cols=None, crime_cols=None, date_where=None,
+               fact_where=None) -> DataFrame:
+    f = w.fct_ocorrencias if fact_where is None else w.fct_ocorrencias.where(fact_where)
     if date_cols is not None:
         d = w.dim_data if date_where is None else w.dim_data.where(date_where)
         f = _join(f, d, "sk_data", date_cols, known_rows=CALENDAR_ROWS)
@@ -186,7 +195,8 @@ def drill_parallel(w: Warehouse) -> DataFrame:
 
 def drill_through(w: Warehouse, ano=2012, numero_mes=6, district=12, categoria_analitica="Crime violento") -> DataFrame:
     """The incidents behind one report cell - semi joins with the filtered dimensions."""
-    f = w.fct_ocorrencias
+    first = ano * 10000 + numero_mes * 100
+    f = w.fct_ocorrencias.where(F.col("sk_data").between(first + 1, first + 31))
     d = w.dim_data.where((F.col("ano") == ano) & (F.col("numero_mes") == numero_mes)).select("sk_data")
     g = w.dim_geografia.where(F.col("district") == district).select("sk_geografia")
     c = w.dim_crime.where(F.col("categoria_analitica") == categoria_analitica).select("sk_crime")
@@ -243,7 +253,8 @@ def yearly_trend(w: Warehouse) -> DataFrame:
 
 def ward_trend(w: Warehouse) -> DataFrame:
     """Ward analysis only from the first year with ward coverage."""
-    f = _fact_with(w, date_cols=["ano"], geo_cols=["ward"], date_where=F.col("ano") >= K.WARD_COVERAGE_FROM)
+    f = _fact_with(w, date_cols=["ano"], geo_cols=["ward"], date_where=F.col("ano") >= K.WARD_COVERAGE_FROM,
+                   fact_where=F.col("sk_data") >= K.WARD_COVERAGE_FROM * 10000 + 101)
     return f.groupBy("ano", "ward").agg(*_counts())
 
 

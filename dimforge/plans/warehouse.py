@@ -98,8 +98,8 @@ class Warehouse:
             raw = _materialize(spark, raw, "crimes_raw")
         return cls(spark, raw, **kw)
 
-    def _m(self, name: str, df: DataFrame) -> DataFrame:
-        return _materialize(self.spark, df, name) if self.materialize else df
+    def _m(self, name: str, df: DataFrame, sort_within=None) -> DataFrame:
+        return _materialize(self.spark, df, name, sort_within) if self.materialize else df
 
     def _snapshots(self, key, check, state_fn, filt) -> DataFrame:
         f = replay_snapshots if self.history == "replay" else fold_snapshots
@@ -159,6 +159,7 @@ class Warehouse:
             "fct_ocorrencias",
             facts.fct_ocorrencias(self.stg, self.dim_data, self.dim_hora, self.dim_local, self.dim_flags,
                                   self.dim_crime, self.dim_geografia),
+            sort_within=["sk_data"],  # YYYYMMDD key: date-range predicates prune row groups
         )
 
     @cached_property
@@ -167,6 +168,7 @@ class Warehouse:
             "fct_desempenho_mensal",
             facts.fct_desempenho_mensal(self.fct_ocorrencias, self.dim_data, self.dim_geografia, self.dim_crime,
                                         self.dim_mes, self.dim_distrito, self.dim_tipo_crime),
+            sort_within=["sk_mes"],
         )
 
     def tables(self) -> dict[str, DataFrame]:

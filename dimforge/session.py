@@ -51,6 +51,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if existing:
         # setCheckpointDir appends a random sub-folder; use its parent as root
         return existing.rstrip("/").rsplit("/", 1)[0]
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(
+            f"{CHECKPOINT_CONF} is not set: on a cluster it must name a shared, reliable folder "
+            "(HDFS/object store); machine-local scratch space is not safe when executors are lost."
+        )
     root = tempfile.mkdtemp(prefix="dimforge-ckpt-")
     spark.conf.set(CHECKPOINT_CONF, root)
     spark.sparkContext.setCheckpointDir(root)
@@ -64,3 +69,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def bench_cpus(default: int = 8) -> int:
     return int(os.environ.get("BENCH_CPUS", default))
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large cluster run, sized from the raw input volume.
+
+    * scan splits of ``target_bytes`` (tasks ~ input / 256 MB);
+    * initial shuffle partitions from the volume that is actually shuffled: the big
+      shuffles here carry keys or pre-aggregated rows (ids for uniqueness tests, partial
+      aggregates), roughly 1/8 of the input at most; AQE coalesces them down to
+      ``advisoryPartitionSizeInBytes`` and splits skewed ones (> 5x median and > target);
+    * wall-clock timestamps (NTZ) and ANSI casts, as the warehouse expects.
+    Broadcasts are decided by our own row-count checks, so Spark's estimate-based
+    auto-broadcast keeps its default.
+    """
+    n_shuffle = int(max(2 * total_cores, min(input_bytes // (8 * target_bytes), 50_000)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n_shuffle),
+        "spark.sql.shuffle.partitions": str(n_shuffle),
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_bytes),
+        "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
+        "spark.sql.ansi.enabled": "true",
+    }

@@ -45,13 +45,17 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def materialize(
+    spark: SparkSession, df: DataFrame, name: str, sort_within: Sequence[str] | None = None
+) -> DataFrame:
     """Write ``df`` to a fresh folder below the shared checkpoint root and read it back.
 
     Cuts lineage (a lost executor re-reads the written files instead of recomputing the
     upstream plan) and gives later joins real file statistics. Reliable storage only:
-    this never uses executor-local checkpoints.
+    this never uses executor-local checkpoints. ``sort_within`` orders rows inside each
+    file so Parquet row-group min/max statistics prune range filters on those columns.
     """
     path = scratch_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
+    out = df.sortWithinPartitions(*sort_within) if sort_within else df
+    out.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
