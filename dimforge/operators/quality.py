@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import broadcast_if_small
+from .joins import fits_broadcast
 
 RESULT_COLUMNS = ["test_name", "model", "column_name", "failures"]
 
@@ -72,7 +72,9 @@ def unique_check(df: DataFrame, t: DataTest) -> DataFrame:
 
 def relationships_check(child: DataFrame, parent: DataFrame, t: DataTest) -> DataFrame:
     c = child.where(F.col(t.columns[0]).isNotNull()).select(F.col(t.columns[0]).alias("_k"))
-    p = broadcast_if_small(parent.select(F.col(t.parent_field).alias("_k")).distinct())
+    keys = parent.select(F.col(t.parent_field).alias("_k")).distinct()
+    # distinct keys <= parent rows: the parent's (remembered) row count bounds the side
+    p = F.broadcast(keys) if fits_broadcast(parent) else keys
     orphans = c.join(p, "_k", "left_anti")
     return orphans.agg(F.count(F.lit(1)).alias("_f")).select(F.inline(F.array(_row(t, F.col("_f")))))
 

@@ -31,6 +31,9 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "dimfo
         .config("spark.driver.memory", "16g")
         .config("spark.sql.parquet.inferTimestampNTZ.enabled", "true")
     )
+    event_log = os.environ.get("DIMFORGE_EVENT_LOG")  # stage/task times for profiling runs
+    if event_log:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
