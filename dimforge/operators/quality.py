@@ -6,8 +6,8 @@ child rows (non-NULL key) without a parent; ``accepted_values`` counts distinct
 outside the list (NULLs pass); ``unique_combination`` counts duplicated combinations.
 
 All column-level NULL / accepted-value checks of one table run in a single aggregation;
-uniqueness needs one shuffle on the tested key; relationship tests anti-join against the
-(small, size-checked broadcast) parent.
+uniqueness needs one shuffle on the tested key; all relationship tests of a table run in
+one scan with broadcast lookups of the (size-checked) parents' key sets.
 """
 
 from __future__ import annotations
@@ -79,21 +79,49 @@ def relationships_check(child: DataFrame, parent: DataFrame, t: DataTest) -> Dat
     return orphans.agg(F.count(F.lit(1)).alias("_f")).select(F.inline(F.array(_row(t, F.col("_f")))))
 
 
+def relationships_checks(child: DataFrame, parents: dict[str, DataFrame], tests: Sequence[DataTest]) -> DataFrame:
+    """All relationship tests of one child table in a single scan.
+
+    Each parent's distinct key set is broadcast (size-checked) and left-joined as a lookup;
+    a child row fails a test when its key is not NULL and found no parent. Without a
+    shuffle of the child, whatever its size; parents too large to broadcast fall back to
+    one anti join each.
+    """
+    small = [t for t in tests if fits_broadcast(parents[t.parent])]
+    parts = [relationships_check(child, parents[t.parent], t) for t in tests if t not in small]
+    if small:
+        c = child.select(*sorted({t.columns[0] for t in small}))
+        for i, t in enumerate(small):
+            keys = parents[t.parent].select(F.col(t.parent_field).alias(f"_p{i}")).distinct()
+            keys = keys.withColumn(f"_hit{i}", F.lit(True))
+            c = c.join(F.broadcast(keys), c[t.columns[0]] == keys[f"_p{i}"], "left").drop(f"_p{i}")
+        aggs = [F.count_if(F.col(t.columns[0]).isNotNull() & F.col(f"_hit{i}").isNull()).alias(f"_f{i}")
+                for i, t in enumerate(small)]
+        parts.append(c.agg(*aggs).select(F.inline(F.array(*[_row(t, F.col(f"_f{i}")) for i, t in enumerate(small)]))))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def run_suite(tables: dict[str, DataFrame], tests: Sequence[DataTest]) -> DataFrame:
     """Evaluate every test; one row per test with its failure count (Q6)."""
     parts: list[DataFrame] = []
     by_model: dict[str, list[DataTest]] = {}
+    rel_by_model: dict[str, list[DataTest]] = {}
     for t in tests:
         if t.kind in ("not_null", "accepted_values"):
             by_model.setdefault(t.model, []).append(t)
         elif t.kind in ("unique", "unique_combination"):
             parts.append(unique_check(tables[t.model], t))
         elif t.kind == "relationships":
-            parts.append(relationships_check(tables[t.model], tables[t.parent], t))
+            rel_by_model.setdefault(t.model, []).append(t)
         else:
             raise ValueError(t.kind)
     for model, ts in by_model.items():
         parts.append(column_checks(tables[model], ts))
+    for model, ts in rel_by_model.items():
+        parts.append(relationships_checks(tables[model], tables, ts))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
