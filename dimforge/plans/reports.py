@@ -33,6 +33,19 @@ def _level(*cols: str) -> Column:
     return F.grouping_id(*cols).cast("int").alias("nivel")
 
 
+def rollup_sums(df: DataFrame, keys: list[str], sums: dict[str, str], sets: list[list[str]] | None = None) -> DataFrame:
+    """Subtotals of additive measures: ROLLUP over ``keys`` (or the grouping ``sets``).
+
+    The input is first aggregated to the finest grain (partial aggregation, one small
+    shuffle); the rollup then expands only those few rows instead of every fact row.
+    Sums of sums equal sums, and a subtotal row exists exactly when a fine group does.
+    Adds ``nivel`` = grouping id.
+    """
+    fine = df.groupBy(*keys).agg(*[F.sum(src).alias(out) for out, src in sums.items()])
+    grouped = fine.rollup(*keys) if sets is None else fine.groupingSets([[F.col(c) for c in g] for g in sets], *keys)
+    return grouped.agg(*[F.sum(out).alias(out) for out in sums], _level(*keys))
+
+
 def ratio_measure(df: DataFrame, keys: list[str], num: str, den: str, out: str = "taxa_prisao_pct") -> DataFrame:
     """Non-additive rate = SUM(num) / SUM(den) * 100 at the requested grain."""
     return df.groupBy(*keys).agg(
@@ -77,9 +90,8 @@ def report_p1_rollup(w: Warehouse, year_from=2009, year_to=2013, district=12) ->
     re-derived from the sums at each level."""
     keys = ["ano", "nome_district", "categoria_analitica"]
     return (
-        _p1_base(w, year_from, year_to, district)
-        .rollup(*keys)
-        .agg(F.sum("qtd_ocorrencia").alias("ocorrencias"), F.sum("qtd_prisao").alias("prisoes"), _level(*keys))
+        rollup_sums(_p1_base(w, year_from, year_to, district), keys,
+                    {"ocorrencias": "qtd_ocorrencia", "prisoes": "qtd_prisao"})
         .select(*keys, "nivel", "ocorrencias", "prisoes",
                 ratio_pct(F.col("prisoes"), F.col("ocorrencias")).alias("taxa_prisao_pct"))
     )
@@ -110,10 +122,8 @@ def report_p2_rollup(w: Warehouse, year_from=2009, year_to=2013, crime_type="THE
     """Year -> district with subtotals and grand total."""
     keys = ["ano", "nome_district"]
     return (
-        _p2_base(w, year_from, year_to, crime_type)
-        .rollup(*keys)
-        .agg(F.sum("qtd_ocorrencias").alias("ocorrencias"), F.sum("qtd_prisoes").alias("prisoes"),
-             F.sum("qtd_domesticos").alias("domesticos"), _level(*keys))
+        rollup_sums(_p2_base(w, year_from, year_to, crime_type), keys,
+                    {"ocorrencias": "qtd_ocorrencias", "prisoes": "qtd_prisoes", "domesticos": "qtd_domesticos"})
         .select(*keys, "nivel", "ocorrencias", "prisoes", "domesticos")
     )
 
@@ -169,6 +179,9 @@ def _fact_with(w: Warehouse, date_cols=None, geo_cols=None, crime_cols=None, dat
     return f
 
 
+COUNTS = {"ocorrencias": "qtd_ocorrencia", "prisoes": "qtd_prisao"}
+
+
 def _counts() -> list[Column]:
     return [F.sum("qtd_ocorrencia").alias("ocorrencias"), F.sum("qtd_prisao").alias("prisoes")]
 
@@ -176,21 +189,19 @@ def _counts() -> list[Column]:
 def drill_calendar(w: Warehouse) -> DataFrame:
     """Drill-down Ano -> Trimestre -> Mês -> Dia with every subtotal."""
     keys = ["ano", "trimestre", "numero_mes", "dia_do_mes"]
-    return _fact_with(w, date_cols=keys).rollup(*keys).agg(*_counts(), _level(*keys))
+    return rollup_sums(_fact_with(w, date_cols=keys), keys, COUNTS)
 
 
 def drill_geo(w: Warehouse) -> DataFrame:
     """Drill-down District -> Beat (historical district of the version)."""
     keys = ["district", "beat"]
-    return _fact_with(w, geo_cols=keys).rollup(*keys).agg(*_counts(), _level(*keys))
+    return rollup_sums(_fact_with(w, geo_cols=keys), keys, COUNTS)
 
 
 def drill_parallel(w: Warehouse) -> DataFrame:
     """Ward and community area as parallel (not nested) paths: grouping sets."""
     keys = ["ward", "community_area"]
-    return (_fact_with(w, geo_cols=keys)
-            .groupingSets([[F.col("ward")], [F.col("community_area")]], "ward", "community_area")
-            .agg(*_counts(), _level(*keys)))
+    return rollup_sums(_fact_with(w, geo_cols=keys), keys, COUNTS, sets=[["ward"], ["community_area"]])
 
 
 def drill_through(w: Warehouse, ano=2012, numero_mes=6, district=12, categoria_analitica="Crime violento") -> DataFrame:
