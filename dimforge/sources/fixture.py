@@ -10,12 +10,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .landing import LANDING_COLUMNS
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read a driver table; timestamps always come back as wall clock (TIMESTAMP_NTZ).
+
+    The files store zone-less timestamps. A session with NTZ inference switched off reads
+    them as UTC instants; those are turned back into the stored wall clock so no session
+    time zone can shift a date.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.TimestampType):
+            df = df.withColumn(f.name, F.to_utc_timestamp(F.col(f.name), tz).cast("timestamp_ntz"))
+    return df
 
 
 def _s(c: Column) -> Column:
