@@ -35,13 +35,17 @@ def date_spine(spark: SparkSession, start=K.CALENDAR_START, end=K.CALENDAR_END)
     return spark.range(days).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("data"))
 
 
-def dim_data(spark: SparkSession) -> DataFrame:
-    """M2: calendar day dimension, smart key YYYYMMDD, Portuguese labels, no unknown row."""
+def dim_data(spark: SparkSession, unknown_member: bool = False) -> DataFrame:
+    """M2: calendar day dimension, smart key YYYYMMDD, Portuguese labels.
+
+    As coded in the original there is no unknown row (S1), so facts with ``sk_data = -1``
+    fail the relationship test; ``unknown_member=True`` adds the documented -1 row.
+    """
     d = F.col("data")
     dow = iso_weekday(d)
     months = F.array(*[F.lit(m) for m in K.MONTH_NAMES])
     weekdays = F.array(*[F.lit(w) for w in K.WEEKDAY_NAMES])
-    return date_spine(spark).select(
+    cal = date_spine(spark).select(
         date_key(d).alias("sk_data"),
         d.alias("data_completa"),
         F.year(d).alias("ano"),
@@ -58,6 +62,11 @@ def dim_data(spark: SparkSession) -> DataFrame:
         dow.isin(*K.WEEKEND_ISO_DAYS).alias("flag_fim_de_semana"),
         (F.year(d) == K.PARTIAL_YEAR).alias("flag_ano_parcial"),
     )
+    if unknown_member:
+        return with_unknown(cal, [K.UNKNOWN_INT, None, K.UNKNOWN_INT, K.UNKNOWN_INT, K.UNKNOWN_INT, K.UNKNOWN_INT,
+                                  K.UNKNOWN_INT, K.UNKNOWN_INT, K.UNKNOWN_INT, K.NOT_AVAILABLE, K.NOT_AVAILABLE,
+                                  K.NOT_INFORMED, K.NOT_INFORMED, False, False])
+    return cal
 
 
 def dim_hora(spark: SparkSession) -> DataFrame:

@@ -66,7 +66,13 @@ def fct_desempenho_mensal(
     dim_mes: DataFrame,
     dim_distrito: DataFrame,
     dim_tipo_crime: DataFrame,
+    include_closed: bool = False,
+    regroup: bool = False,
 ) -> DataFrame:
+    """As coded in the original, districts without a current version and unknown types
+    collapse into the ``'-1'`` keys, which can repeat a (month, district, type) key (S8,
+    S8b). ``include_closed=True`` keeps closed districts (one row per district, S6);
+    ``regroup=True`` sums the rows again at the final keys so the grain is unique."""
     o = fct.select("sk_data", "sk_crime", "sk_geografia", "qtd_ocorrencia", "qtd_prisao", "qtd_domestico")
     o = lookup_join(o, dim_data, [("sk_data", "sk_data")], {"ano": "ano", "numero_mes": "numero_mes"},
                     known_rows=CALENDAR_ROWS, how="inner")
@@ -85,9 +91,12 @@ def fct_desempenho_mensal(
     )
     a = lookup_join(a, dim_mes, [("sk_mes_natural", "sk_mes")], {"sk_mes": "sk_mes"},
                     unknown={"sk_mes": K.UNKNOWN_INT})
-    a = lookup_join(a, dim_distrito.where(F.col("flag_versao_atual")), [("district_natural", "district")],
+    districts = dim_distrito if include_closed else dim_distrito.where(F.col("flag_versao_atual"))
+    a = lookup_join(a, districts, [("district_natural", "district")],
                     {"sk_distrito": "sk_distrito"}, unknown={"sk_distrito": K.UNKNOWN_KEY})
     a = lookup_join(a, dim_tipo_crime, [("tipo_crime_natural", "primary_type")], {"sk_tipo_crime": "sk_tipo_crime"},
                     unknown={"sk_tipo_crime": K.UNKNOWN_KEY})
-    return a.select("sk_mes", "sk_distrito", "sk_tipo_crime",
-                    "qtd_ocorrencias", "qtd_prisoes", "qtd_domesticos", "qtd_sem_prisao")
+    measures = ["qtd_ocorrencias", "qtd_prisoes", "qtd_domesticos", "qtd_sem_prisao"]
+    if regroup:
+        a = a.groupBy("sk_mes", "sk_distrito", "sk_tipo_crime").agg(*[F.sum(m).cast("int").alias(m) for m in measures])
+    return a.select("sk_mes", "sk_distrito", "sk_tipo_crime", *measures)

@@ -54,3 +54,20 @@ def test_data_test_suite(w):
     failing = {k: v for k, v in res.items() if v}
     # Closed districts collapse into the unknown district key, repeating (month, '-1', type)
     assert failing == {"unique_combination_fct_desempenho_mensal_sk_mes_sk_distrito_sk_tipo_crime": 520}
+
+
+def test_documented_intent_options(spark, w):
+    from dimforge.plans import dims, facts
+
+    cal = dims.dim_data(spark, unknown_member=True)
+    assert cal.where("sk_data = -1").count() == 1 and cal.count() == 9497
+    args = (w.fct_ocorrencias, w.dim_data, w.dim_geografia, w.dim_crime, w.dim_mes, w.dim_distrito, w.dim_tipo_crime)
+    regrouped = facts.fct_desempenho_mensal(*args, regroup=True)
+    keys = ["sk_mes", "sk_distrito", "sk_tipo_crime"]
+    assert regrouped.groupBy(*keys).count().where("count > 1").count() == 0
+    closed = facts.fct_desempenho_mensal(*args, include_closed=True)
+    # closed districts 13, 21, 23 keep their own key: far fewer rows fall into '-1'
+    base = w.fct_desempenho_mensal
+    assert closed.where("sk_distrito = '-1'").count() < base.where("sk_distrito = '-1'").count()
+    for df in (regrouped, closed):
+        assert df.agg(F.sum("qtd_ocorrencias")).first()[0] == base.agg(F.sum("qtd_ocorrencias")).first()[0]
