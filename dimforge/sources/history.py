@@ -1,11 +1,12 @@
 """Snapshot history persisted across runs.
 
 Each run appends the complete new history as a new partition ``snapshot_run=<n>`` of one
-Parquet table; readers take the newest partition (partition pruning). A run therefore
-never overwrites the files it reads, a failed run leaves the previous partition intact
-(uncommitted task output is never visible), and older partitions remain as time travel.
-Runs are numbered; re-submitting an already committed run number is a no-op, which makes
-retries (including streaming micro-batch replays) idempotent.
+Parquet table, then records the run in a tiny append-only log (``<root>/_runs``, ignored
+by partition discovery). Readers take the newest *logged* run and read only that
+partition (partition pruning), so finding it never scans old runs, and a run that failed
+before its log entry is never visible. A run never overwrites the files it reads, and
+older partitions remain as time travel. Re-submitting an already logged run number is a
+no-op, which makes retries (including streaming micro-batch replays) idempotent.
 """
 
 from __future__ import annotations
@@ -26,35 +27,40 @@ class HistoryStore:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _all(self) -> DataFrame | None:
+    @property
+    def _log(self) -> str:
+        return f"{self.root}/_runs"
+
+    def runs(self) -> DataFrame | None:
+        """The run log: one row per committed run (run number, commit time)."""
         try:
-            return self.spark.read.parquet(self.root)
+            return self.spark.read.parquet(self._log)
         except AnalysisException:
             return None
 
     def last_run(self) -> int | None:
-        df = self._all()
-        if df is None:
-            return None
-        return df.agg(F.max(RUN_COL)).first()[0]
+        log = self.runs()
+        return None if log is None else log.agg(F.max(RUN_COL)).first()[0]
 
     def latest(self) -> DataFrame | None:
         """History as of the newest committed run (None before the first run)."""
-        df = self._all()
-        if df is None:
-            return None
-        last = df.agg(F.max(RUN_COL)).first()[0]
-        return df.where(F.col(RUN_COL) == last).drop(RUN_COL)
+        last = self.last_run()
+        return None if last is None else self.at_run(last)
 
     def at_run(self, run: int) -> DataFrame:
         return self.spark.read.parquet(self.root).where(F.col(RUN_COL) == run).drop(RUN_COL)
 
     def append(self, history: DataFrame, run: int) -> bool:
-        """Commit ``history`` as run ``run``; returns False if that run is already there."""
+        """Commit ``history`` as run ``run``; returns False if that run is already logged."""
         last = self.last_run()
         if last is not None and run <= last:
             return False
-        history.withColumn(RUN_COL, F.lit(run)).write.mode("append").partitionBy(RUN_COL).parquet(self.root)
+        # dynamic overwrite replaces only this run's partition: leftovers of a crashed,
+        # never-logged attempt are replaced, committed runs are untouched
+        (history.withColumn(RUN_COL, F.lit(run)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(RUN_COL).parquet(self.root))
+        (self.spark.range(1).select(F.lit(run).alias(RUN_COL), F.current_timestamp().alias("committed_at"))
+         .write.mode("append").parquet(self._log))
         return True
 
 

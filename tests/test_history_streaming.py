@@ -75,3 +75,17 @@ def test_incremental_runs_equal_replayed_build(spark, tmp_path):
     ref = Warehouse(spark, raw, runs=runs)
     for name in ("snap_crime", "snap_geografia", "dim_crime", "dim_geografia", "fct_ocorrencias", "fct_desempenho_mensal"):
         assert _same(getattr(ref, name), getattr(w, name)), name
+
+
+def test_unlogged_partial_run_is_invisible_and_replaced(spark, tmp_path):
+    store = HistoryStore(spark, str(tmp_path / "h"))
+    h0 = spark.createDataFrame([(1, "a")], "k int, v string")
+    assert store.append(h0, 0)
+    # a crashed attempt of run 1: partition written, never logged
+    spark.createDataFrame([(9, "junk")], "k int, v string").withColumn("snapshot_run", F.lit(1)) \
+        .write.mode("append").partitionBy("snapshot_run").parquet(store.root)
+    assert store.last_run() == 0 and [tuple(r) for r in store.latest().collect()] == [(1, "a")]
+    h1 = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    assert store.append(h1, 1)
+    assert sorted(tuple(r) for r in store.latest().collect()) == [(1, "a"), (2, "b")]
+    assert [tuple(r) for r in store.at_run(0).collect()] == [(1, "a")]
