@@ -115,7 +115,7 @@ class Warehouse:
         if self.out_root is not None:
             path = f"{self.out_root}/{name}/{self.run_label}"
             out = df.sortWithinPartitions(*sort_within) if sort_within else df
-            out.write.mode("errorifexists").parquet(path)
+            out.write.mode("overwrite").parquet(path)  # a retried run replaces its own folder
             return self.spark.read.parquet(path)
         return _materialize(self.spark, df, name, sort_within) if self.materialize else df
 
@@ -233,15 +233,16 @@ def build_run(spark: SparkSession, raw: DataFrame, root: str, as_of: dt.datetime
 
     staging (full reload of the raw text) -> one snapshot run appended to each persisted
     history (``<root>/snap_crime``, ``<root>/snap_geografia``) -> dimensions and facts from
-    the latest histories, each written to ``<root>/<model>/as_of=<as_of>``. Run the data
-    tests with ``plans.quality.run`` on the returned warehouse.
+    the latest histories, each written to ``<root>/<model>/as_of=<as_of>``. Re-running the
+    same ``as_of`` after a failure is safe: its folders are replaced and the snapshot runs
+    are not repeated. Run the data tests with ``plans.quality.run`` on the result.
     """
     from ..sources.history import HistoryStore, run_snapshot
 
     label = f"as_of={as_of:%Y%m%d%H%M%S}"
     root = root.rstrip("/")
     stg_path = f"{root}/stg_crimes/{label}"
-    stage_crimes(raw, lenient=lenient).write.mode("errorifexists").parquet(stg_path)
+    stage_crimes(raw, lenient=lenient).write.mode("overwrite").parquet(stg_path)  # retry-safe
     stg = spark.read.parquet(stg_path)
     crime = run_snapshot(HistoryStore(spark, f"{root}/snap_crime"), crime_state(stg), CRIME_KEY, CRIME_CHECK, as_of)
     geo = run_snapshot(HistoryStore(spark, f"{root}/snap_geografia"), geo_state(stg), GEO_KEY, GEO_CHECK, as_of)

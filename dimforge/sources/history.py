@@ -50,7 +50,14 @@ class HistoryStore:
     def at_run(self, run: int) -> DataFrame:
         return self.spark.read.parquet(self.root).where(F.col(RUN_COL) == run).drop(RUN_COL)
 
-    def append(self, history: DataFrame, run: int) -> bool:
+    def last_as_of(self) -> dt.datetime | None:
+        log = self.runs()
+        if log is None:
+            return None
+        row = log.orderBy(F.col(RUN_COL).desc()).select("as_of").first()
+        return row[0] if row else None
+
+    def append(self, history: DataFrame, run: int, as_of: dt.datetime | None = None) -> bool:
         """Commit ``history`` as run ``run``; returns False if that run is already logged."""
         last = self.last_run()
         if last is not None and run <= last:
@@ -59,7 +66,9 @@ class HistoryStore:
         # never-logged attempt are replaced, committed runs are untouched
         (history.withColumn(RUN_COL, F.lit(run)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(RUN_COL).parquet(self.root))
-        (self.spark.range(1).select(F.lit(run).alias(RUN_COL), F.current_timestamp().alias("committed_at"))
+        as_of_col = F.lit(as_of.isoformat(sep=" ") if as_of else None).cast("timestamp_ntz")
+        (self.spark.range(1).select(F.lit(run).alias(RUN_COL), as_of_col.alias("as_of"),
+                                    F.current_timestamp().alias("committed_at"))
          .write.mode("append").parquet(self._log))
         return True
 
@@ -77,9 +86,15 @@ def run_snapshot(
     ``state`` is the current source state (one row per key, e.g. ``latest_per_key`` of
     staging). The merged history is written as the next run and returned as read back.
     """
-    prev = store.latest()
     last = store.last_run()
+    if last is not None and run is None:
+        last_as_of = store.last_as_of()
+        if last_as_of == as_of:
+            return store.at_run(last)  # the run was already committed (retry): no-op
+        if last_as_of is not None and as_of < last_as_of:
+            raise ValueError(f"snapshot run at {as_of} is older than the last run ({last_as_of})")
+    prev = store.latest()
     n = run if run is not None else (0 if last is None else last + 1)
     merged = snapshot_merge(state, key, check_cols, as_of, history=prev)
-    store.append(merged, n)
+    store.append(merged, n, as_of)
     return store.at_run(n)

@@ -89,3 +89,19 @@ def test_unlogged_partial_run_is_invisible_and_replaced(spark, tmp_path):
     assert store.append(h1, 1)
     assert sorted(tuple(r) for r in store.latest().collect()) == [(1, "a"), (2, "b")]
     assert [tuple(r) for r in store.at_run(0).collect()] == [(1, "a")]
+
+
+def test_build_run_retry_is_idempotent(spark, tmp_path):
+    from dimforge.plans.warehouse import build_run
+
+    raw = crimes_raw(spark, SF0001)
+    root = str(tmp_path / "wh")
+    t = FIXTURE_RUNS[2].as_of
+    a = build_run(spark, raw, root, t)
+    n = a.fct_ocorrencias.count()
+    b = build_run(spark, raw, root, t)  # retry of the same run
+    assert HistoryStore(spark, root + "/snap_geografia").last_run() == 0
+    assert b.fct_ocorrencias.count() == n and _same(a.snap_crime, b.snap_crime)
+    import pytest
+    with pytest.raises(ValueError):
+        build_run(spark, raw, root, FIXTURE_RUNS[0].as_of)
