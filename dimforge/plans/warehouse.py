@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.latest import latest_per_key
 from ..operators.scd2 import snapshot_merge, snapshot_replay
@@ -228,10 +229,34 @@ def run_concurrently(fns, threads: int = 4) -> list:
         return list(pool.map(lambda f: f(), fns))
 
 
+MODELS = ("stg_crimes", "dim_local", "dim_crime", "dim_geografia", "dim_distrito", "dim_tipo_crime",
+          "fct_ocorrencias", "fct_desempenho_mensal")
+
+
+def open_run(spark: SparkSession, root: str, as_of: dt.datetime | None = None) -> Warehouse:
+    """Reopen a warehouse built by ``build_run`` (latest run unless ``as_of`` is given)."""
+    from ..sources.history import HistoryStore
+
+    root = root.rstrip("/")
+    crime, geo = HistoryStore(spark, f"{root}/snap_crime"), HistoryStore(spark, f"{root}/snap_geografia")
+    as_of = as_of or crime.last_as_of()
+    if as_of is None:
+        raise ValueError(f"no committed run below {root}")
+    label = f"as_of={as_of:%Y%m%d%H%M%S}"
+    runs = crime.runs()
+    run = runs.where(F.col("as_of") == F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")).first()[0]
+    raw = spark.read.parquet(f"{root}/crimes_raw/{label}")
+    w = Warehouse(spark, raw, snap_crime=crime.at_run(run), snap_geografia=geo.at_run(run), out_root=root,
+                  run_label=label)
+    for name in MODELS:
+        w.__dict__["stg" if name == "stg_crimes" else name] = spark.read.parquet(f"{root}/{name}/{label}")
+    return w
+
+
 def build_run(spark: SparkSession, raw: DataFrame, root: str, as_of: dt.datetime, lenient: bool = False) -> Warehouse:
     """M15, production path: one incremental run of the whole warehouse.
 
-    staging (full reload of the raw text) -> one snapshot run appended to each persisted
+    landing table + staging (full reload of the raw text) -> one snapshot run appended to each persisted
     history (``<root>/snap_crime``, ``<root>/snap_geografia``) -> dimensions and facts from
     the latest histories, each written to ``<root>/<model>/as_of=<as_of>``. Re-running the
     same ``as_of`` after a failure is safe: its folders are replaced and the snapshot runs
@@ -241,6 +266,9 @@ def build_run(spark: SparkSession, raw: DataFrame, root: str, as_of: dt.datetime
 
     label = f"as_of={as_of:%Y%m%d%H%M%S}"
     root = root.rstrip("/")
+    raw_path = f"{root}/crimes_raw/{label}"  # the landing table (full reload per run)
+    raw.write.mode("overwrite").parquet(raw_path)
+    raw = spark.read.parquet(raw_path)
     stg_path = f"{root}/stg_crimes/{label}"
     stage_crimes(raw, lenient=lenient).write.mode("overwrite").parquet(stg_path)  # retry-safe
     stg = spark.read.parquet(stg_path)

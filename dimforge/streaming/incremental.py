@@ -88,8 +88,9 @@ def stream_snapshots(
         if last is not None and batch_id <= last:
             return  # replay of a committed batch
         state = batch.select(key, "_v.*")
-        merged = snapshot_merge(state, key, check_cols, clock(), history=store.latest())
-        store.append(merged, batch_id)
+        as_of = clock()
+        merged = snapshot_merge(state, key, check_cols, as_of, history=store.latest())
+        store.append(merged, batch_id, as_of)
 
     w = latest.writeStream.outputMode("complete").foreachBatch(merge_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -105,3 +105,20 @@ def test_build_run_retry_is_idempotent(spark, tmp_path):
     import pytest
     with pytest.raises(ValueError):
         build_run(spark, raw, root, FIXTURE_RUNS[0].as_of)
+
+
+def test_command_line_round_trip(spark, tmp_path, capsys):
+    from dimforge.__main__ import main
+
+    landing = str(tmp_path / "landing")
+    write_landing(crimes_raw(spark, SF0001), landing)
+    root = str(tmp_path / "wh")
+    assert main(["build", "--raw", landing, "--root", root, "--as-of", "2013-01-01 00:00:00"], spark) == 0
+    assert main(["test", "--root", root, "--out", str(tmp_path / "tests")], spark) == 0
+    res = spark.read.parquet(str(tmp_path / "tests"))
+    assert res.count() == 66
+    assert main(["report", "--root", root, "p1", "--year-from", "2009", "--year-to", "2013", "--district", "1",
+                 "--rollup", "--out", str(tmp_path / "p1")], spark) == 0
+    assert spark.read.parquet(str(tmp_path / "p1")).where("nivel = 7").count() == 1  # grand total
+    out = capsys.readouterr().out
+    assert "built run" in out
