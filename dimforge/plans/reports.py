@@ -220,6 +220,8 @@ def drill_through(w: Warehouse, ano=2012, numero_mes=6, district=12, categoria_a
 def daily_series(w: Warehouse) -> DataFrame:
     """Gap-free daily series - every calendar day, zero when nothing happened."""
     c = w.fct_ocorrencias.groupBy("sk_data").agg(*_counts())
+    # one row per calendar key (+ the unknown -1): bounded by the calendar, safe to broadcast
+    c = broadcast_if_small(c, known_rows=CALENDAR_ROWS + 1)
     return w.dim_data.select("sk_data", "data_completa").join(c, "sk_data", "left").select(
         "sk_data", "data_completa",
         F.coalesce("ocorrencias", F.lit(0).cast("bigint")).alias("ocorrencias"),
@@ -229,7 +231,7 @@ def daily_series(w: Warehouse) -> DataFrame:
 
 def hour_profile(w: Warehouse) -> DataFrame:
     """Incidents by hour of day, independent of date (all 24 hours + unknown)."""
-    c = w.fct_ocorrencias.groupBy("sk_hora").agg(*_counts())
+    c = broadcast_if_small(w.fct_ocorrencias.groupBy("sk_hora").agg(*_counts()), known_rows=25)  # hours + -1
     return w.dim_hora.select("sk_hora", "hora_formatada", "periodo_do_dia", "faixa_operacional").join(
         c, "sk_hora", "left").select(
         "sk_hora", "hora_formatada", "periodo_do_dia", "faixa_operacional",
@@ -241,6 +243,7 @@ def hour_profile(w: Warehouse) -> DataFrame:
 def flags_profile(w: Warehouse) -> DataFrame:
     """Junk dimension as a filter axis: incidents per arrest/domestic combination."""
     c = w.fct_ocorrencias.groupBy("sk_flags").agg(F.sum("qtd_ocorrencia").alias("ocorrencias"))
+    c = broadcast_if_small(c, known_rows=5)  # 4 combinations + NULL
     return w.dim_flags.select("sk_flags", "descricao_combinada").join(c, "sk_flags", "left").select(
         "sk_flags", "descricao_combinada", F.coalesce("ocorrencias", F.lit(0).cast("bigint")).alias("ocorrencias"))
 
@@ -249,6 +252,7 @@ def monthly_series(w: Warehouse) -> DataFrame:
     """Shrunken month dimension with the monthly fact's sums, zero-filled."""
     c = w.fct_desempenho_mensal.groupBy("sk_mes").agg(
         F.sum("qtd_ocorrencias").alias("ocorrencias"), F.sum("qtd_prisoes").alias("prisoes"))
+    c = broadcast_if_small(c, known_rows=CALENDAR_ROWS // 28 + 1)  # months of the calendar + -1
     return w.dim_mes.select("sk_mes", "descricao_mes", "flag_ano_parcial").join(c, "sk_mes", "left").select(
         "sk_mes", "descricao_mes", "flag_ano_parcial",
         F.coalesce("ocorrencias", F.lit(0).cast("bigint")).alias("ocorrencias"),
