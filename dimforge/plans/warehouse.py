@@ -83,14 +83,14 @@ class Warehouse:
         materialize: bool = False,
         lenient: bool = False,
         backdate_per_key: bool = False,
-        snap_crime: DataFrame | None = None,
-        snap_geografia: DataFrame | None = None,
         out_root: str | None = None,
         run_label: str | None = None,
+        preset: dict[str, DataFrame] | None = None,
     ):
-        """``snap_crime`` / ``snap_geografia`` take persisted histories instead of computing
-        them from ``runs``; ``out_root`` writes every model to ``<out_root>/<model>/<run_label>``
-        (a new folder per run, never one that is being read) instead of scratch space."""
+        """``preset`` supplies already built models by name (e.g. persisted snapshot
+        histories instead of computing them from ``runs``); ``out_root`` writes every model
+        to ``<out_root>/<model>/<run_label>`` (a new folder per run, never one that is being
+        read) instead of scratch space."""
         self.spark = spark
         self.raw = raw
         self.runs = tuple(runs)
@@ -100,10 +100,8 @@ class Warehouse:
         self.backdate_per_key = backdate_per_key
         self.out_root = out_root.rstrip("/") if out_root else None
         self.run_label = run_label or "run"
-        if snap_crime is not None:
-            self.__dict__["snap_crime"] = snap_crime
-        if snap_geografia is not None:
-            self.__dict__["snap_geografia"] = snap_geografia
+        for name, df in (preset or {}).items():
+            self.__dict__["stg" if name == "stg_crimes" else name] = df  # seeds the cached property
 
     @classmethod
     def from_sf(cls, spark: SparkSession, sf_dir: str, **kw) -> Warehouse:
@@ -245,12 +243,10 @@ def open_run(spark: SparkSession, root: str, as_of: dt.datetime | None = None) -
     label = f"as_of={as_of:%Y%m%d%H%M%S}"
     runs = crime.runs()
     run = runs.where(F.col("as_of") == F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")).first()[0]
+    preset = {name: spark.read.parquet(f"{root}/{name}/{label}") for name in MODELS}
+    preset.update(snap_crime=crime.at_run(run), snap_geografia=geo.at_run(run))
     raw = spark.read.parquet(f"{root}/crimes_raw/{label}")
-    w = Warehouse(spark, raw, snap_crime=crime.at_run(run), snap_geografia=geo.at_run(run), out_root=root,
-                  run_label=label)
-    for name in MODELS:
-        w.__dict__["stg" if name == "stg_crimes" else name] = spark.read.parquet(f"{root}/{name}/{label}")
-    return w
+    return Warehouse(spark, raw, out_root=root, run_label=label, preset=preset)
 
 
 def build_run(spark: SparkSession, raw: DataFrame, root: str, as_of: dt.datetime, lenient: bool = False) -> Warehouse:
@@ -274,8 +270,8 @@ def build_run(spark: SparkSession, raw: DataFrame, root: str, as_of: dt.datetime
     stg = spark.read.parquet(stg_path)
     crime = run_snapshot(HistoryStore(spark, f"{root}/snap_crime"), crime_state(stg), CRIME_KEY, CRIME_CHECK, as_of)
     geo = run_snapshot(HistoryStore(spark, f"{root}/snap_geografia"), geo_state(stg), GEO_KEY, GEO_CHECK, as_of)
-    w = Warehouse(spark, raw, lenient=lenient, snap_crime=crime, snap_geografia=geo, out_root=root, run_label=label)
-    w.__dict__["stg"] = stg
+    w = Warehouse(spark, raw, lenient=lenient, out_root=root, run_label=label,
+                  preset={"stg_crimes": stg, "snap_crime": crime, "snap_geografia": geo})
     for name in ("dim_data", "dim_hora", "dim_flags", "dim_local", "dim_crime", "dim_geografia", "dim_mes",
                  "dim_distrito", "dim_tipo_crime", "fct_ocorrencias", "fct_desempenho_mensal"):
         getattr(w, name)

@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from conftest import SF0001, SF001
-from dimforge.plans.warehouse import FIXTURE_RUNS, GEO_CHECK, GEO_KEY, Warehouse, geo_state
+from dimforge.plans.warehouse import FIXTURE_RUNS, GEO_CHECK, GEO_KEY, SnapshotRun, Warehouse, geo_state
 from dimforge.sources.fixture import crimes_raw
 from dimforge.sources.history import HistoryStore, run_snapshot
 from dimforge.sources.landing import write_landing
@@ -56,14 +56,14 @@ def test_streaming_staging_and_snapshots(spark, tmp_path):
 
     # same history as two batch runs over the same cut
     stg = Warehouse(spark, raw).stg
-    want = Warehouse(spark, raw, runs=[FIXTURE_RUNS[0].__class__(t1, "true", "year(data_hora_ocorrencia) <= 2010"),
-                                       FIXTURE_RUNS[0].__class__(t2, "true", "true")]).snap_geografia
+    want = Warehouse(spark, raw, runs=[SnapshotRun(t1, "true", "year(data_hora_ocorrencia) <= 2010"),
+                                       SnapshotRun(t2, "true", "true")]).snap_geografia
     assert stg.count() == raw.count()
     assert _same(store.latest(), want)
 
 
 def test_incremental_runs_equal_replayed_build(spark, tmp_path):
-    from dimforge.plans.warehouse import SnapshotRun, build_run
+    from dimforge.plans.warehouse import build_run
 
     raw = crimes_raw(spark, SF001)
     early = raw.where(F.col("year").cast("int") <= 2010)
