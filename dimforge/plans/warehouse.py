@@ -249,15 +249,30 @@ def open_run(spark: SparkSession, root: str, as_of: dt.datetime | None = None) -
     return Warehouse(spark, raw, out_root=root, run_label=label, preset=preset)
 
 
-def build_run(spark: SparkSession, raw: DataFrame, root: str, as_of: dt.datetime, lenient: bool = False) -> Warehouse:
+# Unique keys enforced on write (the original's unique indexes).
+UNIQUE_KEYS = {"stg_crimes": ["id_ocorrencia"], "dim_crime": ["sk_crime"], "dim_geografia": ["sk_geografia"],
+               "fct_ocorrencias": ["id_ocorrencia"]}
+
+
+def build_run(
+    spark: SparkSession,
+    raw: DataFrame,
+    root: str,
+    as_of: dt.datetime,
+    lenient: bool = False,
+    enforce_unique: bool = True,
+) -> Warehouse:
     """M15, production path: one incremental run of the whole warehouse.
 
     landing table + staging (full reload of the raw text) -> one snapshot run appended to each persisted
     history (``<root>/snap_crime``, ``<root>/snap_geografia``) -> dimensions and facts from
     the latest histories, each written to ``<root>/<model>/as_of=<as_of>``. Re-running the
     same ``as_of`` after a failure is safe: its folders are replaced and the snapshot runs
-    are not repeated. Run the data tests with ``plans.quality.run`` on the result.
+    are not repeated. ``enforce_unique`` fails the build on a duplicated unique key, as a
+    unique index would. Run the data tests with ``plans.quality.run`` on the result.
     """
+    from ..sources.tables import assert_unique
+
     from ..sources.history import HistoryStore, run_snapshot
 
     label = f"as_of={as_of:%Y%m%d%H%M%S}"
@@ -268,11 +283,15 @@ def build_run(spark: SparkSession, raw: DataFrame, root: str, as_of: dt.datetime
     stg_path = f"{root}/stg_crimes/{label}"
     stage_crimes(raw, lenient=lenient).write.mode("overwrite").parquet(stg_path)  # retry-safe
     stg = spark.read.parquet(stg_path)
+    if enforce_unique:
+        assert_unique(stg, UNIQUE_KEYS["stg_crimes"], "stg_crimes")
     crime = run_snapshot(HistoryStore(spark, f"{root}/snap_crime"), crime_state(stg), CRIME_KEY, CRIME_CHECK, as_of)
     geo = run_snapshot(HistoryStore(spark, f"{root}/snap_geografia"), geo_state(stg), GEO_KEY, GEO_CHECK, as_of)
     w = Warehouse(spark, raw, lenient=lenient, out_root=root, run_label=label,
                   preset={"stg_crimes": stg, "snap_crime": crime, "snap_geografia": geo})
     for name in ("dim_data", "dim_hora", "dim_flags", "dim_local", "dim_crime", "dim_geografia", "dim_mes",
                  "dim_distrito", "dim_tipo_crime", "fct_ocorrencias", "fct_desempenho_mensal"):
-        getattr(w, name)
+        df = getattr(w, name)
+        if enforce_unique and name in UNIQUE_KEYS:
+            assert_unique(df, UNIQUE_KEYS[name], name)
     return w

@@ -35,6 +35,23 @@ def write_table(
     writer.parquet(path)
 
 
+def assert_unique(df: DataFrame, cols: Sequence[str], name: str = "table") -> None:
+    """Enforce a unique key on write, like a unique index - raise on duplicates.
+
+    One partially aggregated shuffle of the key columns; rows with a NULL key part are
+    ignored (an index allows several NULLs).
+    """
+    from pyspark.sql import functions as F
+
+    keyed = df
+    for c in cols:
+        keyed = keyed.where(F.col(c).isNotNull())
+    dups = keyed.groupBy(*cols).count().where(F.col("count") > 1)
+    n = dups.count()
+    if n:
+        raise ValueError(f"{name}: {n} duplicated value(s) of unique key ({', '.join(cols)})")
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -80,3 +80,12 @@ def test_landing_csv_keeps_text(spark, tmp_path):
     assert r.block == " 001XX BLOCK " and r.description == "A, B"
     assert r.ward is None and r.community_area is None  # quoted empty -> NULL as well
     assert r.location == "(41.1, -87.5)"
+
+
+def test_assert_unique_like_a_unique_index(spark):
+    from dimforge.sources.tables import assert_unique
+
+    ok = spark.createDataFrame([(1,), (2,), (None,), (None,)], "id int")
+    assert_unique(ok, ["id"])
+    with pytest.raises(ValueError, match="1 duplicated"):
+        assert_unique(spark.createDataFrame([(1,), (1,), (2,)], "id int"), ["id"], "t")
