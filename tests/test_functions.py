@@ -35,3 +35,16 @@ def test_location_category_order_matters(spark):
     expr = first_match_contains(F.col("s"), K.LOCATION_CATEGORIES, K.LOCATION_CATEGORY_ELSE)
     got = [r[0] for r in df.select(expr).collect()]
     assert got == ["Área de lazer", "Residencial", "Comercial", "Residencial", "Transporte público", "Outros"]
+
+
+def test_cardinality_exact_and_approximate(spark):
+    from conftest import SF001
+    from dimforge.plans.profiling import prof_cardinality
+    from dimforge.sources.fixture import crimes_raw
+
+    raw = crimes_raw(spark, SF001)
+    exact = prof_cardinality(raw).first().asDict()
+    approx = prof_cardinality(raw, approx=True).first().asDict()
+    assert exact["iucr"] == 40 and exact["beats"] == 100
+    for k, v in exact.items():
+        assert abs(approx[k] - v) <= max(1, 0.05 * v), k
