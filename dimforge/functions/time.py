@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The source's US 12-hour wall-clock format.
-US_TIMESTAMP_FORMAT = "MM/dd/yyyy hh:mm:ss a"
+# The source's US 12-hour wall-clock format ('MM/DD/YYYY HH12:MI:SS AM').
+# Single-letter fields accept padded and unpadded numbers, as SQL to_timestamp does.
+US_TIMESTAMP_FORMAT = "M/d/yyyy h:mm:ss a"
 
 
 def parse_us_timestamp(c: Column, lenient: bool = False) -> Column:

@@ -44,6 +44,11 @@ def test_twelve_hour_clock(spark):
     assert out[1].data_ocorrencia == dt.date(2021, 3, 4)
 
 
+def test_unpadded_fields_parse_like_sql(spark):
+    out = _stage(spark, [row(id="1", date="3/4/2021 1:02:03 PM"), row(id="2", date="03/04/2021 01:02:03 PM")])
+    assert out[1].data_hora_ocorrencia == out[2].data_hora_ocorrencia == dt.datetime(2021, 3, 4, 13, 2, 3)
+
+
 def test_flags_are_three_valued(spark):
     out = _stage(spark, [row(id="1", arrest="True"), row(id="2", arrest=" TRUE "), row(id="3", arrest=None),
                          row(id="4", arrest="no")])
