@@ -1,7 +1,6 @@
-"""Registered queries vs their DuckDB oracle on the smallest driver tables.
-
-A representative subset runs by default; DIMFORGE_FULL_ORACLE=1 runs every key
-(scripts/check_oracle.py does the same at sf0.01)."""
+"""Every registered query vs its DuckDB oracle on the smallest driver tables
+(scripts/check_oracle.py does the same at sf0.01). DIMFORGE_QUICK_ORACLE=1 runs a
+representative subset only."""
 
 import os
 import sys
@@ -18,7 +17,7 @@ from check_oracle import TABLES, digest  # noqa: E402
 DEFAULT = ["stg_crimes", "snap_geografia", "snapshot_replay", "dim_crime", "dim_geografia", "fct_ocorrencias",
            "fct_desempenho_mensal", "rpt_p1", "rpt_p1_rollup", "drill_across", "prof_description_drift",
            "dq_report", "scd2_from_events", "landing_csv"]
-KEYS = list(E.queries()) if os.environ.get("DIMFORGE_FULL_ORACLE") else DEFAULT
+KEYS = DEFAULT if os.environ.get("DIMFORGE_QUICK_ORACLE") else list(E.queries())
 
 
 @pytest.fixture(scope="module")
