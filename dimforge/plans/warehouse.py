@@ -14,11 +14,12 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.latest import latest_per_key
 from ..operators.scd2 import snapshot_merge, snapshot_replay
 from ..sources.fixture import crimes_raw
+from ..sources.history import HistoryStore, run_snapshot
+from ..sources.tables import assert_unique
 from ..sources.tables import materialize as _materialize
 from . import dims, facts
 from .staging import stage_crimes
@@ -233,18 +234,14 @@ MODELS = ("stg_crimes", "dim_local", "dim_crime", "dim_geografia", "dim_distrito
 
 def open_run(spark: SparkSession, root: str, as_of: dt.datetime | None = None) -> Warehouse:
     """Reopen a warehouse built by ``build_run`` (latest run unless ``as_of`` is given)."""
-    from ..sources.history import HistoryStore
-
     root = root.rstrip("/")
     crime, geo = HistoryStore(spark, f"{root}/snap_crime"), HistoryStore(spark, f"{root}/snap_geografia")
     as_of = as_of or crime.last_as_of()
     if as_of is None:
         raise ValueError(f"no committed run below {root}")
     label = f"as_of={as_of:%Y%m%d%H%M%S}"
-    runs = crime.runs()
-    run = runs.where(F.col("as_of") == F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")).first()[0]
     preset = {name: spark.read.parquet(f"{root}/{name}/{label}") for name in MODELS}
-    preset.update(snap_crime=crime.at_run(run), snap_geografia=geo.at_run(run))
+    preset.update(snap_crime=crime.at_run(crime.run_at(as_of)), snap_geografia=geo.at_run(geo.run_at(as_of)))
     raw = spark.read.parquet(f"{root}/crimes_raw/{label}")
     return Warehouse(spark, raw, out_root=root, run_label=label, preset=preset)
 
@@ -261,20 +258,19 @@ def build_run(
     as_of: dt.datetime,
     lenient: bool = False,
     enforce_unique: bool = True,
+    threads: int = 4,
 ) -> Warehouse:
     """M15, production path: one incremental run of the whole warehouse.
 
-    landing table + staging (full reload of the raw text) -> one snapshot run appended to each persisted
-    history (``<root>/snap_crime``, ``<root>/snap_geografia``) -> dimensions and facts from
+    landing table + staging (full reload of the raw text) -> one snapshot run appended to
+    each persisted history (``<root>/snap_crime``, ``<root>/snap_geografia``) -> dimensions
+    and facts from
     the latest histories, each written to ``<root>/<model>/as_of=<as_of>``. Re-running the
     same ``as_of`` after a failure is safe: its folders are replaced and the snapshot runs
     are not repeated. ``enforce_unique`` fails the build on a duplicated unique key, as a
-    unique index would. Run the data tests with ``plans.quality.run`` on the result.
+    unique index would. Independent models are built as concurrent jobs (``threads``).
+    Run the data tests with ``plans.quality.run`` on the result.
     """
-    from ..sources.tables import assert_unique
-
-    from ..sources.history import HistoryStore, run_snapshot
-
     label = f"as_of={as_of:%Y%m%d%H%M%S}"
     root = root.rstrip("/")
     raw_path = f"{root}/crimes_raw/{label}"  # the landing table (full reload per run)
@@ -289,9 +285,8 @@ def build_run(
     geo = run_snapshot(HistoryStore(spark, f"{root}/snap_geografia"), geo_state(stg), GEO_KEY, GEO_CHECK, as_of)
     w = Warehouse(spark, raw, lenient=lenient, out_root=root, run_label=label,
                   preset={"stg_crimes": stg, "snap_crime": crime, "snap_geografia": geo})
-    for name in ("dim_data", "dim_hora", "dim_flags", "dim_local", "dim_crime", "dim_geografia", "dim_mes",
-                 "dim_distrito", "dim_tipo_crime", "fct_ocorrencias", "fct_desempenho_mensal"):
-        df = getattr(w, name)
-        if enforce_unique and name in UNIQUE_KEYS:
-            assert_unique(df, UNIQUE_KEYS[name], name)
+    built = w.build(threads, waves=Warehouse.WAVES[2:])
+    if enforce_unique:
+        run_concurrently([lambda n=n: assert_unique(built[n], UNIQUE_KEYS[n], n)
+                          for n in UNIQUE_KEYS if n in built], threads)
     return w

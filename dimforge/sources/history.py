@@ -50,6 +50,15 @@ class HistoryStore:
     def at_run(self, run: int) -> DataFrame:
         return self.spark.read.parquet(self.root).where(F.col(RUN_COL) == run).drop(RUN_COL)
 
+    def run_at(self, as_of: dt.datetime) -> int | None:
+        """The run number committed for ``as_of`` (None if there is none)."""
+        log = self.runs()
+        if log is None:
+            return None
+        row = log.where(F.col("as_of") == F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")) \
+            .agg(F.max(RUN_COL)).first()
+        return row[0] if row else None
+
     def last_as_of(self) -> dt.datetime | None:
         log = self.runs()
         if log is None:
