@@ -104,13 +104,46 @@ def snapshot_replay(
     by key and hold at most one row per run, so no key can overload a task.
     """
     cols = list(check_cols)
-    as_ofs = [a for a, _ in states]
-    n = len(as_ofs)
     u = None
     for i, (_, st) in enumerate(states):
         part = st.select(key, *cols, F.lit(i).alias("_run"))
         u = part if u is None else u.unionByName(part)
+    return replay_indexed(u, [a for a, _ in states], key, cols, valid_from, valid_to)
+
 
+def run_states(
+    df: DataFrame,
+    filters: Sequence[str],
+    key: str,
+    attrs: Sequence[str],
+    order_by: Sequence[str],
+    where: str | None = None,
+) -> DataFrame:
+    """Latest ``attrs`` per ``key`` for every run in ONE scan: each row is tagged with the
+    runs whose filter (SQL text) it passes, exploded map-side, and ``max_by`` is partially
+    aggregated per (run, key). Returns ``_run`` (0-based), ``key``, ``attrs``."""
+    src = df.where(F.col(key).isNotNull())
+    if where:
+        src = src.where(where)
+    tags = F.array(*[F.when(F.expr(f"({f})"), F.lit(i)) for i, f in enumerate(filters)])
+    tagged = src.select(F.explode(F.filter(tags, lambda x: x.isNotNull())).alias("_run"), key, *attrs, *order_by)
+    return tagged.groupBy("_run", key).agg(
+        F.max_by(F.struct(*attrs), F.struct(*order_by)).alias("_v")
+    ).select("_run", key, "_v.*")
+
+
+def replay_indexed(
+    states: DataFrame,
+    as_ofs: Sequence[dt.datetime | str],
+    key: str,
+    check_cols: Sequence[str],
+    valid_from: str = VALID_FROM,
+    valid_to: str = VALID_TO,
+) -> DataFrame:
+    """``snapshot_replay`` over one DataFrame of states tagged with a 0-based ``_run``."""
+    cols = list(check_cols)
+    n = len(as_ofs)
+    u = states
     w = Window.partitionBy(key).orderBy("_run")
     prev_run = F.lag("_run").over(w)
     same_prev = _same([F.col(c) for c in cols], [F.lag(c).over(w) for c in cols])
@@ -126,7 +159,7 @@ def snapshot_replay(
             F.min_by(F.struct(*cols), F.col("_run")).alias("_a"),
         )
     )
-    run_ts = F.array(*[_ts(a) for a in as_ofs])
+    run_ts = F.array(*[_ts(a) for a in list(as_ofs)])
     return versions.select(
         key,
         *[F.col(f"_a.{c}").alias(c) for c in cols],

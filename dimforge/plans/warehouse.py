@@ -16,7 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.latest import latest_per_key
-from ..operators.scd2 import snapshot_merge, snapshot_replay
+from ..operators.scd2 import replay_indexed, run_states, snapshot_merge
 from ..sources.fixture import crimes_raw
 from ..sources.history import HistoryStore, run_snapshot
 from ..sources.tables import assert_unique
@@ -49,6 +49,10 @@ FIXTURE_RUNS = (
 )
 
 
+# Rows a snapshot's source state is taken from, besides a non-NULL key.
+STATE_WHERE = {GEO_KEY: "district IS NOT NULL"}
+
+
 def crime_state(stg: DataFrame, where: str = "true") -> DataFrame:
     """Current wording per code (snap_crime source): latest incident per IUCR."""
     return latest_per_key(stg, CRIME_KEY, CRIME_CHECK, LATEST_ORDER, where=f"({where})")
@@ -56,7 +60,7 @@ def crime_state(stg: DataFrame, where: str = "true") -> DataFrame:
 
 def geo_state(stg: DataFrame, where: str = "true") -> DataFrame:
     """Current district per beat (snap_geografia source): latest incident having one."""
-    return latest_per_key(stg, GEO_KEY, GEO_CHECK, LATEST_ORDER, where=f"district IS NOT NULL AND ({where})")
+    return latest_per_key(stg, GEO_KEY, GEO_CHECK, LATEST_ORDER, where=f"{STATE_WHERE[GEO_KEY]} AND ({where})")
 
 
 def fold_snapshots(stg: DataFrame, runs, key: str, check: list[str], state_fn, filt) -> DataFrame:
@@ -68,8 +72,11 @@ def fold_snapshots(stg: DataFrame, runs, key: str, check: list[str], state_fn, f
 
 
 def replay_snapshots(stg: DataFrame, runs, key: str, check: list[str], state_fn, filt) -> DataFrame:
-    """All runs in one job with ``snapshot_replay``; same rows as ``fold_snapshots``."""
-    return snapshot_replay([(r.as_of, state_fn(stg, filt(r))) for r in runs], key, check)
+    """All runs in one job - one scan of staging for all run states (``run_states``), then
+    the window replay; same rows as ``fold_snapshots``."""
+    where = STATE_WHERE.get(key)
+    states = run_states(stg, [filt(r) for r in runs], key, check, LATEST_ORDER, where=where)
+    return replay_indexed(states, [r.as_of for r in runs], key, check)
 
 
 class Warehouse:

@@ -141,3 +141,19 @@ def test_events_with_nulls_ignored(spark):
                                "beat int, district int, ts timestamp_ntz, id int")
     got = [tuple(r) for r in scd2_from_events(df, "beat", "district", "ts", "id", K.END_OF_TIME).collect()]
     assert got == [(1, 5, T2, K.END_OF_TIME)]
+
+
+def test_run_states_one_pass_equals_per_run_latest(spark):
+    from dimforge.operators.scd2 import run_states
+
+    rnd = random.Random(11)
+    rows = [(rnd.choice([1, 2, 3, None]), rnd.choice(["a", "b", None]), dt.datetime(2010, 1, 1) + dt.timedelta(days=i),
+             i, rnd.choice([10, 20, None])) for i in range(500)]
+    df = spark.createDataFrame(rows, "k int, v string, ts timestamp_ntz, id int, g int")
+    filters = ["ts < timestamp_ntz'2010-06-01 00:00:00'", "g < 15", "true"]  # g NULL -> not in run 1
+    got = _rows(run_states(df, filters, "k", ["v"], ["ts", "id"]))
+    want = []
+    for i, f in enumerate(filters):
+        for r in latest_per_key(df, "k", ["v"], ["ts", "id"], where=f).collect():
+            want.append((i, r.k, r.v))
+    assert got == _sorted(want)
