@@ -204,19 +204,33 @@ def drill_parallel(w: Warehouse) -> DataFrame:
     return rollup_sums(_fact_with(w, geo_cols=keys), keys, COUNTS, sets=[["ward"], ["community_area"]])
 
 
-def drill_through(w: Warehouse, ano=2012, numero_mes=6, district=12, categoria_analitica="Crime violento") -> DataFrame:
-    """The incidents behind one report cell - semi joins with the filtered dimensions."""
-    first = ano * 10000 + numero_mes * 100
-    f = w.fct_ocorrencias.where(F.col("sk_data").between(first + 1, first + 31))
-    d = w.dim_data.where((F.col("ano") == ano) & (F.col("numero_mes") == numero_mes)).select("sk_data")
-    g = w.dim_geografia.where(F.col("district") == district).select("sk_geografia")
-    c = w.dim_crime.where(F.col("categoria_analitica") == categoria_analitica).select("sk_crime")
-    f = f.join(broadcast_if_small(d, known_rows=CALENDAR_ROWS), "sk_data", "left_semi")
-    f = f.join(broadcast_if_small(g), "sk_geografia", "left_semi")
-    f = f.join(broadcast_if_small(c), "sk_crime", "left_semi")
+CELL_KEYS = ["ano", "numero_mes", "district", "categoria_analitica"]
+
+
+def drill_through_cells(w: Warehouse, cells: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """The incidents behind any set of report cells (ano, numero_mes, district,
+    categoria_analitica) - a left semi join of the fact, enriched with the cell keys by
+    broadcast lookups, against the (size-checked) cell set. The cells' date range is
+    pushed into the fact scan as a key range first."""
+    lo, hi = cells.agg(F.min(F.col("ano") * 10000 + F.col("numero_mes") * 100 + 1),
+                       F.max(F.col("ano") * 10000 + F.col("numero_mes") * 100 + 31)).first()  # two scalars
+    f = w.fct_ocorrencias
+    f = f.where(F.col("sk_data").between(lo, hi)) if lo is not None else f.where(F.lit(False))
+    f = _join(f, w.dim_data, "sk_data", ["ano", "numero_mes"], known_rows=CALENDAR_ROWS)
+    f = _join(f, w.dim_geografia, "sk_geografia", ["district"])
+    f = _join(f, w.dim_crime, "sk_crime", ["categoria_analitica"])
+    f = f.join(broadcast_if_small(cells.select(*CELL_KEYS).distinct(), max_rows), CELL_KEYS, "left_semi")
     return f.select("id_ocorrencia", "case_number", "data_hora_ocorrencia", "sk_crime", "sk_geografia", "qtd_prisao")
 
 
+def drill_through(w: Warehouse, ano=2012, numero_mes=6, district=12, categoria_analitica="Crime violento") -> DataFrame:
+    """O11 for one selected cell."""
+    cell = w.spark.range(1).select(F.lit(ano).alias("ano"), F.lit(numero_mes).alias("numero_mes"),
+                                   F.lit(district).alias("district"),
+                                   F.lit(categoria_analitica).alias("categoria_analitica"))
+    return drill_through_cells(w, cell)
+
+
 def daily_series(w: Warehouse) -> DataFrame:
     """Gap-free daily series - every calendar day, zero when nothing happened."""
     c = w.fct_ocorrencias.groupBy("sk_data").agg(*_counts())

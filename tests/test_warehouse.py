@@ -71,3 +71,16 @@ def test_documented_intent_options(spark, w):
     assert closed.where("sk_distrito = '-1'").count() < base.where("sk_distrito = '-1'").count()
     for df in (regrouped, closed):
         assert df.agg(F.sum("qtd_ocorrencias")).first()[0] == base.agg(F.sum("qtd_ocorrencias")).first()[0]
+
+
+def test_drill_through_several_cells(spark, w):
+    from dimforge.plans import reports as R
+
+    a = R.drill_through(w, 2012, 6, 12, "Crime violento")
+    b = R.drill_through(w, 2010, 3, 5, "Crime patrimonial")
+    cells = spark.createDataFrame([(2012, 6, 12, "Crime violento"), (2010, 3, 5, "Crime patrimonial")],
+                                  "ano int, numero_mes int, district int, categoria_analitica string")
+    both = R.drill_through_cells(w, cells)
+    assert a.count() > 0 and b.count() > 0
+    assert both.exceptAll(a.unionByName(b)).count() == 0 and a.unionByName(b).exceptAll(both).count() == 0
+    assert R.drill_through_cells(w, cells.limit(0)).count() == 0
