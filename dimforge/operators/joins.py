@@ -28,6 +28,11 @@ def row_count(df: DataFrame) -> int:
     return _ROW_COUNTS[key]
 
 
+def remember_row_count(df: DataFrame, rows: int) -> None:
+    """Record an exact count known from elsewhere (e.g. observed while writing ``df``)."""
+    _ROW_COUNTS[(df.semanticHash(), tuple(sorted(df.inputFiles())))] = rows
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, known_rows: int | None = None) -> bool:
     """Size check: ``known_rows`` is a proven bound (e.g. 24 hours + unknown, 2x2 flags);
     otherwise the exact row count (cheap on a materialised table, remembered)."""

@@ -21,6 +21,7 @@ from ..sources.fixture import crimes_raw
 from ..sources.history import HistoryStore, run_snapshot
 from ..sources.tables import assert_unique
 from ..sources.tables import materialize as _materialize
+from ..sources.tables import write_observed
 from . import dims, facts
 from .staging import stage_crimes
 
@@ -121,9 +122,7 @@ class Warehouse:
     def _m(self, name: str, df: DataFrame, sort_within=None) -> DataFrame:
         if self.out_root is not None:
             path = f"{self.out_root}/{name}/{self.run_label}"
-            out = df.sortWithinPartitions(*sort_within) if sort_within else df
-            out.write.mode("overwrite").parquet(path)  # a retried run replaces its own folder
-            return self.spark.read.parquet(path)
+            return write_observed(self.spark, df, path, "overwrite", sort_within)  # a retry replaces its folder
         return _materialize(self.spark, df, name, sort_within) if self.materialize else df
 
     def _snapshots(self, key, check, state_fn, filt) -> DataFrame:

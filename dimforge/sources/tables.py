@@ -73,6 +73,24 @@ def materialize(
     file so Parquet row-group min/max statistics prune range filters on those columns.
     """
     path = scratch_path(spark, name)
-    out = df.sortWithinPartitions(*sort_within) if sort_within else df
-    out.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return write_observed(spark, df, path, "errorifexists", sort_within)
+
+
+def write_observed(
+    spark: SparkSession, df: DataFrame, path: str, mode: str = "errorifexists", sort_within: Sequence[str] | None = None
+) -> DataFrame:
+    """Write ``df`` as Parquet and read it back; the exact row count is observed as a metric
+    of the write itself (no extra job) and remembered for later broadcast size checks."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    from ..operators.joins import remember_row_count
+
+    obs = Observation()
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if sort_within:
+        out = out.sortWithinPartitions(*sort_within)
+    out.write.mode(mode).parquet(path)
+    back = spark.read.parquet(path)
+    remember_row_count(back, obs.get["rows"])
+    return back
