@@ -19,6 +19,8 @@ from ..operators.joins import asof_join, lookup_join
 from . import constants as K
 
 CALENDAR_ROWS = (K.CALENDAR_END - K.CALENDAR_START).days + 1
+CALENDAR_MONTHS = ((K.CALENDAR_END.year - K.CALENDAR_START.year) * 12
+                   + K.CALENDAR_END.month - K.CALENDAR_START.month + 1)
 
 
 def fct_ocorrencias(
@@ -90,7 +92,7 @@ def fct_desempenho_mensal(
         F.sum(F.col("qtd_ocorrencia") - F.col("qtd_prisao")).cast("int").alias("qtd_sem_prisao"),
     )
     a = lookup_join(a, dim_mes, [("sk_mes_natural", "sk_mes")], {"sk_mes": "sk_mes"},
-                    unknown={"sk_mes": K.UNKNOWN_INT}, known_rows=CALENDAR_ROWS // 28 + 1)  # months of the calendar
+                    unknown={"sk_mes": K.UNKNOWN_INT}, known_rows=CALENDAR_MONTHS)
     districts = dim_distrito if include_closed else dim_distrito.where(F.col("flag_versao_atual"))
     a = lookup_join(a, districts, [("district_natural", "district")],
                     {"sk_distrito": "sk_distrito"}, unknown={"sk_distrito": K.UNKNOWN_KEY})

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import ratio_pct
 from ..operators.joins import broadcast_if_small, lookup_join
 from . import constants as K
-from .facts import CALENDAR_ROWS
+from .facts import CALENDAR_MONTHS, CALENDAR_ROWS
 from .warehouse import Warehouse
 
 # Defaults that select data in the fixture years (2007-2013); the original's report
@@ -266,7 +266,7 @@ def monthly_series(w: Warehouse) -> DataFrame:
     """Shrunken month dimension with the monthly fact's sums, zero-filled."""
     c = w.fct_desempenho_mensal.groupBy("sk_mes").agg(
         F.sum("qtd_ocorrencias").alias("ocorrencias"), F.sum("qtd_prisoes").alias("prisoes"))
-    c = broadcast_if_small(c, known_rows=CALENDAR_ROWS // 28 + 1)  # months of the calendar + -1
+    c = broadcast_if_small(c, known_rows=CALENDAR_MONTHS + 1)  # months of the calendar + -1
     return w.dim_mes.select("sk_mes", "descricao_mes", "flag_ano_parcial").join(c, "sk_mes", "left").select(
         "sk_mes", "descricao_mes", "flag_ano_parcial",
         F.coalesce("ocorrencias", F.lit(0).cast("bigint")).alias("ocorrencias"),

@@ -15,6 +15,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.joins import remember_row_count
 from ..operators.latest import latest_per_key
 from ..operators.scd2 import replay_indexed, run_states, snapshot_merge
 from ..sources.fixture import crimes_raw
@@ -80,6 +81,11 @@ def replay_snapshots(stg: DataFrame, runs, key: str, check: list[str], state_fn,
     return replay_indexed(states, [r.as_of for r in runs], key, check)
 
 
+def _known(df: DataFrame, rows: int) -> DataFrame:
+    remember_row_count(df, rows)
+    return df
+
+
 class Warehouse:
     """Lazily built models of one warehouse instance."""
 
@@ -141,17 +147,19 @@ class Warehouse:
     def snap_geografia(self) -> DataFrame:
         return self._m("snap_geografia", self._snapshots(GEO_KEY, GEO_CHECK, geo_state, lambda r: r.geo_filter))
 
+    # Generated dimensions: fixed size, nothing to cut; their exact sizes are recorded for
+    # the broadcast checks instead of being counted.
     @cached_property
     def dim_data(self) -> DataFrame:
-        return dims.dim_data(self.spark)  # generated, fixed size: nothing to cut or count
+        return _known(dims.dim_data(self.spark), facts.CALENDAR_ROWS)
 
     @cached_property
     def dim_hora(self) -> DataFrame:
-        return dims.dim_hora(self.spark)  # generated, fixed size: nothing to cut or count
+        return _known(dims.dim_hora(self.spark), 25)
 
     @cached_property
     def dim_flags(self) -> DataFrame:
-        return dims.dim_flags(self.spark)  # generated, fixed size: nothing to cut or count
+        return _known(dims.dim_flags(self.spark), 4)
 
     @cached_property
     def dim_local(self) -> DataFrame:
@@ -167,7 +175,7 @@ class Warehouse:
 
     @cached_property
     def dim_mes(self) -> DataFrame:
-        return dims.dim_mes(self.dim_data)  # generated, fixed size: nothing to cut or count
+        return _known(dims.dim_mes(self.dim_data), facts.CALENDAR_MONTHS)
 
     @cached_property
     def dim_distrito(self) -> DataFrame:
