@@ -42,7 +42,10 @@ def crimes_raw_from_tpch(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Build ``crimes_raw``; one row per distinct (l_orderkey, l_linenumber).
 
     Plan: partial+final aggregation of lineitem on (orderkey, linenumber) - hot keys
-    collapse map-side - then an equi-join with orders on the order key.
+    collapse map-side - then an equi-join with orders on the order key. The rules only ask
+    whether the greatest return flag / line status of a line is 'R' / 'O'; that holds
+    exactly when some value equals it and none is greater, so two boolean maxima replace
+    the string maxima and the aggregation stays hash-based (fixed-width buffers).
     """
     li = (
         lineitem.groupBy("l_orderkey", "l_linenumber")
@@ -50,8 +53,10 @@ def crimes_raw_from_tpch(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
             F.min("l_partkey").alias("pk"),
             F.min("l_suppkey").alias("sk"),
             F.max("l_quantity").alias("qty"),
-            F.max("l_returnflag").alias("rf"),
-            F.max("l_linestatus").alias("ls"),
+            F.max(F.col("l_returnflag") == "R").alias("rf_eq"),
+            F.max(F.col("l_returnflag") > "R").alias("rf_gt"),
+            F.max(F.col("l_linestatus") == "O").alias("ls_eq"),
+            F.max(F.col("l_linestatus") > "O").alias("ls_gt"),
         )
         .withColumn("rid", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
     )
@@ -112,8 +117,8 @@ def crimes_raw_from_tpch(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         primary_type.alias("primary_type"),
         description.alias("description"),
         location.alias("location_description"),
-        F.when(F.col("rf") == "R", "true").otherwise("false").alias("arrest"),
-        F.when(F.col("ls") == "O", "True").otherwise("false").alias("domestic"),
+        F.when(F.col("rf_eq") & ~F.col("rf_gt"), "true").otherwise("false").alias("arrest"),
+        F.when(F.col("ls_eq") & ~F.col("ls_gt"), "True").otherwise("false").alias("domestic"),
         F.when(F.col("qty") == 50, null_s).otherwise(_pad(dist * 100 + sk % 4 + 11, 4)).alias("beat"),
         district.alias("district"),
         F.when(oy == 1995, null_s).otherwise(_s(pk % 50 + 1)).alias("ward"),
