@@ -17,6 +17,18 @@ from ..functions.numeric import ratio_pct
 DIGITS = r"^\d+$"
 
 
+def _year_range_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Per group: first / last year (text order, as in the source) and row count.
+
+    Counted per (group, year) first - a hash aggregation with fixed-width buffers over the
+    big input - so the text min/max (sort-based aggregation) only sees the few
+    (group, year) rows that remain.
+    """
+    per_year = df.groupBy(*keys, "year").agg(F.count(F.lit(1)).alias("_n"))
+    return per_year.groupBy(*keys).agg(
+        F.min("year").alias("primeiro_ano"), F.max("year").alias("ultimo_ano"), F.sum("_n").alias("qtd"))
+
+
 def prof_total(raw: DataFrame) -> DataFrame:
     """Total rows."""
     return raw.agg(F.count(F.lit(1)).alias("total_registros"))
@@ -97,9 +109,7 @@ def prof_description_drift(raw: DataFrame, top: int = 30) -> DataFrame:
     drifting = raw.groupBy("iucr").agg(F.countDistinct("description").alias("n")).where(F.col("n") > 1).select("iucr")
     keys = ["iucr", "primary_type", "description", "fbi_code"]
     return (
-        raw.join(drifting, "iucr", "left_semi")
-        .groupBy(*keys)
-        .agg(F.min("year").alias("primeiro_ano"), F.max("year").alias("ultimo_ano"), F.count(F.lit(1)).alias("qtd"))
+        _year_range_counts(raw.join(drifting, "iucr", "left_semi"), keys)
         .orderBy(F.col("iucr").asc_nulls_last(), F.col("primeiro_ano").asc_nulls_last(),
                  *[F.col(c).asc_nulls_last() for c in keys[1:]])
         .limit(top)
@@ -118,11 +128,9 @@ def prof_beat_inconsistent(raw: DataFrame) -> DataFrame:
 
 
 def _beat_pairs(raw: DataFrame) -> DataFrame:
-    return (
-        _beat_contradictions(raw)
-        .groupBy("district", F.substring(F.lpad("beat", 4, "0"), 1, 2).alias("prefixo_beat"))
-        .agg(F.min("year").alias("primeiro_ano"), F.max("year").alias("ultimo_ano"), F.count(F.lit(1)).alias("qtd"))
-    )
+    pairs = _beat_contradictions(raw).select(
+        "district", F.substring(F.lpad("beat", 4, "0"), 1, 2).alias("prefixo_beat"), "year")
+    return _year_range_counts(pairs, ["district", "prefixo_beat"])
 
 
 def prof_beat_pairs(raw: DataFrame, top: int = 20) -> DataFrame:
