@@ -84,9 +84,11 @@ def snapshot_merge(
         s_present & (~h_present | ~same),
         F.struct(*[F.col(f"_s_{c}").alias(c) for c in cols], t.alias(valid_from), _null_ts().alias(valid_to)),
     )
-    merged = j.select(
-        key, F.explode(F.filter(F.array(old_row, new_row), lambda r: r.isNotNull())).alias("_r")
-    ).select(key, *[F.col(f"_r.{c}").alias(c) for c in cols], f"_r.{valid_from}", f"_r.{valid_to}")
+    merged = (
+        j.select(key, F.explode(F.array(old_row, new_row)).alias("_r"))
+        .where(F.col("_r").isNotNull())
+        .select(key, *[F.col(f"_r.{c}").alias(c) for c in cols], f"_r.{valid_from}", f"_r.{valid_to}")
+    )
     return merged.unionByName(closed)
 
 
@@ -126,7 +128,7 @@ def run_states(
     if where:
         src = src.where(where)
     tags = F.array(*[F.when(F.expr(f"({f})"), F.lit(i)) for i, f in enumerate(filters)])
-    tagged = src.select(F.explode(F.filter(tags, lambda x: x.isNotNull())).alias("_run"), key, *attrs, *order_by)
+    tagged = src.select(F.explode(tags).alias("_run"), key, *attrs, *order_by).where(F.col("_run").isNotNull())
     return tagged.groupBy("_run", key).agg(
         F.max_by(F.struct(*attrs), F.struct(*order_by)).alias("_v")
     ).select("_run", key, "_v.*")
