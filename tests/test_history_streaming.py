@@ -120,5 +120,8 @@ def test_command_line_round_trip(spark, tmp_path, capsys):
     assert main(["report", "--root", root, "p1", "--year-from", "2009", "--year-to", "2013", "--district", "1",
                  "--rollup", "--out", str(tmp_path / "p1")], spark) == 0
     assert spark.read.parquet(str(tmp_path / "p1")).where("nivel = 7").count() == 1  # grand total
+    assert main(["report", "--root", root, "pick-district", "--out", str(tmp_path / "pick")], spark) == 0
+    assert spark.read.parquet(str(tmp_path / "pick")).where("district = -1").count() == 1
+    assert main(["profile", "--raw", landing], spark) == 0
     out = capsys.readouterr().out
-    assert "built run" in out
+    assert "built run" in out and "prof_beat_2012_share" in out and "total_registros" in out
