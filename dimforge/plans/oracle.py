@@ -445,51 +445,68 @@ DISTRICT_THEN_NOW = (f"SELECT g.district, g.district_atual, {_sum('f.qtd_ocorren
 
 
 # --- profiling (raw text) ----------------------------------------------------------------
+# Formulated independently of the Spark jobs: explicit DISTINCT sub-queries instead of
+# COUNT(DISTINCT), CASE sums instead of filtered counts, joins instead of IN.
 
-_CONTRA = ("FROM crimes_raw WHERE regexp_full_match(district, '\\d+') AND regexp_full_match(beat, '\\d+') "
-           "AND TRY_CAST(district AS INTEGER) <> TRY_CAST(beat AS INTEGER) // 100")
-_PAIRS = ("SELECT district, substring(lpad(beat, 4, '0'), 1, 2) AS prefixo_beat, min(year) AS primeiro_ano, "
-          f"max(year) AS ultimo_ano, count(*) AS qtd {_CONTRA} GROUP BY district, prefixo_beat")
+def _ndistinct(col: str) -> str:
+    return f"(SELECT count(*) FROM (SELECT DISTINCT {col} FROM crimes_raw WHERE {col} IS NOT NULL))"
+
+
+def _nulls(col: str) -> str:
+    return f"CAST(coalesce(sum(CASE WHEN {col} IS NULL THEN 1 ELSE 0 END), 0) AS BIGINT)"
+
+
+_DIGITS = "regexp_full_match({c}, '[0-9]+')"
+_CONTRA_ROWS = (f"SELECT district, beat, year FROM crimes_raw WHERE {_DIGITS.format(c='district')} "
+                f"AND {_DIGITS.format(c='beat')} AND TRY_CAST(district AS BIGINT) <> "
+                "floor(TRY_CAST(beat AS BIGINT) / 100)")
+_PAIRS = ("SELECT district, left(lpad(beat, 4, '0'), 2) AS prefixo_beat, min(year) AS primeiro_ano, "
+          f"max(year) AS ultimo_ano, CAST(sum(1) AS BIGINT) AS qtd FROM ({_CONTRA_ROWS}) GROUP BY 1, 2")
+_CARD = {"tipos": "primary_type", "iucr": "iucr", "descricoes": "description", "fbi": "fbi_code",
+         "locais": "location_description", "beats": "beat", "distritos": "district", "wards": "ward",
+         "areas": "community_area"}
+_PER_CODE = ("SELECT iucr, attr, count(*) AS n FROM (SELECT DISTINCT iucr, 'p' AS attr, primary_type AS v FROM crimes_raw "
+             "UNION ALL SELECT DISTINCT iucr, 'd', description FROM crimes_raw UNION ALL "
+             "SELECT DISTINCT iucr, 'f', fbi_code FROM crimes_raw) WHERE v IS NOT NULL GROUP BY iucr, attr")
 
 PROFILING = {
     "prof_total": "SELECT count(*) AS total_registros FROM crimes_raw",
-    "prof_by_year": "SELECT year, count(*) AS qtd FROM crimes_raw GROUP BY year",
-    "prof_cardinality": (
-        "SELECT count(DISTINCT primary_type) AS tipos, count(DISTINCT iucr) AS iucr, count(DISTINCT description) AS descricoes, "
-        "count(DISTINCT fbi_code) AS fbi, count(DISTINCT location_description) AS locais, count(DISTINCT beat) AS beats, "
-        "count(DISTINCT district) AS distritos, count(DISTINCT ward) AS wards, count(DISTINCT community_area) AS areas "
-        "FROM crimes_raw"),
+    "prof_by_year": "SELECT year, CAST(sum(1) AS BIGINT) AS qtd FROM crimes_raw GROUP BY ALL",
+    "prof_cardinality": "SELECT " + ", ".join(f"{_ndistinct(c)} AS {a}" for a, c in _CARD.items()),
     "prof_nulls": (
-        "SELECT count(*) - count(DISTINCT id) AS ids_duplicados, count(*) FILTER (WHERE latitude IS NULL) AS sem_coord, "
-        "count(*) FILTER (WHERE district IS NULL) AS sem_distrito, count(*) FILTER (WHERE ward IS NULL) AS sem_ward, "
-        "count(*) FILTER (WHERE community_area IS NULL) AS sem_area, "
-        "count(*) FILTER (WHERE location_description IS NULL) AS sem_local_desc FROM crimes_raw"),
+        f"SELECT (SELECT count(*) FROM crimes_raw) - {_ndistinct('id')} AS ids_duplicados, "
+        + ", ".join(f"{_nulls(c)} AS {a}" for a, c in [("sem_coord", "latitude"), ("sem_distrito", "district"),
+                                                       ("sem_ward", "ward"), ("sem_area", "community_area"),
+                                                       ("sem_local_desc", "location_description")])
+        + " FROM crimes_raw"),
     "prof_ward_coverage": (
-        "SELECT year, count(*) FILTER (WHERE ward IS NULL) AS sem_ward, count(*) AS total FROM crimes_raw "
-        "GROUP BY year HAVING count(*) FILTER (WHERE ward IS NULL) > 0"),
+        f"SELECT year, sem_ward, total FROM (SELECT year, {_nulls('ward')} AS sem_ward, "
+        "CAST(sum(1) AS BIGINT) AS total FROM crimes_raw GROUP BY year) y WHERE sem_ward > 0"),
     "prof_iucr_combos": (
-        "SELECT count(*) AS iucr_com_mais_de_uma_combinacao FROM (SELECT iucr FROM crimes_raw GROUP BY iucr "
-        "HAVING count(DISTINCT primary_type || '|' || description || '|' || fbi_code) > 1) t"),
+        "SELECT count(*) AS iucr_com_mais_de_uma_combinacao FROM (SELECT iucr FROM (SELECT DISTINCT iucr, "
+        "primary_type || '|' || description || '|' || fbi_code AS combo FROM crimes_raw) WHERE combo IS NOT NULL "
+        "GROUP BY iucr HAVING count(*) > 1)"),
     "prof_iucr_varies": (
-        "SELECT count(*) FILTER (WHERE n_primary > 1) AS iucr_varia_primary_type, "
-        "count(*) FILTER (WHERE n_desc > 1) AS iucr_varia_description, "
-        "count(*) FILTER (WHERE n_fbi > 1) AS iucr_varia_fbi_code FROM (SELECT iucr, count(DISTINCT primary_type) AS n_primary, "
-        "count(DISTINCT description) AS n_desc, count(DISTINCT fbi_code) AS n_fbi FROM crimes_raw GROUP BY iucr) t"),
+        "SELECT "
+        "CAST(sum(CASE WHEN attr = 'p' AND n > 1 THEN 1 ELSE 0 END) AS BIGINT) AS iucr_varia_primary_type, "
+        "CAST(sum(CASE WHEN attr = 'd' AND n > 1 THEN 1 ELSE 0 END) AS BIGINT) AS iucr_varia_description, "
+        "CAST(sum(CASE WHEN attr = 'f' AND n > 1 THEN 1 ELSE 0 END) AS BIGINT) AS iucr_varia_fbi_code "
+        f"FROM ({_PER_CODE}) c"),
     "prof_description_drift": (
-        "SELECT iucr, primary_type, description, fbi_code, min(year) AS primeiro_ano, max(year) AS ultimo_ano, count(*) AS qtd "
-        "FROM crimes_raw WHERE iucr IN (SELECT iucr FROM crimes_raw GROUP BY iucr HAVING count(DISTINCT description) > 1) "
-        "GROUP BY iucr, primary_type, description, fbi_code "
-        "ORDER BY iucr NULLS LAST, primeiro_ano NULLS LAST, primary_type NULLS LAST, description NULLS LAST, "
-        "fbi_code NULLS LAST LIMIT 30"),
-    "prof_beat_inconsistent": f"SELECT count(*) AS beats_inconsistentes {_CONTRA}",
+        "SELECT * FROM (SELECT r.iucr, r.primary_type, r.description, r.fbi_code, min(r.year) AS primeiro_ano, "
+        "max(r.year) AS ultimo_ano, CAST(sum(1) AS BIGINT) AS qtd FROM crimes_raw r JOIN "
+        "(SELECT iucr FROM (SELECT DISTINCT iucr, description FROM crimes_raw WHERE description IS NOT NULL) "
+        "GROUP BY iucr HAVING count(*) > 1) d ON r.iucr = d.iucr GROUP BY 1, 2, 3, 4) g ORDER BY iucr NULLS LAST, primeiro_ano NULLS LAST, primary_type NULLS LAST, "
+        "description NULLS LAST, fbi_code NULLS LAST LIMIT 30"),
+    "prof_beat_inconsistent": f"SELECT count(*) AS beats_inconsistentes FROM ({_CONTRA_ROWS})",
     "prof_beat_pairs": f"SELECT * FROM ({_PAIRS}) ORDER BY qtd DESC, district, prefixo_beat LIMIT 20",
     "prof_coordinates": (
         "SELECT sem_coord, total, " + ratio_sql("sem_coord", "total") + " AS pct_sem_coord FROM "
-        "(SELECT count(*) FILTER (WHERE latitude IS NULL) AS sem_coord, count(*) AS total FROM crimes_raw)"),
+        f"(SELECT {_nulls('latitude')} AS sem_coord, count(*) AS total FROM crimes_raw)"),
     "prof_beat_2012_share": (
         "SELECT qtd_desvios, qtd_fim_ano, " + ratio_sql("qtd_fim_ano", "qtd_desvios") + " AS pct_fim_ano FROM "
         "(SELECT CAST(coalesce(sum(qtd), 0) AS BIGINT) AS qtd_desvios, "
-        "CAST(coalesce(sum(CASE WHEN ultimo_ano = '2012' THEN qtd ELSE 0 END), 0) AS BIGINT) AS qtd_fim_ano "
+        "CAST(coalesce(sum(qtd) FILTER (WHERE ultimo_ano = '2012'), 0) AS BIGINT) AS qtd_fim_ano "
         f"FROM ({_PAIRS}))"),
 }
 
