@@ -257,19 +257,19 @@ UNION ALL SELECT '-1', {ND}, {NI}, {NI}, false
 
 FCT = """
 SELECT o.id_ocorrencia AS sk_ocorrencia, o.id_ocorrencia, o.case_number,
-  coalesce(d.sk_data, -1) AS sk_data, coalesce(h.sk_hora, -1) AS sk_hora,
-  coalesce(c.sk_crime, '-1') AS sk_crime, coalesce(g.sk_geografia, '-1') AS sk_geografia,
-  coalesce(l.sk_local, '-1') AS sk_local, f.sk_flags,
+  coalesce((SELECT d.sk_data FROM dim_data d WHERE d.data_completa = o.data_ocorrencia), -1) AS sk_data,
+  coalesce((SELECT h.sk_hora FROM dim_hora h WHERE h.sk_hora = o.hora_ocorrencia), -1) AS sk_hora,
+  coalesce((SELECT c.sk_crime FROM dim_crime c WHERE c.iucr = o.iucr
+            AND c.valido_de <= o.data_hora_ocorrencia AND o.data_hora_ocorrencia < c.valido_ate), '-1') AS sk_crime,
+  coalesce((SELECT g.sk_geografia FROM dim_geografia g WHERE g.beat = o.beat
+            AND g.valido_de <= o.data_hora_ocorrencia AND o.data_hora_ocorrencia < g.valido_ate), '-1') AS sk_geografia,
+  coalesce((SELECT l.sk_local FROM dim_local l WHERE l.descricao_local = o.location_description), '-1') AS sk_local,
+  (SELECT x.sk_flags FROM dim_flags x WHERE x.flag_prisao = o.flag_prisao AND x.flag_domestico = o.flag_domestico)
+    AS sk_flags,
   o.latitude, o.longitude, o.data_hora_ocorrencia,
-  1 AS qtd_ocorrencia, CASE WHEN o.flag_prisao THEN 1 ELSE 0 END AS qtd_prisao,
-  CASE WHEN o.flag_domestico THEN 1 ELSE 0 END AS qtd_domestico
+  1 AS qtd_ocorrencia, CAST(coalesce(o.flag_prisao, false) AS INTEGER) AS qtd_prisao,
+  CAST(coalesce(o.flag_domestico, false) AS INTEGER) AS qtd_domestico
 FROM stg_crimes o
-LEFT JOIN dim_data d ON o.data_ocorrencia = d.data_completa
-LEFT JOIN dim_hora h ON o.hora_ocorrencia = h.sk_hora
-LEFT JOIN dim_local l ON o.location_description = l.descricao_local
-LEFT JOIN dim_flags f ON o.flag_prisao = f.flag_prisao AND o.flag_domestico = f.flag_domestico
-LEFT JOIN dim_crime c ON o.iucr = c.iucr AND o.data_hora_ocorrencia >= c.valido_de AND o.data_hora_ocorrencia < c.valido_ate
-LEFT JOIN dim_geografia g ON o.beat = g.beat AND o.data_hora_ocorrencia >= g.valido_de AND o.data_hora_ocorrencia < g.valido_ate
 """
 
 FCT_P2 = """
@@ -277,19 +277,17 @@ SELECT coalesce(m.sk_mes, -1) AS sk_mes, coalesce(dt.sk_distrito, '-1') AS sk_di
   coalesce(tc.sk_tipo_crime, '-1') AS sk_tipo_crime,
   a.qtd_ocorrencias, a.qtd_prisoes, a.qtd_domesticos, a.qtd_sem_prisao
 FROM (
-  SELECT d.ano * 100 + d.numero_mes AS sk_mes_natural, g.district AS district_natural, c.primary_type_atual AS tipo_crime_natural,
-    CAST(sum(o.qtd_ocorrencia) AS INTEGER) AS qtd_ocorrencias, CAST(sum(o.qtd_prisao) AS INTEGER) AS qtd_prisoes,
-    CAST(sum(o.qtd_domestico) AS INTEGER) AS qtd_domesticos,
-    CAST(sum(o.qtd_ocorrencia - o.qtd_prisao) AS INTEGER) AS qtd_sem_prisao
-  FROM fct_ocorrencias o
-  JOIN dim_data d ON o.sk_data = d.sk_data
-  JOIN dim_geografia g ON o.sk_geografia = g.sk_geografia
-  JOIN dim_crime c ON o.sk_crime = c.sk_crime
-  WHERE d.sk_data <> -1
-  GROUP BY 1, 2, 3) a
-LEFT JOIN dim_mes m ON a.sk_mes_natural = m.sk_mes
-LEFT JOIN dim_distrito dt ON a.district_natural = dt.district AND dt.flag_versao_atual = true
-LEFT JOIN dim_tipo_crime tc ON a.tipo_crime_natural = tc.primary_type
+  SELECT k_mes, k_dist, k_tipo, CAST(sum(n) AS INTEGER) AS qtd_ocorrencias, CAST(sum(p) AS INTEGER) AS qtd_prisoes,
+    CAST(sum(dm) AS INTEGER) AS qtd_domesticos, CAST(sum(n) - sum(p) AS INTEGER) AS qtd_sem_prisao
+  FROM (SELECT cal.ano * 100 + cal.numero_mes AS k_mes, geo.district AS k_dist, cr.primary_type_atual AS k_tipo,
+          f.qtd_ocorrencia AS n, f.qtd_prisao AS p, f.qtd_domestico AS dm
+        FROM fct_ocorrencias f, dim_data cal, dim_geografia geo, dim_crime cr
+        WHERE f.sk_data = cal.sk_data AND f.sk_geografia = geo.sk_geografia AND f.sk_crime = cr.sk_crime
+          AND cal.sk_data <> -1)
+  GROUP BY k_mes, k_dist, k_tipo) a
+LEFT JOIN dim_mes m ON m.sk_mes = a.k_mes
+LEFT JOIN (SELECT * FROM dim_distrito WHERE flag_versao_atual) dt ON dt.district = a.k_dist
+LEFT JOIN dim_tipo_crime tc ON tc.primary_type = a.k_tipo
 """
 
 CRIME_ATTRS = ["primary_type", "description", "fbi_code"]
@@ -327,48 +325,54 @@ def _sum(c: str) -> str:
     return f"CAST(sum({c}) AS BIGINT)"
 
 
-P1_FROM = ("FROM fct_ocorrencias f JOIN dim_data d ON f.sk_data = d.sk_data "
-           "JOIN dim_geografia g ON f.sk_geografia = g.sk_geografia JOIN dim_crime c ON f.sk_crime = c.sk_crime "
-           "WHERE d.ano BETWEEN {year_from} AND {year_to} AND g.district = {district}")
-P2_FROM = ("FROM fct_desempenho_mensal f JOIN dim_mes m ON f.sk_mes = m.sk_mes "
-           "JOIN dim_distrito dt ON f.sk_distrito = dt.sk_distrito JOIN dim_tipo_crime tc ON f.sk_tipo_crime = tc.sk_tipo_crime "
-           "WHERE m.ano BETWEEN {year_from} AND {year_to} AND tc.primary_type = '{crime_type}'")
-RATE = ratio_sql("sum(f.qtd_prisao)", "sum(f.qtd_ocorrencia)")
+RATE = ratio_sql("sum(a)", "sum(n)")
+
+
+def _p1_rows(year_from: int, year_to: int, district: int) -> str:
+    return ("SELECT cal.ano, cal.numero_mes, cal.nome_mes, geo.nome_district, cr.categoria_analitica, "
+            "cr.primary_type_atual AS tipo_crime, f.qtd_ocorrencia AS n, f.qtd_prisao AS a FROM fct_ocorrencias f, "
+            f"(SELECT * FROM dim_data WHERE ano >= {year_from} AND ano <= {year_to}) cal, "
+            f"(SELECT * FROM dim_geografia WHERE district = {district}) geo, dim_crime cr "
+            "WHERE f.sk_data = cal.sk_data AND f.sk_geografia = geo.sk_geografia AND f.sk_crime = cr.sk_crime")
 
 
 def rpt_p1(year_from=2009, year_to=2013, district=12) -> str:
-    return (f"SELECT d.ano, d.numero_mes, d.nome_mes, g.nome_district, c.categoria_analitica, "
-            f"c.primary_type_atual AS tipo_crime, {_sum('f.qtd_ocorrencia')} AS ocorrencias, "
-            f"{_sum('f.qtd_prisao')} AS prisoes, {RATE} AS taxa_prisao_pct "
-            + P1_FROM.format(year_from=year_from, year_to=year_to, district=district)
-            + " GROUP BY d.ano, d.numero_mes, d.nome_mes, g.nome_district, c.categoria_analitica, c.primary_type_atual")
+    return (f"SELECT ano, numero_mes, nome_mes, nome_district, categoria_analitica, tipo_crime, "
+            f"CAST(sum(n) AS BIGINT) AS ocorrencias, CAST(sum(a) AS BIGINT) AS prisoes, {RATE} AS taxa_prisao_pct "
+            f"FROM ({_p1_rows(year_from, year_to, district)}) x GROUP BY 1, 2, 3, 4, 5, 6")
 
 
 def rpt_p1_rollup(year_from=2009, year_to=2013, district=12) -> str:
-    keys = "d.ano, g.nome_district, c.categoria_analitica"
-    return (f"SELECT {keys}, CAST(grouping({keys}) AS INTEGER) AS nivel, {_sum('f.qtd_ocorrencia')} AS ocorrencias, "
-            f"{_sum('f.qtd_prisao')} AS prisoes, {RATE} AS taxa_prisao_pct "
-            + P1_FROM.format(year_from=year_from, year_to=year_to, district=district)
-            + f" GROUP BY ROLLUP ({keys}) HAVING count(*) > 0")
+    keys = "ano, nome_district, categoria_analitica"
+    return (f"SELECT {keys}, CAST(grouping({keys}) AS INTEGER) AS nivel, CAST(sum(n) AS BIGINT) AS ocorrencias, "
+            f"CAST(sum(a) AS BIGINT) AS prisoes, {RATE} AS taxa_prisao_pct "
+            f"FROM ({_p1_rows(year_from, year_to, district)}) x GROUP BY ROLLUP ({keys}) HAVING count(*) > 0")
+
+
+def _p2_rows(year_from: int, year_to: int, crime_type: str) -> str:
+    return ("SELECT mo.ano, mo.numero_mes, mo.nome_mes, di.nome_district, ty.nome_tipo_crime, ty.categoria_analitica, "
+            "f.qtd_ocorrencias AS n, f.qtd_prisoes AS a, f.qtd_domesticos AS dm FROM fct_desempenho_mensal f, "
+            f"(SELECT * FROM dim_mes WHERE ano >= {year_from} AND ano <= {year_to}) mo, dim_distrito di, "
+            f"(SELECT * FROM dim_tipo_crime WHERE primary_type = {_q(crime_type)}) ty "
+            "WHERE f.sk_mes = mo.sk_mes AND f.sk_distrito = di.sk_distrito AND f.sk_tipo_crime = ty.sk_tipo_crime")
 
 
 def rpt_p2(year_from=2009, year_to=2013, crime_type="THEFT") -> str:
-    keys = "m.ano, m.numero_mes, m.nome_mes, dt.nome_district, tc.nome_tipo_crime, tc.categoria_analitica"
-    return (f"SELECT {keys}, {_sum('f.qtd_ocorrencias')} AS ocorrencias, {_sum('f.qtd_prisoes')} AS prisoes, "
-            f"{_sum('f.qtd_domesticos')} AS domesticos "
-            + P2_FROM.format(year_from=year_from, year_to=year_to, crime_type=crime_type) + f" GROUP BY {keys}")
+    return ("SELECT ano, numero_mes, nome_mes, nome_district, nome_tipo_crime, categoria_analitica, "
+            "CAST(sum(n) AS BIGINT) AS ocorrencias, CAST(sum(a) AS BIGINT) AS prisoes, "
+            f"CAST(sum(dm) AS BIGINT) AS domesticos FROM ({_p2_rows(year_from, year_to, crime_type)}) x "
+            "GROUP BY 1, 2, 3, 4, 5, 6")
 
 
 def rpt_p2_rollup(year_from=2009, year_to=2013, crime_type="THEFT") -> str:
-    keys = "m.ano, dt.nome_district"
-    return (f"SELECT {keys}, CAST(grouping({keys}) AS INTEGER) AS nivel, {_sum('f.qtd_ocorrencias')} AS ocorrencias, "
-            f"{_sum('f.qtd_prisoes')} AS prisoes, {_sum('f.qtd_domesticos')} AS domesticos "
-            + P2_FROM.format(year_from=year_from, year_to=year_to, crime_type=crime_type)
-            + f" GROUP BY ROLLUP ({keys}) HAVING count(*) > 0")
+    keys = "ano, nome_district"
+    return (f"SELECT {keys}, CAST(grouping({keys}) AS INTEGER) AS nivel, CAST(sum(n) AS BIGINT) AS ocorrencias, "
+            "CAST(sum(a) AS BIGINT) AS prisoes, CAST(sum(dm) AS BIGINT) AS domesticos "
+            f"FROM ({_p2_rows(year_from, year_to, crime_type)}) x GROUP BY ROLLUP ({keys}) HAVING count(*) > 0")
 
 
-RPT_PICK_DISTRICT = "SELECT district, nome_district FROM dim_distrito WHERE flag_versao_atual = true ORDER BY district"
-RPT_PICK_TYPE = "SELECT primary_type, nome_tipo_crime FROM dim_tipo_crime WHERE sk_tipo_crime <> '-1' ORDER BY nome_tipo_crime"
+RPT_PICK_DISTRICT = "SELECT district, nome_district FROM dim_distrito WHERE flag_versao_atual"
+RPT_PICK_TYPE = "SELECT primary_type, nome_tipo_crime FROM dim_tipo_crime WHERE sk_tipo_crime != '-1'"
 
 RATIO_MEASURE = (
     "SELECT m.ano, dt.nome_district, " + _sum("f.qtd_prisoes") + " AS qtd_prisoes, " + _sum("f.qtd_ocorrencias")
@@ -431,7 +435,7 @@ MONTHLY_SERIES = _zero_filled("dim_mes", "sk_mes", "x.sk_mes, x.descricao_mes, x
                               "fct_desempenho_mensal", {"ocorrencias": "qtd_ocorrencias", "prisoes": "qtd_prisoes"})
 
 YEARLY_TREND = (f"SELECT d.ano, {_sum('f.qtd_prisao')} AS qtd_prisao, {_sum('f.qtd_ocorrencia')} AS qtd_ocorrencia, "
-                f"{RATE} AS taxa_prisao_pct FROM fct_ocorrencias f JOIN dim_data d ON f.sk_data = d.sk_data "
+                f"{ratio_sql('sum(f.qtd_prisao)', 'sum(f.qtd_ocorrencia)')} AS taxa_prisao_pct FROM fct_ocorrencias f JOIN dim_data d ON f.sk_data = d.sk_data "
                 "WHERE NOT d.flag_ano_parcial GROUP BY d.ano")
 WARD_TREND = (f"SELECT d.ano, g.ward, {_COUNTS} FROM fct_ocorrencias f JOIN dim_data d ON f.sk_data = d.sk_data "
               f"JOIN dim_geografia g ON f.sk_geografia = g.sk_geografia WHERE d.ano >= {K.WARD_COVERAGE_FROM} "
