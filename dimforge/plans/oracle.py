@@ -186,7 +186,7 @@ DIM_LOCAL = f"""
 SELECT {sk('location_description')} AS sk_local, location_description AS descricao_local,
   {_case_like('location_description', K.LOCATION_CATEGORIES, K.LOCATION_CATEGORY_ELSE)} AS categoria_local,
   {_like_any('location_description', K.PUBLIC_PLACE_WORDS)} AS flag_local_publico
-FROM (SELECT DISTINCT location_description FROM stg_crimes WHERE location_description IS NOT NULL)
+FROM stg_crimes WHERE location_description IS NOT NULL GROUP BY location_description
 UNION ALL SELECT '-1', {NI}, {NI}, false
 """
 
@@ -203,44 +203,48 @@ FROM (VALUES (true), (false)) p(prisao), (VALUES (true), (false)) d(domestico)
 """
 
 DIM_CRIME = f"""
-SELECT {sk('s.iucr', 's.dbt_valid_from')} AS sk_crime, s.iucr, s.primary_type, s.description, s.fbi_code,
-  c.primary_type AS primary_type_atual, c.description AS description_atual,
-  {_case_in('s.primary_type', K.CRIME_CATEGORIES, K.CRIME_CATEGORY_ELSE)} AS categoria_analitica,
-  CASE WHEN s.dbt_valid_from = (SELECT min(dbt_valid_from) FROM snap_crime) THEN {BEGIN} ELSE s.dbt_valid_from END AS valido_de,
-  coalesce(s.dbt_valid_to, {END}) AS valido_ate,
-  s.dbt_valid_to IS NULL AS flag_versao_atual
-FROM snap_crime s LEFT JOIN (SELECT * FROM snap_crime WHERE dbt_valid_to IS NULL) c ON s.iucr = c.iucr
+SELECT {sk('iucr', 'dbt_valid_from')} AS sk_crime, iucr, primary_type, description, fbi_code,
+  max(primary_type) FILTER (WHERE dbt_valid_to IS NULL) OVER (PARTITION BY iucr) AS primary_type_atual,
+  max(description) FILTER (WHERE dbt_valid_to IS NULL) OVER (PARTITION BY iucr) AS description_atual,
+  {_case_in('primary_type', K.CRIME_CATEGORIES, K.CRIME_CATEGORY_ELSE)} AS categoria_analitica,
+  CASE WHEN dbt_valid_from = min(dbt_valid_from) OVER () THEN {BEGIN} ELSE dbt_valid_from END AS valido_de,
+  coalesce(dbt_valid_to, {END}) AS valido_ate,
+  dbt_valid_to IS NULL AS flag_versao_atual
+FROM snap_crime
 UNION ALL SELECT '-1', {ND}, {NI}, {NI}, {ND}, {NI}, {NI}, {NI}, {BEGIN}, {END}, true
 """
 
 DIM_GEOGRAFIA = f"""
-SELECT {sk('s.beat', 's.dbt_valid_from')} AS sk_geografia, s.beat, lpad(CAST(s.beat AS VARCHAR), 4, '0') AS beat_formatado,
-  s.district, lpad(CAST(s.district AS VARCHAR), 3, '0') AS district_formatado,
-  {_q(K.DISTRICT_PREFIX)} || CAST(s.district AS VARCHAR) AS nome_district,
-  c.district AS district_atual, a.ward, {_q(K.WARD_PREFIX)} || CAST(a.ward AS VARCHAR) AS nome_ward, a.community_area,
-  s.district <> c.district AS flag_distrito_reorganizado,
-  CASE WHEN s.dbt_valid_from = (SELECT min(dbt_valid_from) FROM snap_geografia) THEN {BEGIN} ELSE s.dbt_valid_from END AS valido_de,
-  coalesce(s.dbt_valid_to, {END}) AS valido_ate,
-  s.dbt_valid_to IS NULL AS flag_versao_atual
-FROM snap_geografia s
-LEFT JOIN (SELECT * FROM snap_geografia WHERE dbt_valid_to IS NULL) c ON s.beat = c.beat
-LEFT JOIN ({_latest('beat', ['ward', 'community_area'], 'ward IS NOT NULL AND community_area IS NOT NULL')}) a ON s.beat = a.beat
+SELECT {sk('h.beat', 'h.dbt_valid_from')} AS sk_geografia, h.beat, lpad(CAST(h.beat AS VARCHAR), 4, '0') AS beat_formatado,
+  h.district, lpad(CAST(h.district AS VARCHAR), 3, '0') AS district_formatado,
+  {_q(K.DISTRICT_PREFIX)} || CAST(h.district AS VARCHAR) AS nome_district,
+  h.district_atual, a.ward, {_q(K.WARD_PREFIX)} || CAST(a.ward AS VARCHAR) AS nome_ward, a.community_area,
+  h.district <> h.district_atual AS flag_distrito_reorganizado,
+  CASE WHEN h.dbt_valid_from = h.first_run THEN {BEGIN} ELSE h.dbt_valid_from END AS valido_de,
+  coalesce(h.dbt_valid_to, {END}) AS valido_ate,
+  h.dbt_valid_to IS NULL AS flag_versao_atual
+FROM (SELECT *, max(district) FILTER (WHERE dbt_valid_to IS NULL) OVER (PARTITION BY beat) AS district_atual,
+             min(dbt_valid_from) OVER () AS first_run FROM snap_geografia) h
+LEFT JOIN ({_latest('beat', ['ward', 'community_area'], 'ward IS NOT NULL AND community_area IS NOT NULL')}) a
+  ON a.beat = h.beat
 UNION ALL SELECT '-1', -1, {ND}, -1, {ND}, {NI}, -1, -1, {NI}, -1, false, {BEGIN}, {END}, true
 """
 
 DIM_MES = """
-SELECT CAST(ano * 100 + numero_mes AS INTEGER) AS sk_mes, ano_mes, ano, trimestre, numero_mes, nome_mes, nome_trimestre,
-  nome_mes || '/' || CAST(ano AS VARCHAR) AS descricao_mes, make_date(ano, numero_mes, 1) AS primeiro_dia_mes, flag_ano_parcial
-FROM (SELECT DISTINCT ano, numero_mes, trimestre, nome_mes, ano_mes, nome_trimestre, flag_ano_parcial FROM dim_data WHERE sk_data <> -1)
+SELECT CAST(ano * 100 + numero_mes AS INTEGER) AS sk_mes, min(ano_mes) AS ano_mes, ano, min(trimestre) AS trimestre,
+  numero_mes, min(nome_mes) AS nome_mes, min(nome_trimestre) AS nome_trimestre,
+  min(nome_mes) || '/' || CAST(ano AS VARCHAR) AS descricao_mes, make_date(ano, numero_mes, 1) AS primeiro_dia_mes,
+  bool_and(flag_ano_parcial) AS flag_ano_parcial
+FROM dim_data WHERE sk_data != -1 GROUP BY ano, numero_mes
 """
 
 DIM_DISTRITO = f"""
 SELECT {sk('district', 'valido_de')} AS sk_distrito, district, lpad(CAST(district AS VARCHAR), 3, '0') AS district_formatado,
   {_q(K.DISTRICT_PREFIX)} || CAST(district AS VARCHAR) AS nome_district,
   district IN {_in(K.DEACTIVATED_DISTRICTS)} AS flag_distrito_desativado, valido_de, valido_ate, flag_versao_atual
-FROM (SELECT district, min(valido_de) AS valido_de, max(valido_ate) AS valido_ate, bool_or(flag_versao_atual) AS flag_versao_atual
-      FROM (SELECT DISTINCT district, valido_de, valido_ate, flag_versao_atual FROM dim_geografia
-            WHERE sk_geografia <> '-1' AND district IS NOT NULL) GROUP BY district)
+FROM (SELECT district, min(valido_de) AS valido_de, max(valido_ate) AS valido_ate,
+             max(CAST(flag_versao_atual AS INTEGER)) = 1 AS flag_versao_atual
+      FROM dim_geografia WHERE sk_geografia != '-1' AND district IS NOT NULL GROUP BY district)
 UNION ALL SELECT '-1', -1, {ND}, {NI}, false, {BEGIN}, {END}, true
 """
 
@@ -250,8 +254,9 @@ INITCAP = ("array_to_string(list_transform(regexp_extract_all(lower({c}), '[\\p{
 DIM_TIPO_CRIME = f"""
 SELECT {sk('primary_type')} AS sk_tipo_crime, primary_type, {INITCAP.format(c='primary_type')} AS nome_tipo_crime,
   categoria_analitica, categoria_analitica = {_q(K.VIOLENT_CATEGORY)} AS flag_crime_violento
-FROM (SELECT DISTINCT primary_type_atual AS primary_type, categoria_analitica FROM dim_crime
-      WHERE sk_crime <> '-1' AND primary_type_atual IS NOT NULL AND primary_type_atual <> {NI})
+FROM (SELECT primary_type_atual AS primary_type, categoria_analitica FROM dim_crime
+      WHERE sk_crime != '-1' AND primary_type_atual IS NOT NULL AND primary_type_atual != {NI}
+      GROUP BY primary_type_atual, categoria_analitica)
 UNION ALL SELECT '-1', {ND}, {NI}, {NI}, false
 """
 
