@@ -77,32 +77,32 @@ select
 from b
 """
 
-_PARSE = "strptime({c}, '%m/%d/%Y %I:%M:%S %p')"
+_TS = "strptime({c}, '%m/%d/%Y %I:%M:%S %p')"
+
+
+def _blank_null(expr: str) -> str:
+    return f"CASE WHEN {expr} = '' THEN NULL ELSE {expr} END"
+
+
+def _digits_int(c: str) -> str:
+    d = f"regexp_replace({c}, '[^0-9]', '', 'g')"
+    return f"CAST({_blank_null(d)} AS INTEGER)"
+
 
 STG = f"""
-SELECT
-  CAST(id AS BIGINT) AS id_ocorrencia,
-  nullif(trim(case_number), '') AS case_number,
-  {_PARSE.format(c='date')} AS data_hora_ocorrencia,
-  CAST({_PARSE.format(c='date')} AS DATE) AS data_ocorrencia,
-  CAST(hour({_PARSE.format(c='date')}) AS INTEGER) AS hora_ocorrencia,
-  {_PARSE.format(c='updated_on')} AS data_atualizacao_fonte,
-  upper(trim(iucr)) AS iucr,
-  upper(trim(primary_type)) AS primary_type,
-  upper(trim(description)) AS description,
+SELECT CAST(id AS BIGINT) AS id_ocorrencia, {_blank_null('trim(case_number)')} AS case_number,
+  ts AS data_hora_ocorrencia, CAST(ts AS DATE) AS data_ocorrencia, CAST(hour(ts) AS INTEGER) AS hora_ocorrencia,
+  {_TS.format(c='updated_on')} AS data_atualizacao_fonte,
+  upper(trim(iucr)) AS iucr, upper(trim(primary_type)) AS primary_type, upper(trim(description)) AS description,
   upper(trim(fbi_code)) AS fbi_code,
-  CAST(nullif(regexp_replace(beat, '\\D', '', 'g'), '') AS INTEGER) AS beat,
-  CAST(nullif(regexp_replace(district, '\\D', '', 'g'), '') AS INTEGER) AS district,
-  CAST(nullif(regexp_replace(ward, '\\D', '', 'g'), '') AS INTEGER) AS ward,
-  CAST(nullif(regexp_replace(community_area, '\\D', '', 'g'), '') AS INTEGER) AS community_area,
-  nullif(upper(trim(location_description)), '') AS location_description,
-  nullif(trim(block), '') AS block,
-  CAST(nullif(trim(latitude), '') AS DECIMAL(12,8)) AS latitude,
-  CAST(nullif(trim(longitude), '') AS DECIMAL(12,8)) AS longitude,
-  (upper(trim(arrest)) = 'TRUE') AS flag_prisao,
-  (upper(trim(domestic)) = 'TRUE') AS flag_domestico
-FROM crimes_raw
-WHERE id IS NOT NULL AND date IS NOT NULL
+  {_digits_int('beat')} AS beat, {_digits_int('district')} AS district, {_digits_int('ward')} AS ward,
+  {_digits_int('community_area')} AS community_area,
+  {_blank_null('trim(upper(location_description))')} AS location_description, {_blank_null('trim(block)')} AS block,
+  CAST({_blank_null('trim(latitude)')} AS DECIMAL(12,8)) AS latitude,
+  CAST({_blank_null('trim(longitude)')} AS DECIMAL(12,8)) AS longitude,
+  CASE WHEN arrest IS NULL THEN NULL ELSE upper(trim(arrest)) = 'TRUE' END AS flag_prisao,
+  CASE WHEN domestic IS NULL THEN NULL ELSE upper(trim(domestic)) = 'TRUE' END AS flag_domestico
+FROM (SELECT *, {_TS.format(c='date')} AS ts FROM crimes_raw WHERE id IS NOT NULL AND date IS NOT NULL)
 """
 
 RUNS = "SELECT * FROM (VALUES " + ", ".join(
