@@ -1,9 +1,12 @@
 """Independent DuckDB SQL for every registered query (the correctness oracle).
 
-Written as straightforward SQL over the pre-registered driver views: window
-``row_number`` instead of ``max_by``, correlated sub-queries for snapshot history instead
-of the window replay, integer arithmetic for rounded ratios. Fixed values are read from
-``constants`` so they are stated once.
+Plain SQL over the pre-registered driver views, deliberately formulated differently from
+the Spark plans so that a shared mistake is unlikely: ``row_number`` windows instead of
+``max_by``; brute-force correlated sub-queries for snapshot history instead of the window
+replay; correlated scalar look-ups for the fact's keys (they fail loudly if a look-up ever
+matched twice); window aggregates for current attributes and back-dating; explicit
+DISTINCT sub-queries for profiling; integer arithmetic for rounded ratios. Fixed values
+are read from ``constants`` so they are stated once.
 """
 
 from __future__ import annotations
