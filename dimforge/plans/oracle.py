@@ -157,8 +157,8 @@ def _ranges(col: str, ranges) -> str:
     return "(" + " OR ".join(f"{col} BETWEEN {lo} AND {hi}" for lo, hi in ranges) + ")"
 
 
-_MONTH_CASE = "CASE month(data) " + " ".join(f"WHEN {i + 1} THEN {_q(m)}" for i, m in enumerate(K.MONTH_NAMES)) + " END"
-_DOW_CASE = "CASE isodow(data) " + " ".join(f"WHEN {i + 1} THEN {_q(m)}" for i, m in enumerate(K.WEEKDAY_NAMES)) + " END"
+_MONTH_CASE = "[" + ", ".join(_q(m) for m in K.MONTH_NAMES) + "][month(data)]"
+_DOW_CASE = "[" + ", ".join(_q(m) for m in K.WEEKDAY_NAMES) + "][isodow(data)]"
 
 DIM_DATA = f"""
 SELECT CAST(strftime(data, '%Y%m%d') AS INTEGER) AS sk_data, data AS data_completa,
