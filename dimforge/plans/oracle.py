@@ -29,9 +29,10 @@ def _in(values) -> str:
 
 
 def ratio_sql(p: str, n: str) -> str:
-    """round(p / n * 100, 2) half-up, exact, via integers; NULL when n = 0."""
-    return (f"CASE WHEN ({n}) = 0 THEN NULL ELSE CAST(((20000 * ({p}) + ({n})) // (2 * ({n}))) / 100.0 "
-            f"AS DECIMAL(27,2)) END")
+    """round(p / n * 100, 2) half-up, exact, via integers; NULL when n = 0. Presented as
+    DOUBLE (the decimal value correctly rounded), like the registered Spark results."""
+    return (f"CASE WHEN ({n}) = 0 THEN NULL ELSE CAST(CAST(((20000 * ({p}) + ({n})) // (2 * ({n}))) / 100.0 "
+            f"AS DECIMAL(27,2)) AS DOUBLE) END")
 
 
 BEGIN = _ts(K.BEGINNING_OF_TIME)

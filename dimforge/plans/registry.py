@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.keys import surrogate_key
 from ..functions.text import initcap_words
@@ -29,9 +30,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def decimals_as_double(df: DataFrame) -> DataFrame:
+    """Presentation of a registered result: exact DECIMAL columns (coordinates, rounded
+    rates) are handed out as DOUBLE, which every engine and client converts the same way
+    (correctly rounded). The models themselves keep DECIMAL; the oracle casts likewise."""
+    if not any(isinstance(f.dataType, T.DecimalType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
+                       else F.col(f.name) for f in df.schema.fields])
+
+
 def register(key: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[key] = fn
+        QUERIES[key] = lambda spark, sf_dir: decimals_as_double(fn(spark, sf_dir))
         if sql is not None:
             ORACLE[key] = sql
         return fn
@@ -55,7 +66,9 @@ def wh(spark: SparkSession, sf_dir: str, **kw) -> Warehouse:
 
 
 def _model(key: str, attr: str | None = None, **kw):
-    register(key, O.with_models(f"SELECT * FROM {key}"))(lambda spark, sf: getattr(wh(spark, sf, **kw), attr or key))
+    sql = (f"SELECT * REPLACE (CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude) FROM {key}"
+           if key in ("stg_crimes", "fct_ocorrencias") else f"SELECT * FROM {key}")
+    register(key, O.with_models(sql))(lambda spark, sf: getattr(wh(spark, sf, **kw), attr or key))
 
 
 # --- models -------------------------------------------------------------------------
