@@ -30,21 +30,58 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def decimals_as_double(df: DataFrame) -> DataFrame:
-    """Presentation of a registered result: exact DECIMAL columns (coordinates, rounded
-    rates) are handed out as DOUBLE, which every engine and client converts the same way
-    (correctly rounded). The models themselves keep DECIMAL; the oracle casts likewise."""
-    if not any(isinstance(f.dataType, T.DecimalType) for f in df.schema.fields):
-        return df
-    return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
-                       else F.col(f.name) for f in df.schema.fields])
+_TS_TYPES = (T.TimestampType, T.TimestampNTZType)
+
+# Timestamp columns of registered results (the oracle casts these to text as well).
+TIMESTAMP_COLUMNS = {
+    "stg_crimes": ["data_hora_ocorrencia", "data_atualizacao_fonte"],
+    "fct_ocorrencias": ["data_hora_ocorrencia"],
+    "snap_crime": ["dbt_valid_from", "dbt_valid_to"],
+    "snap_geografia": ["dbt_valid_from", "dbt_valid_to"],
+    "snapshot_replay": ["dbt_valid_from", "dbt_valid_to"],
+    "dim_crime": ["valido_de", "valido_ate"],
+    "dim_geografia": ["valido_de", "valido_ate"],
+    "dim_distrito": ["valido_de", "valido_ate"],
+    "scd2_current": ["dbt_valid_from", "dbt_valid_to"],
+    "scd2_dimension": ["dbt_valid_from", "dbt_valid_to", "valido_de", "valido_ate"],
+    "scd2_from_events": ["valido_de", "valido_ate"],
+    "asof_join": ["data_hora_ocorrencia"],
+    "drill_through": ["data_hora_ocorrencia"],
+}
+
+
+def present(df: DataFrame) -> DataFrame:
+    """Engine- and client-neutral presentation of a registered result.
+
+    Exact DECIMAL columns (coordinates, rounded rates) become DOUBLE - the correctly
+    rounded value in any engine - and timestamps become ISO text ('yyyy-MM-dd HH:mm:ss'),
+    because the open-end sentinel 9999-12-31 does not fit nanosecond-based clients. The
+    models keep their exact types; the oracle presents its results the same way.
+    """
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.DecimalType):
+            c = c.cast("double")
+        elif isinstance(f.dataType, _TS_TYPES):
+            c = c.cast("string")
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
+def _present_sql(key: str, sql: str) -> str:
+    ts = TIMESTAMP_COLUMNS.get(key)
+    if not ts:
+        return sql
+    casts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in ts)
+    return f"SELECT * REPLACE ({casts}) FROM ({sql})"
 
 
 def register(key: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[key] = lambda spark, sf_dir: decimals_as_double(fn(spark, sf_dir))
+        QUERIES[key] = lambda spark, sf_dir: present(fn(spark, sf_dir))
         if sql is not None:
-            ORACLE[key] = sql
+            ORACLE[key] = _present_sql(key, sql)
         return fn
     return deco
 
