@@ -30,11 +30,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-_TS_TYPES = (T.TimestampType, T.TimestampNTZType)
+_TS_TYPES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
-# Timestamp columns of registered results (the oracle casts these to text as well).
+# Date / timestamp columns of registered results (the oracle casts these to text as well).
 TIMESTAMP_COLUMNS = {
-    "stg_crimes": ["data_hora_ocorrencia", "data_atualizacao_fonte"],
+    "stg_crimes": ["data_hora_ocorrencia", "data_ocorrencia", "data_atualizacao_fonte"],
+    "daily_series": ["data_completa"],
     "fct_ocorrencias": ["data_hora_ocorrencia"],
     "snap_crime": ["dbt_valid_from", "dbt_valid_to"],
     "snap_geografia": ["dbt_valid_from", "dbt_valid_to"],
@@ -54,9 +55,10 @@ def present(df: DataFrame) -> DataFrame:
     """Engine- and client-neutral presentation of a registered result.
 
     Exact DECIMAL columns (coordinates, rounded rates) become DOUBLE - the correctly
-    rounded value in any engine - and timestamps become ISO text ('yyyy-MM-dd HH:mm:ss'),
-    because the open-end sentinel 9999-12-31 does not fit nanosecond-based clients. The
-    models keep their exact types; the oracle presents its results the same way.
+    rounded value in any engine - and dates / timestamps become ISO text ('yyyy-MM-dd',
+    'yyyy-MM-dd HH:mm:ss'): the open-end sentinel 9999-12-31 does not fit nanosecond-based
+    clients, and clients disagree on how to represent a date. The models keep their exact
+    types; the oracle presents its results the same way.
     """
     cols = []
     for f in df.schema.fields:

@@ -46,13 +46,13 @@ def test_matches_oracle(spark, con, key):
 
 
 def test_results_are_client_neutral(spark, con):
-    """No registered result (either side) carries a DECIMAL or TIMESTAMP column, and every
-    result converts to pandas (the 9999-12-31 sentinel is text)."""
+    """No registered result (either side) carries a DECIMAL, DATE or TIMESTAMP column, and
+    every result converts to pandas (the 9999-12-31 sentinel is text)."""
     for key, q in E.queries().items():
         df = q(spark, SF0001)
-        assert not any(t.startswith(("decimal", "timestamp")) for _, t in df.dtypes), key
+        assert not any(t.startswith(("decimal", "timestamp", "date")) for _, t in df.dtypes), key
         types = [str(r[1]) for r in con.execute(f"DESCRIBE {E.oracle_sql()[key]}").fetchall()]
-        assert not any(t.startswith(("DECIMAL", "TIMESTAMP")) for t in types), key
+        assert not any(t.startswith(("DECIMAL", "TIMESTAMP", "DATE")) for t in types), key
     E.queries()["dim_crime"](spark, SF0001).toPandas()
 
 
