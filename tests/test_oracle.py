@@ -56,6 +56,18 @@ def test_results_are_client_neutral(spark, con):
     E.queries()["dim_crime"](spark, SF0001).toPandas()
 
 
+SPARK_TO_DUCKDB = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
+                   "boolean": "BOOLEAN"}
+
+
+def test_column_types_correspond(spark, con):
+    for key, q in E.queries().items():
+        spark_types = dict(q(spark, SF0001).dtypes)
+        duck_types = {r[0]: str(r[1]) for r in con.execute(f"DESCRIBE {E.oracle_sql()[key]}").fetchall()}
+        for col, t in spark_types.items():
+            assert SPARK_TO_DUCKDB.get(t, t) == duck_types.get(col), (key, col, t, duck_types.get(col))
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
