@@ -75,7 +75,9 @@ def stream_snapshots(
 
     The streaming aggregation holds, per key, the attributes of its latest row; in
     ``complete`` mode each micro-batch sees the full current state, which is exactly
-    the source state a snapshot run compares against.
+    the source state a snapshot run compares against. State and output are one row per
+    natural key (hundreds of codes / beats), independent of the event volume; the input
+    is partially aggregated per micro-batch before the state update.
     """
     src = staged if where is None else staged.where(where)
     src = src.where(F.col(key).isNotNull())
