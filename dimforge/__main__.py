@@ -38,19 +38,19 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     from .plans.warehouse import build_run, open_run
     from .sources.landing import read_landing
 
-    ap = argparse.ArgumentParser(prog="dimforge")
+    ap = argparse.ArgumentParser(prog="dimforge", description="Incident warehouse on Spark.")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    b = sub.add_parser("build")
+    b = sub.add_parser("build", help="land + stage the raw text, one snapshot run, all marts")
     b.add_argument("--raw", required=True)
     b.add_argument("--root", required=True)
     b.add_argument("--as-of", default=None)
     b.add_argument("--lenient", action="store_true")
-    t = sub.add_parser("test")
+    t = sub.add_parser("test", help="the 66 data tests on the latest run")
     t.add_argument("--root", required=True)
     t.add_argument("--out")
-    p = sub.add_parser("profile")
+    p = sub.add_parser("profile", help="the 12 profiling questions on the raw text")
     p.add_argument("--raw", required=True)
-    r = sub.add_parser("report")
+    r = sub.add_parser("report", help="report datasets (P1, P2) and their pickers")
     r.add_argument("--root", required=True)
     r.add_argument("which", choices=["p1", "p2", "pick-district", "pick-type"])
     r.add_argument("--year-from", type=int, default=2020)
