@@ -110,4 +110,4 @@ def test_write_table_layout_round_trip(spark, tmp_path):
     # full reload: overwrite replaces the previous contents
     write_table(df.where("id < 10"), path, mode="overwrite", partition_by=["ano"])
     assert read_table(spark, path).count() == 10
-    assert as_view(back, "t_view").sparkSession.table("t_view").count() == 1000
+    assert as_view(read_table(spark, path), "t_view").sparkSession.table("t_view").count() == 10
