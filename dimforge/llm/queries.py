@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimforge.llm import decontam, langid, mixing, sharding, simhash
+from dimforge.llm import decontam, langid, mixing, sharding, simhash, wavelet
 
 SHARDS = 40
 
@@ -39,8 +39,15 @@ def op9_greedy_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    shards = wavelet.write_shards(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return wavelet.read_shards(shards)
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_weighted_hash_tree, op2_simhash_bktree, op5_naive_bayes_langid, op8_pfair_mixing, op9_greedy_string_tiling)}
+    op1_weighted_hash_tree, op2_simhash_bktree, op5_naive_bayes_langid, op8_pfair_mixing, op9_greedy_string_tiling, op10_wavelet_matrix)}
 
 _CRC_TABLE = """crc_table AS (
   SELECT list(c ORDER BY i) AS t FROM (
