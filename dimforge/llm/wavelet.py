@@ -36,7 +36,7 @@ END = 0
 SHARD_IDS = 1 << 21  # ids after which a shard is closed; a document is never split
 _MAGIC, _HEAD = b"WMX1", struct.Struct("<4Q")
 _RANK_BITS = 512
-_CACHED = 1_000_000  # words that a worker remembers
+_CACHED = 1_500_000  # words that a worker remembers
 
 
 class WaveletMatrix:
@@ -57,9 +57,9 @@ class WaveletMatrix:
         for shift in reversed(range(max(len(symbols) - 1, 0).bit_length())):
             bit = (seq & seq.dtype.type(1 << shift)) != 0
             planes.append(np.packbits(bit, bitorder="little"))
-            off = seq[~bit]
+            off = np.compress(~bit, seq)
             zeros.append(len(off))
-            seq = np.concatenate([off, seq[bit]])
+            seq = np.concatenate([off, np.compress(bit, seq)])
         return cls(symbols.astype(np.uint32), np.array(zeros, np.uint64), planes, len(ids))
 
     def to_bytes(self) -> bytes:
@@ -82,8 +82,8 @@ class WaveletMatrix:
         for level in reversed(range(len(self.planes))):
             bit = np.unpackbits(self.planes[level], count=self.size, bitorder="little").view(bool)
             zeros, out = int(self.zeros[level]), np.empty_like(seq)
-            out[~bit] = seq[:zeros]
-            out[bit] = seq[zeros:] | seq.dtype.type(1 << (len(self.planes) - 1 - level))
+            out[np.flatnonzero(~bit)] = seq[:zeros]
+            out[np.flatnonzero(bit)] = seq[zeros:] | seq.dtype.type(1 << (len(self.planes) - 1 - level))
             seq = out
         return self.alphabet[seq] if self.size else np.zeros(0, np.uint32)
 
@@ -163,6 +163,7 @@ class WaveletMatrix:
 
 
 _PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@]*)")  # letters, then ASCII signs other than the apostrophe
+_UNSPACED = ["  ", "\n\n", " \n", "\n ", "\x00", "\u180e", *(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n")]
 _loaded: dict[int, Encoder] = {}
 
 
@@ -192,24 +193,30 @@ class Encoder:
         pre = spec.get("pre_tokenizer") or {}
         self.dtype = np.dtype(np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
         self.by_word = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not (spec.get("truncation") or spec.get("padding"))
+        self.char = self.dtype.char
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
 
     def _library(self, text: str) -> bytes:
-        return array(self.dtype.char, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return array(self.char, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        """A run of Latin letters (with the space before it) or of signs, as one piece of the library's model."""
+        if (ids := self.known.get(piece)) is None:
+            ids = self.known[piece] = array(self.char, [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self._letters))]).tobytes()
+        return ids
 
     def _word(self, word: str) -> bytes:
         plain = _PLAIN.fullmatch(word)
         if not plain:
             return self._library(word)
-        pieces = (x.encode().decode("latin-1").translate(self._letters) for x in plain.groups() if x)
-        return array(self.dtype.char, [t.id for x in pieces for t in self.model.tokenize(x)]).tobytes()
+        letters, signs = plain.groups()
+        return self._piece(letters) + self._piece(signs) if signs else self._piece(letters)
 
     def _spaced(self, text: str) -> bool:
         """White space is single spaces and line ends between words, and no special token occurs."""
-        return (not any(x in text for x in ("  ", "\n\n", " \n", "\n ", "\x00", *self.special)) and not text[:1].isspace() and not text[-1:].isspace()
-                and len(text.split()) == text.count(" ") + text.count("\n") + 1)
+        return not (text[:1].isspace() or text[-1:].isspace() or any(x in text for x in _UNSPACED) or any(x in text for x in self.special))
 
     def encode(self, text: str) -> np.ndarray:
         if not self.by_word or not self._spaced(text):
