@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimforge.llm import decontam, langid, mixing, sharding, simhash, wavelet
+from dimforge.llm import decontam, langid, lpf, mixing, sharding, simhash, wavelet
 
 SHARDS = 40
 
@@ -23,6 +23,12 @@ def op2_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_lpf_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lpf.dedup(_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["hi"] - x["lo"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_naive_bayes_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))), seed_col="doc_id")
@@ -47,7 +53,7 @@ def op10_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_weighted_hash_tree, op2_simhash_bktree, op5_naive_bayes_langid, op8_pfair_mixing, op9_greedy_string_tiling, op10_wavelet_matrix)}
+    op1_weighted_hash_tree, op2_simhash_bktree, op4_lpf_dedup, op5_naive_bayes_langid, op8_pfair_mixing, op9_greedy_string_tiling, op10_wavelet_matrix)}
 
 _CRC_TABLE = """crc_table AS (
   SELECT list(c ORDER BY i) AS t FROM (
