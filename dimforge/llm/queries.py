@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimforge.llm import decontam, langid, lpf, mixing, sharding, simhash, wavelet
+from dimforge.llm import bm25, decontam, langid, lpf, mixing, revisits, sharding, simhash, url_filter, wavelet
 
 SHARDS = 40
 
@@ -23,6 +23,12 @@ def op2_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = revisits.resolve_revisits(revisits.captures(_table(spark, sf_dir, "pages")))
+    lines = F.array_join(F.transform("merged", lambda h: F.concat(h["name"], F.lit(": "), h["value"])), "\n")
+    return out.select("rec_id", "canonical", "ts", "outcome", F.coalesce("resolved_to", F.lit(-1).cast("long")).alias("resolved_to"), lines.alias("merged_headers"), "body_digest")
+
+
 def op4_lpf_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lpf.dedup(_table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["hi"] - x["lo"])
@@ -35,6 +41,19 @@ def op5_naive_bayes_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).withColumn("held_out", langid.held_out(F.col("doc_id"))).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    asked = docs.where(F.col("doc_id") % 20 == 0).select(F.col("doc_id").alias("query_id"), "text")
+    return bm25.search(bm25.build_index(docs), asked)
+
+
+URL_RULES = [url_filter.Rule(*r.split()) for r in ("allow com/", "block example.com/en/", "allow www.example.com/en/", "block net/es/", "block net/fr/")]
+
+
+def op7_gbt_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     weights, rest = mixing.tempered_weights(docs)
@@ -53,7 +72,7 @@ def op10_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_weighted_hash_tree, op2_simhash_bktree, op4_lpf_dedup, op5_naive_bayes_langid, op8_pfair_mixing, op9_greedy_string_tiling, op10_wavelet_matrix)}
+    op1_weighted_hash_tree, op2_simhash_bktree, op3_warc_revisits, op4_lpf_dedup, op5_naive_bayes_langid, op6_block_max_wand, op7_gbt_url_filter, op8_pfair_mixing, op9_greedy_string_tiling, op10_wavelet_matrix)}
 
 _CRC_TABLE = """crc_table AS (
   SELECT list(c ORDER BY i) AS t FROM (
@@ -100,4 +119,45 @@ SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, shard,
 FROM dealt"""
 
 
-ORACLE = {"op1_weighted_hash_tree": _op1_sql()}
+_OP3_SQL = """
+WITH bare AS (
+  SELECT page_id, md5(coalesce(html, '')) AS sum, 1600000000 + page_id * 60 AS t,
+    regexp_replace(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS b FROM pages),
+parts AS (
+  SELECT *, regexp_replace(lower(regexp_extract(b, '^[^/?]*', 0)), '^www\\.|:(80|443)$', '', 'g') AS host,
+    regexp_replace(regexp_extract(b, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+    array_to_string(list_sort(list_filter(string_split(regexp_extract(b, '\\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT starts_with(p, 'utm_'))), '&') AS kept
+  FROM bare),
+urls AS (
+  SELECT *, host || path || CASE WHEN kept <> '' THEN '?' || kept ELSE '' END AS canonical, '"' || substr(sum, 1, 16) || '"' AS tag FROM parts),
+visits AS (
+  SELECT page_id * 4 + 1 AS rec_id, canonical, t + 3600 * (1 + page_id % 5) AS ts, CASE WHEN page_id % 7 = 0 THEN '"changed"' ELSE tag END AS tag, NULL AS sum FROM urls
+  UNION ALL SELECT page_id * 4 + 2, canonical, t - 30, NULL, sum FROM urls),
+latest AS (
+  SELECT v.rec_id, v.ts, arg_max(u.page_id, (u.t, u.page_id)) AS page_id FROM visits v JOIN urls u ON u.canonical = v.canonical AND u.t < v.ts GROUP BY v.rec_id, v.ts),
+judged AS (
+  SELECT v.*, u.page_id, u.t, u.tag AS utag, u.sum AS usum,
+    CASE WHEN u.page_id IS NULL THEN 'no_response' WHEN coalesce(v.tag = u.tag, v.sum = u.sum) THEN 'resolved' ELSE 'mismatch' END AS outcome
+  FROM visits v LEFT JOIN latest l ON l.rec_id = v.rec_id LEFT JOIN urls u ON u.page_id = l.page_id)
+SELECT rec_id, canonical, ts, outcome, CASE WHEN outcome = 'resolved' THEN page_id * 4 ELSE -1 END AS resolved_to,
+  CASE WHEN outcome <> 'resolved' THEN NULL
+    WHEN tag IS NOT NULL THEN 'cache-control: max-age=600' || chr(10) || 'content-type: text/html' || chr(10) || 'date: ' || ts || chr(10) || 'etag: ' || tag || chr(10) || 'last-modified: ' || t
+    ELSE 'cache-control: max-age=60' || chr(10) || 'content-type: text/html' || chr(10) || 'date: ' || ts || chr(10) || 'etag: ' || utag || chr(10)
+      || 'expires: ' || (ts + 30 + 3600 * (1 + ((rec_id - 2) // 4) % 5)) || chr(10) || 'last-modified: ' || t END AS merged_headers,
+  CASE WHEN outcome = 'resolved' THEN usum END AS body_digest
+FROM judged"""
+
+_OP6_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS w FROM documents),
+tf AS (SELECT doc_id, w, count(*) AS tf FROM words GROUP BY ALL),
+df AS (SELECT w, count(*) AS df FROM tf GROUP BY w),
+len AS (SELECT doc_id, sum(tf) AS dl FROM tf GROUP BY doc_id),
+size AS (SELECT count(*)::DOUBLE AS n, (SELECT sum(dl) FROM len)::DOUBLE / count(*) AS mean FROM documents),
+scored AS (
+  SELECT q.doc_id AS query_id, d.doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * d.tf * 2.2 / (d.tf + 1.2 * (0.25 + 0.75 * dl / mean))), 6) AS score
+  FROM tf q JOIN tf d ON d.w = q.w JOIN df ON df.w = q.w JOIN len ON len.doc_id = d.doc_id, size WHERE q.doc_id % 20 = 0 GROUP BY q.doc_id, d.doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INT AS rank FROM scored)
+SELECT query_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+ORACLE = {"op1_weighted_hash_tree": _op1_sql(), "op3_warc_revisits": _OP3_SQL, "op6_block_max_wand": _OP6_SQL}
