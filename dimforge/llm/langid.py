@@ -108,7 +108,7 @@ def train(docs: DataFrame, text_col: str = "text", label_col: str = "lang", max_
     if got is not None and got.num_rows:
         counts[got["bucket"].to_numpy(), np.array([at[x] for x in got["lang"].to_pylist()])] += got["n"].to_numpy()
     by_order = counts.reshape(len(ORDERS), BUCKETS, len(langs))
-    log_prob = np.log(by_order / by_order.sum(axis=1, keepdims=True)).reshape(-1, len(langs)).astype(np.float32)
+    log_prob = np.log(by_order / by_order.sum(axis=1, keepdims=True)).reshape(len(ORDERS) * BUCKETS, len(langs)).astype(np.float32)
     prior = np.log(np.array([r.n for r in sizes], float) / max(total, 1))
     return Model(langs, log_prob, prior)
 

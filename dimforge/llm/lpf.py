@@ -208,7 +208,7 @@ def removed_spans(docs: DataFrame, keys: list[str], length: int = LENGTH, gram:
     """
     spark = docs.sparkSession
     docs = docs.select(*keys, "text")
-    key_fields = [docs.schema[k] for k in keys]
+    key_fields = [T.StructField(k, docs.schema[k].dataType) for k in keys]
     span = [T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType())]
 
     def table(*fields: T.StructField):
@@ -348,7 +348,7 @@ def _same(keys: list[str], prefix: str):
 
 def _packed(docs: DataFrame, keys: list[str]) -> DataFrame:
     """keys and text, the text zstd-compressed for a shuffle."""
-    schema = T.StructType([*[docs.schema[k] for k in keys], T.StructField("text", T.BinaryType())])
+    schema = T.StructType([*[T.StructField(k, docs.schema[k].dataType) for k in keys], T.StructField("text", T.BinaryType())])
 
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1).compress
@@ -372,7 +372,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
         rows, keys = rows.withColumn("k1", F.xxhash64("text")), ["k0", "k1"]
     spans = removed_spans(rows if one else rows.dropDuplicates(keys), keys, length, gram).select(*[F.col(k).alias(f"s_{k}") for k in keys], "spans")
     runs = T.ArrayType(T.StructType([T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType())]))
-    schema = T.StructType([rows.schema["k0"], T.StructField("n_bytes", T.LongType()), T.StructField("spans", runs), T.StructField("kept", T.BinaryType())])
+    schema = T.StructType([T.StructField("k0", rows.schema["k0"].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("spans", runs), T.StructField("kept", T.BinaryType())])
     arrow = to_arrow_schema(schema)
 
     def run(batches):

@@ -62,7 +62,7 @@ def _count(text: Column, piece: str) -> Column:
 
 def _entropy(text: Column) -> Column:
     """Bits a character."""
-    n = F.length(text)
+    n = F.greatest(F.length(text), F.lit(1))
     share = lambda c: (n - F.length(F.replace(text, c, F.lit("")))) / n
     return F.aggregate(F.array_distinct(F.split(text, "")), F.lit(0.0), lambda s, c: s + F.when(share(c) > 0, -share(c) * F.log2(share(c))).otherwise(0.0))
 

@@ -129,7 +129,8 @@ class WaveletMatrix:
         code = self._code_of(symbol)
         if code is None:
             return 0
-        a, b = self._narrow(code, lo, self.size if hi is None else hi)
+        hi = self.size if hi is None else min(hi, self.size)
+        a, b = self._narrow(code, min(max(lo, 0), max(hi, 0)), max(hi, 0))
         return b - a
 
     def rank(self, symbol: int, i: int) -> int:
