@@ -12,12 +12,13 @@ from conftest import ROOT, SF0001
 
 sys.path.insert(0, os.path.join(ROOT, "scripts"))
 import __spark_entry__ as E  # noqa: E402
+from dimforge.plans import registry  # noqa: E402
 from check_oracle import TABLES, digest  # noqa: E402
 
 DEFAULT = ["stg_crimes", "snap_geografia", "snapshot_replay", "dim_crime", "dim_geografia", "fct_ocorrencias",
            "fct_desempenho_mensal", "rpt_p1", "rpt_p1_rollup", "drill_across", "prof_description_drift",
            "dq_report", "scd2_from_events", "landing_csv"]
-KEYS = DEFAULT if os.environ.get("DIMFORGE_QUICK_ORACLE") else list(E.queries())
+KEYS = DEFAULT if os.environ.get("DIMFORGE_QUICK_ORACLE") else list(registry.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -29,7 +30,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(registry.QUERIES) - set(E.oracle_sql())
     assert not missing, missing
 
 
@@ -48,7 +49,7 @@ def test_matches_oracle(spark, con, key):
 def test_results_are_client_neutral(spark, con):
     """No registered result (either side) carries a DECIMAL, DATE or TIMESTAMP column, and
     every result converts to pandas (the 9999-12-31 sentinel is text)."""
-    for key, q in E.queries().items():
+    for key, q in registry.QUERIES.items():
         df = q(spark, SF0001)
         assert not any(t.startswith(("decimal", "timestamp", "date")) for _, t in df.dtypes), key
         types = [str(r[1]) for r in con.execute(f"DESCRIBE {E.oracle_sql()[key]}").fetchall()]
@@ -61,7 +62,7 @@ SPARK_TO_DUCKDB = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "d
 
 
 def test_column_types_correspond(spark, con):
-    for key, q in E.queries().items():
+    for key, q in registry.QUERIES.items():
         spark_types = dict(q(spark, SF0001).dtypes)
         duck_types = {r[0]: str(r[1]) for r in con.execute(f"DESCRIBE {E.oracle_sql()[key]}").fetchall()}
         for col, t in spark_types.items():
