@@ -32,7 +32,7 @@ from dimforge.plans import quality as Q  # noqa: E402
 from dimforge.plans import reports as R  # noqa: E402
 from dimforge.plans.warehouse import Warehouse, run_concurrently  # noqa: E402
 from dimforge.session import local_session  # noqa: E402
-from dimforge.sources.fixture import crimes_raw  # noqa: E402
+from dimforge.sources.fixture import FIXTURE_RUNS, crimes_raw  # noqa: E402
 from dimforge.sources.tables import materialize  # noqa: E402
 
 
@@ -83,7 +83,7 @@ def run_pipeline(spark, sf_dir: str, times: dict):
         return out
 
     raw = timed("landing", lambda: materialize(spark, crimes_raw(spark, sf_dir), "crimes_raw"))
-    w = Warehouse(spark, raw, materialize=True)
+    w = Warehouse(spark, raw, FIXTURE_RUNS, materialize=True)
     timed("staging", lambda: w.stg)
     timed("snapshots", lambda: w.build(THREADS, waves=[("snap_crime", "snap_geografia")]))
     timed("marts", lambda: w.build(THREADS, waves=[

@@ -24,11 +24,14 @@ def _session() -> SparkSession:
     return SparkSession.builder.appName("dimforge").getOrCreate()
 
 
-def _emit(df, out: str | None, rows: int = 200) -> None:
+def _emit(df, out: str | None = None) -> None:
+    """Writes the result, or prints all its rows, tab-separated, one partition at a time."""
     if out:
         df.write.mode("overwrite").parquet(out)
-    else:
-        df.show(rows, truncate=False)
+        return
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -68,7 +71,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(f"built run as_of={as_of}: {w.fct_ocorrencias.count()} incidents")
     elif a.cmd == "test":
         res = Q.run(open_run(spark, a.root))
-        _emit(res, a.out, rows=100)
+        _emit(res, a.out)
         if not a.out:
             failing = res.where("failures > 0").count()
             print(f"{len(Q.SUITE)} tests, {failing} failing")
@@ -78,7 +81,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                      "prof_iucr_combos", "prof_iucr_varies", "prof_description_drift", "prof_beat_inconsistent",
                      "prof_beat_pairs", "prof_coordinates", "prof_beat_2012_share"]:
             print(name)
-            getattr(P, name)(raw).show(50, truncate=False)
+            _emit(getattr(P, name)(raw))
     elif a.cmd == "report":
         w = open_run(spark, a.root)
         if a.which == "p1":

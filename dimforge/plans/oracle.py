@@ -12,8 +12,8 @@ are read from ``constants`` so they are stated once.
 from __future__ import annotations
 
 from . import constants as K
-from .warehouse import FIXTURE_RUNS
 from ..functions.keys import surrogate_key_sql as sk
+from ..sources.fixture import FIXTURE_RUNS, LINE_ORDER
 
 
 def _q(s: str) -> str:
@@ -41,15 +41,15 @@ END = _ts(K.END_OF_TIME)
 ADAPTER = """
 with li as (
   select l_orderkey * 10 + l_linenumber as rid, l_orderkey, l_linenumber,
-         min(l_partkey) as pk, min(l_suppkey) as sk, max(l_quantity) as qty,
-         max(l_returnflag) as rf, max(l_linestatus) as ls
-  from lineitem group by l_orderkey, l_linenumber),
+         l_partkey as pk, l_suppkey as sk, l_quantity as qty, l_returnflag as rf, l_linestatus as ls,
+         count(*) over (partition by l_orderkey, l_linenumber order by @LINE_ORDER@ rows unbounded preceding) as rn
+  from lineitem),
 b as (
   select li.*, o_orderdate as od, year(o_orderdate) as oy, pk % 40 as code, pk % 24 as hh, sk % 25 as dist
   from li join orders on l_orderkey = o_orderkey)
 select
-  cast(rid as string) as id,
-  'HX' || lpad(cast(l_orderkey as string), 7, '0') as case_number,
+  cast(rid * 100000 + rn as string) as id,
+  'HX' || repeat('0', greatest(0, 7 - length(cast(l_orderkey as string)))) || cast(l_orderkey as string) as case_number,
   lpad(cast(month(od) as string), 2, '0') || '/' || lpad(cast(day(od) as string), 2, '0') || '/' || cast(oy + 12 as string)
     || ' ' || lpad(cast(case when hh % 12 = 0 then 12 else hh % 12 end as string), 2, '0')
     || ':' || lpad(cast(sk % 60 as string), 2, '0') || ':' || lpad(cast(rid % 60 as string), 2, '0')
@@ -79,7 +79,7 @@ select
   case when l_linenumber = 6 then null else '-87.' || lpad(cast(l_orderkey * 104729 % 1000000000 as string), 9, '0') end as longitude,
   cast(null as string) as location
 from b
-"""
+""".replace("@LINE_ORDER@", ", ".join(f"{c} NULLS FIRST" for c in LINE_ORDER))
 
 _TS = "strptime({c}, '%m/%d/%Y %I:%M:%S %p')"
 

@@ -10,7 +10,7 @@ mirrors the original's table materialisation.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.joins import remember_row_count
 from ..operators.latest import latest_per_key
 from ..operators.scd2 import replay_indexed, run_states, snapshot_merge
-from ..sources.fixture import crimes_raw
-from ..sources.history import HistoryStore, run_snapshot
+from ..sources.fixture import FIXTURE_RUNS, crimes_raw
+from ..sources.history import HistoryStore, SnapshotRun, run_snapshot
 from ..sources.tables import assert_unique
 from ..sources.tables import materialize as _materialize
 from ..sources.tables import write_observed
@@ -33,24 +33,6 @@ CRIME_KEY, CRIME_CHECK = "iucr", ["primary_type", "description", "fbi_code"]
 GEO_KEY, GEO_CHECK = "beat", ["district"]
 
 
-@dataclass(frozen=True)
-class SnapshotRun:
-    """One snapshot run: taken at ``as_of`` over the staged rows matching the filters."""
-
-    as_of: dt.datetime
-    crime_filter: str = "true"
-    geo_filter: str = "true"
-
-
-# Three fixed runs over the test data: change, hard delete (beats 24xx leave in run 2)
-# and reopening (they return in run 3), with incidents on both sides of each cut.
-FIXTURE_RUNS = (
-    SnapshotRun(dt.datetime(2011, 1, 1), "year(data_hora_ocorrencia) <= 2010", "year(data_hora_ocorrencia) <= 2010"),
-    SnapshotRun(dt.datetime(2012, 6, 1), "true", "beat < 2400"),
-    SnapshotRun(dt.datetime(2013, 1, 1), "true", "true"),
-)
-
-
 # Rows a snapshot's source state is taken from, besides a non-NULL key.
 STATE_WHERE = {GEO_KEY: "district IS NOT NULL"}
 
@@ -93,7 +75,7 @@ class Warehouse:
         self,
         spark: SparkSession,
         raw: DataFrame,
-        runs=FIXTURE_RUNS,
+        runs: Sequence[SnapshotRun],
         history: str = "replay",
         materialize: bool = False,
         lenient: bool = False,
@@ -102,7 +84,7 @@ class Warehouse:
         run_label: str | None = None,
         preset: dict[str, DataFrame] | None = None,
     ):
-        """``preset`` supplies already built models by name (e.g. persisted snapshot
+        """``runs`` are the snapshot runs to take (none if ``preset`` has both histories). ``preset`` supplies already built models by name (e.g. persisted snapshot
         histories instead of computing them from ``runs``); ``out_root`` writes every model
         to ``<out_root>/<model>/<run_label>`` (a new folder per run, never one that is being
         read) instead of scratch space."""
@@ -120,10 +102,11 @@ class Warehouse:
 
     @classmethod
     def from_sf(cls, spark: SparkSession, sf_dir: str, **kw) -> Warehouse:
+        """The test data's warehouse, with the test data's snapshot runs unless others are given."""
         raw = crimes_raw(spark, sf_dir)
         if kw.get("materialize"):
             raw = _materialize(spark, raw, "crimes_raw")
-        return cls(spark, raw, **kw)
+        return cls(spark, raw, kw.pop("runs", FIXTURE_RUNS), **kw)
 
     def _m(self, name: str, df: DataFrame, sort_within=None) -> DataFrame:
         if self.out_root is not None:
@@ -257,7 +240,7 @@ def open_run(spark: SparkSession, root: str, as_of: dt.datetime | None = None) -
     preset = {name: spark.read.parquet(f"{root}/{name}/{label}") for name in MODELS}
     preset.update(snap_crime=crime.at_run(crime.run_at(as_of)), snap_geografia=geo.at_run(geo.run_at(as_of)))
     raw = spark.read.parquet(f"{root}/crimes_raw/{label}")
-    return Warehouse(spark, raw, out_root=root, run_label=label, preset=preset)
+    return Warehouse(spark, raw, (), out_root=root, run_label=label, preset=preset)
 
 
 # Unique keys enforced on write (the original's unique indexes).
@@ -297,7 +280,7 @@ def build_run(
         assert_unique(stg, UNIQUE_KEYS["stg_crimes"], "stg_crimes")
     crime = run_snapshot(HistoryStore(spark, f"{root}/snap_crime"), crime_state(stg), CRIME_KEY, CRIME_CHECK, as_of)
     geo = run_snapshot(HistoryStore(spark, f"{root}/snap_geografia"), geo_state(stg), GEO_KEY, GEO_CHECK, as_of)
-    w = Warehouse(spark, raw, lenient=lenient, out_root=root, run_label=label,
+    w = Warehouse(spark, raw, (), lenient=lenient, out_root=root, run_label=label,
                   preset={"stg_crimes": stg, "snap_crime": crime, "snap_geografia": geo})
     built = w.build(threads, waves=Warehouse.WAVES[2:])
     if enforce_unique:

@@ -8,10 +8,13 @@ fixture; the same rules are written as DuckDB SQL in ``dimforge.plans.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .history import SnapshotRun
 from .landing import LANDING_COLUMNS
 
 
@@ -38,27 +41,30 @@ def _pad(c: Column, n: int) -> Column:
     return F.lpad(_s(c), n, "0")
 
 
+#: Three snapshot runs over the test data - change, hard delete (beats 24xx leave in run 2) and
+#: reopening (they return in run 3), with incidents on both sides of each cut.
+FIXTURE_RUNS = (
+    SnapshotRun(dt.datetime(2011, 1, 1), "year(data_hora_ocorrencia) <= 2010", "year(data_hora_ocorrencia) <= 2010"),
+    SnapshotRun(dt.datetime(2012, 6, 1), "true", "beat < 2400"),
+    SnapshotRun(dt.datetime(2013, 1, 1), "true", "true"),
+)
+
+# Lines of one (l_orderkey, l_linenumber) are told apart by their number in this order.
+LINE_ORDER = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+              "l_linestatus", "l_shipdate")
+
+
 def crimes_raw_from_tpch(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """Build ``crimes_raw``; one row per distinct (l_orderkey, l_linenumber).
+    """Build ``crimes_raw``; one incident per lineitem row.
 
-    Plan: partial+final aggregation of lineitem on (orderkey, linenumber) - hot keys
-    collapse map-side - then an equi-join with orders on the order key. The rules only ask
-    whether the greatest return flag / line status of a line is 'R' / 'O'; that holds
-    exactly when some value equals it and none is greater, so two boolean maxima replace
-    the string maxima and the aggregation stays hash-based (fixed-width buffers).
+    The incident id is made of order key, line number and the row's number among those that
+    share both (a handful; rows equal in every column are interchangeable), so one shuffle of
+    lineitem on the two keys, then an equi-join with orders on the order key.
     """
-    li = (
-        lineitem.groupBy("l_orderkey", "l_linenumber")
-        .agg(
-            F.min("l_partkey").alias("pk"),
-            F.min("l_suppkey").alias("sk"),
-            F.max("l_quantity").alias("qty"),
-            F.max(F.col("l_returnflag") == "R").alias("rf_eq"),
-            F.max(F.col("l_returnflag") > "R").alias("rf_gt"),
-            F.max(F.col("l_linestatus") == "O").alias("ls_eq"),
-            F.max(F.col("l_linestatus") > "O").alias("ls_gt"),
-        )
-        .withColumn("rid", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    same_line = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*[F.asc_nulls_first(c) for c in LINE_ORDER])
+    li = lineitem.select(
+        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("pk"), F.col("l_suppkey").alias("sk"), F.col("l_quantity").alias("qty"),
+        "l_returnflag", "l_linestatus", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("rid"), F.row_number().over(same_line).alias("rn"),
     )
     b = li.join(orders.select("o_orderkey", "o_orderdate"), li.l_orderkey == orders.o_orderkey).select(
         "*",
@@ -109,16 +115,16 @@ def crimes_raw_from_tpch(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         .otherwise(_pad(dist, 3))
     )
     out = b.select(
-        _s(rid).alias("id"),
-        F.concat(F.lit("HX"), _pad(F.col("l_orderkey"), 7)).alias("case_number"),
+        _s(rid * 100000 + F.col("rn")).alias("id"),
+        F.concat(F.lit("HX"), F.when(F.col("l_orderkey") < 10_000_000, _pad(F.col("l_orderkey"), 7)).otherwise(_s(F.col("l_orderkey")))).alias("case_number"),
         date_txt.alias("date"),
         F.concat(F.lit("0"), _pad(rid % 99, 2), F.lit("XX BLOCK ")).alias("block"),
         F.concat(F.lit(" "), _pad(code, 4), F.when(code % 2 == 0, F.lit("a")).otherwise(F.lit("A"))).alias("iucr"),
         primary_type.alias("primary_type"),
         description.alias("description"),
         location.alias("location_description"),
-        F.when(F.col("rf_eq") & ~F.col("rf_gt"), "true").otherwise("false").alias("arrest"),
-        F.when(F.col("ls_eq") & ~F.col("ls_gt"), "True").otherwise("false").alias("domestic"),
+        F.when(F.col("l_returnflag") == "R", "true").otherwise("false").alias("arrest"),
+        F.when(F.col("l_linestatus") == "O", "True").otherwise("false").alias("domestic"),
         F.when(F.col("qty") == 50, null_s).otherwise(_pad(dist * 100 + sk % 4 + 11, 4)).alias("beat"),
         district.alias("district"),
         F.when(oy == 1995, null_s).otherwise(_s(pk % 50 + 1)).alias("ward"),

@@ -12,6 +12,7 @@ no-op, which makes retries (including streaming micro-batch replays) idempotent.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,15 @@ from ..operators.scd2 import snapshot_merge
 RUN_COL = "snapshot_run"
 
 
+@dataclass(frozen=True)
+class SnapshotRun:
+    """One snapshot run: taken at ``as_of`` over the staged rows matching the filters."""
+
+    as_of: dt.datetime
+    crime_filter: str = "true"
+    geo_filter: str = "true"
+
+
 class HistoryStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark

@@ -15,7 +15,8 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 from dimforge.plans import facts, quality, reports  # noqa: E402
-from dimforge.plans.warehouse import Warehouse, geo_state, replay_snapshots, GEO_KEY, GEO_CHECK, FIXTURE_RUNS  # noqa: E402
+from dimforge.sources.fixture import FIXTURE_RUNS  # noqa: E402
+from dimforge.plans.warehouse import Warehouse, geo_state, replay_snapshots, GEO_KEY, GEO_CHECK  # noqa: E402
 from dimforge.session import local_session  # noqa: E402
 from dimforge.sources.fixture import crimes_raw  # noqa: E402
 from dimforge.sources.tables import materialize  # noqa: E402
@@ -34,7 +35,7 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session()
     raw = materialize(spark, crimes_raw(spark, sf_dir), "crimes_raw")
-    w = Warehouse(spark, raw, materialize=True)
+    w = Warehouse(spark, raw, FIXTURE_RUNS, materialize=True)
     w.build()
     jobs = {
         "Staging (map-only)": lambda: __import__("dimforge.plans.staging", fromlist=["x"]).stage_crimes(raw),

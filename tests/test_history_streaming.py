@@ -3,7 +3,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from conftest import SF0001, SF001
-from dimforge.plans.warehouse import FIXTURE_RUNS, GEO_CHECK, GEO_KEY, SnapshotRun, Warehouse, geo_state
+from dimforge.plans.warehouse import GEO_CHECK, GEO_KEY, SnapshotRun, Warehouse, geo_state
+from dimforge.sources.fixture import FIXTURE_RUNS
 from dimforge.sources.fixture import crimes_raw
 from dimforge.sources.history import HistoryStore, run_snapshot
 from dimforge.sources.landing import write_landing
@@ -55,7 +56,7 @@ def test_streaming_staging_and_snapshots(spark, tmp_path):
     q.awaitTermination()
 
     # same history as two batch runs over the same cut
-    stg = Warehouse(spark, raw).stg
+    stg = Warehouse(spark, raw, ()).stg
     want = Warehouse(spark, raw, runs=[SnapshotRun(t1, "true", "year(data_hora_ocorrencia) <= 2010"),
                                        SnapshotRun(t2, "true", "true")]).snap_geografia
     assert stg.count() == raw.count()
