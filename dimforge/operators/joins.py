@@ -7,37 +7,34 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimensions at or below this many rows are shipped to every task; above it the join
-# falls back to a shuffled sort-merge join (AQE may still switch it at runtime, and
-# splits skewed partitions of the large side).
+# Dimensions within both limits are shipped to every task; above, the join falls back to a
+# shuffled sort-merge join (AQE may still switch it at runtime, and splits skewed partitions
+# of the large side).
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+DEFAULT_BROADCAST_MAX_BYTES = 128 << 20
 
-
-_ROW_COUNTS: dict[tuple, int] = {}
-
-
-def row_count(df: DataFrame) -> int:
-    """Exact row count, remembered per (plan, input files) for the session.
-
-    Materialised models live in fresh, never rewritten folders, so a dimension used by
-    many joins and tests is counted once; any change of the input files changes the key.
-    """
-    key = (df.semanticHash(), tuple(sorted(df.inputFiles())))
-    if key not in _ROW_COUNTS:
-        _ROW_COUNTS[key] = df.count()
-    return _ROW_COUNTS[key]
+# Exact counts observed while a model was written, by its plan (fresh, never rewritten folders).
+_ROW_COUNTS: dict[int, int] = {}
 
 
 def remember_row_count(df: DataFrame, rows: int) -> None:
     """Record an exact count known from elsewhere (e.g. observed while writing ``df``)."""
-    _ROW_COUNTS[(df.semanticHash(), tuple(sorted(df.inputFiles())))] = rows
+    _ROW_COUNTS[df.semanticHash()] = rows
+
+
+def size_bound(df: DataFrame) -> int:
+    """Bytes that the optimizer expects at most: file sizes for a written model, no more for a filter or
+    projection of it, products for joins. Nothing runs and no file list reaches Python."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, known_rows: int | None = None) -> bool:
-    """Size check: ``known_rows`` is a proven bound (e.g. 24 hours + unknown, 2x2 flags);
-    otherwise the exact row count (cheap on a materialised table, remembered)."""
-    n = known_rows if known_rows is not None else row_count(df)
-    return n <= max_rows
+    """Size check without a job: ``known_rows`` is a proven bound (e.g. 24 hours + unknown, 2x2 flags), a written
+    model has its observed count; anything else is judged by the optimizer's size, taken as four times compressed."""
+    n = known_rows if known_rows is not None else _ROW_COUNTS.get(df.semanticHash())
+    if n is not None:
+        return n <= max_rows
+    return max_rows > 0 and size_bound(df) * 4 <= DEFAULT_BROADCAST_MAX_BYTES
 
 
 def broadcast_if_small(

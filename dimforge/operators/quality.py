@@ -5,10 +5,10 @@ tests: ``unique`` ignores NULLs and counts duplicated values; ``relationships``
 child rows (non-NULL key) without a parent; ``accepted_values`` counts distinct values
 outside the list (NULLs pass); ``unique_combination`` counts duplicated combinations.
 
-All NULL checks of one table run in a single aggregation; accepted-value checks read only
-the rows outside the list (pushed-down ``NOT IN``);
-uniqueness needs one shuffle on the tested key; all relationship tests of a table run in
-one scan with broadcast lookups of the (size-checked) parents' key sets.
+A suite is three kinds of jobs, whatever its number of tests: per table one scan and one
+aggregation for all its NULL and relationship checks (parents' key sets are broadcast behind
+a size check); per table with accepted-value checks one scan of the rows outside the lists
+(pushed-down ``NOT IN``); and one shuffle for all uniqueness tests of all tables together.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .joins import fits_broadcast
 
@@ -49,31 +50,45 @@ def _row(t: DataTest, failures: Column) -> Column:
     )
 
 
-def column_checks(df: DataFrame, tests: Sequence[DataTest]) -> DataFrame:
-    """All ``not_null`` tests of one table in one aggregation (no expansion)."""
-    aggs = []
-    for t in tests:
-        if t.kind != "not_null":
-            raise ValueError(t.kind)
-        aggs.append(F.count_if(F.col(t.columns[0]).isNull()))
-    a = df.agg(*[x.alias(f"_f{i}") for i, x in enumerate(aggs)])
+def accepted_values_checks(df: DataFrame, tests: Sequence[DataTest]) -> DataFrame:
+    """Distinct values outside the lists. Only rows outside some list are read: ``NOT IN`` is pushed into the
+    Parquet scan, whose dictionary filter skips row groups holding accepted values only."""
+    outside = [~F.col(t.columns[0]).isin(*t.values) for t in tests]
+    some = outside[0]
+    for o in outside[1:]:
+        some = some | o
+    cells = F.array(*[F.struct(F.lit(i).alias("_i"), F.when(o, F.col(t.columns[0]).cast("string")).alias("_v")) for i, (t, o) in enumerate(zip(tests, outside))])
+    bad = df.where(some).select(F.explode(cells).alias("_c")).select("_c.*").where("_v IS NOT NULL").distinct()
+    a = bad.agg(*[F.count_if(F.col("_i") == i).alias(f"_f{i}") for i in range(len(tests))])
     return a.select(F.inline(F.array(*[_row(t, F.col(f"_f{i}")) for i, t in enumerate(tests)])))
 
 
-def accepted_values_check(df: DataFrame, t: DataTest) -> DataFrame:
-    """Distinct values outside the list. Only rows outside it are read: ``NOT IN`` is pushed
-    into the Parquet scan, whose dictionary filter skips row groups holding accepted values
-    only - valid data costs almost nothing, and no per-row expansion is needed."""
-    c = F.col(t.columns[0])
-    bad = df.where(~c.isin(*t.values)).agg(F.countDistinct(c).alias("_f"))
-    return bad.select(F.inline(F.array(_row(t, F.col("_f")))))
-
-
-def unique_check(df: DataFrame, t: DataTest) -> DataFrame:
-    cols = list(t.columns)
-    src = df if t.kind == "unique_combination" else df.where(F.col(cols[0]).isNotNull())
-    dup = src.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    return dup.agg(F.count(F.lit(1)).alias("_f")).select(F.inline(F.array(_row(t, F.col("_f")))))
+def unique_checks(tables: dict[str, DataFrame], tests: Sequence[DataTest]) -> DataFrame:
+    """All uniqueness tests of all tables in one shuffle of (test, integer key or key text), partially aggregated."""
+    by_model: dict[str, list[int]] = {}
+    for i, t in enumerate(tests):
+        by_model.setdefault(t.model, []).append(i)
+    parts = []
+    for model, own in by_model.items():
+        df, cells = tables[model], []
+        for i in own:
+            t, number, text = tests[i], F.lit(None).cast("long"), F.lit(None).cast("string")
+            if t.kind == "unique":
+                if isinstance(df.schema[t.columns[0]].dataType, IntegralType):
+                    number = F.col(t.columns[0]).cast("long")
+                else:
+                    text = F.col(t.columns[0]).cast("string")
+            else:  # NULL parts count as values; lengths keep the parts apart
+                text = F.concat(*[F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in t.columns])
+            cells.append(F.struct(F.lit(i).alias("_i"), number.alias("_n"), text.alias("_t")))
+        cell = F.explode(F.array(*cells)) if len(cells) > 1 else cells[0]
+        parts.append(df.select(cell.alias("_c")).select("_c.*").where("_n IS NOT NULL OR _t IS NOT NULL"))
+    stacked = parts[0]
+    for p in parts[1:]:
+        stacked = stacked.unionByName(p)
+    dup = stacked.groupBy("_i", "_n", "_t").agg(F.count(F.lit(1)).alias("_many")).where("_many > 1")
+    a = dup.agg(*[F.count_if(F.col("_i") == i).alias(f"_f{i}") for i in range(len(tests))])
+    return a.select(F.inline(F.array(*[_row(t, F.col(f"_f{i}")) for i, t in enumerate(tests)])))
 
 
 def relationships_check(child: DataFrame, parent: DataFrame, t: DataTest) -> DataFrame:
@@ -85,25 +100,31 @@ def relationships_check(child: DataFrame, parent: DataFrame, t: DataTest) -> Dat
     return orphans.agg(F.count(F.lit(1)).alias("_f")).select(F.inline(F.array(_row(t, F.col("_f")))))
 
 
-def relationships_checks(child: DataFrame, parents: dict[str, DataFrame], tests: Sequence[DataTest]) -> DataFrame:
-    """All relationship tests of one child table in a single scan.
+def row_checks(df: DataFrame, parents: dict[str, DataFrame], tests: Sequence[DataTest]) -> DataFrame:
+    """All ``not_null`` and ``relationships`` tests of one table in a single scan and aggregation.
 
     Each parent's distinct key set is broadcast (size-checked) and left-joined as a lookup;
-    a child row fails a test when its key is not NULL and found no parent. Without a
+    a child row fails a relationship when its key is not NULL and found no parent. Without a
     shuffle of the child, whatever its size; parents too large to broadcast fall back to
     one anti join each.
     """
-    small = [t for t in tests if fits_broadcast(parents[t.parent])]
-    parts = [relationships_check(child, parents[t.parent], t) for t in tests if t not in small]
-    if small:
-        c = child.select(*sorted({t.columns[0] for t in small}))
-        for i, t in enumerate(small):
-            keys = parents[t.parent].select(F.col(t.parent_field).alias(f"_p{i}")).distinct()
-            keys = keys.withColumn(f"_hit{i}", F.lit(True))
-            c = c.join(F.broadcast(keys), c[t.columns[0]] == keys[f"_p{i}"], "left").drop(f"_p{i}")
-        aggs = [F.count_if(F.col(t.columns[0]).isNotNull() & F.col(f"_hit{i}").isNull()).alias(f"_f{i}")
-                for i, t in enumerate(small)]
-        parts.append(c.agg(*aggs).select(F.inline(F.array(*[_row(t, F.col(f"_f{i}")) for i, t in enumerate(small)]))))
+    large = [t for t in tests if t.kind == "relationships" and not fits_broadcast(parents[t.parent])]
+    parts = [relationships_check(df, parents[t.parent], t) for t in large]
+    rest = [t for t in tests if t not in large]
+    if rest:
+        c = df.select(*sorted({t.columns[0] for t in rest}))
+        counts = []
+        for i, t in enumerate(rest):
+            value = F.col(t.columns[0])
+            if t.kind == "relationships":
+                keys = parents[t.parent].select(F.col(t.parent_field).alias(f"_p{i}")).distinct().withColumn(f"_hit{i}", F.lit(True))
+                c = c.join(F.broadcast(keys), c[t.columns[0]] == keys[f"_p{i}"], "left").drop(f"_p{i}")
+                counts.append(F.count_if(value.isNotNull() & F.col(f"_hit{i}").isNull()).alias(f"_f{i}"))
+            elif t.kind == "not_null":
+                counts.append(F.count_if(value.isNull()).alias(f"_f{i}"))
+            else:
+                raise ValueError(t.kind)
+        parts.append(c.agg(*counts).select(F.inline(F.array(*[_row(t, F.col(f"_f{i}")) for i, t in enumerate(rest)]))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -112,24 +133,20 @@ def relationships_checks(child: DataFrame, parents: dict[str, DataFrame], tests:
 
 def run_suite(tables: dict[str, DataFrame], tests: Sequence[DataTest]) -> DataFrame:
     """Evaluate every test; one row per test with its failure count (Q6)."""
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[DataTest]] = {}
-    rel_by_model: dict[str, list[DataTest]] = {}
+    rows: dict[str, list[DataTest]] = {}
+    accepted: dict[str, list[DataTest]] = {}
+    unique = [t for t in tests if t.kind in ("unique", "unique_combination")]
     for t in tests:
-        if t.kind == "not_null":
-            by_model.setdefault(t.model, []).append(t)
+        if t.kind in ("not_null", "relationships"):
+            rows.setdefault(t.model, []).append(t)
         elif t.kind == "accepted_values":
-            parts.append(accepted_values_check(tables[t.model], t))
-        elif t.kind in ("unique", "unique_combination"):
-            parts.append(unique_check(tables[t.model], t))
-        elif t.kind == "relationships":
-            rel_by_model.setdefault(t.model, []).append(t)
-        else:
+            accepted.setdefault(t.model, []).append(t)
+        elif t not in unique:
             raise ValueError(t.kind)
-    for model, ts in by_model.items():
-        parts.append(column_checks(tables[model], ts))
-    for model, ts in rel_by_model.items():
-        parts.append(relationships_checks(tables[model], tables, ts))
+    parts = [row_checks(tables[model], tables, ts) for model, ts in rows.items()]
+    parts += [accepted_values_checks(tables[model], ts) for model, ts in accepted.items()]
+    if unique:
+        parts.append(unique_checks(tables, unique))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -547,3 +547,20 @@ INITCAP_WORDS = (f"SELECT primary_type, description, {INITCAP.format(c='primary_
 SURROGATE_KEY = (f"SELECT id_ocorrencia, "
                  f"{sk('iucr', 'beat', 'flag_prisao', 'data_hora_ocorrencia', 'latitude')} AS sk FROM stg_crimes")
 LANDING_CSV = "SELECT * FROM crimes_raw"
+
+
+def _axis(dim: str, key: str, columns: str) -> str:
+    return f"SELECT {columns}, {_COUNTS} FROM {dim} x, fct_ocorrencias f WHERE f.{key} = x.{key} GROUP BY {columns}"
+
+
+WEEKDAY_PROFILE = _axis("dim_data", "sk_data", "numero_dia_semana, nome_dia_semana, flag_fim_de_semana")
+WEEK_SERIES = _axis("dim_data", "sk_data", "ano, semana_do_ano, dia_do_ano")
+NIGHT_PROFILE = _axis("dim_hora", "sk_hora", "flag_noturno, periodo_do_dia")
+LOCATION_PROFILE = _axis("dim_local", "sk_local", "categoria_local, flag_local_publico")
+MONTH_START_SERIES = (f"SELECT make_date(sk_mes // 100, sk_mes % 100, 1) AS primeiro_dia_mes, {_sum('qtd_ocorrencias')} AS ocorrencias "
+                      "FROM fct_desempenho_mensal WHERE sk_mes IN (SELECT sk_mes FROM dim_mes) GROUP BY sk_mes")
+_MEASURES = "qtd_ocorrencias", "qtd_prisoes", "qtd_domesticos", "qtd_sem_prisao"
+MONTHLY_REGROUPED = ("SELECT sk_mes, sk_distrito, sk_tipo_crime, " + ", ".join(f"CAST(sum({m}) AS INTEGER) AS {m}" for m in _MEASURES)
+                     + " FROM fct_desempenho_mensal GROUP BY ALL")
+STG_LENIENT = "SELECT id_ocorrencia, CAST(data_hora_ocorrencia AS VARCHAR) AS data_hora_ocorrencia, hora_ocorrencia FROM stg_crimes"
+UNIQUE_REGROUPED = f"SELECT CAST(count(*) AS BIGINT) AS linhas, CAST(count(DISTINCT (sk_mes, sk_distrito, sk_tipo_crime)) AS BIGINT) AS chaves FROM ({MONTHLY_REGROUPED}) m"

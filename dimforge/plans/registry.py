@@ -6,6 +6,7 @@ data; nothing is sampled or capped except where a top-k limit is the feature its
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +19,15 @@ from ..operators.joins import asof_join
 from ..operators.latest import latest_per_key
 from ..operators.scd2 import scd2_from_events, scd2_validity, with_current
 from ..session import scratch_path
+from ..sources.history import HistoryStore, run_snapshot
 from ..sources.landing import read_landing, write_landing
 from . import constants as K
 from . import oracle as O
 from . import profiling as P
 from . import quality as Q
 from . import reports as R
-from .warehouse import CRIME_CHECK, LATEST_ORDER, Warehouse
+from .staging import stage_crimes
+from .warehouse import CRIME_CHECK, GEO_CHECK, GEO_KEY, LATEST_ORDER, Warehouse, geo_state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -48,6 +51,8 @@ TIMESTAMP_COLUMNS = {
     "scd2_from_events": ["valido_de", "valido_ate"],
     "asof_join": ["data_hora_ocorrencia"],
     "drill_through": ["data_hora_ocorrencia"],
+    "month_start_series": ["primeiro_dia_mes"],
+    "history_store": ["dbt_valid_from", "dbt_valid_to"],
 }
 
 
@@ -89,6 +94,7 @@ def register(key: str, sql: str | None = None):
 
 
 _WAREHOUSES: dict[tuple, Warehouse] = {}
+_LOCK = threading.Lock()
 
 
 def wh(spark: SparkSession, sf_dir: str, **kw) -> Warehouse:
@@ -98,10 +104,21 @@ def wh(spark: SparkSession, sf_dir: str, **kw) -> Warehouse:
     the original's table models; later queries read those files instead of recomputing
     the chain (and the broadcast size checks count materialised rows).
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), tuple(sorted(kw.items())))
-    if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = Warehouse.from_sf(spark, sf_dir, materialize=True, **kw)
-    return _WAREHOUSES[key]
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _written(spark, sf_dir), tuple(sorted(kw.items())))
+    with _LOCK:
+        if key not in _WAREHOUSES:
+            _WAREHOUSES[key] = Warehouse.from_sf(spark, sf_dir, materialize=True, **kw)
+        return _WAREHOUSES[key]
+
+
+def _written(spark: SparkSession, sf_dir: str) -> tuple:
+    """When the two source tables were last changed, and their size, from the file system that holds them."""
+    out = []
+    for name in ("lineitem", "orders"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        out += [fs.getFileStatus(path).getModificationTime(), fs.getContentSummary(path).getLength()]
+    return tuple(out)
 
 
 def _model(key: str, attr: str | None = None, **kw):
@@ -127,6 +144,15 @@ register("snapshot_replay", O.with_models("SELECT * FROM snap_geografia"))(
     lambda spark, sf: wh(spark, sf, history="replay").snap_geografia)
 
 
+@register("history_store", O.with_models("SELECT * FROM snap_geografia"))
+def _history_store(spark, sf):
+    """The runs appended one after another to a persisted history, read back from its files."""
+    w, store = wh(spark, sf), HistoryStore(spark, scratch_path(spark, "history"))
+    for r in w.runs:
+        run_snapshot(store, geo_state(w.stg, r.geo_filter), GEO_KEY, GEO_CHECK, r.as_of)
+    return store.latest()
+
+
 # --- reports and semantic-model questions -----------------------------------------------
 
 def _report(key: str, fn, sql: str):
@@ -154,6 +180,17 @@ _report("ward_trend", R.ward_trend, O.WARD_TREND)
 _report("by_current_label", R.by_current_label, O.BY_CURRENT_LABEL)
 _report("district_then_now", R.district_then_now, O.DISTRICT_THEN_NOW)
 
+_report("weekday_profile", R.weekday_profile, O.WEEKDAY_PROFILE)
+_report("week_series", R.week_series, O.WEEK_SERIES)
+_report("night_profile", R.night_profile, O.NIGHT_PROFILE)
+_report("location_profile", R.location_profile, O.LOCATION_PROFILE)
+_report("month_start_series", R.month_start_series, O.MONTH_START_SERIES)
+_report("monthly_regrouped", R.monthly_regrouped, O.MONTHLY_REGROUPED)
+_report("unique_regrouped", lambda w: R.monthly_regrouped(w).agg(
+    F.count(F.lit(1)).alias("linhas"), F.count_distinct("sk_mes", "sk_distrito", "sk_tipo_crime").alias("chaves")), O.UNIQUE_REGROUPED)
+_report("stg_lenient", lambda w: stage_crimes(w.raw, lenient=True).select(
+    "id_ocorrencia", "data_hora_ocorrencia", "hora_ocorrencia"), O.STG_LENIENT)
+
 # --- profiling of the raw text table -----------------------------------------------------
 for _k, _sql in O.PROFILING.items():
     register(_k, O.with_models(_sql))(lambda spark, sf, _f=getattr(P, _k): _f(wh(spark, sf).raw))

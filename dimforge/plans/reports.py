@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import ratio_pct
 from ..operators.joins import broadcast_if_small, lookup_join
 from . import constants as K
-from .facts import CALENDAR_MONTHS, CALENDAR_ROWS
+from .facts import CALENDAR_MONTHS, CALENDAR_ROWS, fct_desempenho_mensal
 from .warehouse import Warehouse
 
 # Defaults that select data in the fixture years (2007-2013); the original's report
@@ -306,3 +306,50 @@ def district_then_now(w: Warehouse) -> DataFrame:
     """Incidents by historical district vs the beat's current district."""
     f = _fact_with(w, geo_cols=["district", "district_atual"])
     return f.groupBy("district", "district_atual").agg(F.sum("qtd_ocorrencia").alias("ocorrencias"))
+
+
+def _by_axis(w: Warehouse, key: str, dim, columns: list[str], known_rows: int | None = None) -> DataFrame:
+    """The fact summed to one dimension key, then to some of the dimension's attributes."""
+    c = w.fct_ocorrencias.groupBy(key).agg(*_counts())
+    d = broadcast_if_small(dim.select(key, *columns), known_rows=known_rows)
+    return c.join(d, key).groupBy(*columns).agg(F.sum("ocorrencias").alias("ocorrencias"), F.sum("prisoes").alias("prisoes"))
+
+
+def weekday_profile(w: Warehouse) -> DataFrame:
+    """Incidents by weekday and weekend flag (H7)."""
+    return _by_axis(w, "sk_data", w.dim_data, ["numero_dia_semana", "nome_dia_semana", "flag_fim_de_semana"], CALENDAR_ROWS)
+
+
+def week_series(w: Warehouse) -> DataFrame:
+    """Incidents by year and ISO week, with the day of the year the calendar gives (H6, H7)."""
+    return _by_axis(w, "sk_data", w.dim_data, ["ano", "semana_do_ano", "dia_do_ano"], CALENDAR_ROWS)
+
+
+def night_profile(w: Warehouse) -> DataFrame:
+    """Incidents by night flag and period of the day."""
+    return _by_axis(w, "sk_hora", w.dim_hora, ["flag_noturno", "periodo_do_dia"], 25)
+
+
+def location_profile(w: Warehouse) -> DataFrame:
+    """Incidents by location category and public-place flag."""
+    return _by_axis(w, "sk_local", w.dim_local, ["categoria_local", "flag_local_publico"])
+
+
+def month_start_series(w: Warehouse) -> DataFrame:
+    """Incidents of the monthly fact by first day of the month (H9)."""
+    c = w.fct_desempenho_mensal.groupBy("sk_mes").agg(F.sum("qtd_ocorrencias").alias("ocorrencias"))
+    return c.join(broadcast_if_small(w.dim_mes.select("sk_mes", "primeiro_dia_mes"), known_rows=CALENDAR_MONTHS), "sk_mes").select("primeiro_dia_mes", "ocorrencias")
+
+
+def _monthly(w: Warehouse, **options) -> DataFrame:
+    return fct_desempenho_mensal(w.fct_ocorrencias, w.dim_data, w.dim_geografia, w.dim_crime, w.dim_mes, w.dim_distrito, w.dim_tipo_crime, **options)
+
+
+def monthly_regrouped(w: Warehouse) -> DataFrame:
+    """The monthly fact at a unique grain: rows of equal keys summed."""
+    return _monthly(w, regroup=True)
+
+
+def monthly_with_closed(w: Warehouse) -> DataFrame:
+    """The monthly fact with closed districts under their own key."""
+    return _monthly(w, include_closed=True)

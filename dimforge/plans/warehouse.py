@@ -80,11 +80,16 @@ class Warehouse:
         materialize: bool = False,
         lenient: bool = False,
         backdate_per_key: bool = False,
+        include_closed: bool = False,
+        regroup: bool = False,
+        unknown_day: bool = False,
         out_root: str | None = None,
         run_label: str | None = None,
         preset: dict[str, DataFrame] | None = None,
     ):
-        """``runs`` are the snapshot runs to take (none if ``preset`` has both histories). ``preset`` supplies already built models by name (e.g. persisted snapshot
+        """``runs`` are the snapshot runs to take (none if ``preset`` has both histories).
+        ``include_closed``, ``regroup`` and ``unknown_day`` choose the documented intent over the original's
+        behaviour (closed districts keep their key, unique monthly grain, a -1 day). ``preset`` supplies already built models by name (e.g. persisted snapshot
         histories instead of computing them from ``runs``); ``out_root`` writes every model
         to ``<out_root>/<model>/<run_label>`` (a new folder per run, never one that is being
         read) instead of scratch space."""
@@ -95,6 +100,7 @@ class Warehouse:
         self.materialize = materialize or out_root is not None
         self.lenient = lenient
         self.backdate_per_key = backdate_per_key
+        self.include_closed, self.regroup, self.unknown_day = include_closed, regroup, unknown_day
         self.out_root = out_root.rstrip("/") if out_root else None
         self.run_label = run_label or "run"
         for name, df in (preset or {}).items():
@@ -134,7 +140,7 @@ class Warehouse:
     # the broadcast checks instead of being counted.
     @cached_property
     def dim_data(self) -> DataFrame:
-        return _known(dims.dim_data(self.spark), facts.CALENDAR_ROWS)
+        return _known(dims.dim_data(self.spark, self.unknown_day), facts.CALENDAR_ROWS + self.unknown_day)
 
     @cached_property
     def dim_hora(self) -> DataFrame:
@@ -182,7 +188,8 @@ class Warehouse:
         return self._m(
             "fct_desempenho_mensal",
             facts.fct_desempenho_mensal(self.fct_ocorrencias, self.dim_data, self.dim_geografia, self.dim_crime,
-                                        self.dim_mes, self.dim_distrito, self.dim_tipo_crime),
+                                        self.dim_mes, self.dim_distrito, self.dim_tipo_crime,
+                                        self.include_closed, self.regroup),
             sort_within=["sk_mes"],
         )
 
@@ -256,6 +263,7 @@ def build_run(
     lenient: bool = False,
     enforce_unique: bool = True,
     threads: int = 4,
+    **options,
 ) -> Warehouse:
     """M15, production path: one incremental run of the whole warehouse.
 
@@ -266,6 +274,7 @@ def build_run(
     same ``as_of`` after a failure is safe: its folders are replaced and the snapshot runs
     are not repeated. ``enforce_unique`` fails the build on a duplicated unique key, as a
     unique index would. Independent models are built as concurrent jobs (``threads``).
+    ``options`` go to ``Warehouse``.
     Run the data tests with ``plans.quality.run`` on the result.
     """
     label = f"as_of={as_of:%Y%m%d%H%M%S}"
@@ -280,7 +289,7 @@ def build_run(
         assert_unique(stg, UNIQUE_KEYS["stg_crimes"], "stg_crimes")
     crime = run_snapshot(HistoryStore(spark, f"{root}/snap_crime"), crime_state(stg), CRIME_KEY, CRIME_CHECK, as_of)
     geo = run_snapshot(HistoryStore(spark, f"{root}/snap_geografia"), geo_state(stg), GEO_KEY, GEO_CHECK, as_of)
-    w = Warehouse(spark, raw, (), lenient=lenient, out_root=root, run_label=label,
+    w = Warehouse(spark, raw, (), lenient=lenient, **options, out_root=root, run_label=label,
                   preset={"stg_crimes": stg, "snap_crime": crime, "snap_geografia": geo})
     built = w.build(threads, waves=Warehouse.WAVES[2:])
     if enforce_unique:

@@ -6,7 +6,8 @@ by partition discovery). Readers take the newest *logged* run and read only that
 partition (partition pruning), so finding it never scans old runs, and a run that failed
 before its log entry is never visible. A run never overwrites the files it reads, and
 older partitions remain as time travel. Re-submitting an already logged run number is a
-no-op, which makes retries (including streaming micro-batch replays) idempotent.
+no-op, which makes retries idempotent. Streams log (stream, batch) beside the run number, so
+that a replayed micro-batch is recognised and numbers of other runs never stand for batches.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from ..operators.scd2 import snapshot_merge
 
 RUN_COL = "snapshot_run"
+LOG_SCHEMA = f"{RUN_COL} int, as_of timestamp_ntz, committed_at timestamp, stream string, batch long"
 
 
 @dataclass(frozen=True)
@@ -44,13 +46,25 @@ class HistoryStore:
     def runs(self) -> DataFrame | None:
         """The run log: one row per committed run (run number, commit time)."""
         try:
-            return self.spark.read.parquet(self._log)
-        except AnalysisException:
+            return self.spark.read.schema(LOG_SCHEMA).parquet(self._log)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
     def last_run(self) -> int | None:
         log = self.runs()
-        return None if log is None else log.agg(F.max(RUN_COL)).first()[0]
+        if log is None:
+            return None
+        last = log.agg(F.max(RUN_COL)).first()[0]
+        if last is None:
+            raise RuntimeError(f"{self._log} exists but holds no run; refusing to start over")
+        return last
+
+    def has_batch(self, stream: str, batch: int) -> bool:
+        """Whether this micro-batch of the stream is committed."""
+        log = self.runs()
+        return log is not None and not log.where((F.col("stream") == stream) & (F.col("batch") == batch)).isEmpty()
 
     def latest(self) -> DataFrame | None:
         """History as of the newest committed run (None before the first run)."""
@@ -58,7 +72,7 @@ class HistoryStore:
         return None if last is None else self.at_run(last)
 
     def at_run(self, run: int) -> DataFrame:
-        return self.spark.read.parquet(self.root).where(F.col(RUN_COL) == run).drop(RUN_COL)
+        return self.spark.read.parquet(f"{self.root}/{RUN_COL}={run}")
 
     def run_at(self, as_of: dt.datetime) -> int | None:
         """The run number committed for ``as_of`` (None if there is none)."""
@@ -76,7 +90,7 @@ class HistoryStore:
         row = log.orderBy(F.col(RUN_COL).desc()).select("as_of").first()
         return row[0] if row else None
 
-    def append(self, history: DataFrame, run: int, as_of: dt.datetime | None = None) -> bool:
+    def append(self, history: DataFrame, run: int, as_of: dt.datetime | None = None, stream: str | None = None, batch: int | None = None) -> bool:
         """Commit ``history`` as run ``run``; returns False if that run is already logged."""
         last = self.last_run()
         if last is not None and run <= last:
@@ -87,7 +101,8 @@ class HistoryStore:
          .option("partitionOverwriteMode", "dynamic").partitionBy(RUN_COL).parquet(self.root))
         as_of_col = F.lit(as_of.isoformat(sep=" ") if as_of else None).cast("timestamp_ntz")
         (self.spark.range(1).select(F.lit(run).alias(RUN_COL), as_of_col.alias("as_of"),
-                                    F.current_timestamp().alias("committed_at"))
+                                    F.current_timestamp().alias("committed_at"), F.lit(stream).cast("string").alias("stream"),
+                                    F.lit(batch).cast("long").alias("batch"))
          .write.mode("append").parquet(self._log))
         return True
 

@@ -8,8 +8,8 @@ Here new raw files dropped into a landing folder are picked up incrementally:
   arrived and stops, so it runs as a scheduled job too.
 * ``stream_snapshots`` - the latest state per natural key is a streaming aggregation
   (``max_by`` keeps one row of state per key); every micro-batch is one snapshot run:
-  its complete state is merged into the persisted history (``HistoryStore``). The run
-  number is derived from the batch id, so a replayed batch is a no-op.
+  its complete state is merged into the persisted history (``HistoryStore``) under the next
+  run number; the log keeps (stream, batch id), so a replayed batch is a no-op.
 
 Both keep all state inside Spark (checkpointed state store); nothing passes through the
 driver except the batch id.
@@ -81,18 +81,20 @@ def stream_snapshots(
     """
     src = staged if where is None else staged.where(where)
     src = src.where(F.col(key).isNotNull())
+    stream = checkpoint_dir.rstrip("/")  # batch ids count within a checkpoint
     latest = src.groupBy(key).agg(
         F.max_by(F.struct(*check_cols), F.struct(ts, tie)).alias("_v")
     )
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        if store.has_batch(stream, batch_id):
+            batch.write.format("noop").mode("overwrite").save()  # a replay: the state store has to see its batch consumed
+            return
         last = store.last_run()
-        if last is not None and batch_id <= last:
-            return  # replay of a committed batch
         state = batch.select(key, "_v.*")
         as_of = clock()
         merged = snapshot_merge(state, key, check_cols, as_of, history=store.latest())
-        store.append(merged, batch_id, as_of)
+        store.append(merged, 0 if last is None else last + 1, as_of, stream, batch_id)
 
     w = latest.writeStream.outputMode("complete").foreachBatch(merge_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -126,3 +126,41 @@ def test_command_line_round_trip(spark, tmp_path, capsys):
     assert main(["profile", "--raw", landing], spark) == 0
     out = capsys.readouterr().out
     assert "built run" in out and "prof_beat_2012_share" in out and "total_registros" in out
+
+
+def test_replayed_batches_old_stores_and_damaged_logs(spark, tmp_path):
+    import os
+
+    import pytest
+
+    from dimforge.streaming.incremental import stream_snapshots
+
+    store = HistoryStore(spark, str(tmp_path / "h"))
+    start = spark.createDataFrame([(1, 11)], "beat int, district int")
+    for n in range(3):  # an old store with batch runs of its own
+        run_snapshot(store, start, GEO_KEY, GEO_CHECK, dt.datetime(2010, 1, 1 + n))
+    staged = str(tmp_path / "staged")
+    rows = "beat int, district int, t timestamp_ntz, id long"
+    spark.createDataFrame([(1, 12, dt.datetime(2011, 1, 1), 1), (2, 20, dt.datetime(2011, 1, 1), 2)], rows).write.parquet(staged)
+
+    def run(as_of):
+        src = spark.readStream.schema(rows).parquet(staged)
+        stream_snapshots(src, store, GEO_KEY, GEO_CHECK, "t", "id", str(tmp_path / "ckpt"), clock=lambda: as_of).awaitTermination()
+
+    run(dt.datetime(2011, 2, 1))
+    assert store.last_run() == 3  # batch 0 of a new stream is not run 0 of the store
+    assert {(r.beat, r.district) for r in store.latest().where("dbt_valid_to IS NULL").collect()} == {(1, 12), (2, 20)}
+    commits = tmp_path / "ckpt" / "commits"
+    for name in ("0", ".0.crc"):
+        if (commits / name).exists():
+            os.remove(commits / name)  # the history was committed, the stream was not: batch 0 is replayed
+    run(dt.datetime(2011, 3, 1))
+    assert store.last_run() == 3
+    spark.createDataFrame([(3, 30, dt.datetime(2012, 1, 1), 3)], rows).write.mode("append").parquet(staged)
+    run(dt.datetime(2012, 2, 1))
+    assert store.last_run() == 4 and store.latest().where("beat = 3").count() == 1
+
+    os.makedirs(tmp_path / "empty" / "_runs")
+    with pytest.raises(Exception):
+        HistoryStore(spark, str(tmp_path / "empty")).last_run()
+    assert HistoryStore(spark, str(tmp_path / "none")).last_run() is None

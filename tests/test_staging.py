@@ -111,3 +111,23 @@ def test_write_table_layout_round_trip(spark, tmp_path):
     write_table(df.where("id < 10"), path, mode="overwrite", partition_by=["ano"])
     assert read_table(spark, path).count() == 10
     assert as_view(read_table(spark, path), "t_view").sparkSession.table("t_view").count() == 10
+
+
+def test_lenient_timestamps_equal_strict_ones_in_any_zone(spark):
+    from pyspark.sql import functions as F
+
+    from dimforge.functions.time import parse_us_timestamp
+
+    good = ["03/10/2013 02:30:00 AM", "3/10/2013 2:30:00 AM", "11/03/2013 01:30:00 AM", "12/31/1999 12:00:00 AM", "01/01/2001 12:59:59 PM", "02/29/2012 11:59:59 PM", "7/4/2020 9:05:06 pm"]
+    bad = ["02/30/2012 01:00:00 AM", "13/01/2012 01:00:00 AM", "01/01/2012 13:00:00 AM", "01/01/2012 00:10:00 AM", "01/01/2012 01:60:00 AM", "01/01/2012 01:00:60 AM", "garbage", "", None]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("America/Chicago", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            df = spark.createDataFrame([(t,) for t in good], "t string")
+            both = df.select(parse_us_timestamp(F.col("t")).alias("a"), parse_us_timestamp(F.col("t"), lenient=True).alias("b")).collect()
+            assert all(r.a == r.b and r.a is not None for r in both)
+            none = spark.createDataFrame([(t,) for t in bad], "t string").select(parse_us_timestamp(F.col("t"), lenient=True).alias("b")).collect()
+            assert all(r.b is None for r in none)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -15,7 +15,7 @@ def w(spark):
 
 def test_no_incident_is_lost(w):
     n = w.stg.count()
-    assert n == 45832
+    assert n == 60000  # one incident per lineitem row
     assert w.fct_ocorrencias.count() == n
     assert w.fct_ocorrencias.select("id_ocorrencia").distinct().count() == n
 
@@ -37,8 +37,23 @@ def test_replay_equals_folded_runs(spark, w):
 def test_unknown_geography_rows(w):
     f = w.fct_ocorrencias.where(F.col("sk_geografia") == "-1")
     null_beat = w.stg.where(F.col("beat").isNull()).count()
-    assert null_beat == 1166
-    assert f.count() == null_beat + 145  # 145 incidents fall in the closed gap of the 24xx beats
+    assert null_beat == w.raw.where("beat IS NULL").count() > 0
+    # run 2 closes the 24xx beats, run 3 reopens them
+    gap = w.stg.where("beat >= 2400 AND data_hora_ocorrencia >= '2012-06-01' AND data_hora_ocorrencia < '2013-01-01'").count()
+    assert gap > 0 and f.count() == null_beat + gap
+
+
+def test_no_runs_are_invented(spark):
+    """Beats of 2400 and more keep their geography unless the caller's runs close them."""
+    import datetime as dt
+
+    from conftest import raw_rows, row
+
+    from dimforge.plans.warehouse import SnapshotRun, Warehouse
+
+    rows = [row(id=str(i), beat=b, date="07/01/2012 10:00:00 AM") for i, b in enumerate(["2411", "2433", "0421", "9999"], 1)]
+    w = Warehouse(spark, raw_rows(spark, rows), [SnapshotRun(dt.datetime(2013, 1, 1))])
+    assert w.fct_ocorrencias.where("sk_geografia = '-1'").count() == 0
 
 
 def test_monthly_fact_sums_equal_transaction_fact(w):
