@@ -36,7 +36,7 @@ END = 0
 SHARD_IDS = 1 << 21  # ids after which a shard is closed; a document is never split
 _MAGIC, _HEAD = b"WMX1", struct.Struct("<4Q")
 _RANK_BITS = 512
-_CACHED = 1_500_000  # words that a worker remembers
+_CACHED = 2_000_000  # words that a worker remembers
 
 
 class WaveletMatrix:
@@ -227,11 +227,12 @@ class Encoder:
         if None in ids:
             if len(known) > _CACHED:
                 known.clear()
-            for k, (word, x) in enumerate(zip(words, ids)):
-                if x is None:
-                    if (x := known.get(word)) is None:
-                        x = known[word] = self._word(word)
-                    ids[k] = x
+            k = -1
+            for _ in range(ids.count(None)):
+                k = ids.index(None, k + 1)
+                if (x := known.get(words[k])) is None:
+                    x = known[words[k]] = self._word(words[k])
+                ids[k] = x
         return np.frombuffer(b"".join(ids), self.dtype)
 
     @staticmethod
