@@ -30,11 +30,6 @@ def date_key(d: Column) -> Column:
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
-def month_key(year: Column, month: Column) -> Column:
-    """Smart integer key YYYYMM."""
-    return (year * 100 + month).cast("int")
-
-
 def iso_weekday(d: Column) -> Column:
     """Monday=1 .. Sunday=7."""
     return ((F.dayofweek(d) + 5) % 7 + 1).cast("int")

@@ -55,8 +55,3 @@ def in_ranges(c: Column, ranges: Sequence[tuple[int, int]]) -> Column:
         cond = t if cond is None else (cond | t)
     return cond
 
-
-def shrink(dim: DataFrame, cols: Sequence[str], where: Column | str | None = None) -> DataFrame:
-    """Shrunken dimension (M13): distinct rows of a subset of columns of a finer one."""
-    src = dim if where is None else dim.where(where)
-    return src.select(*cols).distinct()

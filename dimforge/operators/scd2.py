@@ -121,17 +121,21 @@ def run_states(
     order_by: Sequence[str],
     where: str | None = None,
 ) -> DataFrame:
-    """Latest ``attrs`` per ``key`` for every run in ONE scan: each row is tagged with the
-    runs whose filter (SQL text) it passes, exploded map-side, and ``max_by`` is partially
-    aggregated per (run, key). Returns ``_run`` (0-based), ``key``, ``attrs``."""
+    """Latest ``attrs`` per ``key`` for every run in one scan of ``df``.
+
+    Each row gets the set of runs whose filter (SQL text) it passes, and the latest row per (set, key) is
+    partially aggregated; only those few rows are then counted towards every run of their set. Time cuts
+    make at most one set more than there are runs. Returns ``_run`` (0-based), ``key``, ``attrs``.
+    """
     src = df.where(F.col(key).isNotNull())
     if where:
         src = src.where(where)
-    tags = F.array(*[F.when(F.expr(f"({f})"), F.lit(i)) for i, f in enumerate(filters)])
-    tagged = src.select(F.explode(tags).alias("_run"), key, *attrs, *order_by).where(F.col("_run").isNotNull())
-    return tagged.groupBy("_run", key).agg(
-        F.max_by(F.struct(*attrs), F.struct(*order_by)).alias("_v")
-    ).select("_run", key, "_v.*")
+    passed = F.concat(*[F.when(F.expr(f"({f})"), "1").otherwise("0") for f in filters])
+    best = F.max_by(F.struct(*attrs), F.struct(*order_by)).alias("_v")
+    latest = src.select(passed.alias("_set"), key, *attrs, *order_by).groupBy("_set", key).agg(best, F.max(F.struct(*order_by)).alias("_at"))
+    runs = F.array_compact(F.array(*[F.when(F.substring("_set", i + 1, 1) == "1", F.lit(i)) for i in range(len(filters))]))
+    per_run = latest.select(F.explode(runs).alias("_run"), key, "_v", "_at")
+    return per_run.groupBy("_run", key).agg(F.max_by("_v", "_at").alias("_v")).select("_run", key, "_v.*")
 
 
 def replay_indexed(
@@ -224,36 +228,27 @@ def scd2_from_events(
     ts: str,
     tie: str,
     end: dt.datetime,
-    bucket: str = "day",
+    bucket: str = "hour",
 ) -> DataFrame:
     """K9: versions from event history - a new version starts at the first event whose
     ``attr`` differs from the key's previous event (ordered by ``ts``, then ``tie``).
 
-    Two levels so a hot key never lands in one task with all its events:
-    (1) islands inside each (key, time bucket) via a window over that bucket only;
-    (2) merge of adjacent islands per key; their count is bounded by the number of
-        changes plus the key's non-empty buckets (~9.5k days over 26 years), not by
-        the number of events.
+    Events are compared inside (key, time bucket) only, so neither a hot key nor one that alternates
+    with every event lands in one task. What a bucket has to know of the others, the attribute before
+    its first event and the next change after its last, comes from one pre-aggregated row per key and bucket.
     Events with NULL key, attribute or time are ignored.
     """
     e = events.where(F.col(key).isNotNull() & F.col(attr).isNotNull() & F.col(ts).isNotNull()).select(
-        key, attr, ts, tie, F.date_trunc(bucket, F.col(ts)).alias("_b")
-    )
-    wb = Window.partitionBy(key, "_b").orderBy(ts, tie)
-    chg = (F.lag(attr).over(wb).isNull() | (F.lag(attr).over(wb) != F.col(attr))).cast("int")
-    isl = e.withColumn("_i", F.sum(chg).over(wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    islands = isl.groupBy(key, "_b", "_i").agg(
-        F.first(attr).alias(attr),
-        F.min(F.struct(ts, tie)).alias("_first"),
-    )
-    wk = Window.partitionBy(key).orderBy("_first")
-    merged = islands.withColumn("_prev", F.lag(attr).over(wk)).where(
-        F.col("_prev").isNull() | (F.col("_prev") != F.col(attr))
-    )
-    wk2 = Window.partitionBy(key).orderBy("_first")
-    return merged.select(
-        key,
-        attr,
-        F.col("_first").getField(ts).alias("valido_de"),
-        F.coalesce(F.lead(F.col("_first").getField(ts)).over(wk2), _ts(end)).alias("valido_ate"),
-    )
+        F.col(key).alias("_k"), F.col(attr).alias("_a"), F.col(ts).alias("_ts"), F.col(tie).alias("_tie"),
+        F.date_trunc(bucket, F.col(ts)).alias("_b"))
+    inside = Window.partitionBy("_k", "_b").orderBy("_ts", "_tie")
+    buckets = Window.partitionBy("_k").orderBy("_b")
+    last = e.groupBy("_k", "_b").agg(F.max_by("_a", F.struct("_ts", "_tie")).alias("_last"))
+    before = last.select("_k", "_b", F.lag("_last").over(buckets).alias("_before"))
+    seen = e.withColumn("_prev", F.lag("_a").over(inside)).join(before, ["_k", "_b"])
+    prev = F.coalesce("_prev", "_before")
+    changes = seen.where(prev.isNull() | (prev != F.col("_a"))).select("_k", "_b", "_a", "_ts", "_tie")
+    after = changes.groupBy("_k", "_b").agg(F.min("_ts").alias("_first")).select("_k", "_b", F.lead("_first").over(buckets).alias("_after"))
+    ended = changes.withColumn("_next", F.lead("_ts").over(inside)).join(after, ["_k", "_b"])
+    return ended.select(F.col("_k").alias(key), F.col("_a").alias(attr), F.col("_ts").alias("valido_de"),
+                        F.coalesce("_next", "_after", _ts(end)).alias("valido_ate"))

@@ -2,7 +2,7 @@
 
 ``fct_ocorrencias``: one row per staged incident, never dropped. Four equi lookups and two
 as-of lookups against size-checked broadcast dimensions: the fact is built in a single
-map-only stage - it is never shuffled.
+map-only stage without a shuffle; writing it as a table deals it to even files by year.
 
 ``fct_desempenho_mensal``: month x district x type, additive measures only. The grain is
 reduced first (broadcast joins to the three dimensions, then a partial + final
@@ -23,6 +23,10 @@ CALENDAR_MONTHS = ((K.CALENDAR_END.year - K.CALENDAR_START.year) * 12
                    + K.CALENDAR_END.month - K.CALENDAR_START.month + 1)
 
 
+# Year of the incident's date key (0: unknown date), the column the written fact is partitioned by.
+YEAR = "ano_fato"
+
+
 def fct_ocorrencias(
     stg: DataFrame,
     dim_data: DataFrame,
@@ -57,6 +61,7 @@ def fct_ocorrencias(
         F.lit(1).alias("qtd_ocorrencia"),
         F.when(F.col("flag_prisao"), 1).otherwise(0).alias("qtd_prisao"),
         F.when(F.col("flag_domestico"), 1).otherwise(0).alias("qtd_domestico"),
+        (F.col("sk_data") / 10000).cast("int").alias(YEAR),
     )
 
 

@@ -9,7 +9,7 @@ reorders the conjuncts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio_pct
@@ -103,13 +103,18 @@ def prof_iucr_varies(raw: DataFrame) -> DataFrame:
 def prof_description_drift(raw: DataFrame, top: int = 30) -> DataFrame:
     """Spellings per code with their year range - first ``top`` (the report limit).
 
-    IN (sub-query) becomes a left semi join with the small set of drifting codes.
-    Ties after (code, first year) are broken by the remaining keys so the cut is stable.
+    The raw rows are counted once per (spelling, year); which codes drift, and their spellings,
+    both come from those few rows. Ties after (code, first year) are broken by the remaining
+    keys so the cut is stable.
     """
-    drifting = raw.groupBy("iucr").agg(F.countDistinct("description").alias("n")).where(F.col("n") > 1).select("iucr")
     keys = ["iucr", "primary_type", "description", "fbi_code"]
+    counted = raw.groupBy(*keys, "year").agg(F.count(F.lit(1)).alias("_n"))
+    spellings = counted.groupBy(*keys).agg(F.min("year").alias("primeiro_ano"), F.max("year").alias("ultimo_ano"), F.sum("_n").alias("qtd"))
+    # more than one description (NULL is none): the least and the greatest differ; few spellings a code
+    differ = Window.partitionBy("iucr")
+    drifting = spellings.withColumn("_lo", F.min("description").over(differ)).withColumn("_hi", F.max("description").over(differ)).where("iucr IS NOT NULL AND _lo <> _hi")
     return (
-        _year_range_counts(raw.join(drifting, "iucr", "left_semi"), keys)
+        drifting.select(*spellings.columns)
         .orderBy(F.col("iucr").asc_nulls_last(), F.col("primeiro_ano").asc_nulls_last(),
                  *[F.col(c).asc_nulls_last() for c in keys[1:]])
         .limit(top)

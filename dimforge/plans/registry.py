@@ -26,6 +26,7 @@ from . import oracle as O
 from . import profiling as P
 from . import quality as Q
 from . import reports as R
+from .facts import YEAR
 from .staging import stage_crimes
 from .warehouse import CRIME_CHECK, GEO_CHECK, GEO_KEY, LATEST_ORDER, Warehouse, geo_state
 
@@ -124,7 +125,7 @@ def _written(spark: SparkSession, sf_dir: str) -> tuple:
 def _model(key: str, attr: str | None = None, **kw):
     sql = (f"SELECT * REPLACE (CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude) FROM {key}"
            if key in ("stg_crimes", "fct_ocorrencias") else f"SELECT * FROM {key}")
-    register(key, O.with_models(sql))(lambda spark, sf: getattr(wh(spark, sf, **kw), attr or key))
+    register(key, O.with_models(sql))(lambda spark, sf: getattr(wh(spark, sf, **kw), attr or key).drop(YEAR))
 
 
 # --- models -------------------------------------------------------------------------

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import ratio_pct
 from ..operators.joins import broadcast_if_small, lookup_join
 from . import constants as K
-from .facts import CALENDAR_MONTHS, CALENDAR_ROWS, fct_desempenho_mensal
+from .facts import CALENDAR_MONTHS, CALENDAR_ROWS, YEAR, fct_desempenho_mensal
 from .warehouse import Warehouse
 
 # Defaults that select data in the fixture years (2007-2013); the original's report
@@ -57,9 +57,9 @@ def ratio_measure(df: DataFrame, keys: list[str], num: str, den: str, out: str =
 
 def date_key_range(year_from: int, year_to: int) -> Column:
     """The smart YYYYMMDD key makes a year range a key range: pushed into the fact scan,
-    it prunes row groups (the fact files are sorted by ``sk_data``). Same rows as the
+    it prunes whole years (the fact's partitions) and row groups (its files are sorted by ``sk_data``). Same rows as the
     calendar join alone; the unknown key -1 is outside every range."""
-    return F.col("sk_data").between(year_from * 10000 + 101, year_to * 10000 + 1231)
+    return F.col(YEAR).between(year_from, year_to) & F.col("sk_data").between(year_from * 10000 + 101, year_to * 10000 + 1231)
 
 
 def _p1_base(w: Warehouse, year_from: int, year_to: int, district: int) -> DataFrame:
@@ -212,10 +212,10 @@ def drill_through_cells(w: Warehouse, cells: DataFrame, max_rows: int = 1_000_00
     categoria_analitica) - a left semi join of the fact, enriched with the cell keys by
     broadcast lookups, against the (size-checked) cell set. The cells' date range is
     pushed into the fact scan as a key range first."""
-    lo, hi = cells.agg(F.min(F.col("ano") * 10000 + F.col("numero_mes") * 100 + 1),
-                       F.max(F.col("ano") * 10000 + F.col("numero_mes") * 100 + 31)).first()  # two scalars
-    f = w.fct_ocorrencias
-    f = f.where(F.col("sk_data").between(lo, hi)) if lo is not None else f.where(F.lit(False))
+    month = F.col("ano") * 10000 + F.col("numero_mes") * 100
+    lo, hi = cells.select(F.min(month + 1)).scalar(), cells.select(F.max(month + 31)).scalar()  # no cell: NULL, no row
+    years = [cells.select(x("ano")).scalar() for x in (F.min, F.max)]
+    f = w.fct_ocorrencias.where(F.col(YEAR).between(*years) & F.col("sk_data").between(lo, hi))
     f = _join(f, w.dim_data, "sk_data", ["ano", "numero_mes"], known_rows=CALENDAR_ROWS)
     f = _join(f, w.dim_geografia, "sk_geografia", ["district"])
     f = _join(f, w.dim_crime, "sk_crime", ["categoria_analitica"])
@@ -227,7 +227,7 @@ def drill_through(w: Warehouse, ano=2012, numero_mes=6, district=12, categoria_a
     """O11 for one selected cell: left semi joins with the filtered dimensions (the cell's
     month is also pushed into the fact scan as a date-key range)."""
     first = ano * 10000 + numero_mes * 100
-    f = w.fct_ocorrencias.where(F.col("sk_data").between(first + 1, first + 31))
+    f = w.fct_ocorrencias.where((F.col(YEAR) == ano) & F.col("sk_data").between(first + 1, first + 31))
     d = w.dim_data.where((F.col("ano") == ano) & (F.col("numero_mes") == numero_mes)).select("sk_data")
     g = w.dim_geografia.where(F.col("district") == district).select("sk_geografia")
     c = w.dim_crime.where(F.col("categoria_analitica") == categoria_analitica).select("sk_crime")
@@ -289,7 +289,7 @@ def yearly_trend(w: Warehouse) -> DataFrame:
 def ward_trend(w: Warehouse) -> DataFrame:
     """Ward analysis only from the first year with ward coverage."""
     f = _fact_with(w, date_cols=["ano"], geo_cols=["ward"], date_where=F.col("ano") >= K.WARD_COVERAGE_FROM,
-                   fact_where=F.col("sk_data") >= K.WARD_COVERAGE_FROM * 10000 + 101)
+                   fact_where=(F.col(YEAR) >= K.WARD_COVERAGE_FROM) & (F.col("sk_data") >= K.WARD_COVERAGE_FROM * 10000 + 101))
     return f.groupBy("ano", "ward").agg(*_counts())
 
 

@@ -114,11 +114,11 @@ class Warehouse:
             raw = _materialize(spark, raw, "crimes_raw")
         return cls(spark, raw, kw.pop("runs", FIXTURE_RUNS), **kw)
 
-    def _m(self, name: str, df: DataFrame, sort_within=None) -> DataFrame:
+    def _m(self, name: str, df: DataFrame, sort_within=None, partition_by=None) -> DataFrame:
         if self.out_root is not None:
             path = f"{self.out_root}/{name}/{self.run_label}"
-            return write_observed(self.spark, df, path, "overwrite", sort_within)  # a retry replaces its folder
-        return _materialize(self.spark, df, name, sort_within) if self.materialize else df
+            return write_observed(self.spark, df, path, "overwrite", sort_within, partition_by)  # a retry replaces its folder
+        return _materialize(self.spark, df, name, sort_within, partition_by) if self.materialize else df
 
     def _snapshots(self, key, check, state_fn, filt) -> DataFrame:
         f = replay_snapshots if self.history == "replay" else fold_snapshots
@@ -181,6 +181,7 @@ class Warehouse:
             facts.fct_ocorrencias(self.stg, self.dim_data, self.dim_hora, self.dim_local, self.dim_flags,
                                   self.dim_crime, self.dim_geografia),
             sort_within=["sk_data"],  # YYYYMMDD key: date-range predicates prune row groups
+            partition_by=facts.YEAR,  # and whole years' files
         )
 
     @cached_property

@@ -8,6 +8,7 @@ Only when that setting is absent (local runs, tests) do we pick a folder ourselv
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -54,7 +55,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if existing:
         # setCheckpointDir appends a random sub-folder; use its parent as root
         return existing.rstrip("/").rsplit("/", 1)[0]
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local($|\[)", spark.sparkContext.master):  # local-cluster has executors of its own
         raise RuntimeError(
             f"{CHECKPOINT_CONF} is not set: on a cluster it must name a shared, reliable folder "
             "(HDFS/object store); machine-local scratch space is not safe when executors are lost."
@@ -70,11 +71,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def bench_cpus(default: int = 8) -> int:
-    return int(os.environ.get("BENCH_CPUS", default))
-
-
-def cluster_conf(input_bytes: int, total_cores: int, target_bytes: int = 256 << 20) -> dict[str, str]:
+def cluster_conf(input_bytes: int, total_cores: int, target_bytes: int = 256 << 20, max_shuffle_partitions: int = 50_000) -> dict[str, str]:
     """Settings for a large cluster run, sized from the raw input volume.
 
     * scan splits of ``target_bytes`` (tasks ~ input / 256 MB);
@@ -86,7 +83,7 @@ def cluster_conf(input_bytes: int, total_cores: int, target_bytes: int = 256 <<
     Broadcasts are decided by our own row-count checks, so Spark's estimate-based
     auto-broadcast keeps its default.
     """
-    n_shuffle = int(max(2 * total_cores, min(input_bytes // (8 * target_bytes), 50_000)))
+    n_shuffle = int(max(2 * total_cores, min(input_bytes // (8 * target_bytes), max_shuffle_partitions)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

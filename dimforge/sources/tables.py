@@ -63,7 +63,7 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def materialize(
-    spark: SparkSession, df: DataFrame, name: str, sort_within: Sequence[str] | None = None
+    spark: SparkSession, df: DataFrame, name: str, sort_within: Sequence[str] | None = None, partition_by: str | None = None
 ) -> DataFrame:
     """Write ``df`` to a fresh folder below the shared checkpoint root and read it back.
 
@@ -73,13 +73,14 @@ def materialize(
     file so Parquet row-group min/max statistics prune range filters on those columns.
     """
     path = scratch_path(spark, name)
-    return write_observed(spark, df, path, "errorifexists", sort_within)
+    return write_observed(spark, df, path, "errorifexists", sort_within, partition_by)
 
 
 def write_observed(
-    spark: SparkSession, df: DataFrame, path: str, mode: str = "errorifexists", sort_within: Sequence[str] | None = None
+    spark: SparkSession, df: DataFrame, path: str, mode: str = "errorifexists", sort_within: Sequence[str] | None = None,
+    partition_by: str | None = None,
 ) -> DataFrame:
-    """Write ``df`` as Parquet and read it back; the exact row count is observed as a metric
+    """Write ``df`` as Parquet, in a folder per value of ``partition_by``, and read it back; the exact row count is observed as a metric
     of the write itself (no extra job) and remembered for later broadcast size checks."""
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
@@ -88,9 +89,13 @@ def write_observed(
 
     obs = Observation()
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if sort_within:
-        out = out.sortWithinPartitions(*sort_within)
-    out.write.mode(mode).parquet(path)
-    back = spark.read.parquet(path)
+    writer_keys = [*([partition_by] if partition_by else []), *(sort_within or [])]
+    if partition_by:  # files of an even size: small values share a task, large ones are split
+        out = out.hint("rebalance", partition_by)
+    if writer_keys:
+        out = out.sortWithinPartitions(*writer_keys)
+    writer = out.write.mode(mode)
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path).select(*df.columns)
     remember_row_count(back, obs.get["rows"])
     return back

@@ -157,3 +157,36 @@ def test_run_states_one_pass_equals_per_run_latest(spark):
         for r in latest_per_key(df, "k", ["v"], ["ts", "id"], where=f).collect():
             want.append((i, r.k, r.v))
     assert got == _sorted(want)
+
+
+def test_versions_of_a_hot_key_that_alternates_with_every_event(spark):
+    """One key holds a third of the events and changes with each of them, in one day and across days."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from dimforge.operators.scd2 import scd2_from_events
+
+    t0 = dt.datetime(2010, 1, 1)
+    data = [(7, i % 2, t0 + dt.timedelta(minutes=7 * i), i) for i in range(600)]
+    data += [(i % 50, i // 400, t0 + dt.timedelta(minutes=11 * i), 10_000 + i) for i in range(1200) if i % 50 != 7]
+    data += [(9, None, t0, 1), (None, 1, t0, 2), (3, 1, None, 3)]
+    got = scd2_from_events(spark.createDataFrame(data, "k int, a int, t timestamp_ntz, id long"), "k", "a", "t", "id", dt.datetime(9999, 12, 31))
+    want = []
+    for k in range(50):
+        own = sorted((t, i, a) for x, a, t, i in data if x == k and a is not None and t is not None)
+        starts = [(t, a) for n, (t, _, a) in enumerate(own) if not n or own[n - 1][2] != a]
+        want += [(k, a, t, starts[n + 1][0] if n + 1 < len(starts) else dt.datetime(9999, 12, 31)) for n, (t, a) in enumerate(starts)]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    widest = spark.createDataFrame(data, "k int, a int, t timestamp_ntz, id long").groupBy("k", F.date_trunc("hour", "t")).count().agg(F.max("count")).first()[0]
+    assert widest < 0.05 * len(data)  # what one window sorts at most
+
+
+def test_run_states_do_not_multiply_rows(spark):
+    from dimforge.operators.scd2 import run_states
+
+    df = spark.range(3000).selectExpr("id % 3 AS k", "id AS t", "id AS a")
+    filters = [f"t < {100 * i}" for i in range(1, 31)]
+    states = run_states(df, filters, "k", ["a"], ["t"])
+    got = {(r["_run"], r.k): r.a for r in states.collect()}
+    assert got == {(n, k): max(t for t in range(100 * (n + 1)) if t % 3 == k) for n in range(30) for k in range(3)}

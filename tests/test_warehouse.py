@@ -99,3 +99,25 @@ def test_drill_through_several_cells(spark, w):
     assert a.count() > 0 and b.count() > 0
     assert both.exceptAll(a.unionByName(b)).count() == 0 and a.unionByName(b).exceptAll(both).count() == 0
     assert R.drill_through_cells(w, cells.limit(0)).count() == 0
+
+
+def test_reports_read_only_the_years_asked_for(w):
+    from dimforge.plans import reports as R
+
+    plan = R.report_p1(w, year_from=2010, year_to=2011, district=12)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ano_fato" in plan and "(ano_fato" in plan
+    assert w.fct_ocorrencias.select("ano_fato").distinct().count() == w.stg.selectExpr("year(data_ocorrencia)").distinct().count()
+
+
+def test_planning_reports_starts_no_job(spark, w):
+    from dimforge.plans import reports as R
+
+    w.build()
+    group = "planning"
+    spark.sparkContext.setJobGroup(group, group)
+    R.report_p1(w, **R.P1_DEFAULTS)
+    R.report_p2(w, **R.P2_DEFAULTS)
+    R.drill_through(w)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
