@@ -18,7 +18,7 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-import __spark_entry__ as E  # noqa: E402
+from dimforge.plans import registry  # noqa: E402
 from dimforge.session import local_session  # noqa: E402
 
 PATTERNS = {
@@ -86,7 +86,7 @@ def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session()
     builds = [(k, stats(df)) for k, df in model_builds(spark, sf_dir).items()]
-    rows = [(key, stats(q(spark, sf_dir))) for key, q in E.queries().items()]
+    rows = [(key, stats(q(spark, sf_dir))) for key, q in registry.QUERIES.items()]
     cols = list(PATTERNS)
     out = ["# Plan shape", "",
            f"Generated by `scripts/plan_stats.py` on `{sf_dir}`; counts of physical-plan nodes.",
