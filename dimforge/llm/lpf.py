@@ -41,6 +41,7 @@ HOT = 4096  # contexts of a gram that one task sorts at least; the windows of mo
 HOT_SHARE = 1_000_000  # a gram is not common below this part of all anchors, so at most as many are broadcast
 _LOCALLY_COMMON = 32
 _BYTES_AT_ONCE = 1 << 20
+_ANCHORS_AT_ONCE = 1 << 19
 _WINDOWS_AT_ONCE = 1 << 18
 
 _U = np.uint64
@@ -180,7 +181,7 @@ def _as_bytes(column: pa.Array) -> list[bytes]:
 
 
 def _local_firsts(batch: pa.RecordBatch, keys: list[str], length: int, gram: int) -> Iterator[tuple[Anchors, np.ndarray, np.ndarray]]:
-    """(anchors, indexes of the first of each gram and context, indexes of the later ones) of a batch, about 2**20 anchors at a time."""
+    """(anchors, indexes of the first of each gram and context, indexes of the later ones) of a batch, about _ANCHORS_AT_ONCE at a time."""
     rank = np.empty(batch.num_rows, np.int64)
     rank[pc.sort_indices(pa.Table.from_batches([batch.select(keys)]), sort_keys=[(k, "ascending") for k in keys], null_placement="at_start").to_numpy()] = np.arange(batch.num_rows)
 
@@ -194,7 +195,7 @@ def _local_firsts(batch: pa.RecordBatch, keys: list[str], length: int, gram: int
     for part in anchors(_as_bytes(batch.column("text")), length, gram):
         parts.append(part)
         size += len(part.gram)
-        if size >= 1 << 20:
+        if size >= _ANCHORS_AT_ONCE:
             yield joined(parts)
             parts, size = [], 0
     if size:
@@ -204,7 +205,8 @@ def _local_firsts(batch: pa.RecordBatch, keys: list[str], length: int, gram: int
 def removed_spans(docs: DataFrame, keys: list[str], length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(keys, spans: array of the covered runs' pieces lo and hi) of documents (keys, text as binary) with distinct keys.
 
-    Documents are ordered by ``keys`` (NULL first). Documents without a covered byte are left out.
+    Documents are ordered by ``keys`` (NULL first). Documents without a covered byte are left out. ``docs`` is scanned
+    several times and has to come in the same partitions and order each time, as a table does.
     """
     spark = docs.sparkSession
     docs = docs.select(*keys, "text")
@@ -370,7 +372,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     one = docs.select(F.col(f"`{id_col}`").alias("k0")).groupBy("k0").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
     if not one:
         rows, keys = rows.withColumn("k1", F.xxhash64("text")), ["k0", "k1"]
-    spans = removed_spans(rows if one else rows.dropDuplicates(keys), keys, length, gram).select(*[F.col(k).alias(f"s_{k}") for k in keys], "spans")
+    distinct = rows if one else materialized(rows.dropDuplicates(keys), "lpf-distinct")
+    spans = removed_spans(distinct, keys, length, gram).select(*[F.col(k).alias(f"s_{k}") for k in keys], "spans")
     runs = T.ArrayType(T.StructType([T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType())]))
     schema = T.StructType([T.StructField("k0", rows.schema["k0"].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("spans", runs), T.StructField("kept", T.BinaryType())])
     arrow = to_arrow_schema(schema)
