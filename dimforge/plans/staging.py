@@ -56,3 +56,13 @@ def stage_crimes(raw: DataFrame, lenient: bool = False) -> DataFrame:
         _flag(F.col("arrest")).alias("flag_prisao"),
         _flag(F.col("domestic")).alias("flag_domestico"),
     )
+
+
+def lenient_losses(raw: DataFrame) -> DataFrame:
+    """One row: how many values of the staged rows ``lenient`` staging turns into NULL, by column."""
+    kept = raw.where(F.col("id").isNotNull() & F.col("date").isNotNull())
+    stamp = lambda c: F.col(c).isNotNull() & parse_us_timestamp(F.col(c), lenient=True).isNull()
+    number = lambda c, kind: blank_to_null(F.col(c)).isNotNull() & blank_to_null(F.col(c)).try_cast(kind).isNull()
+    lost = {"date": stamp("date"), "updated_on": stamp("updated_on"), "id": F.col("id").try_cast("bigint").isNull(),
+            "latitude": number("latitude", "decimal(12,8)"), "longitude": number("longitude", "decimal(12,8)")}
+    return kept.agg(*[F.count_if(c).alias(k) for k, c in lost.items()])

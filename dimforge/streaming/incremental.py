@@ -29,11 +29,11 @@ from ..sources.history import HistoryStore
 from ..sources.landing import _CSV_OPTIONS, LANDING_SCHEMA
 
 
-def read_landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def read_landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None, lenient: bool = False) -> DataFrame:
+    """The landing files as a stream; a malformed line fails it, as in batch, unless ``lenient`` keeps what can be read."""
     reader = spark.readStream.schema(LANDING_SCHEMA)
     for k, v in _CSV_OPTIONS.items():
-        if k != "mode":
-            reader = reader.option(k, v)
+        reader = reader.option(k, "PERMISSIVE" if k == "mode" and lenient else v)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(landing_dir)
@@ -45,14 +45,14 @@ def stream_staging(
     staged_dir: str,
     checkpoint_dir: str,
     available_now: bool = True,
-    lenient: bool = True,
+    lenient: bool = False,
 ) -> StreamingQuery:
     """Type and clean newly landed raw files into the staging table (append-only).
 
-    Streams default to ``lenient`` parsing: one malformed file must not stop the feed;
-    rows with unparseable values get NULLs that the data tests then report.
+    ``lenient`` has batch staging's meaning and default: strict, so a malformed value stops the feed.
+    With ``lenient=True`` such values become NULL; ``plans.staging.lenient_losses`` counts them.
     """
-    staged = stage_crimes(read_landing_stream(spark, landing_dir), lenient=lenient)
+    staged = stage_crimes(read_landing_stream(spark, landing_dir, lenient=lenient), lenient=lenient)
     w = (staged.writeStream.format("parquet").outputMode("append")
          .option("path", staged_dir).option("checkpointLocation", checkpoint_dir))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

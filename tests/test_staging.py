@@ -131,3 +131,11 @@ def test_lenient_timestamps_equal_strict_ones_in_any_zone(spark):
             assert all(r.b is None for r in none)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_lenient_losses_are_counted(spark):
+    from dimforge.plans.staging import lenient_losses
+
+    df = raw_rows(spark, [row(id="1"), row(id="x2"), row(id="3", date="13/45/2010 10:00:00 AM"), row(id="4", latitude="north", updated_on="soon"), row(id=None, date="junk")])
+    assert lenient_losses(df).first().asDict() == {"date": 1, "updated_on": 1, "id": 1, "latitude": 1, "longitude": 0}
+    assert stage_crimes(df, lenient=True).count() == 4
