@@ -38,8 +38,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Deals the documents to shards."""
-    return sharding.shard_documents(docs, sharding.topology(SHARDS))
+    """Deals the documents to shards; the slots of each shard follow the mix.
+
+    A row's position is computed again from the rows, the same as in ``mix_sources``, however the files are read.
+    """
+    rows = sharding.dealt(docs, sharding.topology(SHARDS), keep={"source": F.col("source"), "tie": mixing.row_hash(docs)})
+    weights, rest = mixing.tempered_weights(rows)
+    placed = mixing.mix(rows, weights, rest, keep=("size", "text_crc32", "shard", "grown_shard"), tie=F.col("tie"))
+    return sharding.slots_by_position(materialized(placed.select("doc_id", "position", "kept.*"), "shard-positions"))
 
 
 STAGES = [

@@ -63,12 +63,12 @@ def tempered_weights(docs: DataFrame, source_col: str = "source", alpha: float =
 
 
 def mix(docs: DataFrame, weights: dict, rest: float = 0.0, id_col: str = "doc_id", source_col: str = "source",
-        keep: tuple[str, ...] = (), block_rows: int = BLOCK_ROWS, period: int = PERIOD, blocks: int = 256) -> DataFrame:
+        keep: tuple[str, ...] = (), block_rows: int = BLOCK_ROWS, period: int = PERIOD, blocks: int = 256, tie: Column | None = None) -> DataFrame:
     """One row per input row: id, source, block, release, deadline, slot, position, and ``kept`` with the columns ``keep``.
 
     ``weights`` maps sources (NULL: None) to weights; rows of all other sources are one more group of weight
     ``rest`` (one slot of the period at least). Inside a source rows come in hash order of their id; repeated and
-    NULL ids keep a place each. ``position`` orders the mix: slot * block_rows + place in the block. A source that
+    NULL ids keep a place each, in the order of ``tie`` (without it, of a hash of ``kept``). ``position`` orders the mix: slot * block_rows + place in the block. A source that
     runs out leaves its later slots empty and the others go on in their proportions; no row is dropped or repeated.
     An empty table gives an empty one. The schedule that is broadcast has ``period`` numbers.
     """
@@ -85,9 +85,9 @@ def mix(docs: DataFrame, weights: dict, rest: float = 0.0, id_col: str = "doc_id
     index: Column = F.element_at(F.create_map(*[F.lit(x) for kv in texts.items() for x in kv]), source.cast("string")) if texts else F.lit(None).cast("int")
     index = F.when(source.isNull(), F.lit(named.index(None) if None in weights else other)).otherwise(F.coalesce(index, F.lit(other)))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), source.alias("source"), index.cast("int").alias("k"),
-                       F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("kept"))
+                       F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("kept"), (F.lit(0) if tie is None else tie).alias("tie"))
     hashed = F.xxhash64(F.col("id"))
-    ranked = gapless_rank(rows, ["k"], hashed, [hashed, F.col("id"), F.xxhash64("kept")], "n", blocks).join(F.broadcast(schedule), "k")
+    ranked = gapless_rank(rows, ["k"], hashed, [hashed, F.col("id"), F.col("tie"), F.xxhash64("kept")], "n", blocks).join(F.broadcast(schedule), "k")
     j, w = F.col("block"), F.col("share")
     placed = ranked.withColumn("block", F.expr(f"n div {block_rows}")).select(
         "id", "source", "block", F.expr(f"block * {period} div share").alias("release"), F.expr(f"((block + 1) * {period} + share - 1) div share").alias("deadline"),
@@ -96,8 +96,13 @@ def mix(docs: DataFrame, weights: dict, rest: float = 0.0, id_col: str = "doc_id
     return out if keep else out.drop("kept")
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """Hash of a row's values, whatever else is selected beside them."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows and columns of ``docs``, sorted by their position in the mix at tempered weights."""
     weights, rest = tempered_weights(docs)
-    out = mix(docs, weights, rest, keep=tuple(docs.columns), **options)
+    out = mix(docs, weights, rest, keep=tuple(docs.columns), tie=row_hash(docs), **options)
     return out.orderBy("position").select(*[F.col(f"kept.`{c}`").alias(c) for c in docs.columns])

@@ -75,6 +75,14 @@ def assign(key: Column, tree: list[Shard]) -> Column:
     return F.element_at(F.split(node, "/"), -1).cast("int")
 
 
+def dealt(docs: DataFrame, tree: list[Shard], id_col: str = "doc_id", text_col: str = "text", keep: dict[str, Column] | None = None) -> DataFrame:
+    """One row per input row, without its text: id, size, text_crc32, shard, grown_shard (see ``shard_documents``) and the columns ``keep``."""
+    text, key = F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b"")), F.col(f"`{id_col}`").cast("string")
+    return docs.select(F.col(f"`{id_col}`").alias(id_col), (F.octet_length(text) + 16).cast("long").alias("size"),
+                       F.crc32(text).cast("long").alias("text_crc32"), assign(key, tree).alias("shard"), assign(key, grow(tree)).alias("grown_shard"),
+                       *[c.alias(k) for k, c in (keep or {}).items()])
+
+
 def shard_documents(docs: DataFrame, tree: list[Shard], id_col: str = "doc_id", text_col: str = "text", blocks: int = 256) -> DataFrame:
     """One row per input row: id, size, text_crc32, shard, slot, grown_shard.
 
@@ -83,9 +91,18 @@ def shard_documents(docs: DataFrame, tree: list[Shard], id_col: str = "doc_id",
     Equal ids (also NULL ids) share a shard; repeated rows keep a slot each; an empty table gives an empty
     one. Only the id, size and checksum are shuffled. Other columns of ``docs`` are ignored.
     """
-    text, key = F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b"")), F.col(f"`{id_col}`").cast("string")
-    rows = docs.select(F.col(f"`{id_col}`").alias(id_col), (F.octet_length(text) + 16).cast("long").alias("size"),
-                       F.crc32(text).cast("long").alias("text_crc32"), assign(key, tree).alias("shard"), assign(key, grow(tree)).alias("grown_shard"))
+    rows, key = dealt(docs, tree, id_col, text_col), F.col(f"`{id_col}`").cast("string")
     spread = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit("slot"), key, F.col("text_crc32").cast("string")).cast("binary")), 1, 7), 16, 10).cast("long")
     return gapless_rank(rows, ["shard"], spread, [F.col(f"`{id_col}`"), F.col("text_crc32"), F.col("size")], "slot", blocks).select(
         id_col, "size", "text_crc32", "shard", "slot", "grown_shard")
+
+
+def slots_by_position(rows: DataFrame, position_col: str = "position", id_col: str = "doc_id", blocks: int = 256) -> DataFrame:
+    """``dealt`` rows with a position each as the columns of ``shard_documents``: a shard's slots, from 0 without gaps, ascend with the position.
+
+    A shard is cut into ranges of positions of about equal rows, so no task holds a whole shard; ``rows`` are read three times.
+    """
+    at = F.col(f"`{position_col}`")
+    cuts = sorted({int(x) for x in rows.approxQuantile(position_col, [i / blocks for i in range(1, blocks)], 0.25 / blocks)})
+    spread = F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<long>"), lambda c: c <= at)) if cuts else F.lit(0)
+    return gapless_rank(rows, ["shard"], spread, [at], "slot", blocks).select(id_col, "size", "text_crc32", "shard", "slot", "grown_shard")

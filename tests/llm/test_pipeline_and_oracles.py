@@ -1,5 +1,6 @@
 import os
 import sys
+import zlib
 
 import duckdb
 import pytest
@@ -61,3 +62,18 @@ def test_stages_return_the_columns_of_documents(spark, tmp_path):
     for _, stage in P.STAGES[:-1]:
         assert stage(spark, docs, str(tmp_path)).columns == docs.columns
     assert all(stage(spark, docs.limit(0), str(tmp_path)).count() == 0 for _, stage in P.STAGES)
+
+
+def test_slots_of_a_shard_follow_the_mix(spark, tmp_path):
+    sources = ["hot"] * 700 + [f"src{i % 5}" for i in range(200)] + [None] * 60
+    data = [(i, words(20, i), "en", s, 1) for i, s in enumerate(sources)] + [(None, words(20, 5000 + i), "en", "hot", 1) for i in range(40)]
+    docs = spark.createDataFrame(data, DOCS).repartition(4, "doc_id")
+    stages = dict(P.STAGES)
+    mixed = [(d.doc_id, zlib.crc32(d.text.encode())) for d in stages["source_mixing"](spark, docs, str(tmp_path)).collect()]
+    assert [x[0] for x in mixed] != sorted((x[0] for x in mixed), key=lambda i: (i is not None, i))
+    got = stages["sharding"](spark, docs, str(tmp_path)).collect()
+    assert len(got) == len(data) and len({r.shard for r in got}) > 20
+    for s in {r.shard for r in got}:
+        inside = sorted((r for r in got if r.shard == s), key=lambda r: r.slot)
+        keys = [(r.doc_id, r.text_crc32) for r in inside]
+        assert [r.slot for r in inside] == list(range(len(inside))) and keys == [x for x in mixed if x in set(keys)]
