@@ -1,27 +1,91 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Every source's rows are cut into blocks. Block j of a source of weight w is released at slot
-floor(j / w) and due at slot ceil((j + 1) / w); one block is emitted per slot, the released one
-with the earliest deadline. Before any slot t each source has then emitted within less than one
-block of t * w. Weights are whole numbers out of a period, so the schedule repeats with the period:
-only the period's slots are laid out, from the weights alone, and rows find their slot by arithmetic.
+Every source's rows are cut into blocks. Block j of a source of weight w (a share of 1) is released at
+slot floor(j / w) and due at slot ceil((j + 1) / w); one block is emitted per slot, the released one
+with the earliest deadline. Before any slot t each source that has rows left has then emitted within
+less than one block of t * w. Weights are taken as they are, as exact whole numbers out of their own
+total, so the law holds against the target however long the mix is and however many sources there are.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
+from fractions import Fraction
+from math import lcm
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimforge.llm.ranks import gapless_rank
+from dimforge.session import scratch_path
 
-PERIOD = 4096  # slots after which the schedule repeats
-MAX_SOURCES = 1024  # sources with a weight of their own
 BLOCK_ROWS = 16
+BROADCAST_SOURCES = 1_000_000  # more sources than these are joined by a shuffle
+SCHEDULE_ROWS = 1 << 18  # scheduled blocks that the driver holds at once
+SCHEDULE = "k int, block long, release long, deadline long, slot long"
 
 
-def quantized(weights: dict, period: int = PERIOD) -> dict:
+def whole(weights: list) -> list[int]:
+    """The weights times one factor, as whole numbers, without rounding."""
+    exact = [Fraction(w) for w in weights]
+    scale = lcm(*[w.denominator for w in exact]) if exact else 1
+    return [int(w * scale) for w in exact]
+
+
+def edf(share: list[int], blocks: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
+    """(source, block, release, deadline, slot) of ``blocks[k]`` blocks of each source k of whole weight ``share[k]``, by slot.
+
+    Earliest deadline first, ties by the order of the sources. A source that has run out leaves its slots to the
+    others or empty, and no deadline is missed. Blocks of weight 0 come after all others.
+    """
+    total = sum(share)
+    waiting = [(0, k, 0) for k, w in enumerate(share) if w and blocks[k]]  # (release, source, block)
+    heapq.heapify(waiting)
+    ready: list[tuple] = []
+    slot = 0
+    while waiting or ready:
+        if not ready and waiting[0][0] > slot:
+            slot = waiting[0][0]
+        while waiting and waiting[0][0] <= slot:
+            release, k, j = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(j + 1) * total // share[k]), k, j, release))
+        due, k, j, release = heapq.heappop(ready)
+        assert slot < due
+        yield k, j, release, due, slot
+        slot += 1
+        if j + 1 < blocks[k]:
+            heapq.heappush(waiting, ((j + 1) * total // share[k], k, j + 1))
+    for k, w in enumerate(share):
+        for j in range(0 if w else blocks[k]):
+            yield k, j, slot, slot + 1, slot
+            slot += 1
+
+
+def scheduled(spark: SparkSession, share: list[int], blocks: list[int], rows_at_once: int = SCHEDULE_ROWS) -> DataFrame:
+    """``edf`` as a table. It is laid out once on the driver, a row per block, and written piece by piece."""
+    path, laid, piece = "", edf(share, blocks), []
+
+    def table() -> DataFrame:
+        names = [c.split()[0] for c in SCHEDULE.split(", ")]
+        columns = zip(*piece) if piece else [[]] * len(names)
+        return spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in columns], names=names)).withColumn("k", F.col("k").cast("int"))
+
+    for row in laid:
+        piece.append(row)
+        if len(piece) == rows_at_once:
+            path = path or scratch_path(spark, "llm-schedule")
+            table().write.mode("append").parquet(path)
+            piece = []
+    if not path:
+        return table()
+    if piece:
+        table().write.mode("append").parquet(path)
+    return spark.read.schema(SCHEDULE).parquet(path)
+
+
+def quantized(weights: dict, period: int) -> dict:
     """Whole-number shares of ``period``, at least 1 each, by largest remainder (ties: first in the mapping)."""
     if any(not w > 0 for w in weights.values()) or len(weights) > period:
         raise ValueError("weights must be positive, and no more than the period's slots")
@@ -52,47 +116,64 @@ def edf_period(share: dict) -> list[tuple]:
     return out
 
 
-def tempered_weights(docs: DataFrame, source_col: str = "source", alpha: float = 0.5, max_sources: int = MAX_SOURCES) -> tuple[dict, float]:
-    """Target weights from the data: rows ** alpha of each of the ``max_sources`` largest sources (NULL is a source),
-    and one weight for all rows of smaller sources together. Counts cover all rows; max_sources + 1 rows reach the driver."""
+def tempered_weights(docs: DataFrame, source_col: str = "source", alpha: float = 0.5, max_sources: int | None = None) -> tuple[dict, float]:
+    """Target weights from the data: rows ** alpha of each source (NULL is a source), and one weight for all rows of other sources.
+
+    All sources have weights of their own, or the ``max_sources`` largest of them. A row per weighted source reaches the driver."""
     sizes = docs.groupBy(F.col(f"`{source_col}`").alias("s")).agg(F.count(F.lit(1)).alias("n"))
-    top = sizes.orderBy(F.desc("n"), F.asc_nulls_first("s")).limit(max_sources).collect()
-    rest = docs.count() - sum(r.n for r in top)
+    top = (sizes if max_sources is None else sizes.orderBy(F.desc("n"), F.asc_nulls_first("s")).limit(max_sources)).collect()
+    rest = 0 if max_sources is None else docs.count() - sum(r.n for r in top)
     named = sorted(((r.s, float(r.n) ** alpha) for r in top), key=lambda x: (x[0] is not None, str(x[0])))
     return dict(named), float(rest) ** alpha if rest else 0.0
 
 
+def _indexed(spark: SparkSession, weights: dict) -> DataFrame:
+    """(__source as text, __k): the place of each source but NULL in the mapping."""
+    pairs = [(str(s), k) for k, s in enumerate(weights) if s is not None]
+    names, places = zip(*pairs) if pairs else ([], [])
+    return spark.createDataFrame(pa.table([pa.array(names, pa.string()), pa.array(places, pa.int64())], names=["__source", "__k"]))
+
+
 def mix(docs: DataFrame, weights: dict, rest: float = 0.0, id_col: str = "doc_id", source_col: str = "source",
-        keep: tuple[str, ...] = (), block_rows: int = BLOCK_ROWS, period: int = PERIOD, blocks: int = 256, tie: Column | None = None) -> DataFrame:
+        keep: tuple[str, ...] = (), block_rows: int = BLOCK_ROWS, period: int | None = None, blocks: int = 256, tie: Column | None = None) -> DataFrame:
     """One row per input row: id, source, block, release, deadline, slot, position, and ``kept`` with the columns ``keep``.
 
-    ``weights`` maps sources (NULL: None) to weights; rows of all other sources are one more group of weight
-    ``rest`` (one slot of the period at least). Inside a source rows come in hash order of their id; repeated and
-    NULL ids keep a place each, in the order of ``tie`` (without it, of a hash of ``kept``). ``position`` orders the mix: slot * block_rows + place in the block. A source that
-    runs out leaves its later slots empty and the others go on in their proportions; no row is dropped or repeated.
-    An empty table gives an empty one. The schedule that is broadcast has ``period`` numbers.
+    ``weights`` maps sources (NULL: None) to positive weights, any number of them; rows of all other sources are one more
+    group of weight ``rest`` (0: they come after all others). Inside a source rows come in hash order of their id; repeated
+    and NULL ids keep a place each, in the order of ``tie`` (without it, of a hash of ``kept``). ``position`` orders
+    the mix: slot * block_rows + place in the block. When a source runs out the others go on in their proportions;
+    no row is dropped or repeated. An empty table gives an empty one. Weights are exact. With a ``period`` they are
+    first rounded to whole slots of it, at least one each and one for the other sources, and the schedule repeats.
+
+    The driver counts the rows of each source and lays out the schedule, one entry per block of rows; its memory
+    is bounded by the sources and SCHEDULE_ROWS.
     """
-    if len(weights) > MAX_SOURCES:
-        raise ValueError(f"at most {MAX_SOURCES} sources can have weights of their own")
+    if any(not 0 < w < float("inf") for w in weights.values()) or not 0 <= rest < float("inf"):
+        raise ValueError("weights must be positive")
     spark, named, other = docs.sparkSession, list(weights), len(weights)
-    share = quantized({**{k: weights[s] for k, s in enumerate(named)}, other: rest or 1e-9}, period)
-    slots: dict[int, list[int]] = {k: [] for k in share}
-    for k, _, slot in edf_period(share):
-        slots[k].append(slot)
-    schedule = spark.createDataFrame([(k, share[k], slots[k]) for k in share], "k int, share int, slots array<int>")
-    texts = {str(s): k for k, s in enumerate(named) if s is not None}
     source = F.col(f"`{source_col}`")
-    index: Column = F.element_at(F.create_map(*[F.lit(x) for kv in texts.items() for x in kv]), source.cast("string")) if texts else F.lit(None).cast("int")
-    index = F.when(source.isNull(), F.lit(named.index(None) if None in weights else other)).otherwise(F.coalesce(index, F.lit(other)))
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), source.alias("source"), index.cast("int").alias("k"),
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), source.alias("source"),
                        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("kept"), (F.lit(0) if tie is None else tie).alias("tie"))
+    index = F.when(F.col("source").isNull(), F.lit(named.index(None) if None in weights else other)).otherwise(F.coalesce("__k", F.lit(other)))
+    places = _indexed(spark, weights)
+    places = F.broadcast(places) if other <= BROADCAST_SOURCES else places
+    rows = rows.join(places, F.col("source").cast("string") == F.col("__source"), "left").select("id", "source", index.cast("int").alias("k"), "kept", "tie")
     hashed = F.xxhash64(F.col("id"))
-    ranked = gapless_rank(rows, ["k"], hashed, [hashed, F.col("id"), F.col("tie"), F.xxhash64("kept")], "n", blocks).join(F.broadcast(schedule), "k")
-    j, w = F.col("block"), F.col("share")
-    placed = ranked.withColumn("block", F.expr(f"n div {block_rows}")).select(
-        "id", "source", "block", F.expr(f"block * {period} div share").alias("release"), F.expr(f"((block + 1) * {period} + share - 1) div share").alias("deadline"),
-        (F.expr("block div share") * period + F.element_at("slots", ((j % w) + 1).cast("int"))).alias("slot"), F.expr(f"n % {block_rows}").alias("place"), "kept")
-    out = placed.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "block", "release", "deadline", "slot", (F.col("slot") * block_rows + F.col("place")).alias("position"), "kept")
+    ranked = gapless_rank(rows, ["k"], hashed, [hashed, F.col("id"), F.col("tie"), F.xxhash64("kept")], "n", blocks).withColumn("block", F.expr(f"n div {block_rows}"))
+    if period:
+        share = quantized({**{k: weights[s] for k, s in enumerate(named)}, other: rest or 1e-9}, period)
+        slots: dict[int, list[int]] = {k: [] for k in share}
+        for k, _, slot in edf_period(share):
+            slots[k].append(slot)
+        schedule = spark.createDataFrame([(k, share[k], slots[k]) for k in share], "k int, share int, slots array<int>")
+        timed = ranked.join(F.broadcast(schedule), "k").withColumns({
+            "release": F.expr(f"block * {period} div share"), "deadline": F.expr(f"((block + 1) * {period} + share - 1) div share"),
+            "slot": F.expr("block div share") * period + F.element_at("slots", ((F.col("block") % F.col("share")) + 1).cast("int"))})
+    else:
+        sizes = {r.k: r.n for r in rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+        timed = ranked.join(scheduled(spark, whole([*weights.values(), rest]), [-(-sizes.get(k, 0) // block_rows) for k in range(other + 1)]), ["k", "block"])
+    position = F.col("slot") * block_rows + F.expr(f"n % {block_rows}")
+    out = timed.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "block", "release", "deadline", "slot", position.alias("position"), "kept")
     return out if keep else out.drop("kept")
 
 

@@ -1,3 +1,6 @@
+from fractions import Fraction
+
+import pytest
 from edge import frame, repeated
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -53,3 +56,52 @@ def test_tempered_weights_and_whole_documents(spark):
     out = mixing.mixed_documents(docs)
     assert out.columns == docs.columns and sorted(map(str, out.collect())) == sorted(map(str, docs.collect()))
     assert mixing.mixed_documents(frame(spark, [])).count() == 0
+
+
+def deviation(weights, slots):
+    """Greatest distance of any source from its target in blocks, over all slots while no source has run out."""
+    total = sum(map(Fraction, weights))
+    want, done, worst = [Fraction(w) / total for w in weights], [0] * len(weights), Fraction(0)
+    for t, k in enumerate(slots):
+        for x in (k,) if len(weights) > 100 else range(len(weights)):  # else before and after its own slots, where a source is farthest
+            worst = max(worst, abs(done[x] - want[x] * t))
+        done[k] += 1
+        worst = max(worst, abs(done[k] - want[k] * (t + 1)))
+    return worst
+
+
+@pytest.mark.parametrize("weights", [[1.0] * 20, [0.1, 0.2, 0.7], [7.0 ** 0.5, 11.0 ** 0.5, 100.0], [50.0, *[1.0] * 50], [333333.0 ** 0.5, *[667.0 ** 0.5] * 1500]])
+def test_exact_weights_stay_within_one_block_over_many_periods(weights):
+    total, horizon = sum(weights), 20_000
+    blocks = [int(w / total * horizon) + 2 for w in weights]
+    laid = [x for x in mixing.edf(mixing.whole(weights), blocks) if x[4] < horizon]
+    assert [x[4] for x in laid] == list(range(horizon)) and all(r <= slot < due for _, _, r, due, slot in laid)
+    assert deviation(weights, [x[0] for x in laid]) < 1
+
+
+def test_rows_follow_the_exact_weights_of_more_than_1024_sources(spark, monkeypatch):
+    n = 1200
+    data = [(i, "t", "en", "hot" if i % 3 == 0 else f"s{i % n}", 1) for i in range(9000)] + [(None, "t", "en", None, 1)] * 9
+    docs = frame(spark, data)
+    weights, rest = mixing.tempered_weights(docs)
+    assert len(weights) == len({d[3] for d in data}) and rest == 0.0
+    monkeypatch.setattr(mixing.scheduled, "__defaults__", (500,))  # in pieces
+    got = mixing.mix(docs, weights, rest, block_rows=2).collect()
+    assert len(got) == len(data) and len({r.position for r in got}) == len(data)
+    total = sum(map(Fraction, weights.values()))
+    for r in got:
+        w = Fraction(weights[r.source]) / total
+        assert r.release == r.block / w // 1 and r.deadline == -(-(r.block + 1) / w // 1) and r.release <= r.slot < r.deadline
+    slots = {}
+    for r in got:
+        slots.setdefault((r.source, r.block), set()).add(r.slot)
+    assert all(len(x) == 1 for x in slots.values()) and len({min(x) for x in slots.values()}) == len(slots)
+
+
+def test_sources_without_a_weight_come_last(spark):
+    docs = frame(spark, [(i, "t", "en", ("a", "b", "c", None)[i % 4], 1) for i in range(80)])
+    got = sorted(mixing.mix(docs, {"a": 1.0, "b": 3.0}, block_rows=2).collect(), key=lambda r: r.position)
+    assert len(got) == 80 and {r.source for r in got[:40]} == {"a", "b"} and {r.source for r in got[40:]} == {"c", None}
+    assert sorted(r.doc_id for r in got) == list(range(80))
+    with pytest.raises(ValueError):
+        mixing.mix(docs, {"a": 0.0})
