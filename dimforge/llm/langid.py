@@ -125,9 +125,13 @@ def score(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray
     return best, 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
 
 
+def lettered(text: str | None) -> bool:
+    return bool(text) and any(map(str.isalpha, text))
+
+
 def judged(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
     """(language, posterior) of each text; ``und`` and 0 for a NULL, a text without a letter, or a model without languages."""
-    known = [bool(t and model.langs and any(map(str.isalpha, t))) for t in texts]
+    known = [bool(model.langs) and lettered(t) for t in texts]
     if not any(known):
         return [UNDETERMINED] * len(texts), np.zeros(len(texts))
     best, prob = score(model, [t if ok else None for t, ok in zip(texts, known)])
@@ -154,13 +158,14 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[s
 
 
 def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose language is not ``und``."""
+    """The rows of ``docs``, with all their columns, whose language is not ``und``; those with a letter if the model has no languages."""
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def run(batches):
         for b in batches:
-            lang, _ = judged(shared.value, b.column(at).to_pylist())
-            yield b.filter(pa.array([x != UNDETERMINED for x in lang], pa.bool_()))
+            texts = b.column(at).to_pylist()
+            keep = [x != UNDETERMINED for x in judged(shared.value, texts)[0]] if shared.value.langs else list(map(lettered, texts))
+            yield b.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

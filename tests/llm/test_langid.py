@@ -64,3 +64,10 @@ def test_undetermined_texts_repeats_and_empty_tables(spark):
     assert {r.lang_pred for r in langid.predict(docs, empty).collect()} == {"und"}
     sampled = langid.train(docs, max_rows=10)
     assert sampled.langs == ["de", "en"]
+
+
+def test_lettered_documents_stay_when_no_language_can_be_learned(spark):
+    unlabelled = frame(spark, [(*d[:2], None, *d[3:]) for d in repeated()])
+    model = langid.train(unlabelled)
+    kept = [r.text for r in langid.identified(unlabelled, model).collect()]
+    assert model.langs == [] and kept and sorted(kept) == sorted(d[1] for d in repeated() if d[1] and any(map(str.isalpha, d[1])))
