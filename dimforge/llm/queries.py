@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimforge.llm import bm25, decontam, langid, lpf, mixing, revisits, sharding, simhash, url_filter, wavelet
+from dimforge.llm import bm25, decontam, langid, lpf, mixing, packing, revisits, sharding, simhash, url_filter, variants, vector_codes, wavelet
 
 SHARDS = 40
 
@@ -71,8 +71,25 @@ def op10_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_shards(shards)
 
 
+def op11_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, book = vector_codes.encode(_table(spark, sf_dir, "embeddings"))
+    digits = F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "")
+    return vector_codes.with_label_error(coded).select("vec_id", digits.alias("code"), "error", "label_error", F.lit(vector_codes.book_sha256(book)).alias("codebooks_sha256"))
+
+
+def op12_frequency_vector_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.piece_digests(packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_weighted_hash_tree, op2_simhash_bktree, op3_warc_revisits, op4_lpf_dedup, op5_naive_bayes_langid, op6_block_max_wand, op7_gbt_url_filter, op8_pfair_mixing, op9_greedy_string_tiling, op10_wavelet_matrix)}
+    op1_weighted_hash_tree, op2_simhash_bktree, op3_warc_revisits, op4_lpf_dedup, op5_naive_bayes_langid, op6_block_max_wand, op7_gbt_url_filter, op8_pfair_mixing, op9_greedy_string_tiling, op10_wavelet_matrix,
+    op11_ball_kmeans, op12_frequency_vector_trie, op13_minimum_bin_slack)}
 
 _CRC_TABLE = """crc_table AS (
   SELECT list(c ORDER BY i) AS t FROM (
