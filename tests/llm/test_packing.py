@@ -96,7 +96,7 @@ def test_bins_are_as_full_as_they_can_be():
         assert not left
 
 
-@pytest.mark.parametrize("lengths", [[4096] * 50, [1] * 9000, [2048] * 31 + [2049] * 10, [random.Random(7).randint(1, 1200) for _ in range(20_000)], [random.Random(8).randint(1, 4096) for _ in range(20_000)]])
+@pytest.mark.parametrize("lengths", [[4096] * 50, [1] * 9000, [2048] * 31 + [2049] * 10 + [2047] * 10, [random.Random(7).randint(1, 1200) for _ in range(20_000)], [random.Random(8).randint(1, 4096) for _ in range(20_000)]])
 def test_few_sequences(lengths):
     many = Counter(lengths)
     used: Counter = Counter()
