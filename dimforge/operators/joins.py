@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Dimensions within both limits are shipped to every task; above, the join falls back to a
@@ -29,12 +29,12 @@ def size_bound(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, known_rows: int | None = None) -> bool:
-    """Size check without a job: ``known_rows`` is a proven bound (e.g. 24 hours + unknown, 2x2 flags), a written
-    model has its observed count; anything else is judged by the optimizer's size, taken as four times compressed."""
-    n = known_rows if known_rows is not None else _ROW_COUNTS.get(df.semanticHash())
-    if n is not None:
-        return n <= max_rows
-    return max_rows > 0 and size_bound(df) * 4 <= DEFAULT_BROADCAST_MAX_BYTES
+    """Size check without a job: ``known_rows`` is a proven bound (e.g. 24 hours + unknown, 2x2 flags) of generated, narrow
+    rows. A written model has its observed count, and like anything else has to pass by the optimizer's size in bytes,
+    taken as four times compressed."""
+    if known_rows is not None:
+        return known_rows <= max_rows
+    return _ROW_COUNTS.get(df.semanticHash(), 0) <= max_rows and max_rows > 0 and size_bound(df) * 4 <= DEFAULT_BROADCAST_MAX_BYTES
 
 
 def broadcast_if_small(
@@ -93,6 +93,28 @@ def lookup_join(
     return j.select(*fact.columns, *outs)
 
 
+def _carried(fact: DataFrame, d: DataFrame, fact_key: str, ts: str, bucket: str) -> DataFrame:
+    """The rows of ``fact`` (key and time not NULL) as ``_row`` with ``_open``, the version of ``d`` that holds at ``ts`` (else NULL).
+
+    Versions and events are put in one order by key and time, and the last version is carried forward. The order is cut
+    into time buckets, each of which starts with one row: the version that the buckets before leave open, from one
+    pre-aggregated row per key and bucket. So no task gets a whole key, and no version meets an event but its own.
+    """
+    version = F.struct("_at", *[c for c in d.columns if c not in ("_ak", "_af", "_at")])
+    vs = d.where(F.col("_ak").isNotNull() & F.col("_af").isNotNull()).select(F.col("_ak").alias("_k"), F.col("_af").alias("_t"), F.lit(1).alias("_kind"), version.alias("_v"))
+    row = F.struct(*[F.col(f"`{c}`") for c in fact.columns])
+    es = fact.select(F.col(f"`{fact_key}`").alias("_k"), F.col(f"`{ts}`").alias("_t"), F.lit(2).alias("_kind"), row.alias("_row"))
+    both = vs.unionByName(es, allowMissingColumns=True).withColumn("_b", F.date_trunc(bucket, "_t"))
+    last = F.max_by("_v", F.when(F.col("_kind") == 1, F.struct("_t", "_v._at")))
+    buckets = both.groupBy("_k", "_b").agg(last.alias("_last"), F.max("_kind").alias("_kinds"))
+    before = F.last("_last", ignorenulls=True).over(Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
+    carry = buckets.select("_k", "_b", "_kinds", before.alias("_v")).where("_kinds = 2 AND _v IS NOT NULL").select("_k", "_b", F.lit(0).alias("_kind"), "_v")
+    merged = both.unionByName(carry, allowMissingColumns=True)
+    order = Window.partitionBy("_k", "_b").orderBy(F.col("_t").asc_nulls_first(), "_kind", "_v._at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    open_version = merged.withColumn("_open", F.last("_v", ignorenulls=True).over(order)).where("_kind = 2")
+    return open_version.select("_row", F.when(F.col("_t") < F.col("_open._at"), F.col("_open")).alias("_open"))
+
+
 def asof_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -105,13 +127,15 @@ def asof_join(
     unknown: dict[str, object] | None = None,
     max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     known_rows: int | None = None,
+    bucket: str = "hour",
 ) -> DataFrame:
     """As-of / validity join (C3, K8): key equal and ``valid_from <= ts < valid_to``.
 
-    Plans as a broadcast hash join on the key with the range as residual when the
-    dimension passes the size check, else as a sort-merge join on the key (few versions
-    per key, so the residual filter stays cheap). Unmatched facts are kept and get the
-    unknown member.
+    Versions of a key do not overlap. Plans as a broadcast hash join on the key with the range as residual when
+    the dimension passes the size check. Otherwise versions and events are merged in time order and the last
+    version is carried forward, in buckets of ``bucket`` (hour, day, ...): neither a key with a
+    third of the events nor one with very many versions reaches one task, and there is no range residual.
+    Unmatched facts, also those without key or time, are kept and get the unknown member.
     """
     unknown = unknown or {}
     d = dim.select(
@@ -120,13 +144,13 @@ def asof_join(
         F.col(valid_to).alias("_at"),
         *[F.col(src).alias(f"_t_{out}") for src, out in take.items()],
     )
-    small = fits_broadcast(dim, max_rows, known_rows)
-    cond = (fact[fact_key] == d["_ak"]) & (fact[ts] >= d["_af"]) & (fact[ts] < d["_at"])
-    j = _left_join(fact, d, cond, [fact_key], small, "left")
-    outs = []
-    for _, out in take.items():
-        c = F.col(f"_t_{out}")
-        if out in unknown:
-            c = F.coalesce(c, F.lit(unknown[out]))
-        outs.append(c.alias(out))
-    return j.select(*fact.columns, *outs)
+    def result(column, out):
+        return (F.coalesce(column, F.lit(unknown[out])) if out in unknown else column).alias(out)
+
+    if fits_broadcast(dim, max_rows, known_rows):
+        cond = (fact[fact_key] == d["_ak"]) & (fact[ts] >= d["_af"]) & (fact[ts] < d["_at"])
+        return fact.join(F.broadcast(d), cond, "left").select(*[fact[c] for c in fact.columns], *[result(d[f"_t_{out}"], out) for out in take.values()])
+    known = fact[fact_key].isNotNull() & fact[ts].isNotNull()
+    whole = fact.where(~known).select(F.struct(*[F.col(f"`{c}`") for c in fact.columns]).alias("_row"))
+    j = _carried(fact.where(known), d, fact_key, ts, bucket).unionByName(whole, allowMissingColumns=True)
+    return j.select(*[F.col(f"_row.`{c}`").alias(c) for c in fact.columns], *[result(F.col(f"_open._t_{out}"), out) for out in take.values()])

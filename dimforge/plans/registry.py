@@ -19,14 +19,17 @@ from ..operators.joins import asof_join
 from ..operators.latest import latest_per_key
 from ..operators.scd2 import scd2_from_events, scd2_validity, with_current
 from ..session import scratch_path
+from ..sources.fixture import FIXTURE_RUNS
 from ..sources.history import HistoryStore, run_snapshot
 from ..sources.landing import read_landing, write_landing
+from ..sources.versions import PART
 from . import constants as K
 from . import oracle as O
 from . import profiling as P
 from . import quality as Q
 from . import reports as R
 from .facts import YEAR
+from .incremental import IncrementalWarehouse
 from .staging import stage_crimes
 from .warehouse import CRIME_CHECK, GEO_CHECK, GEO_KEY, LATEST_ORDER, Warehouse, geo_state
 
@@ -41,6 +44,7 @@ TIMESTAMP_COLUMNS = {
     "stg_crimes": ["data_hora_ocorrencia", "data_ocorrencia", "data_atualizacao_fonte"],
     "daily_series": ["data_completa"],
     "fct_ocorrencias": ["data_hora_ocorrencia"],
+    "incremental_fact": ["data_hora_ocorrencia"],
     "snap_crime": ["dbt_valid_from", "dbt_valid_to"],
     "snap_geografia": ["dbt_valid_from", "dbt_valid_to"],
     "snapshot_replay": ["dbt_valid_from", "dbt_valid_to"],
@@ -154,6 +158,45 @@ def _history_store(spark, sf):
     return store.latest()
 
 
+def incremental_fixture(spark: SparkSession, sf: str, root: str, after_run=lambda w: None) -> IncrementalWarehouse:
+    """The test data's three snapshot runs as incremental runs over parts of the raw table.
+
+    The first run gets the rows up to 2010, some of 2009 and 2010 with values that the second corrects (flags, locations), some
+    later incidents under a wrong year and without code and beat, and rows that the second deletes. The second gets the rest.
+    The third gets nothing; its snapshot alone reopens beats.
+    """
+    raw, (first, second, third) = wh(spark, sf).raw, FIXTURE_RUNS
+    year, number = F.col("year").cast("int"), F.col("id").cast("bigint")
+    wrong, misdated, extra = (number % 97 == 3) & (year >= 2009), number % 89 == 5, (number % 83 == 7) & (year >= 2009)
+    early = raw.where(year <= 2010)
+    start = early.withColumn("arrest", F.when(wrong, "false").otherwise(F.col("arrest"))).withColumn("location_description", F.when(wrong, F.lit("STREET")).otherwise(F.col("location_description")))
+    blank = {"iucr": F.lit(None).cast("string"), "beat": F.lit(None).cast("string"), "district": F.lit(None).cast("string"), "location_description": F.lit(None).cast("string"), "date": F.lit("02/03/2009 04:05:06 AM")}
+    start = start.unionByName(raw.where((year > 2010) & misdated).withColumns(blank)).unionByName(early.where(extra).withColumns({**blank, "id": (-number).cast("string")}))
+    w = IncrementalWarehouse(spark, root, id_buckets=8)
+    after_run(w.run(start, first))
+    deletes = early.where(extra).select((-number).alias("id_ocorrencia"))
+    after_run(w.run(raw.where((year > 2010) | wrong), second, deletes))
+    after_run(w.run(raw.where("false"), third))
+    return w
+
+
+_INCREMENTAL: dict[tuple, IncrementalWarehouse] = {}
+
+
+def _incremental(spark: SparkSession, sf: str) -> IncrementalWarehouse:
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"), _written(spark, sf))
+    with _INCREMENTAL_LOCK:
+        if key not in _INCREMENTAL:
+            _INCREMENTAL[key] = incremental_fixture(spark, sf, scratch_path(spark, "incremental"))
+        return _INCREMENTAL[key]
+
+
+_INCREMENTAL_LOCK = threading.Lock()
+register("incremental_fact", O.with_models("SELECT * REPLACE (CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude) FROM fct_ocorrencias"))(
+    lambda spark, sf: _incremental(spark, sf).fact.drop(PART))
+register("incremental_monthly", O.with_models("SELECT * FROM fct_desempenho_mensal"))(lambda spark, sf: _incremental(spark, sf).monthly)
+
+
 # --- reports and semantic-model questions -----------------------------------------------
 
 def _report(key: str, fn, sql: str):

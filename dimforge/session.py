@@ -16,6 +16,10 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# The folder of each local application whose session names none.
+_FALLBACK: dict[str, str] = {}
+_SHIPPED: set[str] = set()
+
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "dimforge") -> SparkSession:
     """Session for tests and the local bench (UI off, AQE on, UTC)."""
@@ -44,13 +48,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
     Reads ``spark.checkpoint.dir`` from the session. If the cluster did not name one
-    (local mode, tests), a fresh folder under the system temp dir is registered once.
+    (local mode, tests), a fresh folder under the system temp dir serves the application; the
+    setting itself cannot be changed at run time.
     """
     conf = spark.conf.get(CHECKPOINT_CONF, None)
     if conf:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(conf)
         return conf.rstrip("/")
+    app = spark.sparkContext.applicationId
+    if app in _FALLBACK:
+        return _FALLBACK[app]
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         # setCheckpointDir appends a random sub-folder; use its parent as root
@@ -60,10 +68,9 @@ def checkpoint_root(spark: SparkSession) -> str:
             f"{CHECKPOINT_CONF} is not set: on a cluster it must name a shared, reliable folder "
             "(HDFS/object store); machine-local scratch space is not safe when executors are lost."
         )
-    root = tempfile.mkdtemp(prefix="dimforge-ckpt-")
-    spark.conf.set(CHECKPOINT_CONF, root)
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    _FALLBACK[app] = tempfile.mkdtemp(prefix="dimforge-ckpt-")
+    spark.sparkContext.setCheckpointDir(_FALLBACK[app])
+    return _FALLBACK[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -71,6 +78,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Hands this package to Python workers that do not have it on their path (once per application).
+
+    Functions of mapInArrow and the like are pickled by reference, so workers import the package; an archive
+    of it goes to all executors through Spark's own file distribution.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    import shutil
+
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='dimforge-py-')}/{os.path.basename(here)}", "zip", os.path.dirname(here), os.path.basename(here))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def cluster_conf(input_bytes: int, total_cores: int, target_bytes: int = 256 << 20, max_shuffle_partitions: int = 50_000) -> dict[str, str]:
     """Settings for a large cluster run, sized from the raw input volume.
 

@@ -1,28 +1,24 @@
 """Snapshot history persisted across runs.
 
-Each run appends the complete new history as a new partition ``snapshot_run=<n>`` of one
-Parquet table, then records the run in a tiny append-only log (``<root>/_runs``, ignored
-by partition discovery). Readers take the newest *logged* run and read only that
-partition (partition pruning), so finding it never scans old runs, and a run that failed
-before its log entry is never visible. A run never overwrites the files it reads, and
-older partitions remain as time travel. Re-submitting an already logged run number is a
-no-op, which makes retries idempotent. Streams log (stream, batch) beside the run number, so
-that a replayed micro-batch is recognised and numbers of other runs never stand for batches.
+Each run writes the complete new history to a folder of its own and commits it under the next
+run number (``commits.CommitLog``). Readers take the newest commit and read only its folder, so an
+attempt that failed before its commit is never visible, and older runs remain as time travel. Two
+writers that start from the same run cannot both commit the next one: the second merges again with
+what the first has committed, or fails with a clear error if its date is the older one. Re-submitting a
+committed run number is a no-op, which makes retries idempotent. Streams commit (stream, batch) beside the
+run, so that a replayed micro-batch is recognised and numbers of other runs never stand for batches.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.scd2 import snapshot_merge
-
-RUN_COL = "snapshot_run"
-LOG_SCHEMA = f"{RUN_COL} int, as_of timestamp_ntz, committed_at timestamp, stream string, batch long"
+from .commits import CommitLog
 
 
 @dataclass(frozen=True)
@@ -38,33 +34,17 @@ class HistoryStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-
-    @property
-    def _log(self) -> str:
-        return f"{self.root}/_runs"
-
-    def runs(self) -> DataFrame | None:
-        """The run log: one row per committed run (run number, commit time)."""
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(self._log)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+        self.log = CommitLog(spark, self.root)
 
     def last_run(self) -> int | None:
-        log = self.runs()
-        if log is None:
-            return None
-        last = log.agg(F.max(RUN_COL)).first()[0]
-        if last is None:
-            raise RuntimeError(f"{self._log} exists but holds no run; refusing to start over")
-        return last
+        last = self.log.last()
+        if last is None and (self.log.numbers() or self.log.holds_older_log()):
+            raise RuntimeError(f"{self.root} holds no finished commit, or the log of an older layout; refusing to start over")
+        return None if last is None else last[0]
 
     def has_batch(self, stream: str, batch: int) -> bool:
         """Whether this micro-batch of the stream is committed."""
-        log = self.runs()
-        return log is not None and not log.where((F.col("stream") == stream) & (F.col("batch") == batch)).isEmpty()
+        return any(e.get("stream") == stream and e.get("batch") == batch for _, e in self.log.all())
 
     def latest(self) -> DataFrame | None:
         """History as of the newest committed run (None before the first run)."""
@@ -72,39 +52,29 @@ class HistoryStore:
         return None if last is None else self.at_run(last)
 
     def at_run(self, run: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{RUN_COL}={run}")
+        entry = self.log.at(run)
+        if entry is None:
+            raise ValueError(f"run {run} is not committed below {self.root}")
+        return self.spark.read.parquet(f"{self.root}/{entry['folder']}")
 
     def run_at(self, as_of: dt.datetime) -> int | None:
-        """The run number committed for ``as_of`` (None if there is none)."""
-        log = self.runs()
-        if log is None:
-            return None
-        row = log.where(F.col("as_of") == F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")) \
-            .agg(F.max(RUN_COL)).first()
-        return row[0] if row else None
+        """The newest run number committed for ``as_of`` (None if there is none)."""
+        return max((n for n, e in self.log.all() if e.get("as_of") == as_of.isoformat(sep=" ")), default=None)
 
     def last_as_of(self) -> dt.datetime | None:
-        log = self.runs()
-        if log is None:
-            return None
-        row = log.orderBy(F.col(RUN_COL).desc()).select("as_of").first()
-        return row[0] if row else None
+        last = self.log.last()
+        return dt.datetime.fromisoformat(last[1]["as_of"]) if last and last[1].get("as_of") else None
 
     def append(self, history: DataFrame, run: int, as_of: dt.datetime | None = None, stream: str | None = None, batch: int | None = None) -> bool:
-        """Commit ``history`` as run ``run``; returns False if that run is already logged."""
+        """Commit ``history`` as run ``run``; returns False if that run is already committed, also by another writer meanwhile."""
         last = self.last_run()
         if last is not None and run <= last:
             return False
-        # dynamic overwrite replaces only this run's partition: leftovers of a crashed,
-        # never-logged attempt are replaced, committed runs are untouched
-        (history.withColumn(RUN_COL, F.lit(run)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(RUN_COL).parquet(self.root))
-        as_of_col = F.lit(as_of.isoformat(sep=" ") if as_of else None).cast("timestamp_ntz")
-        (self.spark.range(1).select(F.lit(run).alias(RUN_COL), as_of_col.alias("as_of"),
-                                    F.current_timestamp().alias("committed_at"), F.lit(stream).cast("string").alias("stream"),
-                                    F.lit(batch).cast("long").alias("batch"))
-         .write.mode("append").parquet(self._log))
-        return True
+        folder = f"snapshot_run={run}/{uuid.uuid4().hex[:12]}"
+        history.write.parquet(f"{self.root}/{folder}")
+        entry = {"folder": folder, "as_of": as_of.isoformat(sep=" ") if as_of else None, "stream": stream, "batch": batch,
+                 "committed_at": dt.datetime.now(dt.timezone.utc).isoformat()}
+        return self.log.commit(run, entry)
 
 
 def run_snapshot(
@@ -114,21 +84,24 @@ def run_snapshot(
     check_cols: list[str],
     as_of: dt.datetime,
     run: int | None = None,
+    stream: str | None = None,
+    batch: int | None = None,
 ) -> DataFrame:
     """One snapshot run against a persisted history (the incremental production path).
 
     ``state`` is the current source state (one row per key, e.g. ``latest_per_key`` of
-    staging). The merged history is written as the next run and returned as read back.
+    staging). The merged history is written as the next run and returned as read back. When another
+    writer commits that run first, the state is merged again with the writer's history.
     """
-    last = store.last_run()
-    if last is not None and run is None:
-        last_as_of = store.last_as_of()
-        if last_as_of == as_of:
-            return store.at_run(last)  # the run was already committed (retry): no-op
-        if last_as_of is not None and as_of < last_as_of:
-            raise ValueError(f"snapshot run at {as_of} is older than the last run ({last_as_of})")
-    prev = store.latest()
-    n = run if run is not None else (0 if last is None else last + 1)
-    merged = snapshot_merge(state, key, check_cols, as_of, history=prev)
-    store.append(merged, n, as_of)
-    return store.at_run(n)
+    while True:
+        last = store.last_run()
+        if last is not None and run is None:
+            last_as_of = store.last_as_of()
+            if last_as_of == as_of and stream is None:
+                return store.at_run(last)  # the run was already committed (retry): no-op
+            if last_as_of is not None and as_of < last_as_of:
+                raise ValueError(f"snapshot run at {as_of} is older than the last run ({last_as_of})")
+        n = run if run is not None else (0 if last is None else max(last + 1, store.log.next_number()))
+        merged = snapshot_merge(state, key, check_cols, as_of, history=None if last is None else store.at_run(last))
+        if store.append(merged, n, as_of, stream, batch) or run is not None:
+            return store.at_run(n)

@@ -23,9 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.scd2 import snapshot_merge
 from ..plans.staging import stage_crimes
-from ..sources.history import HistoryStore
+from ..sources.history import HistoryStore, run_snapshot
 from ..sources.landing import _CSV_OPTIONS, LANDING_SCHEMA
 
 
@@ -90,11 +89,7 @@ def stream_snapshots(
         if store.has_batch(stream, batch_id):
             batch.write.format("noop").mode("overwrite").save()  # a replay: the state store has to see its batch consumed
             return
-        last = store.last_run()
-        state = batch.select(key, "_v.*")
-        as_of = clock()
-        merged = snapshot_merge(state, key, check_cols, as_of, history=store.latest())
-        store.append(merged, 0 if last is None else last + 1, as_of, stream, batch_id)
+        run_snapshot(store, batch.select(key, "_v.*"), key, check_cols, clock(), stream=stream, batch=batch_id)
 
     w = latest.writeStream.outputMode("complete").foreachBatch(merge_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
