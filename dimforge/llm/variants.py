@@ -17,6 +17,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,17 +27,26 @@ from dimforge.llm.tables import materialized
 
 #: Letters by group; all other code points are one more group.
 GROUPS = ("e", "a", "t", "o", "i", "n", "s", "r", "l", "u", "dc", "mpq", "hgb", "fvkj", "wyxz")
-STEP = 4  # counts by which a prefix grows
+STEP = 3  # counts by which a prefix grows
 SHARD_WORDS, SHARD_ASKED = 50_000, 1_000_000
 DROPPED_EVERY = 199
-_HALVED = 32  # words of a leaf from which they are looked up by their halves
+_HALVED = 256  # words of a leaf above which they are looked up by their halves
+_PADDED = 32  # code points of a word above which it is compared by itself
+_ASKED, _PAIRS = 4096, 1 << 18  # words that descend a trie together; pairs compared at once
 _HELD = 200_000  # words that a task counts before it hands them on
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def vector(word: str, groups: tuple[str, ...] = GROUPS) -> tuple[int, ...]:
-    counts = [sum(map(word.count, g)) for g in groups]
-    return (*counts, len(word) - sum(counts))
+def vectors(words: list[str], groups: tuple[str, ...] = GROUPS) -> np.ndarray:
+    """(words, groups + 1): how many letters of each group every word has."""
+    n, g = len(words), len(groups) + 1
+    group = np.full(256, g - 1)
+    for k, letters in enumerate(groups):
+        group[[ord(c) for c in letters]] = k
+    codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+    of = np.where(codes < 256, group[codes & 255], g - 1)
+    row = np.repeat(np.arange(n), np.fromiter(map(len, words), np.int64, n))
+    return np.bincount(row * g + of, minlength=n * g).reshape(n, g)
 
 
 def one_edit(a: str, b: str) -> bool:
@@ -49,73 +59,123 @@ def one_edit(a: str, b: str) -> bool:
     return a[k + (len(a) == len(b)):] == b[k + 1:]
 
 
-class Leaf:
-    """Words of one vector, all of one length. Many are also kept by their halves: one edit leaves one half as it is."""
+class Trie:
+    """The words of a shard by their successive counts from level ``depth`` on, level by level in arrays.
 
-    def __init__(self, counts: tuple[int, ...], words: list[tuple[str, int]]):
-        self.counts, self.words = counts, words
-        self.heads: dict[str, list] | None = None
-        if len(words) > _HALVED:
-            self.heads, self.tails = {}, {}
-            size = len(words[0][0])
-            for x in words:
+    ``search`` lets a batch of words descend together: each visits the nodes that a depth-first search with its budget
+    would. Words of the leaves are compared in arrays; a leaf with many words keeps them by their halves, as one edit
+    leaves one half as it is, and so do words too long for the arrays.
+    """
+
+    def __init__(self, words: list[tuple[str, int]], depth: int, groups: tuple[str, ...] = GROUPS):
+        counts = vectors([w for w, _ in words], groups)
+        order = np.lexsort(counts.T[::-1])
+        self.depth, self.words, counts = depth, [words[k] for k in order], counts[order]
+        self.size = np.fromiter((len(w) for w, _ in self.words), np.int64, len(words))
+        self.codes = _padded([w for w, _ in self.words])
+        node = np.zeros(len(words), np.int64)
+        self.levels = []
+        for level in range(depth, counts.shape[1]):  # rows are sorted, so children are numbered in the order of their keys
+            wide = int(counts[:, level].max()) + 1
+            key = node * wide + counts[:, level]
+            fresh = np.r_[True, key[1:] != key[:-1]]
+            node = np.cumsum(fresh) - 1
+            self.levels.append((wide, _children(key[fresh], wide)))
+        self.first = np.r_[np.flatnonzero(np.r_[True, node[1:] != node[:-1]]), len(words)]
+        self.halved: dict[int, tuple[dict, dict]] = {}
+
+    def search(self, words: list[str], counts: np.ndarray, more: np.ndarray, less: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(number of a word in ``words``, of a stored word) one edit apart, where the stored word is as long and greater, or
+        longer by one: each pair from one side. ``more`` and ``less`` are the words' surplus and deficit."""
+        asked, node = np.arange(len(words)), np.zeros(len(words), np.int64)
+        for k, (wide, children) in enumerate(self.levels):
+            c = counts[asked, self.depth + k]
+            parts = []
+            for step, can in ((0, None), (1, more > 0), (-1, less > 0)):
+                x = c + step
+                at = np.flatnonzero((x >= 0) & (x < wide) if can is None else can & (x >= 0) & (x < wide))
+                child = children(node[at] * wide + x[at])
+                at, child = at[child >= 0], child[child >= 0]
+                parts.append((asked[at], child, more[at] - (step == 1), less[at] - (step == -1)))
+            asked, node, more, less = (np.concatenate(x) for x in zip(*parts))
+        keep = more <= less  # equal budgets left: equal lengths
+        asked, node = asked[keep], node[keep]
+        lo, many = self.first[node], self.first[node + 1] - self.first[node]
+        long = (many > _HALVED) | (self.size[lo] > _PADDED)
+        for a, leaf in zip(asked[long].tolist(), node[long].tolist()):
+            yield from ((a, w) for w in self._by_halves(leaf, words[a]))
+        asked, lo, many = asked[~long], lo[~long], many[~long]
+        ends = np.cumsum(many)
+        mine = _padded(words)
+        start = 0
+        while start < len(many):  # so many pairs at once
+            stop = max(int(np.searchsorted(ends, (ends[start - 1] if start else 0) + _PAIRS, side="right")), start + 1)
+            n = many[start:stop]
+            a = np.repeat(asked[start:stop], n)
+            w = np.repeat(lo[start:stop] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            hit = _one_edit(mine[a], self.codes[w], self.size[w])
+            yield from ((x, y) for x, y in zip(a[hit].tolist(), w[hit].tolist()) if len(words[x]) < self.size[y] or words[x] < self.words[y][0])
+            start = stop
+
+    def _by_halves(self, leaf: int, word: str) -> Iterator[int]:
+        lo, hi = self.first[leaf], self.first[leaf + 1]
+        if leaf not in self.halved:
+            heads, tails = self.halved[leaf] = {}, {}
+            size = int(self.size[lo])
+            for k in range(lo, hi):
+                w = self.words[k][0]
                 for h in {size // 2, (size - 1) // 2}:  # half of a word as long, or shorter by one
-                    self.heads.setdefault(x[0][:h], []).append(x)
-                    self.tails.setdefault(x[0][size - h:], []).append(x)
-
-    def near(self, word: str) -> Iterator[tuple[str, int]]:
-        if self.heads is None:
-            found = self.words
-        else:
-            h = len(word) // 2
-            head = word[:h]
-            found = [*self.heads.get(head, ()), *(x for x in self.tails.get(word[len(word) - h:], ()) if x[0][:h] != head)]
-        return (x for x in found if one_edit(word, x[0]))
-
-
-def trie(words: list[tuple[str, int]], depth: int, groups: tuple[str, ...] = GROUPS) -> dict | Leaf | None:
-    """Nested counts from level ``depth`` on; where one vector is left its leaf follows at once."""
-    by_vector: dict[tuple, list] = {}
-    for x in words:
-        by_vector.setdefault(vector(x[0], groups), []).append(x)
-
-    def node(leaves: list[Leaf], level: int):
-        if len(leaves) == 1:
-            return leaves[0]
-        kids: dict[int, list] = {}
-        for leaf in leaves:
-            kids.setdefault(leaf.counts[level], []).append(leaf)
-        return {c: node(x, level + 1) for c, x in kids.items()}
-
-    return node([Leaf(*x) for x in by_vector.items()], depth) if by_vector else None
-
-
-def search(root: dict | Leaf | None, depth: int, word: str, counts: tuple[int, ...], surplus: int = 1, deficit: int = 1) -> Iterator[tuple[str, int]]:
-    """The words one edit from ``word`` that are as long and greater, or longer by one: each pair from one side."""
-    stack = [(root, depth, surplus, deficit)] if root is not None else []
-    while stack:
-        node, level, more, less = stack.pop()
-        if type(node) is Leaf:
-            for x, y in zip(node.counts[level:], counts[level:]):
-                if x > y:
-                    more -= x - y
-                elif x < y:
-                    less -= y - x
-            if more >= 0 and less >= 0 and more <= less:
-                yield from ((w, n) for w, n in node.near(word) if more < less or w > word)  # equal budgets left: equal lengths
-            continue
-        c = counts[level]
-        if c in node:
-            stack.append((node[c], level + 1, more, less))
-        if more and c + 1 in node:
-            stack.append((node[c + 1], level + 1, more - 1, less))
-        if less and c - 1 in node:
-            stack.append((node[c - 1], level + 1, more, less - 1))
-
-
-def _reached(counts: tuple[int, ...], lo: int, hi: int, more: int, less: int) -> Iterator[tuple[list[int], int, int]]:
+                    heads.setdefault(w[:h], []).append(k)
+                    tails.setdefault(w[size - h:], []).append(k)
+        heads, tails = self.halved[leaf]
+        h = len(word) // 2
+        head = word[:h]
+        for k in (*heads.get(head, ()), *(k for k in tails.get(word[len(word) - h:], ()) if self.words[k][0][:h] != head)):
+            other = self.words[k][0]
+            if (len(word) < len(other) or word < other) and one_edit(word, other):
+                yield k
+
+
+def _children(keys: np.ndarray, wide: int):
+    """Looks up child numbers by parent * wide + count; -1 where there is none."""
+    size = (int(keys[-1]) // wide + 1) * wide
+    if size <= 64 * len(keys):
+        table = np.full(size, -1, np.int64)
+        table[keys] = np.arange(len(keys))
+        return lambda key: table[key]
+
+    def looked_up(key):
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return np.where(keys[at] == key, at, -1)
+
+    return looked_up
+
+
+def _padded(words: list[str]) -> np.ndarray:
+    """Code points of words of at most _PADDED, zeros behind (longer words: zeros)."""
+    out = np.zeros((len(words), _PADDED + 1), np.uint16)
+    short = [w if len(w) <= _PADDED else "" for w in words]
+    size = np.fromiter(map(len, short), np.int64, len(short))
+    out[np.arange(_PADDED + 1) < size[:, None]] = np.frombuffer("".join(short).encode("utf-32-le"), np.uint32)
+    return out[:, :int(size.max(initial=0)) + 1]
+
+
+def _one_edit(a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``one_edit`` of padded rows, where row k of ``b`` has size[k] code points, as many as that of ``a`` or one more."""
+    wide = max(a.shape[1], b.shape[1])
+    a, b = (np.pad(x, ((0, 0), (0, wide - x.shape[1]))) for x in (a, b))
+    differ = a != b
+    as_long = a[np.arange(len(a)), size - 1] != 0
+    first = differ.argmax(axis=1)
+    moved = np.zeros_like(differ)  # from the first difference on, b is a moved by one
+    moved[:, :-1] = a[:, :-1] != b[:, 1:]
+    moved &= np.arange(wide) >= first[:, None]
+    return np.where(as_long, differ.sum(axis=1) == 1, ~moved.any(axis=1))
+
+
+def _reached(counts: list[int], lo: int, hi: int, more: int, less: int) -> Iterator[tuple[list[int], int, int]]:
     """Counts lo..hi that the budget reaches, with what is left of it."""
-    part = list(counts[lo:hi])
+    part = counts[lo:hi]
     yield part, more, less
     for i in range(len(part)):
         if more:
@@ -146,8 +206,8 @@ def _routed(rows: DataFrame, lo: int, hi: int, groups: tuple[str, ...]) -> DataF
                 for c, x in zip(out, row):
                     c.append(x)
 
-            for key, stored, word, n, more, less in zip(*(c.to_pylist() for c in b.columns)):
-                counts = vector(word, groups)
+            rows = [c.to_pylist() for c in b.columns]
+            for key, stored, word, n, more, less, counts in zip(*rows, vectors(rows[2], groups).tolist()):
                 if stored:
                     put(key + ".".join(map(str, counts[lo:hi])) + ".", True, word, n, 0, 0)
                 else:
@@ -166,23 +226,29 @@ def _routed(rows: DataFrame, lo: int, hi: int, groups: tuple[str, ...]) -> DataF
 def _answered(rows: DataFrame, depth: int, groups: tuple[str, ...]) -> DataFrame:
     """Both directions of every near pair that meets in a shard: word, n, other, other_n."""
     def run(batches):
-        shard, words, root = None, [], None
+        shard, stored, trie = None, [], None
         for b in batches:
+            keys, deals, is_stored, words, ns, more, less = (c.to_pylist() for c in b.columns)
             a, an, o, on = [], [], [], []
-            for key, deal, stored, word, n, more, less in zip(*(c.to_pylist() for c in b.columns)):
-                if (key, deal) != shard:
-                    shard, words, root = (key, deal), [], None
-                if stored:
-                    words.append((word, n))
-                    continue
-                if words:
-                    if root is None:
-                        root = trie(words, depth, groups)
-                    for other, m in search(root, depth, word, vector(word, groups), more, less):
-                        a += (word, other)
-                        an += (n, m)
-                        o += (other, word)
-                        on += (m, n)
+            lo = 0
+            while lo < len(keys):  # rows come by shard, its stored words first
+                if (keys[lo], deals[lo]) != shard:
+                    shard, stored, trie = (keys[lo], deals[lo]), [], None
+                hi = lo
+                while hi < len(keys) and hi - lo < _ASKED and is_stored[hi] == is_stored[lo] and (keys[hi], deals[hi]) == shard:
+                    hi += 1
+                if is_stored[lo]:
+                    stored += zip(words[lo:hi], ns[lo:hi])
+                elif stored:
+                    trie = trie or Trie(stored, depth, groups)
+                    asked = words[lo:hi]
+                    for x, y in trie.search(asked, vectors(asked, groups), np.array(more[lo:hi]), np.array(less[lo:hi])):
+                        other, m = trie.words[y]
+                        a += (asked[x], other)
+                        an += (ns[lo + x], m)
+                        o += (other, asked[x])
+                        on += (m, ns[lo + x])
+                lo = hi
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(an, pa.int64()), pa.array(o, pa.string()), pa.array(on, pa.int64())], names=["word", "n", "other", "other_n"])
 
     return rows.select("key", "deal", "stored", "word", "n", "surplus", "deficit").mapInArrow(run, "word string, n long, other string, other_n long")
