@@ -30,7 +30,7 @@ from dimforge.llm.tables import bucketed, materialized
 
 CAPACITY = 4096
 END = 1
-_CACHED = 2_000_000  # words that a worker remembers
+_CACHED = 600_000  # words, and pieces of words, after which a worker starts a new memory and keeps the last beside it
 _BATCH_IDS = 1 << 21
 _SIGNS = "!-&(-/:-@[-`{-~"  # ASCII signs but the apostrophe
 _PLAIN = re.compile(f"([{_SIGNS}]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([{_SIGNS}]*)")
@@ -63,7 +63,8 @@ class WordEncoder:
         top = max([self.tokenizer.get_vocab_size(), *(t["id"] + 1 for t in spec.get("added_tokens", []))])
         self.dtype = np.dtype("<u2" if top <= 1 << 16 else "<u4")
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        self.model, self.known, self.pieces = self.tokenizer.model, {}, {}
+        self.model = self.tokenizer.model
+        self.known, self.known_before, self.pieces, self.pieces_before = {}, {}, {}, {}
         shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
         hidden = [b for b in range(256) if b not in shown]
         self.letters = {b: 256 + k for k, b in enumerate(hidden)}
@@ -76,9 +77,11 @@ class WordEncoder:
 
     def _piece(self, piece: str) -> bytes:
         if (ids := self.pieces.get(piece)) is None:
-            if len(self.pieces) > _CACHED:
-                self.pieces.clear()
-            ids = self.pieces[piece] = self._bytes([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))])
+            if len(self.pieces) >= _CACHED:
+                self.pieces, self.pieces_before = {}, self.pieces
+            if (ids := self.pieces_before.get(piece)) is None:
+                ids = self._bytes([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))])
+            self.pieces[piece] = ids
         return ids
 
     def _word(self, word: str) -> bytes:
@@ -94,13 +97,15 @@ class WordEncoder:
         words, known = text.replace("\n", " ").split(" "), self.known
         ids = [*map(known.get, words)]
         if None in ids:
-            if len(known) > _CACHED:
-                known.clear()
-            k = -1
+            if len(known) >= _CACHED:
+                self.known, self.known_before = known, _ = {}, known
+            before, k = self.known_before, -1
             for _ in range(ids.count(None)):
                 k = ids.index(None, k + 1)
                 if (x := known.get(words[k])) is None:
-                    x = known[words[k]] = self._word(words[k])
+                    if (x := before.get(words[k])) is None:
+                        x = self._word(words[k])
+                    known[words[k]] = x
                 ids[k] = x
         return b"".join(ids)
 
@@ -205,7 +210,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, en
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Packs all documents: sequence_id, ids (binary, little-endian, two bytes each, or four for larger vocabularies), pieces.
+    """Packs all documents: sequence_id, ids (binary, little-endian unsigned 32-bit integers), pieces.
 
     ``pieces`` are structs in order of their offset: doc_id, piece (from 0), start (the document's ids before it), length, offset.
     Every document is its whole text's ids and ``end_id``; a NULL or empty text is the end id alone. Only documents
@@ -267,8 +272,9 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
         sequence = b.column(5).to_numpy()
         starts = np.flatnonzero(np.r_[True, sequence[1:] != sequence[:-1], True]).astype(np.int32)
         ids, ends = b.column(4), starts
+        narrow = f"<u{len(ids[0].as_buffer()) // b.column(3)[0].as_py()}"
         raw = [memoryview(x.as_buffer()) for x in ids]
-        whole = pa.array([b"".join(raw[lo:hi]) for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary())
+        whole = pa.array([np.frombuffer(b"".join(raw[lo:hi]), narrow).astype("<u4").tobytes() for lo, hi in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary())
         structs = pa.StructArray.from_arrays([b.column(k) for k in (0, 1, 2, 3, 6)], fields=list(arrow.field(2).type.value_type))
         yield pa.RecordBatch.from_arrays([pa.array(sequence[starts[:-1]]), whole, pa.ListArray.from_arrays(pa.array(starts), structs).cast(arrow.field(2).type)], schema=arrow)
 
@@ -278,18 +284,6 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
 
 def piece_digests(packed: DataFrame) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (of its ids as little-endian unsigned 32-bit integers), sequence_id and offset of every packed piece."""
-    names = {"doc_id": "doc_id", "piece": "piece", "start": "start", "length": "length"}
-    of = packed.schema["pieces"].dataType.elementType
-    schema = T.StructType([*(T.StructField(c, of[c].dataType) for c in names), T.StructField("ids_crc32", T.LongType()), T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    arrow = to_arrow_schema(schema)
-
-    def run(batches):
-        for b in batches:
-            for sequence, ids, pieces in zip(*b.columns):
-                p = pieces.values
-                n, at, data = p.field("length").to_numpy(), p.field("offset").to_numpy(), ids.as_py()
-                wide = memoryview(np.frombuffer(data, f"<u{len(data) // int(n.sum())}").astype("<u4")).cast("B")
-                crc = [zlib.crc32(wide[4 * a:4 * (a + k)]) for a, k in zip(at.tolist(), n.tolist())]
-                yield pa.RecordBatch.from_arrays([*(p.field(c) for c in names), pa.array(crc, pa.int64()), pa.array([sequence.as_py()] * len(crc), pa.int64()), p.field("offset")], schema=arrow)
-
-    return packed.select("sequence_id", "ids", "pieces").mapInArrow(run, schema)
+    each = packed.select("sequence_id", "ids", F.explode("pieces").alias("p"))
+    own = F.substring("ids", F.col("p.offset").cast("int") * 4 + 1, F.col("p.length").cast("int") * 4)
+    return each.select("p.doc_id", "p.piece", "p.start", "p.length", F.crc32(own).alias("ids_crc32"), "sequence_id", "p.offset")
