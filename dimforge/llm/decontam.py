@@ -23,6 +23,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 MIN_MATCH = 5  # words of the shortest tile
 COVERAGE = 0.8
 BLOCK_WORDS = 5_000_000  # words of test items broadcast at once; more items take more passes
+_PAIRS = 1 << 18  # pairs of equal seeds of a text that are listed at once; more are found by diagonals
 _WORD = re.compile(r"\w+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -73,34 +74,59 @@ class Items:
         lo = np.searchsorted(self.seeds, h)
         at, h, lo = (x[self.seeds[np.minimum(lo, len(self.seeds) - 1)] == h] for x in (at, h, lo))
         many = np.searchsorted(self.seeds, h, side="right") - lo
+        if many.sum() > _PAIRS:  # words that repeat on both sides: their pairs are not listed
+            first = np.unique(lo, return_index=True)[1]
+            items = np.unique(np.concatenate([self.where[a:a + n, 0] for a, n in zip(lo[first].tolist(), many[first].tolist())]))
+            found = ((int(item), _diagonals(ids, self.ids[item], self.min_match)) for item in items)
+        else:
+            found = self._paired(ids, at, lo, many)
+        for item, runs in found:
+            tiles = greedy_tiles(runs, self.min_match)
+            if tiles:
+                yield item, sum(t[2] for t in tiles), len(tiles)
+
+    def _paired(self, ids, at, lo, many):
+        """(item, maximal common runs) from the pairs of equal seeds."""
         doc = np.repeat(at, many)
         hit = self.where[np.repeat(lo - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(len(doc))] if len(doc) else np.zeros((0, 2), np.int64)
-        by_item = defaultdict(list)
         order = np.lexsort((hit[:, 1], doc, hit[:, 0]))
         for cut in np.split(order, np.flatnonzero(np.diff(hit[order, 0])) + 1) if len(order) else []:
             item = int(hit[cut[0], 0])
-            pairs = [(d, i) for d, i in zip(doc[cut].tolist(), hit[cut, 1].tolist()) if (ids[d:d + self.min_match] == self.ids[item][i:i + self.min_match]).all()]
-            if pairs:
-                by_item[item] = pairs
-        for item, pairs in by_item.items():
-            tiles = greedy_tiles(pairs, self.min_match)
-            yield item, sum(t[2] for t in tiles), len(tiles)
-
-
-def greedy_tiles(seeds: list[tuple[int, int]], min_match: int) -> list[tuple[int, int, int]]:
+            runs: dict[int, list[list[int]]] = defaultdict(list)
+            for d, i in zip(doc[cut].tolist(), hit[cut, 1].tolist()):
+                if (ids[d:d + self.min_match] != self.ids[item][i:i + self.min_match]).any():
+                    continue
+                diagonal = runs[d - i]
+                if diagonal and d == diagonal[-1][0] + diagonal[-1][2] - self.min_match + 1:
+                    diagonal[-1][2] += 1
+                else:
+                    diagonal.append([d, i, self.min_match])
+            yield item, [tuple(r) for found in runs.values() for r in found]
+
+
+def _diagonals(text: np.ndarray, item: np.ndarray, min_match: int) -> list[tuple[int, int, int]]:
+    """Maximal common runs of at least ``min_match`` words, by one pass over the text per word of the item: the length of the match
+    that ends at each place of the text. Memory is a few numbers per word of the text, however often words repeat."""
+    length, runs = np.zeros(len(text) + 1, np.int64), []
+    for i, word in enumerate([*item.tolist(), -2]):
+        now = np.zeros(len(text) + 1, np.int64)
+        now[1:] = np.where(text == word, length[:-1] + 1, 0)
+        ended = length >= min_match  # not prolonged by this word, or at the end of the text
+        ended[:-1] &= now[1:] == 0
+        at = np.flatnonzero(ended)
+        n = length[at]
+        runs += zip((at - n).tolist(), (i - n).tolist(), n.tolist())
+        length = now
+    return runs
+
+
+def greedy_tiles(runs: list[tuple[int, int, int]], min_match: int) -> list[tuple[int, int, int]]:
     """Tiles (text position, item position, length): the longest match of unmarked words first, until none is left.
 
-    ``seeds`` are the positions of all common runs of ``min_match`` words. Runs of seeds on a diagonal are the
-    maximal matches; a tile cuts what it overlaps, and the rests compete again. Ties: first in the text, then the item.
+    ``runs`` are the maximal common runs of at least ``min_match`` words. A tile cuts what it overlaps, and the
+    rests compete again. Ties: first in the text, then the item.
     """
-    runs: dict[int, list[list[int]]] = defaultdict(list)
-    for d, i in sorted(seeds):
-        diagonal = runs[d - i]
-        if diagonal and d == diagonal[-1][0] + diagonal[-1][2] - min_match + 1:
-            diagonal[-1][2] += 1
-        else:
-            diagonal.append([d, i, min_match])
-    heap = [(-n, d, i) for found in runs.values() for d, i, n in found]
+    heap = [(-n, d, i) for d, i, n in runs]
     heapq.heapify(heap)
     in_text, in_item, tiles = set(), set(), []
     while heap:

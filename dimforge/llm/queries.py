@@ -147,21 +147,29 @@ parts AS (
   FROM bare),
 urls AS (
   SELECT *, host || path || CASE WHEN kept <> '' THEN '?' || kept ELSE '' END AS canonical, '"' || substr(sum, 1, 16) || '"' AS tag FROM parts),
+pages_e AS (
+  SELECT page_id, canonical, t, sum, page_id % 2 AS e1, page_id % 2 + CASE WHEN page_id % 3 = 0 THEN 1 ELSE 0 END AS e2 FROM urls),
+fulls AS (
+  SELECT page_id * 8 + v AS rec_id, canonical, t + v * 86400 AS ts, md5(sum || ':' || e) AS sum, t + e * 86400 AS modified
+  FROM (SELECT *, unnest([0, 1, 2]) AS v, unnest([0, e1, e2]) AS e FROM pages_e) WHERE NOT (v = 1 AND page_id % 5 = 0)),
 visits AS (
-  SELECT page_id * 4 + 1 AS rec_id, canonical, t + 3600 * (1 + page_id % 5) AS ts, CASE WHEN page_id % 7 = 0 THEN '"changed"' ELSE tag END AS tag, NULL AS sum FROM urls
-  UNION ALL SELECT page_id * 4 + 2, canonical, t - 30, NULL, sum FROM urls),
+  SELECT page_id * 8 + 3 AS rec_id, canonical, t + 3600 AS ts, CASE WHEN page_id % 7 = 0 THEN '"changed"' ELSE '"' || substr(md5(sum || ':0'), 1, 16) || '"' END AS tag, NULL AS modified, NULL AS sum FROM pages_e
+  UNION ALL SELECT page_id * 8 + 4, canonical, t + 86400 + 3600, NULL, t + e1 * 86400, NULL FROM pages_e
+  UNION ALL SELECT page_id * 8 + 5, canonical, t + 2 * 86400 + 3600, NULL, NULL, md5(sum || ':' || CASE WHEN page_id % 11 = 0 THEN 0 ELSE e2 END) FROM pages_e
+  UNION ALL SELECT page_id * 8 + 6, canonical, t + 2 * 86400 + 7200, NULL, NULL, NULL FROM pages_e
+  UNION ALL SELECT page_id * 8 + 7, canonical, t - 30, '"' || substr(md5(sum || ':0'), 1, 16) || '"', NULL, NULL FROM pages_e),
 latest AS (
-  SELECT v.rec_id, v.ts, arg_max(u.page_id, (u.t, u.page_id)) AS page_id FROM visits v JOIN urls u ON u.canonical = v.canonical AND u.t < v.ts GROUP BY v.rec_id, v.ts),
+  SELECT v.rec_id AS visit, arg_max(f.rec_id, (f.ts, f.rec_id)) AS rec_id FROM visits v JOIN fulls f ON f.canonical = v.canonical AND f.ts < v.ts GROUP BY v.rec_id),
 judged AS (
-  SELECT v.*, u.page_id, u.t, u.tag AS utag, u.sum AS usum,
-    CASE WHEN u.page_id IS NULL THEN 'no_response' WHEN coalesce(v.tag = u.tag, v.sum = u.sum) THEN 'resolved' ELSE 'mismatch' END AS outcome
-  FROM visits v LEFT JOIN latest l ON l.rec_id = v.rec_id LEFT JOIN urls u ON u.page_id = l.page_id)
-SELECT rec_id, canonical, ts, outcome, CASE WHEN outcome = 'resolved' THEN page_id * 4 ELSE -1 END AS resolved_to,
+  SELECT v.*, f.rec_id AS full_id, f.modified AS fmodified, f.sum AS fsum, '"' || substr(f.sum, 1, 16) || '"' AS ftag,
+    CASE WHEN f.rec_id IS NULL THEN 'no_response'
+      WHEN coalesce(v.tag = '"' || substr(f.sum, 1, 16) || '"', v.modified = f.modified, v.sum = f.sum, true) THEN 'resolved' ELSE 'mismatch' END AS outcome
+  FROM visits v LEFT JOIN latest l ON l.visit = v.rec_id LEFT JOIN fulls f ON f.rec_id = l.rec_id)
+SELECT rec_id, canonical, ts, outcome, CASE WHEN outcome = 'resolved' THEN full_id ELSE -1 END AS resolved_to,
   CASE WHEN outcome <> 'resolved' THEN NULL
-    WHEN tag IS NOT NULL THEN 'cache-control: max-age=600' || chr(10) || 'content-type: text/html' || chr(10) || 'date: ' || ts || chr(10) || 'etag: ' || tag || chr(10) || 'last-modified: ' || t
-    ELSE 'cache-control: max-age=60' || chr(10) || 'content-type: text/html' || chr(10) || 'date: ' || ts || chr(10) || 'etag: ' || utag || chr(10)
-      || 'expires: ' || (ts + 30 + 3600 * (1 + ((rec_id - 2) // 4) % 5)) || chr(10) || 'last-modified: ' || t END AS merged_headers,
-  CASE WHEN outcome = 'resolved' THEN usum END AS body_digest
+    ELSE 'cache-control: ' || CASE WHEN rec_id % 8 = 3 THEN 'max-age=600' ELSE 'max-age=60' END || chr(10) || 'content-type: text/html' || chr(10) || 'date: ' || ts || chr(10)
+      || 'etag: ' || coalesce(tag, ftag) || chr(10) || CASE WHEN rec_id % 8 = 5 THEN 'expires: ' || (ts + 60) || chr(10) ELSE '' END || 'last-modified: ' || coalesce(modified, fmodified) END AS merged_headers,
+  CASE WHEN outcome = 'resolved' THEN fsum END AS body_digest
 FROM judged"""
 
 _OP6_SQL = r"""

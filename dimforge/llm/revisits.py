@@ -65,24 +65,43 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -
         "rec_id", "canonical", "ts", "outcome", F.when(ok, F.col("to.rec_id")).alias("resolved_to"), F.when(ok, merged).alias("merged"), F.when(ok, F.col("to.digest")).alias("body_digest"))
 
 
+DAY = 86_400
+
+
 def captures(pages: DataFrame) -> DataFrame:
-    """Capture records of crawled pages: each page's response, a later revisit by ETag and an earlier one by Last-Modified.
+    """Capture records of crawled pages: three responses of each on consecutive days, and five revisits between and after them.
 
-    Of every seventh page the ETag has changed at the revisit. Times follow page_id, a minute a page.
+    The page changes before the second response (odd page_id) and before the third (every third page_id); the second response
+    of every fifth is an error. The revisits: an hour after the first response by ETag (of every seventh page a changed one); an
+    hour after the second by Last-Modified; an hour after the third by digest (of every eleventh page that of
+    the first); two hours after it without a validator; and half a minute before the first by ETag. Times follow
+    page_id, a minute a page. Digests are taken of the page's digest and the number of its edition.
     """
-    t = F.lit(1_600_000_000) + F.col("page_id") * 60
-    digest = F.md5(F.coalesce("html", F.lit("")).cast("binary"))
+    t, p = F.lit(1_600_000_000) + F.col("page_id") * 60, F.col("page_id")
+    second = p % 2
+    editions = [F.lit(0).cast("long"), second, second + F.when(p % 3 == 0, 1).otherwise(0)]
+
+    def digest(edition: Column) -> Column:
+        return F.md5(F.concat("sum", F.lit(":"), edition.cast("string")).cast("binary"))
+
+    def tag(edition: Column) -> Column:
+        return F.concat(F.lit('"'), F.substring(digest(edition), 1, 16), F.lit('"'))
 
     def fields(**kw) -> Column:
         return F.array(*[F.struct(F.lit(k.replace("_", "-")).alias("name"), v.cast("string").alias("value")) for k, v in kw.items()])
 
-    tag = F.concat(F.lit('"'), F.substring("sum", 1, 16), F.lit('"'))
-    new_tag = F.when(F.col("page_id") % 7 == 0, F.lit('"changed"')).otherwise(tag)
-    of = lambda k, kind, status, ts, h, sum_: F.struct(
-        (F.col("page_id") * 4 + k).alias("rec_id"), F.col("url").alias("url"), ts.alias("ts"), F.lit(kind).alias("kind"), F.lit(status).alias("status"), h.alias("headers"), sum_.alias("digest"))
-    later, before = t + 3600 * (1 + F.col("page_id") % 5), t - 30
-    three = F.array(
-        of(0, "response", 200, t, fields(ETag=tag, Last_Modified=t, Cache_Control=F.lit("max-age=60"), Content_Type=F.lit("text/html"), Date=t), F.col("sum")),
-        of(1, "revisit", 304, later, fields(ETag=new_tag, Cache_Control=F.lit("max-age=600"), Content_Length=F.lit("0"), Date=later), F.lit(None).cast("string")),
-        of(2, "revisit", 304, before, fields(Date=before, Expires=later), F.col("sum")))
-    return pages.select("page_id", "url", digest.alias("sum")).select(F.explode(three).alias("r")).select("r.*")
+    def of(k: int, kind: str, status: Column, ts: Column, h: Column, sum_: Column) -> Column:
+        return F.struct((p * 8 + k).alias("rec_id"), F.col("url").alias("url"), ts.alias("ts"), F.lit(kind).alias("kind"), status.cast("int").alias("status"), h.alias("headers"), sum_.alias("digest"))
+
+    none, ok, unchanged = F.lit(None).cast("string"), F.lit(200), F.lit(304)
+    responses = [of(v, "response", F.when(p % 5 == 0, 503).otherwise(200) if v == 1 else ok, t + v * DAY,
+                    fields(ETag=tag(e), Last_Modified=t + e * DAY, Cache_Control=F.lit("max-age=60"), Content_Type=F.lit("text/html"), Date=t + v * DAY), digest(e)) for v, e in enumerate(editions)]
+    after = [t + v * DAY + 3600 for v in range(3)]
+    revisits = [
+        of(3, "revisit", unchanged, after[0], fields(ETag=F.when(p % 7 == 0, F.lit('"changed"')).otherwise(tag(editions[0])), Cache_Control=F.lit("max-age=600"), Content_Length=F.lit("0"), Date=after[0]), none),
+        of(4, "revisit", unchanged, after[1], fields(Last_Modified=t + editions[1] * DAY, Date=after[1]), none),
+        of(5, "revisit", unchanged, after[2], fields(Date=after[2], Expires=after[2] + 60), digest(F.when(p % 11 == 0, editions[0]).otherwise(editions[2]))),
+        of(6, "revisit", unchanged, after[2] + 3600, fields(Date=after[2] + 3600), none),
+        of(7, "revisit", unchanged, t - 30, fields(ETag=tag(editions[0]), Date=t - 30), none)]
+    summed = pages.select("page_id", "url", F.md5(F.coalesce("html", F.lit("")).cast("binary")).alias("sum"))
+    return summed.select(F.explode(F.array(*responses, *revisits)).alias("r")).select("r.*")

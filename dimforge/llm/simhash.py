@@ -16,7 +16,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,17 +48,17 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp as a signed long) of every row."""
-    kind = docs.schema[id_col].dataType
+def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text", extra: Column | None = None) -> DataFrame:
+    """(id, fp as a signed long, and ``extra``, a long, if given) of every row."""
+    kind, more = docs.schema[id_col].dataType, [] if extra is None else [extra.alias("extra")]
 
     def run(batches):
         for b in batches:
             fp = np.array([fingerprint(t.as_py(), words) for t in b.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), *b.columns[2:]], names=["id", "fp", "extra"][:len(b.columns)])
 
-    return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(
-        run, T.StructType([T.StructField("id", kind), T.StructField("fp", T.LongType())]))
+    schema = T.StructType([T.StructField("id", kind), T.StructField("fp", T.LongType()), *[T.StructField("extra", T.LongType()) for _ in more]])
+    return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), *more).mapInArrow(run, schema)
 
 
 def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -187,6 +187,15 @@ def fingerprint_links(fps: DataFrame, radius: int = 2, tree: int = TREE) -> Data
         left -= left // (radius + 1)
 
 
+def _classes(rows: DataFrame, radius: int) -> DataFrame:
+    """Adds component_id and root, the component's least fingerprint, to rows with id and fp."""
+    least = materialized(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
+    comp = connected_components(fingerprint_links(least, radius))
+    rooted = least.join(comp, least.fp == comp.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    top = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rows.join(rooted.join(top, "root").select("fp", "root", "component_id"), "fp")
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, fingerprint (16 hex digits), component_id.
 
@@ -196,18 +205,20 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, id_col: st
     Other columns are ignored.
     """
     rows = materialized(fingerprints(docs, words, id_col, text_col), "simhash-fp")
-    least = materialized(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
-    comp = connected_components(fingerprint_links(least, radius))
-    rooted = least.join(comp, least.fp == comp.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    top = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(top, "root").select("fp", "component_id")
-    return rows.join(classes, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return _classes(rows, radius).select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def representatives(docs: DataFrame, words: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, that stand for their group: the row of the smallest id.
+    """The rows of ``docs``, with all their columns, that stand for their group: one row of each group that ``near_duplicates`` finds.
 
-    Of repeated rows of that id one stays. Rows of NULL id cannot stand for a group or be named in one: all stay.
+    It is the row of the smallest id; where that id has several texts in the group, the one of the least fingerprint,
+    then of the least hash of the text; of rows that repeat both, one. An id may stand for several groups by
+    different texts. Rows of NULL id cannot stand for a group or be named in one: all stay. An empty table gives an empty one.
     """
-    first = near_duplicates(docs, words, radius, id_col, text_col).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__first"))
-    return docs.join(first, docs[id_col] == first["__first"], "left_semi").dropDuplicates([id_col]).union(docs.where(docs[id_col].isNull()))
+    named = docs.where(F.col(f"`{id_col}`").isNotNull())
+    hashed = F.xxhash64(F.col(f"`{text_col}`"))
+    rows = fingerprints(named, words, id_col, text_col, hashed)
+    first = _classes(materialized(rows, "simhash-fp"), radius).groupBy("root").agg(F.min(F.struct("id", "fp", "extra")).alias("first")).select(F.col("first.id").alias("__id"), F.col("first.extra").alias("__hash"))
+    keyed = named.withColumn("__text_hash", hashed)
+    kept = keyed.join(first, (keyed[id_col] == first["__id"]) & (keyed["__text_hash"] == first["__hash"]), "left_semi")
+    return kept.dropDuplicates([id_col, "__text_hash"]).drop("__text_hash").unionByName(docs.where(F.col(f"`{id_col}`").isNull()))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from dimforge.llm.tables import materialized
 
-MAX_TRAIN_ROWS = 50_000  # labelled URLs that the trees are grown on at most (a hash sample; suffix statistics cover all)
+MAX_TRAIN_URLS = 50_000  # labelled URLs that the trees are grown on at most (a hash sample; suffix statistics cover all)
 MAX_RULES = 1_000  # rules are a part of the plan
 TREES, DEPTH, STEP, SEED = 20, 5, 0.3, 7
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
@@ -39,7 +39,7 @@ class Rule:
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host: after the first :// up to /, ?, # or the end, A-Z lower-cased; path: then up to ?, # or the end. Else both empty."""
-    rest = F.when(F.instr(url, "://") > 0, F.expr("substring({0}, instr({0}, '://') + 3)".format("`url`"))).otherwise(F.lit(""))
+    rest = F.when(F.instr(url, "://") > 0, F.substr(url, F.instr(url, "://") + 3)).otherwise(F.lit(""))
     host = F.regexp_extract(rest, "^[^/?#]*", 0)
     path = F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1)
     return F.coalesce(F.translate(host, _UPPER, _LOWER), F.lit("")), F.coalesce(path, F.lit(""))
@@ -78,12 +78,24 @@ def lexical_features(url: Column, host: Column, path: Column) -> dict[str, Colum
     }
 
 
-def judge_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", max_train_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
+def _sampled(urls: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` distinct URLs of each label, the same however they are dealt: a hash sample of about twice as many, cut in hash order."""
+    draw, out = F.pmod(F.xxhash64("url"), F.lit(1 << 30)), None
+    for label, n in sorted((r.label, r.n) for r in urls.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()):
+        own = urls.where(F.col("label") == label)
+        if n > most:
+            own = own.where(draw < int(min(1.0, max(2 * most, 1000) / n) * (1 << 30))).orderBy(draw, "url").limit(most)
+        out = own if out is None else out.union(own)
+    return out
+
+
+def judge_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", max_train_urls: int = MAX_TRAIN_URLS) -> DataFrame:
     """One row per input row: id, host, path, rule (its pattern, else NULL), verdict (the rule's, else the trees').
 
     The trees learn from the URLs under a rule. Suffix statistics are the smoothed share of blocked URLs among those, for
     the host's last label and for it with the first path segment. Every URL is learned twice, once without them, so that the
-    trees can tell suffixes that no rule covers by the other features; both kinds weigh the same. Without labelled URLs of both kinds, the one kind there is
+    trees can tell suffixes that no rule covers by the other features; both kinds weigh the same, an URL as its rows. The trees are
+    fitted on at most ``max_train_urls`` distinct URLs, half of either kind; statistics count all rows. Without labelled URLs of both kinds, the one kind there is
     (or allow) is the verdict. NULL and malformed URLs have an empty host and path, and a verdict like others; repeated rows
     are judged each, equal URLs alike; an empty table gives an empty one; other columns are ignored.
     """
@@ -111,9 +123,11 @@ def judge_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url
     names = [*lexical, *unknown]
     vectors = VectorAssembler(inputCols=names, outputCol="features")
     total = sum(kinds.values())
-    sample = labelled if total <= max_train_rows else labelled.where(F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < int(max_train_rows / total * (1 << 30)))
-    sample = featured(sample).select(*names, "label", F.when(F.col("label") == 1.0, total / kinds[1.0]).otherwise(total / kinds[0.0]).alias("weight"))
-    sample = materialized(sample.union(sample.withColumns({k: F.lit(v) for k, v in unknown.items()})), "url-train")
+    distinct = materialized(labelled.groupBy("url", "host", "path", "tld", "section", "label").agg(F.count(F.lit(1)).alias("copies")), "url-labelled")
+    sample = featured(_sampled(distinct, max(max_train_urls // 2, 1)))
+    sample = sample.select(*names, "label", (F.col("copies") * F.when(F.col("label") == 1.0, total / kinds[1.0]).otherwise(total / kinds[0.0])).alias("weight"))
+    sample = materialized(sample.union(sample.withColumns({k: F.lit(v) for k, v in unknown.items()})), "url-train").persist()
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, maxBins=64, seed=SEED, weightCol="weight").fit(vectors.transform(sample))
+    sample.unpersist()
     out = model.transform(vectors.transform(featured(rows)))
     return out.select(F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("action", F.when(F.col("prediction") == 1.0, "block").otherwise("allow")).alias("verdict"))

@@ -57,3 +57,22 @@ def test_edge_rows_and_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.contaminations(docs, none).count() == 0 and decontam.decontaminated(docs, none).count() == len(repeated())
     assert decontam.contaminations(frame(spark, []), bench).count() == 0
+
+
+def test_repeated_words_need_no_list_of_pairs(monkeypatch):
+    import random
+    import tracemalloc
+
+    r = random.Random(4)
+    items = [(k, [r.choice("ab") for _ in range(r.randint(5, 30))]) for k in range(12)]
+    table = decontam.Items(items, 5)
+    texts = [[r.choice("abc" if k % 2 else "ab") for _ in range(120)] for k in range(30)]
+    listed = [sorted(table.tilings(t)) for t in texts]
+    monkeypatch.setattr(decontam, "_PAIRS", 0)
+    assert [sorted(table.tilings(t)) for t in texts] == listed and any(listed)
+    monkeypatch.undo()
+    same = decontam.Items([("x", ["one"] * 200)], 5)
+    tracemalloc.start()
+    assert [(k, c) for k, c, _ in same.tilings(["one"] * 20_000)] == [(0, 200)]
+    assert tracemalloc.get_traced_memory()[1] < 60 << 20
+    tracemalloc.stop()

@@ -20,15 +20,16 @@ def simulate(share, slots):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.dictionaries(st.integers(0, 50), st.floats(0.01, 100), min_size=1, max_size=12), st.sampled_from([12, 60, 128]))
-def test_schedule_is_earliest_deadline_first_and_stays_within_one_block(weights, period):
-    share = mixing.quantized(weights, period)
-    assert sum(share.values()) == period and min(share.values()) >= 1
-    laid = mixing.edf_period(share)
-    assert [(s, j) for s, j, _ in laid] == simulate(share, period)
+@given(st.dictionaries(st.integers(0, 50), st.integers(1, 40), min_size=1, max_size=12))
+def test_schedule_is_earliest_deadline_first_and_stays_within_one_block(share):
+    period = sum(share.values())
+    laid = [*mixing.edf([*share.values()], [*share.values()])]
+    names = [*share]
+    assert [(names[k], j) for k, j, _, _, _ in laid] == simulate(share, period)
     count = dict.fromkeys(share, 0)
-    for t, (s, j, slot) in enumerate(laid):
-        assert slot == t and j * period // share[s] <= t < -(-(j + 1) * period // share[s])
+    for t, (k, j, release, due, slot) in enumerate(laid):
+        s = names[k]
+        assert slot == t and release == j * period // share[s] <= t < due == -(-(j + 1) * period // share[s])
         count[s] += 1
         assert all(abs(count[x] - share[x] * (t + 1) / period) < 1 for x in share)
 
@@ -36,19 +37,54 @@ def test_schedule_is_earliest_deadline_first_and_stays_within_one_block(weights,
 def test_rows_are_placed_by_the_schedule(spark):
     data = [(i, "t", "en", f"src{0 if i % 3 else i % 7}", 1) for i in range(400)] + [(1000 + i, "t", "en", None, 1) for i in range(30)] + [(2000, "t", "en", "other", 1)]
     weights = {"src0": 4.0, "src1": 1.0, "src2": 1.0, "src3": 1.0, None: 1.0}
-    got = mixing.mix(frame(spark, data), weights, 2.0, block_rows=4, period=64, blocks=4).collect()
+    got = mixing.mix(frame(spark, data), weights, 2.0, block_rows=4, blocks=4).collect()
     assert sorted(r.doc_id for r in got) == sorted(d[0] for d in data) and len({r.position for r in got}) == len(data)
     named = list(weights)
-    share = mixing.quantized({**{k: weights[s] for k, s in enumerate(named)}, len(named): 2.0}, 64)
-    order = {x: t for t, x in enumerate(simulate(share, 64 * 12))}
     group = lambda s: named.index(s) if s in named else len(named)
+    rows = [sum(group(d[3]) == k for d in data) for k in range(len(named) + 1)]
+    order = {(k, j): slot for k, j, _, _, slot in mixing.edf(mixing.whole([*weights.values(), 2.0]), [-(-n // 4) for n in rows])}
     for r in got:
         assert r.slot == order[group(r.source), r.block] and r.release <= r.slot < r.deadline and r.position // 4 == r.slot
-    for k in share:  # gapless ranks in each group
+    for k in range(len(rows)):  # gapless ranks in each group
         places = sorted(r.block * 4 + r.position % 4 for r in got if group(r.source) == k)
         assert places == list(range(len(places)))
 
 
+def test_schedules_stay_small_whatever_the_rows(spark, monkeypatch):
+    laid = []
+    monkeypatch.setattr(mixing, "ENTRIES", 50)
+    monkeypatch.setattr(mixing, "scheduled", lambda spark, share, many, at=mixing.scheduled: (laid.append(sum(many)), at(spark, share, many))[1])
+    docs = frame(spark, [(i, "t", "en", "hot" if i % 3 == 0 else f"s{i % 4}", 1) for i in range(6000)])
+    weights, rest = mixing.tempered_weights(docs)
+    got = mixing.mix(docs, weights, rest).collect()
+    assert len({r.position for r in got}) == 6000 and laid[0] <= 50 + len(weights)
+    total = sum(map(Fraction, weights.values()))
+    assert all(r.release == r.block / (Fraction(weights[r.source]) / total) // 1 <= r.slot < r.deadline for r in got)  # the law, in larger blocks
+
+
+def test_weights_too_far_apart_and_too_many_sources(spark, monkeypatch):
+    docs = frame(spark, [(i, "t", "en", "ab"[i % 2], 1) for i in range(40)])
+    with pytest.raises(ValueError, match="far apart"):
+        mixing.mix(docs, {"a": 1.0, "b": 1e-25})
+    assert mixing.mix(docs, {"a": 1.0, "b": 1e-9}).count() == 40
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 1)
+    for call in (lambda: mixing.tempered_weights(docs), lambda: mixing.mix(docs, {"a": 1.0, "b": 1.0})):
+        with pytest.raises(ValueError, match="more than 1"):
+            call()
+
+
+def test_null_ids_on_a_third_of_the_rows_are_spread(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from dimforge.llm import ranks
+
+    seen = []
+    monkeypatch.setattr(mixing, "gapless_rank", lambda df, groups, spread, *a, **kw: (seen.append(df.where("id IS NULL").groupBy(F.pmod(spread, F.lit(64))).count()), ranks.gapless_rank(df, groups, spread, *a, **kw))[1])
+    docs = frame(spark, [(None if i % 3 == 0 else i, f"text {i}", "en", "s", 1) for i in range(6000)])
+    assert len({r.position for r in mixing.mix(docs, {"s": 1.0}).collect()}) == 6000
+    assert max(r["count"] for r in seen[0].collect()) < 80
+
+
 def test_tempered_weights_and_whole_documents(spark):
     docs = frame(spark, repeated())
     weights, rest = mixing.tempered_weights(docs, max_sources=2)

@@ -56,3 +56,13 @@ def test_repeats_and_empty(spark):
     got = revisits.resolve_revisits(spark.createDataFrame(data, SCHEMA)).collect()
     assert [(x.outcome, x.resolved_to, x.body_digest) for x in got] == [("resolved", 0, "d")] * 3
     assert revisits.resolve_revisits(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_the_query_reaches_every_outcome_by_every_validator(spark):
+    from dimforge.llm.queries import op3_warc_revisits
+
+    got = {(r.rec_id % 8, r.outcome) for r in op3_warc_revisits(spark, "/root/testdata/sf0.001").collect()}
+    both = {"resolved", "mismatch"}
+    for k in (3, 4, 5):  # ETag, Last-Modified, digest
+        assert {o for x, o in got if x == k} == both
+    assert (6, "resolved") in got and (7, "no_response") in got

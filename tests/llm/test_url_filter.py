@@ -53,3 +53,15 @@ def test_no_python_on_the_executors(spark):
     df = url_filter.judge_urls(pages(spark, [clean(r).format("com") for _ in range(30)] + [spam(r).format("net").replace("/a/", "/es/") for _ in range(30)]), URL_RULES)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_samples_below_the_labelled_urls_keep_both_kinds_and_the_bound(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(url_filter, "_sampled", lambda urls, most, f=url_filter._sampled: (lambda out: (sizes.append({r.label: (r["count"]) for r in out.groupBy("label").count().collect()}), out)[1])(f(urls, most)))
+    urls = ["http://a.com/"] * 40 + ["http://b.net/es/"] * 40 + ["http://c.org/x"]
+    got = url_filter.judge_urls(pages(spark, urls), URL_RULES, max_train_urls=1).collect()  # a bound below two URLs is one of each kind
+    assert len(got) == 81 and {x.verdict for x in got if x.rule} == {"allow", "block"}
+    r = random.Random(8)
+    urls = ["http://hot.com/one"] * 700 + [clean(r).format("com") + f"/{k}" for k in range(900)] + [f"http://a.net/es/{k}" for k in range(7)] + ["http://long.org/" + "a1" * 100_000]
+    got = url_filter.judge_urls(pages(spark, urls), URL_RULES, max_train_urls=40).collect()
+    assert len(got) == len(urls) and sizes == [{0.0: 1, 1.0: 1}, {0.0: 20, 1.0: 7}]
