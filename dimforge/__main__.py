@@ -1,6 +1,10 @@
 """Command line: the warehouse's run order as commands.
 
   python -m dimforge build   --raw <csv path/glob> --root <warehouse> [--as-of 'YYYY-MM-DD HH:MM:SS'] [--lenient]
+                             [--regroup] [--include-closed] [--unknown-day] [--backdate-per-key]
+  python -m dimforge update  --raw <csv path/glob> --root <incremental warehouse> [--deletes <csv with id_ocorrencia>]
+                             [--error-on-duplicate] and the options of build
+  python -m dimforge sql     --root <warehouse> "SELECT ... FROM fct_ocorrencias ..."
   python -m dimforge test    --root <warehouse>
   python -m dimforge profile --raw <csv path/glob>
   python -m dimforge report  --root <warehouse> {p1,p2,pick-district,pick-type} [--year-from --year-to
@@ -8,7 +12,9 @@
 
 ``build`` stages the raw file, appends one snapshot run to each persisted history and
 writes every model under ``<root>/<model>/as_of=<as_of>``; the other commands read the
-latest run. Results are printed (or written as Parquet with ``--out``).
+latest run (``sql`` sees each model as a view). ``update`` keeps a warehouse of its own that costs what changes
+(``plans.incremental``): new and corrected rows, deleted ids. With ``--lenient`` lines that cannot be staged go
+to a quarantine table. Results are printed (or written as Parquet with ``--out``).
 """
 
 from __future__ import annotations
@@ -39,7 +45,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     from .plans import quality as Q
     from .plans import reports as R
     from .plans.warehouse import build_run, open_run
-    from .sources.landing import read_landing
+    from .plans.incremental import IncrementalWarehouse
+    from .sources.history import SnapshotRun
+    from .sources.landing import read_landing, read_landing_checked
 
     ap = argparse.ArgumentParser(prog="dimforge", description="Incident warehouse on Spark.")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -47,7 +55,21 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     b.add_argument("--raw", required=True)
     b.add_argument("--root", required=True)
     b.add_argument("--as-of", default=None)
-    b.add_argument("--lenient", action="store_true")
+    u = sub.add_parser("update", help="bring an incremental warehouse up to date with new, corrected and deleted rows")
+    u.add_argument("--raw", required=True)
+    u.add_argument("--root", required=True)
+    u.add_argument("--as-of", default=None)
+    u.add_argument("--deletes")
+    u.add_argument("--error-on-duplicate", action="store_true")
+    options = ("regroup", "include_closed", "unknown_day", "backdate_per_key")
+    for x in (b, u):
+        x.add_argument("--lenient", action="store_true")
+        for o in options:
+            x.add_argument("--" + o.replace("_", "-"), action="store_true")
+    q = sub.add_parser("sql", help="a query over the latest run's models")
+    q.add_argument("--root", required=True)
+    q.add_argument("query")
+    q.add_argument("--out")
     t = sub.add_parser("test", help="the 66 data tests on the latest run")
     t.add_argument("--root", required=True)
     t.add_argument("--out")
@@ -65,10 +87,19 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     a = ap.parse_args(argv)
     spark = spark or _session()
 
-    if a.cmd == "build":
+    if a.cmd in ("build", "update"):
         as_of = dt.datetime.fromisoformat(a.as_of) if a.as_of else dt.datetime.now().replace(microsecond=0)
-        w = build_run(spark, read_landing(spark, a.raw), a.root, as_of, lenient=a.lenient)
+        raw, chosen = (read_landing_checked if a.lenient else read_landing)(spark, a.raw), {o: getattr(a, o) for o in options}
+    if a.cmd == "build":
+        w = build_run(spark, raw, a.root, as_of, lenient=a.lenient, **chosen)
         print(f"built run as_of={as_of}: {w.fct_ocorrencias.count()} incidents")
+    elif a.cmd == "update":
+        deletes = spark.read.schema("id_ocorrencia long").option("header", "true").csv(a.deletes) if a.deletes else None
+        w = IncrementalWarehouse(spark, a.root).run(raw, SnapshotRun(as_of), deletes, "error" if a.error_on_duplicate else "update", a.lenient, **chosen)
+        print(f"run {w.number} as_of={as_of}: {w.fact.count()} incidents, wrote years {w.changed_years}")
+    elif a.cmd == "sql":
+        open_run(spark, a.root).create_views()
+        _emit(spark.sql(a.query), a.out)
     elif a.cmd == "test":
         res = Q.run(open_run(spark, a.root))
         _emit(res, a.out)

@@ -55,3 +55,9 @@ def in_ranges(c: Column, ranges: Sequence[tuple[int, int]]) -> Column:
         cond = t if cond is None else (cond | t)
     return cond
 
+
+def shrink(dim: DataFrame, by: Sequence[Column | str], where: Column | None = None, aggregates: Sequence[Column] = ()) -> DataFrame:
+    """A coarser dimension conformed with ``dim``: its distinct values of ``by`` among the rows ``where``, and what
+    ``aggregates`` say of each. One partially aggregated shuffle."""
+    rows = dim if where is None else dim.where(where)
+    return rows.groupBy(*by).agg(*aggregates) if aggregates else rows.select(*by).distinct()

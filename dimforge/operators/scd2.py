@@ -1,6 +1,7 @@
 """SCD type 2 history operators (K2-K7, K9).
 
 * ``snapshot_merge``   - one check-strategy snapshot run with hard deletes (K2)
+* ``merge_changes``     - the same for changed keys and explicit deletes only, as a stream gives them
 * ``snapshot_replay``  - many runs in one job, same rows as folding ``snapshot_merge`` (K3)
 * ``scd2_validity``    - back-date inaugural versions, close open ends, current flag (K4, K5)
 * ``with_current``     - current attributes beside every version (K6)
@@ -18,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import broadcast_if_small
+
 VALID_FROM = "dbt_valid_from"
 VALID_TO = "dbt_valid_to"
 
@@ -92,6 +95,32 @@ def snapshot_merge(
     return merged.unionByName(closed)
 
 
+def merge_changes(
+    changes: DataFrame,
+    key: str,
+    check_cols: Sequence[str],
+    as_of: dt.datetime | str,
+    history: DataFrame | None = None,
+    gone: str = "_gone",
+    valid_from: str = VALID_FROM,
+    valid_to: str = VALID_TO,
+) -> DataFrame:
+    """``snapshot_merge`` for the keys of ``changes`` alone (one row per key); all other keys stay as they are.
+
+    A key whose boolean column ``gone`` is true is an explicit delete: its open version is closed. Equal to the full merge with a
+    state in which the changed keys are replaced and the deleted ones left out. The changes are joined to the
+    open versions only; closed ones and those of other keys pass through.
+    """
+    state = changes.where(~F.col(gone)).select(key, *check_cols)
+    if history is None:
+        return snapshot_merge(state, key, check_cols, as_of, None, valid_from, valid_to)
+    keys = changes.select(F.col(key).alias("_changed"))
+    touched = F.col(valid_to).isNull() & F.col("_changed").isNotNull()
+    marked = history.join(broadcast_if_small(keys), history[key] == keys["_changed"], "left")
+    cols = [key, *check_cols, valid_from, valid_to]
+    return snapshot_merge(state, key, check_cols, as_of, marked.where(touched).select(*cols), valid_from, valid_to).unionByName(marked.where(~touched).select(*cols))
+
+
 def snapshot_replay(
     states: Sequence[tuple[dt.datetime | str, DataFrame]],
     key: str,

@@ -19,6 +19,7 @@ from ..operators.dimensional import (
     first_match_contains,
     first_match_in,
     in_ranges,
+    shrink,
     with_unknown,
 )
 from ..operators.joins import lookup_join
@@ -180,11 +181,8 @@ def dim_geografia(snap_geografia: DataFrame, stg: DataFrame, backdate_per_key: b
 
 def dim_mes(dim_data_df: DataFrame) -> DataFrame:
     """M8: month, shrunken conformed dimension of the calendar (same attribute values)."""
-    m = (
-        dim_data_df.where(F.col("sk_data") != K.UNKNOWN_INT)
-        .select("ano", "numero_mes", "trimestre", "nome_mes", "ano_mes", "nome_trimestre", "flag_ano_parcial")
-        .distinct()
-    )
+    m = shrink(dim_data_df, ["ano", "numero_mes", "trimestre", "nome_mes", "ano_mes", "nome_trimestre", "flag_ano_parcial"],
+               F.col("sk_data") != K.UNKNOWN_INT)
     return m.select(
         (F.col("ano") * 100 + F.col("numero_mes")).cast("int").alias("sk_mes"),
         "ano_mes", "ano", "trimestre", "numero_mes", "nome_mes", "nome_trimestre",
@@ -197,12 +195,11 @@ def dim_mes(dim_data_df: DataFrame) -> DataFrame:
 def dim_distrito(dim_geo: DataFrame) -> DataFrame:
     """M9: district, shrunken from the beat dimension: earliest start, latest end, current
     if any beat version is current (one row per district, S6) + unknown."""
-    g = dim_geo.where((F.col("sk_geografia") != K.UNKNOWN_KEY) & F.col("district").isNotNull())
-    c = g.groupBy("district").agg(
+    c = shrink(dim_geo, ["district"], (F.col("sk_geografia") != K.UNKNOWN_KEY) & F.col("district").isNotNull(), [
         F.min("valido_de").alias("valido_de"),
         F.max("valido_ate").alias("valido_ate"),
         F.bool_or("flag_versao_atual").alias("flag_versao_atual"),
-    )
+    ])
     dist = F.col("district")
     d = c.select(
         surrogate_key("district", "valido_de").alias("sk_distrito"),
@@ -225,15 +222,9 @@ def dim_tipo_crime(dim_crime_df: DataFrame) -> DataFrame:
     original: a type whose codes span categories yields duplicate keys (S7), which the
     uniqueness data test reports.
     """
-    t = (
-        dim_crime_df.where(
-            (F.col("sk_crime") != K.UNKNOWN_KEY)
-            & F.col("primary_type_atual").isNotNull()
-            & (F.col("primary_type_atual") != K.NOT_INFORMED)
-        )
-        .select(F.col("primary_type_atual").alias("primary_type"), "categoria_analitica")
-        .distinct()
-    )
+    current = F.col("primary_type_atual")
+    t = shrink(dim_crime_df, [current.alias("primary_type"), "categoria_analitica"],
+               (F.col("sk_crime") != K.UNKNOWN_KEY) & current.isNotNull() & (current != K.NOT_INFORMED))
     d = t.select(
         surrogate_key("primary_type").alias("sk_tipo_crime"),
         "primary_type",

@@ -12,9 +12,10 @@ few aggregated rows afterwards.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.zorder import date_rank, hex_rank, z_value
 from ..operators.joins import asof_join, lookup_join
 from . import constants as K
 
@@ -27,6 +28,11 @@ CALENDAR_MONTHS = ((K.CALENDAR_END.year - K.CALENDAR_START.year) * 12
 YEAR = "ano_fato"
 
 
+def access_order() -> Column:
+    """The order of the fact's rows inside a year, by date, geography and crime together."""
+    return z_value([date_rank(F.col("sk_data")), hex_rank(F.col("sk_geografia")), hex_rank(F.col("sk_crime"))])
+
+
 def fct_ocorrencias(
     stg: DataFrame,
     dim_data: DataFrame,

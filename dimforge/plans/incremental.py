@@ -33,11 +33,12 @@ from ..operators.scd2 import snapshot_merge
 from ..sources.commits import CommitLog
 from ..sources.history import SnapshotRun
 from ..sources.keyindex import KeyIndex
+from ..sources.landing import CORRUPT
 from ..sources.tables import materialize
 from ..sources.versions import PART, read_parts, replaced, write_parts
 from . import constants as K
 from . import dims, facts
-from .staging import stage_crimes
+from .staging import stage_crimes, staged_and_quarantined
 from .warehouse import CRIME_CHECK, CRIME_KEY, GEO_CHECK, GEO_KEY, Warehouse, crime_state, geo_state
 
 ID = "id_ocorrencia"
@@ -197,6 +198,9 @@ class IncrementalWarehouse:
     def _change_set(self, raw: DataFrame, deletes: DataFrame | None, on_duplicate: str, lenient: bool, attempt: str) -> dict:
         """The staged rows of the change set, its ids with the year they are stored in, and the years it touches."""
         staged = stage_crimes(raw, lenient=lenient)
+        if CORRUPT in raw.columns:  # read by read_landing_checked: what cannot be staged is kept with the reason
+            staged, bad = staged_and_quarantined(raw)
+            bad.write.parquet(f"{self.root}/quarantine/{attempt}")
         staged = materialize(self.spark, staged.withColumn(PART, year_part(F.col("data_ocorrencia")).cast("int")), "change-set")
         gone = (deletes if deletes is not None else self.spark.createDataFrame([], f"{ID} bigint")).select(F.col(ID).cast("bigint").alias("key")).where("key IS NOT NULL").distinct()
         gone = materialize(self.spark, gone, "change-deletes")
@@ -261,7 +265,7 @@ class IncrementalWarehouse:
         stg = self._parts("stg_crimes", STAGING, years)
         fact = facts.fct_ocorrencias(stg, w.dim_data, w.dim_hora, w.dim_local, w.dim_flags, w.dim_crime, w.dim_geografia)
         fact = fact.withColumnRenamed(facts.YEAR, PART)
-        new = write_parts(fact, f"{self.root}/fct_ocorrencias", attempt, years, ["sk_data"])
+        new = write_parts(fact, f"{self.root}/fct_ocorrencias", attempt, years, cluster=facts.access_order(), lookup=[ID])
         manifests["fct_ocorrencias"] = replaced(manifests.get("fct_ocorrencias", {}), years, new)
         after = self._parts("fct_ocorrencias", FACT, years)
         if before_any:

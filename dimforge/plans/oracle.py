@@ -564,3 +564,12 @@ MONTHLY_REGROUPED = ("SELECT sk_mes, sk_distrito, sk_tipo_crime, " + ", ".join(f
                      + " FROM fct_desempenho_mensal GROUP BY ALL")
 STG_LENIENT = "SELECT id_ocorrencia, CAST(data_hora_ocorrencia AS VARCHAR) AS data_hora_ocorrencia, hora_ocorrencia FROM stg_crimes"
 UNIQUE_REGROUPED = f"SELECT CAST(count(*) AS BIGINT) AS linhas, CAST(count(DISTINCT (sk_mes, sk_distrito, sk_tipo_crime)) AS BIGINT) AS chaves FROM ({MONTHLY_REGROUPED}) m"
+
+LANDING_QUARANTINE = """
+SELECT CASE WHEN CAST(id AS BIGINT) % 101 = 3 THEN 'not in the landing layout' WHEN CAST(id AS BIGINT) % 103 = 4 THEN 'date is no timestamp'
+    WHEN CAST(id AS BIGINT) % 107 = 5 THEN 'no date' ELSE 'staged' END AS reason, count(*) AS linhas
+FROM crimes_raw GROUP BY 1"""
+ANTI_JOIN = """
+SELECT 'relationships_fct_ocorrencias_sk_geografia' AS test_name, 'fct_ocorrencias' AS model, 'sk_geografia' AS column_name,
+  CAST(count(*) AS BIGINT) AS failures
+FROM fct_ocorrencias WHERE sk_geografia IS NOT NULL AND sk_geografia NOT IN (SELECT sk_geografia FROM dim_geografia WHERE flag_versao_atual)"""

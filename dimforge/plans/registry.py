@@ -17,20 +17,23 @@ from ..functions.keys import surrogate_key
 from ..functions.text import initcap_words
 from ..operators.joins import asof_join
 from ..operators.latest import latest_per_key
-from ..operators.scd2 import scd2_from_events, scd2_validity, with_current
+from ..operators.quality import relationships_check
+from ..operators.scd2 import merge_changes, scd2_from_events, scd2_validity, with_current
 from ..session import scratch_path
 from ..sources.fixture import FIXTURE_RUNS
 from ..sources.history import HistoryStore, run_snapshot
-from ..sources.landing import read_landing, write_landing
+from ..sources.landing import CHECKED_SCHEMA, LANDING_COLUMNS, checked_options, read_landing, write_landing
+from ..sources.tables import materialize
 from ..sources.versions import PART
 from . import constants as K
 from . import oracle as O
 from . import profiling as P
 from . import quality as Q
 from . import reports as R
+from .dependencies import dependencies, dependencies_sql
 from .facts import YEAR
 from .incremental import IncrementalWarehouse
-from .staging import stage_crimes
+from .staging import stage_crimes, staged_and_quarantined
 from .warehouse import CRIME_CHECK, GEO_CHECK, GEO_KEY, LATEST_ORDER, Warehouse, geo_state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +51,7 @@ TIMESTAMP_COLUMNS = {
     "snap_crime": ["dbt_valid_from", "dbt_valid_to"],
     "snap_geografia": ["dbt_valid_from", "dbt_valid_to"],
     "snapshot_replay": ["dbt_valid_from", "dbt_valid_to"],
+    "merge_changes": ["dbt_valid_from", "dbt_valid_to"],
     "dim_crime": ["valido_de", "valido_ate"],
     "dim_geografia": ["valido_de", "valido_ate"],
     "dim_distrito": ["valido_de", "valido_ate"],
@@ -55,6 +59,7 @@ TIMESTAMP_COLUMNS = {
     "scd2_dimension": ["dbt_valid_from", "dbt_valid_to", "valido_de", "valido_ate"],
     "scd2_from_events": ["valido_de", "valido_ate"],
     "asof_join": ["data_hora_ocorrencia"],
+    "asof_carried": ["data_hora_ocorrencia"],
     "drill_through": ["data_hora_ocorrencia"],
     "month_start_series": ["primeiro_dia_mes"],
     "history_store": ["dbt_valid_from", "dbt_valid_to"],
@@ -109,10 +114,13 @@ def wh(spark: SparkSession, sf_dir: str, **kw) -> Warehouse:
     the original's table models; later queries read those files instead of recomputing
     the chain (and the broadcast size checks count materialised rows).
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _written(spark, sf_dir), tuple(sorted(kw.items())))
+    app = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _written(spark, sf_dir))
+    key = (*app, tuple(sorted((k, v) for k, v in kw.items() if (k, v) != ("history", "replay"))))
+    base = wh(spark, sf_dir) if kw and key != (*app, ()) else None  # variants share raw and staging
     with _LOCK:
         if key not in _WAREHOUSES:
-            _WAREHOUSES[key] = Warehouse.from_sf(spark, sf_dir, materialize=True, **kw)
+            _WAREHOUSES[key] = (Warehouse(spark, base.raw, base.runs, materialize=True, preset={"stg_crimes": base.stg}, **kw) if base
+                                else Warehouse.from_sf(spark, sf_dir, materialize=True))
         return _WAREHOUSES[key]
 
 
@@ -291,3 +299,58 @@ def _landing(spark, sf):
     path = scratch_path(spark, "landing")
     write_landing(wh(spark, sf).raw, path)
     return read_landing(spark, path)
+
+
+@register("landing_quarantine", O.with_models(O.LANDING_QUARANTINE))
+def _quarantine(spark, sf):
+    """A1: the raw table landed with some lines cut short, without a date or with an unreadable one; lines by what became of them."""
+    number = F.col("id").cast("bigint")
+    raw = wh(spark, sf).raw.withColumn("date", F.when(number % 103 == 4, "someday").when(number % 107 == 5, None).otherwise(F.col("date")))
+    line = F.to_csv(F.struct(*LANDING_COLUMNS), {"nullValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    path = scratch_path(spark, "landing-damaged")
+    raw.select(F.when(number % 101 == 3, F.substring_index(line, ",", 5)).otherwise(line)).write.text(path)
+    landed = spark.read.schema(CHECKED_SCHEMA).options(**checked_options(header=False)).csv(path)
+    staged, bad = staged_and_quarantined(landed)
+    return bad.select("reason").unionByName(staged.select(F.lit("staged").alias("reason"))).groupBy("reason").agg(F.count(F.lit(1)).alias("linhas"))
+
+
+register("cardinality_sketches", O.with_models(O.PROFILING["prof_cardinality"]))(
+    lambda spark, sf: P.merged_cardinality(P.cardinality_sketches(wh(spark, sf).raw, "year")))
+
+DEPENDENCY_COLUMNS = ["iucr", "primary_type", "description", "fbi_code", "beat", "district", "arrest"]
+register("dependencies", O.with_models(dependencies_sql("crimes_raw", DEPENDENCY_COLUMNS)))(
+    lambda spark, sf: dependencies(wh(spark, sf).raw, DEPENDENCY_COLUMNS))
+
+
+@register("merge_changes", O.with_models("SELECT * FROM snap_geografia"))
+def _merge_changes(spark, sf):
+    """K2 from changes: each run gets the keys that differ from the run before, and the keys that are gone as explicit deletes."""
+    w, hist, before = wh(spark, sf), None, None
+    for r in w.runs:
+        state = geo_state(w.stg, r.geo_filter)
+        if before is None:
+            changes = state.withColumn("_gone", F.lit(False))
+        else:
+            new = state.join(before, (state[GEO_KEY] == before["_k"]) & state["district"].eqNullSafe(before["_d"]), "left_anti").withColumn("_gone", F.lit(False))
+            gone = before.join(state, before["_k"] == state[GEO_KEY], "left_anti").select(F.col("_k").alias(GEO_KEY), F.col("_d").alias("district"), F.lit(True).alias("_gone"))
+            changes = new.unionByName(gone)
+        hist = materialize(spark, merge_changes(changes, GEO_KEY, GEO_CHECK, r.as_of, hist), "merged-changes")
+        before = state.select(F.col(GEO_KEY).alias("_k"), F.col("district").alias("_d"))
+    return hist
+
+
+@register("anti_join", O.with_models(O.ANTI_JOIN))
+def _anti_join(spark, sf):
+    """C11: incidents that hang on a version which is no longer current, by the data tests' anti join."""
+    w = wh(spark, sf)
+    test = Q.DataTest("relationships", "fct_ocorrencias", ("sk_geografia",), "dim_geografia", "sk_geografia")
+    return relationships_check(w.fct_ocorrencias, w.dim_geografia.where("flag_versao_atual"), test)
+
+
+@register("asof_carried", O.with_models(O.ASOF_JOIN))
+def _asof_carried(spark, sf):
+    """C3 / K8 without a broadcast: versions carried forward in (key, hour) buckets."""
+    w = wh(spark, sf)
+    return asof_join(w.stg.select("id_ocorrencia", "beat", "data_hora_ocorrencia"), w.dim_geografia, "beat", "beat",
+                     "data_hora_ocorrencia", {"sk_geografia": "sk_geografia", "district": "district"},
+                     unknown={"sk_geografia": K.UNKNOWN_KEY}, max_rows=0)

@@ -207,6 +207,19 @@ def drill_parallel(w: Warehouse) -> DataFrame:
 CELL_KEYS = ["ano", "numero_mes", "district", "categoria_analitica"]
 
 
+def pushed_keys(dim: DataFrame, key: str, most: int = 1000) -> Column:
+    """The keys of a filtered dimension as a list that the fact scan can prune row groups by; above ``most`` keys, no restriction.
+
+    It stands beside the semi join on the same keys, which decides; at most ``most`` + 1 keys reach the driver."""
+    keys = [r[0] for r in dim.select(key).distinct().limit(most + 1).collect()]
+    return F.col(key).isin(*keys) if len(keys) <= most else F.lit(True)
+
+
+def incidents_by_id(w: Warehouse, ids: list[int]) -> DataFrame:
+    """The incidents of some ids; the fact's Bloom filters leave out the row groups that do not hold them."""
+    return w.fct_ocorrencias.where(F.col("id_ocorrencia").isin(*ids)).drop(YEAR)
+
+
 def drill_through_cells(w: Warehouse, cells: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """The incidents behind any set of report cells (ano, numero_mes, district,
     categoria_analitica) - a left semi join of the fact, enriched with the cell keys by
@@ -225,12 +238,13 @@ def drill_through_cells(w: Warehouse, cells: DataFrame, max_rows: int = 1_000_00
 
 def drill_through(w: Warehouse, ano=2012, numero_mes=6, district=12, categoria_analitica="Crime violento") -> DataFrame:
     """O11 for one selected cell: left semi joins with the filtered dimensions (the cell's
-    month is also pushed into the fact scan as a date-key range)."""
+    month is also pushed into the fact scan as a date-key range, its places and codes as key lists)."""
     first = ano * 10000 + numero_mes * 100
     f = w.fct_ocorrencias.where((F.col(YEAR) == ano) & F.col("sk_data").between(first + 1, first + 31))
     d = w.dim_data.where((F.col("ano") == ano) & (F.col("numero_mes") == numero_mes)).select("sk_data")
     g = w.dim_geografia.where(F.col("district") == district).select("sk_geografia")
     c = w.dim_crime.where(F.col("categoria_analitica") == categoria_analitica).select("sk_crime")
+    f = f.where(pushed_keys(g, "sk_geografia") & pushed_keys(c, "sk_crime"))
     f = f.join(broadcast_if_small(d, known_rows=CALENDAR_ROWS), "sk_data", "left_semi")
     f = f.join(broadcast_if_small(g), "sk_geografia", "left_semi")
     f = f.join(broadcast_if_small(c), "sk_crime", "left_semi")

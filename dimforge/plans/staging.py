@@ -7,11 +7,12 @@ rows without id or date text are dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null, clean_upper, digits_to_int
 from ..functions.time import parse_us_timestamp
+from ..sources.landing import CORRUPT
 
 STAGING_COLUMNS = [
     "id_ocorrencia", "case_number", "data_hora_ocorrencia", "data_ocorrencia", "hora_ocorrencia",
@@ -66,3 +67,23 @@ def lenient_losses(raw: DataFrame) -> DataFrame:
     lost = {"date": stamp("date"), "updated_on": stamp("updated_on"), "id": F.col("id").try_cast("bigint").isNull(),
             "latitude": number("latitude", "decimal(12,8)"), "longitude": number("longitude", "decimal(12,8)")}
     return kept.agg(*[F.count_if(c).alias(k) for k, c in lost.items()])
+
+
+def quarantine_reason(raw: DataFrame) -> Column:
+    """Why a landed line cannot be staged (A1); NULL if it can."""
+    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
+    return (F.when(corrupt, "not in the landing layout")
+            .when(F.col("id").isNull(), "no id").when(F.col("date").isNull(), "no date")
+            .when(F.col("id").try_cast("bigint").isNull(), "id is no number")
+            .when(parse_us_timestamp(F.col("date"), lenient=True).isNull(), "date is no timestamp"))
+
+
+def staged_and_quarantined(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lenient staging of the lines that have an id and a date, and (reason, line) of all others: each line is in one of them.
+
+    ``line`` is the raw text of a line outside the layout, else the landed fields as JSON. Map-only, like staging; values other
+    than id and date that cannot be read become NULL in staging and are counted by ``lenient_losses``."""
+    reason = quarantine_reason(raw)
+    fields = F.to_json(F.struct(*[c for c in raw.columns if c != CORRUPT]))
+    line = F.coalesce(F.col(CORRUPT), fields) if CORRUPT in raw.columns else fields
+    return stage_crimes(raw.where(reason.isNull()), lenient=True), raw.where(reason.isNotNull()).select(reason.alias("reason"), line.alias("line"))

@@ -20,11 +20,12 @@ from ..operators.latest import latest_per_key
 from ..operators.scd2 import replay_indexed, run_states, snapshot_merge
 from ..sources.fixture import FIXTURE_RUNS, crimes_raw
 from ..sources.history import HistoryStore, SnapshotRun, run_snapshot
+from ..sources.landing import CORRUPT
 from ..sources.tables import assert_unique
 from ..sources.tables import materialize as _materialize
-from ..sources.tables import write_observed
+from ..sources.tables import as_view, write_observed, write_table
 from . import dims, facts
-from .staging import stage_crimes
+from .staging import stage_crimes, staged_and_quarantined
 
 LATEST_ORDER = dims.LATEST_ORDER
 
@@ -114,11 +115,11 @@ class Warehouse:
             raw = _materialize(spark, raw, "crimes_raw")
         return cls(spark, raw, kw.pop("runs", FIXTURE_RUNS), **kw)
 
-    def _m(self, name: str, df: DataFrame, sort_within=None, partition_by=None) -> DataFrame:
+    def _m(self, name: str, df: DataFrame, sort_within=None, partition_by=None, cluster=None, lookup=()) -> DataFrame:
         if self.out_root is not None:
             path = f"{self.out_root}/{name}/{self.run_label}"
-            return write_observed(self.spark, df, path, "overwrite", sort_within, partition_by)  # a retry replaces its folder
-        return _materialize(self.spark, df, name, sort_within, partition_by) if self.materialize else df
+            return write_observed(self.spark, df, path, "overwrite", sort_within, partition_by, cluster, lookup)  # a retry replaces its folder
+        return _materialize(self.spark, df, name, sort_within, partition_by, cluster, lookup) if self.materialize else df
 
     def _snapshots(self, key, check, state_fn, filt) -> DataFrame:
         f = replay_snapshots if self.history == "replay" else fold_snapshots
@@ -180,8 +181,9 @@ class Warehouse:
             "fct_ocorrencias",
             facts.fct_ocorrencias(self.stg, self.dim_data, self.dim_hora, self.dim_local, self.dim_flags,
                                   self.dim_crime, self.dim_geografia),
-            sort_within=["sk_data"],  # YYYYMMDD key: date-range predicates prune row groups
-            partition_by=facts.YEAR,  # and whole years' files
+            partition_by=facts.YEAR,  # date ranges open only their years' files
+            cluster=facts.access_order(),  # dates, places and codes prune row groups inside a year
+            lookup=["id_ocorrencia"],  # as do single ids
         )
 
     @cached_property
@@ -200,6 +202,10 @@ class Warehouse:
                  "fct_ocorrencias", "fct_desempenho_mensal"]
         return {n: getattr(self, "stg" if n == "stg_crimes" else n) for n in names}
 
+    def create_views(self) -> list[str]:
+        """Every model as a session view under its name, for Spark SQL; returns the names."""
+        return [as_view(df, name) and name for name, df in self.tables().items()]
+
     # Models in dependency waves: everything inside a wave is independent.
     WAVES = (
         ("stg",),
@@ -275,16 +281,21 @@ def build_run(
     same ``as_of`` after a failure is safe: its folders are replaced and the snapshot runs
     are not repeated. ``enforce_unique`` fails the build on a duplicated unique key, as a
     unique index would. Independent models are built as concurrent jobs (``threads``).
-    ``options`` go to ``Warehouse``.
+    ``options`` go to ``Warehouse``. Lines of a table from ``landing.read_landing_checked`` that cannot be staged are written
+    to ``<root>/quarantine/as_of=<as_of>`` with the reason.
     Run the data tests with ``plans.quality.run`` on the result.
     """
     label = f"as_of={as_of:%Y%m%d%H%M%S}"
     root = root.rstrip("/")
     raw_path = f"{root}/crimes_raw/{label}"  # the landing table (full reload per run)
-    raw.write.mode("overwrite").parquet(raw_path)
+    write_table(raw, raw_path)  # full reload; a retry replaces its folder
     raw = spark.read.parquet(raw_path)
+    staged = stage_crimes(raw, lenient=lenient)
+    if CORRUPT in raw.columns:
+        staged, bad = staged_and_quarantined(raw)
+        write_table(bad, f"{root}/quarantine/{label}")
     stg_path = f"{root}/stg_crimes/{label}"
-    stage_crimes(raw, lenient=lenient).write.mode("overwrite").parquet(stg_path)  # retry-safe
+    write_table(staged, stg_path)
     stg = spark.read.parquet(stg_path)
     if enforce_unique:
         assert_unique(stg, UNIQUE_KEYS["stg_crimes"], "stg_crimes")

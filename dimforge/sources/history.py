@@ -86,11 +86,12 @@ def run_snapshot(
     run: int | None = None,
     stream: str | None = None,
     batch: int | None = None,
+    merge=snapshot_merge,
 ) -> DataFrame:
     """One snapshot run against a persisted history (the incremental production path).
 
     ``state`` is the current source state (one row per key, e.g. ``latest_per_key`` of
-    staging). The merged history is written as the next run and returned as read back. When another
+    staging), or with ``merge=scd2.merge_changes`` the keys that changed. The merged history is written as the next run and returned as read back. When another
     writer commits that run first, the state is merged again with the writer's history.
     """
     while True:
@@ -102,6 +103,6 @@ def run_snapshot(
             if last_as_of is not None and as_of < last_as_of:
                 raise ValueError(f"snapshot run at {as_of} is older than the last run ({last_as_of})")
         n = run if run is not None else (0 if last is None else max(last + 1, store.log.next_number()))
-        merged = snapshot_merge(state, key, check_cols, as_of, history=None if last is None else store.at_run(last))
+        merged = merge(state, key, check_cols, as_of, history=None if last is None else store.at_run(last))
         if store.append(merged, n, as_of, stream, batch) or run is not None:
             return store.at_run(n)

@@ -44,6 +44,31 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     return reader.csv(path)
 
 
+# The raw text of a line that does not have the landing layout, in tables read by ``read_landing_checked``.
+CORRUPT = "_corrupt_line"
+
+_CHECKED = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}  # a line is judged by all its fields
+CHECKED_SCHEMA = T.StructType([*LANDING_SCHEMA.fields, T.StructField(CORRUPT, T.StringType(), True)])
+
+
+def checked_options(header: bool = True) -> dict[str, str]:
+    return _CSV_OPTIONS | _CHECKED | {"header": str(header).lower()}
+
+
+def read_landing_checked(spark: SparkSession, path: str) -> DataFrame:
+    """``read_landing`` that keeps every line: one with too few or too many fields, or with an open quote, comes with its
+    text in ``CORRUPT``, for ``plans.staging.staged_and_quarantined`` to sort out."""
+    return spark.read.schema(CHECKED_SCHEMA).options(**checked_options()).csv(path)
+
+
+def read_landing_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, checked: bool = False) -> DataFrame:
+    """New landing files as a stream; a malformed line fails it, as in batch, unless ``checked``."""
+    reader = spark.readStream.schema(CHECKED_SCHEMA if checked else LANDING_SCHEMA).options(**(checked_options() if checked else _CSV_OPTIONS))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.csv(path)
+
+
 def write_landing(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write rows in the landing layout (header, quoted, blanks preserved)."""
     (

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.zorder import BITS
 from ..session import scratch_path
 
 
@@ -41,8 +43,6 @@ def assert_unique(df: DataFrame, cols: Sequence[str], name: str = "table") -> No
     One partially aggregated shuffle of the key columns; rows with a NULL key part are
     ignored (an index allows several NULLs).
     """
-    from pyspark.sql import functions as F
-
     keyed = df
     for c in cols:
         keyed = keyed.where(F.col(c).isNotNull())
@@ -63,7 +63,8 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def materialize(
-    spark: SparkSession, df: DataFrame, name: str, sort_within: Sequence[str] | None = None, partition_by: str | None = None
+    spark: SparkSession, df: DataFrame, name: str, sort_within: Sequence[str] | None = None, partition_by: str | None = None,
+    cluster: Column | None = None, lookup: Sequence[str] = ()
 ) -> DataFrame:
     """Write ``df`` to a fresh folder below the shared checkpoint root and read it back.
 
@@ -73,28 +74,46 @@ def materialize(
     file so Parquet row-group min/max statistics prune range filters on those columns.
     """
     path = scratch_path(spark, name)
-    return write_observed(spark, df, path, "errorifexists", sort_within, partition_by)
+    return write_observed(spark, df, path, "errorifexists", sort_within, partition_by, cluster, lookup)
+
+
+def clustered(df: DataFrame, partition_by: str | None, cluster: Column, cells: int = 64) -> DataFrame:
+    """Rows of a partition dealt to files by the upper part of ``cluster`` (a z-order value) and sorted by it inside each file.
+
+    The shuffle is by (partition, cell): AQE joins small cells and splits large ones, so files are of an even size and each
+    covers few cells. Row-group statistics then prune by every column that the z-order value is made of (A8)."""
+    top = F.shiftright(cluster, 3 * BITS - (cells - 1).bit_length()).cast("int")
+    keys = [partition_by] if partition_by else []
+    return df.withColumn("__z", cluster).withColumn("__cell", top).hint("rebalance", *keys, "__cell").sortWithinPartitions(*keys, "__z").drop("__z", "__cell")
+
+
+def lookup_options(columns: Sequence[str]) -> dict[str, str]:
+    """Parquet options that give ``columns`` a Bloom filter in every row group, for lookups of single values."""
+    out = {"parquet.bloom.filter.adaptive.enabled": "true"} if columns else {}
+    return out | {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
 
 
 def write_observed(
     spark: SparkSession, df: DataFrame, path: str, mode: str = "errorifexists", sort_within: Sequence[str] | None = None,
-    partition_by: str | None = None,
+    partition_by: str | None = None, cluster: Column | None = None, lookup: Sequence[str] = (),
 ) -> DataFrame:
     """Write ``df`` as Parquet, in a folder per value of ``partition_by``, and read it back; the exact row count is observed as a metric
-    of the write itself (no extra job) and remembered for later broadcast size checks."""
+    of the write itself (no extra job) and remembered for later broadcast size checks. ``cluster`` orders rows inside a partition by
+    a z-order value instead of ``sort_within``; ``lookup`` columns get Bloom filters."""
     from pyspark.sql import Observation
-    from pyspark.sql import functions as F
 
     from ..operators.joins import remember_row_count
 
     obs = Observation()
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer_keys = [*([partition_by] if partition_by else []), *(sort_within or [])]
-    if partition_by:  # files of an even size: small values share a task, large ones are split
+    if cluster is not None:
+        out = clustered(out, partition_by, cluster)
+    elif partition_by:  # files of an even size: small values share a task, large ones are split
         out = out.hint("rebalance", partition_by)
-    if writer_keys:
+    if writer_keys and cluster is None:
         out = out.sortWithinPartitions(*writer_keys)
-    writer = out.write.mode(mode)
+    writer = out.write.mode(mode).options(**lookup_options(lookup))
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     back = spark.read.schema(df.schema).parquet(path).select(*df.columns)
     remember_row_count(back, obs.get["rows"])

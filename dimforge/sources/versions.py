@@ -9,21 +9,23 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .tables import clustered, lookup_options
+
 PART = "part"
 
 
-def write_parts(df: DataFrame, root: str, attempt: str, parts: Iterable[int], sort_within: Sequence[str] = (), options: dict[str, str] | None = None) -> dict[str, str]:
+def write_parts(df: DataFrame, root: str, attempt: str, parts: Iterable[int], sort_within: Sequence[str] = (), cluster: Column | None = None, lookup: Sequence[str] = ()) -> dict[str, str]:
     """Writes ``df`` (with its int column ``part``) below ``<root>/<attempt>``, a folder per part; returns the manifest entries.
 
     ``parts`` are all parts that ``df`` may hold rows of; one without rows has no folder any more. Files are of an even
-    size within a part and sorted by ``sort_within``.
+    size within a part and sorted by ``sort_within``, or clustered as ``tables.clustered`` does; ``lookup`` columns get Bloom filters.
     """
     path = f"{root.rstrip('/')}/{attempt}"
-    out = df.hint("rebalance", PART).sortWithinPartitions(PART, *sort_within)
-    out.write.options(**(options or {})).partitionBy(PART).parquet(path)
+    out = df.hint("rebalance", PART).sortWithinPartitions(PART, *sort_within) if cluster is None else clustered(df, PART, cluster)
+    out.write.options(**lookup_options(lookup)).partitionBy(PART).parquet(path)
     spark = df.sparkSession
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
