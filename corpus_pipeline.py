@@ -17,23 +17,23 @@ SHARDS = 40
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: NULL texts and texts without a letter."""
+    """Drops documents without a language: NULL texts and texts without a letter. Repeated rows and NULL ids stay as they are."""
     model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))), seed_col="doc_id")
     return langid.identified(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the first document of each SimHash group."""
+    """Keeps one document of each SimHash group, of the smallest id; an id stays for every group that its texts are first in. NULL ids stay."""
     return simhash.representatives(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a test item of the benchmark."""
+    """Drops documents that hold a test item of the benchmark; an empty benchmark drops none."""
     return decontam.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Puts the documents in the order of the Pfair mix of their sources."""
+    """Puts the documents in the order of the Pfair mix of their sources; NULL is a source, repeated rows keep a place each."""
     return mixing.mixed_documents(docs)
 
 
