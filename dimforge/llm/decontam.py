@@ -207,7 +207,10 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_M
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH, coverage: float = COVERAGE, text_col: str = "text",
                    item_col: str = "item_id", item_text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that ``contaminations`` finds nothing in."""
+    """The rows of ``docs``, with all their columns, that ``contaminations`` finds nothing in.
+
+    NULL, empty and wordless texts stay, as do all rows where no item has a word; repeated rows stay or go together.
+    """
     at = docs.columns.index(text_col)
 
     def clean(shared):

@@ -15,33 +15,39 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_weighted_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards. NULL ids share a shard, repeated rows keep a slot each, NULL and empty texts have size 16; no documents give no rows."""
     out = sharding.shard_documents(_table(spark, sf_dir, "documents"), sharding.topology(SHARDS))
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
 def op2_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document. NULL, empty and white-space texts have fingerprint 0; repeated rows are kept; NULL ids get their fingerprint's component."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisits derived from all pages, resolved. NULL URLs find no response, equal times take the greatest record, repeated pages are resolved each; no pages give no rows."""
     out = revisits.resolve_revisits(revisits.captures(_table(spark, sf_dir, "pages")))
     lines = F.array_join(F.transform("merged", lambda h: F.concat(h["name"], F.lit(": "), h["value"])), "\n")
     return out.select("rec_id", "canonical", "ts", "outcome", F.coalesce("resolved_to", F.lit(-1).cast("long")).alias("resolved_to"), lines.alias("merged_headers"), "body_digest")
 
 
 def op4_lpf_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept and removed bytes of every document. NULL and empty texts have none; of equal documents the one of the smallest id stays whole; no documents give no rows."""
     out = lpf.dedup(_table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["hi"] - x["lo"])
     return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op5_naive_bayes_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document. NULL and letterless texts are und with score 0; ties go to the first language; repeated rows are scored each; without labels all are und."""
     docs = _table(spark, sf_dir, "documents")
     model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))), seed_col="doc_id")
     return langid.predict(docs, model).withColumn("held_out", langid.held_out(F.col("doc_id"))).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op6_block_max_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every twentieth one. NULL and wordless texts find nothing and are not found; ties go to the smaller id; no documents give no rows."""
     docs = _table(spark, sf_dir, "documents")
     asked = docs.where(F.col("doc_id") % 20 == 0).select(F.col("doc_id").alias("query_id"), "text")
     return bm25.search(bm25.build_index(docs), asked)
@@ -51,20 +57,24 @@ URL_RULES = [url_filter.Rule(*r.split()) for r in ("allow com/", "block example.
 
 
 def op7_gbt_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL. NULL and malformed URLs have an empty host and path and a verdict; equal URLs are judged alike; without labelled URLs all are allowed."""
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
 def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in the mix of the sources. NULL is a source; NULL and repeated ids keep a place each, no two rows share one; no documents give no rows."""
     docs = _table(spark, sf_dir, "documents")
     weights, rest = mixing.tempered_weights(docs)
     return mixing.mix(docs, weights, rest)
 
 
 def op9_greedy_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item. NULL, empty and wordless texts and items are not found; repeated rows are found each; ties of tiles go to the first place."""
     return decontam.contaminations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def op10_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, read back from its shard's file. NULL and empty texts are the end id; equal ids keep a row each in the order of their text's checksum."""
     import public_tokenizers
 
     shards = wavelet.write_shards(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -72,16 +82,19 @@ def op10_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code of every vector. NULL vectors and those with NULL or non-finite components are dropped; ties go to the lower entry; repeated rows are kept; NULL labels are equal."""
     coded, book = vector_codes.encode(_table(spark, sf_dir, "embeddings"))
     digits = F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "")
     return vector_codes.with_label_error(coded).select("vec_id", digits.alias("code"), "error", "label_error", F.lit(vector_codes.book_sha256(book)).alias("codebooks_sha256"))
 
 
 def op12_frequency_vector_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents and their forms. NULL, empty and letterless texts hold none; repeated rows count each; ties of forms go to the smallest word."""
     return variants.spelling_variants(_table(spark, sf_dir, "documents"))
 
 
 def op13_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all documents' pieces. NULL and empty texts are the end id alone; repeated rows and NULL ids are packed each; no documents give no rows."""
     import public_tokenizers
 
     return packing.piece_digests(packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))

@@ -101,6 +101,7 @@ def slots_by_position(rows: DataFrame, position_col: str = "position", id_col: s
     """``dealt`` rows with a position each as the columns of ``shard_documents``: a shard's slots, from 0 without gaps, ascend with the position.
 
     A shard is cut into ranges of positions of about equal rows, so no task holds a whole shard; ``rows`` are read three times.
+    Rows of one position, repeated ones too, get distinct slots; NULL positions come first; no rows give none.
     """
     at = F.col(f"`{position_col}`")
     cuts = sorted({int(x) for x in rows.approxQuantile(position_col, [i / blocks for i in range(1, blocks)], 0.25 / blocks)})

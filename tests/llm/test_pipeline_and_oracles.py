@@ -28,10 +28,10 @@ def test_matches_oracle(spark, key):
     assert digest(df.columns, got)[0] == digest(columns, want)[0]
 
 
-def test_all_ten_queries_are_registered():
+def test_all_queries_are_registered():
     import __spark_entry__ as E
 
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
 
 
@@ -77,3 +77,19 @@ def test_slots_of_a_shard_follow_the_mix(spark, tmp_path):
         inside = sorted((r for r in got if r.shard == s), key=lambda r: r.slot)
         keys = [(r.doc_id, r.text_crc32) for r in inside]
         assert [r.slot for r in inside] == list(range(len(inside))) and keys == [x for x in mixed if x in set(keys)]
+
+
+def test_pipeline_with_clashing_columns_and_ids_that_repeat_with_other_texts(spark, tmp_path):
+    from edge import frame
+
+    a, b, c = (words(60, k) for k in (801, 802, 803))
+    data = rows() + [(900, a, "en", "src1", 1), (901, a, "en", "src1", 1), (901, b, "de", None, 1), (902, c, "en", "src2", 1), (902, b + " tail", "en", "src2", 1), (None, words(60, 804), None, None, None)]
+    frame(spark, data).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = P.run(spark, str(tmp_path)).collect()
+    crc = {(r.doc_id, r.text_crc32) for r in got}
+    for key, text in ((900, a), (901, b), (902, c)):
+        assert (key, zlib.crc32(text.encode())) in crc
+    assert (901, zlib.crc32(a.encode())) not in crc and sum(r.doc_id is None for r in got) == 1
+    for s in {r.shard for r in got}:
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
