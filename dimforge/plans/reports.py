@@ -236,15 +236,17 @@ def drill_through_cells(w: Warehouse, cells: DataFrame, max_rows: int = 1_000_00
     return f.select("id_ocorrencia", "case_number", "data_hora_ocorrencia", "sk_crime", "sk_geografia", "qtd_prisao")
 
 
-def drill_through(w: Warehouse, ano=2012, numero_mes=6, district=12, categoria_analitica="Crime violento") -> DataFrame:
+def drill_through(w: Warehouse, ano=2012, numero_mes=6, district=12, categoria_analitica="Crime violento", push_keys: bool = False) -> DataFrame:
     """O11 for one selected cell: left semi joins with the filtered dimensions (the cell's
-    month is also pushed into the fact scan as a date-key range, its places and codes as key lists)."""
+    month is also pushed into the fact scan as a date-key range). ``push_keys`` reads the few keys of its places and codes
+    first and pushes them too, so that a large fact gives up the row groups without them; planning then starts jobs."""
     first = ano * 10000 + numero_mes * 100
     f = w.fct_ocorrencias.where((F.col(YEAR) == ano) & F.col("sk_data").between(first + 1, first + 31))
     d = w.dim_data.where((F.col("ano") == ano) & (F.col("numero_mes") == numero_mes)).select("sk_data")
     g = w.dim_geografia.where(F.col("district") == district).select("sk_geografia")
     c = w.dim_crime.where(F.col("categoria_analitica") == categoria_analitica).select("sk_crime")
-    f = f.where(pushed_keys(g, "sk_geografia") & pushed_keys(c, "sk_crime"))
+    if push_keys:
+        f = f.where(pushed_keys(g, "sk_geografia") & pushed_keys(c, "sk_crime"))
     f = f.join(broadcast_if_small(d, known_rows=CALENDAR_ROWS), "sk_data", "left_semi")
     f = f.join(broadcast_if_small(g), "sk_geografia", "left_semi")
     f = f.join(broadcast_if_small(c), "sk_crime", "left_semi")

@@ -56,6 +56,6 @@ def test_reports_that_use_the_access_paths(spark):
     w = Warehouse.from_sf(spark, SF001, materialize=True)
     some = [r[0] for r in w.stg.select("id_ocorrencia").limit(3).collect()]
     assert sorted(r[0] for r in R.incidents_by_id(w, some).select("id_ocorrencia").collect()) == sorted(some)
-    plan = R.drill_through(w, **R.THROUGH_CELL)._jdf.queryExecution().executedPlan().toString()
+    plan = R.drill_through(w, **R.THROUGH_CELL, push_keys=True)._jdf.queryExecution().executedPlan().toString()
     pushed = plan[plan.index("PushedFilters"):]
     assert "In(sk_geografia" in pushed and "In(sk_crime" in pushed
