@@ -7,8 +7,10 @@ No task can hold the suffixes of the whole corpus, so they are dealt by content.
 ``length`` bytes the least hash of a ``GRAM``-byte gram marks an anchor; two equal windows mark the
 same anchor at the same place, so equal windows always meet in the group of an anchor.
 
-1. Documents are scanned for anchors: (hash of the gram, hash of all bytes a window through it can hold, place).
-2. Anchors are dealt by gram hash. A gram that occurs once can be in no repeat. Where all the bytes around an
+1. Documents are scanned once for anchors: (hash of the gram, hash of all bytes a window through it can hold, place).
+   Grams of very many contexts are counted over all of them; their windows are joined by a hash of 128 bits instead of
+   sorted in one task.
+2. All other anchors are dealt by gram hash. A gram that occurs once can be in no repeat. Where all the bytes around an
    anchor occurred earlier, everything around it is removed; one hash of 64 bits a gram and one of 64 a
    context stand for the bytes. Only the first of each context needs its bytes.
 3. Those contexts, cut from the documents, are dealt by gram hash. Their suffixes are sorted; in suffix order,
@@ -37,9 +39,8 @@ from dimforge.llm.tables import materialized
 
 LENGTH = 100
 GRAM = 32
-HOT = 4096  # contexts of a gram that one task sorts at least; the windows of more common grams are joined
-HOT_SHARE = 1_000_000  # a gram is not common below this part of all anchors, so at most as many are broadcast
-_LOCALLY_COMMON = 32
+HOT = 1024  # a gram of fewer contexts is sorted by one task; the windows of more common grams are joined
+HOT_BITS = 1 << 28  # bits of the filter that tells common grams; 32 MB whatever the corpus
 _BYTES_AT_ONCE = 1 << 20
 _ANCHORS_AT_ONCE = 1 << 19
 _WINDOWS_AT_ONCE = 1 << 18
@@ -202,7 +203,7 @@ def _local_firsts(batch: pa.RecordBatch, keys: list[str], length: int, gram: int
         yield joined(parts)
 
 
-def removed_spans(docs: DataFrame, keys: list[str], length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def removed_spans(docs: DataFrame, keys: list[str], length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """(keys, spans: array of the covered runs' pieces lo and hi) of documents (keys, text as binary) with distinct keys.
 
     Documents are ordered by ``keys`` (NULL first). Documents without a covered byte are left out. ``docs`` is scanned
@@ -217,52 +218,60 @@ def removed_spans(docs: DataFrame, keys: list[str], length: int = LENGTH, gram:
         schema = T.StructType([*fields])
         return schema, to_arrow_schema(schema)
 
-    # grams that occur with very many contexts; the windows around them are joined, not gathered
-    seen_schema, seen_arrow = table(T.StructField("kind", T.IntegerType()), *key_fields, *span)
+    # anchors, the first of each gram and context in its batch (kind 1: gram, context, place with the bytes before and after
+    # in one number); whatever the later ones cover is removed (kind 0: lo, hi)
+    seen_schema, seen_arrow = table(T.StructField("kind", T.IntegerType()), *key_fields, *[T.StructField(c, T.LongType()) for c in ("a", "b", "c")])
 
     def survey(batches):
         for b in batches:
-            total, common = 0, []
+            def rows(kind: int, of: np.ndarray, *columns):
+                own = pa.array(of)
+                numbers = [pa.array(x, pa.int64()) for x in columns] + [pa.nulls(len(of), pa.int64())] * (3 - len(columns))
+                return pa.RecordBatch.from_arrays([pa.array(np.full(len(of), kind, np.int32)), *[b.column(k).take(own) for k in keys], *numbers], schema=seen_arrow)
+
             for a, first, later in _local_firsts(b, keys, length, gram):
-                total += len(first)
-                grams, n = np.unique(a.gram[first], return_counts=True)
-                common.append((grams[n >= _LOCALLY_COMMON], n[n >= _LOCALLY_COMMON]))
+                place = a.at[first] << 32 | (a.at[first] - a.first[first]) << 16 | (a.last[first] + length - a.at[first])
+                yield rows(1, a.doc[first], a.gram[first], a.context[first], place)
                 order = later[np.lexsort((a.first[later], a.doc[later]))]
+                own, lo, hi = [], [], []
                 for part in np.split(order, np.flatnonzero(np.diff(a.doc[order])) + 1) if len(order) else []:
                     runs = _merged(a.first[part], a.last[part] + length)
-                    own = pa.array(np.full(len(runs), a.doc[part[0]]))
-                    yield pa.RecordBatch.from_arrays([pa.array([0] * len(runs), pa.int32()), *[b.column(k).take(own) for k in keys], pa.array([x[0] for x in runs], pa.int64()), pa.array([x[1] for x in runs], pa.int64())], schema=seen_arrow)
-            grams, n = (np.concatenate([x[i] for x in common] or [np.zeros(0, np.int64)]) for i in (0, 1))
-            grams, n = np.r_[grams, 0], np.r_[n, total]
-            kind = pa.array([1] * (len(n) - 1) + [2], pa.int32())
-            yield pa.RecordBatch.from_arrays([kind, *[pa.nulls(len(n), b.schema.field(k).type) for k in keys], pa.array(grams), pa.array(n)], schema=seen_arrow)
+                    own += [int(a.doc[part[0]])] * len(runs)
+                    lo += [x[0] for x in runs]
+                    hi += [x[1] for x in runs]
+                yield rows(0, np.array(own, np.int64), lo, hi)
 
     seen = materialized(docs.mapInArrow(survey, seen_schema), "lpf-survey")
-    total = seen.where("kind = 2").agg(F.sum("hi")).first()[0] or 0
-    limit = max(HOT, total // HOT_SHARE)
-    common = seen.where("kind = 1").groupBy("lo").agg(F.sum("hi").alias("n")).where(F.col("n") >= limit).select("lo")
-    hot = np.sort(np.array([r.lo for r in common.collect()], np.int64))  # at most HOT_SHARE numbers, as each has the share of all anchors
-    shared = spark.sparkContext.broadcast(hot)
+    found = seen.where("kind = 1")
 
-    # anchors of all other grams, the first of each context in its batch; place, bytes before and after packed in one number
-    place_schema, place_arrow = table(T.StructField("gram", T.LongType()), T.StructField("context", T.LongType()), *key_fields, T.StructField("place", T.LongType()))
+    # grams of at least ``hot`` contexts, counted over all anchors; the windows around them are joined, not gathered
+    slot = F.col("a").bitwiseAND(HOT_BITS - 1)
+    common = found.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot)
+    words = common.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))).alias("bits")).toArrow()
+    marks = np.zeros(HOT_BITS >> 6 if words.num_rows else 0, np.int64)  # a filter of fixed size: a gram that it takes for a common one is joined, too
+    marks[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    shared = spark.sparkContext.broadcast(marks.view(_U))
 
-    def deal(batches):
+    def is_common(grams: np.ndarray) -> np.ndarray:
+        bit = grams.view(_U) & _U(HOT_BITS - 1)
+        return (shared.value[bit >> _U(6)] >> (bit & _U(63)) & _U(1)).astype(bool)
+
+    def rare(batches):
         for b in batches:
-            for a, first, _ in _local_firsts(b, keys, length, gram):
-                first = first[~np.isin(a.gram[first], shared.value)]
-                place = a.at[first] << 32 | (a.at[first] - a.first[first]) << 16 | (a.last[first] + length - a.at[first])
-                own = pa.array(a.doc[first])
-                yield pa.RecordBatch.from_arrays([pa.array(a.gram[first]), pa.array(a.context[first]), *[b.column(k).take(own) for k in keys], pa.array(place)], schema=place_arrow)
+            yield b.filter(pa.array(~is_common(b.column("gram").to_numpy())))
+
+    dealt = found.select(F.col("a").alias("gram"), F.col("b").alias("context"), *keys, F.col("c").alias("place"))
+    if len(marks):
+        dealt = dealt.mapInArrow(rare, dealt.schema)
 
     by_gram = Window.partitionBy("gram").orderBy("context", *keys, "place")
     whole = by_gram.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    marked = docs.mapInArrow(deal, place_schema).select(
+    marked = dealt.select(
         "gram", *keys, "place", F.coalesce(F.lag("context").over(by_gram) == F.col("context"), F.lit(False)).alias("covered"),
         (F.first("context").over(whole) != F.last("context").over(whole)).alias("varied")).where("covered OR varied")
     marked = materialized(marked, "lpf-marked")
     at, before, after = F.shiftright("place", 32), F.shiftright("place", 16).bitwiseAND(0xFFFF), F.col("place").bitwiseAND(0xFFFF)
-    spans = [seen.where("kind = 0").select(*keys, "lo", "hi"), marked.where("covered").select(*keys, (at - before).alias("lo"), (at + after).alias("hi"))]
+    spans = [seen.where("kind = 0").select(*keys, F.col("a").alias("lo"), F.col("b").alias("hi")), marked.where("covered").select(*keys, (at - before).alias("lo"), (at + after).alias("hi"))]
 
     # the bytes around the first anchor of each context of a varied gram
     wanted = marked.where("NOT covered").groupBy(*keys).agg(F.collect_list(F.struct("gram", "place")).alias("wanted")).select(*[F.col(k).alias(f"w_{k}") for k in keys], "wanted")
@@ -319,20 +328,27 @@ def removed_spans(docs: DataFrame, keys: list[str], length: int = LENGTH, gram:
 
     spans.append(found.repartition("gram").sortWithinPartitions("gram", *keys, "lo").mapInArrow(factors, part_schema))
 
-    if len(hot):
+    if len(marks):
         window_schema, window_arrow = table(T.StructField("window", T.BinaryType()), *key_fields, T.StructField("lo", T.LongType()))
 
         def windows(batches):
             for b in batches:
+                own, lo, digest = [], [], []
+
+                def rows():
+                    return pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), *[b.column(c).take(pa.array(own, pa.int64())) for c in keys], pa.array(lo, pa.int64())], schema=window_arrow)
+
                 for a, first, _ in _local_firsts(b, keys, length, gram):
-                    own, lo, digest = [], [], []
-                    for k in first[np.isin(a.gram[first], shared.value)]:
+                    for k in first[is_common(a.gram[first])]:
                         text = b.column("text")[int(a.doc[k])].as_buffer()
                         for s in range(int(a.first[k]), int(a.last[k]) + 1):
                             own.append(a.doc[k])
                             lo.append(s)
                             digest.append(xxhash.xxh3_128_digest(text[s:s + length]))
-                    yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), *[b.column(c).take(pa.array(own, pa.int64())) for c in keys], pa.array(lo, pa.int64())], schema=window_arrow)
+                        if len(lo) >= _WINDOWS_AT_ONCE:
+                            yield rows()
+                            own, lo, digest = [], [], []
+                yield rows()
 
         every = materialized(docs.mapInArrow(windows, window_schema), "lpf-windows").withColumn("me", F.struct(*keys, "lo"))
         least = every.groupBy("window").agg(F.min("me").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -360,12 +376,13 @@ def _packed(docs: DataFrame, keys: list[str]) -> DataFrame:
     return docs.select(*keys, "text").mapInArrow(run, schema)
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """One row per input row: id, n_bytes, spans (maximal removed runs: lo, hi), kept (remaining bytes).
 
     NULL and empty texts have no bytes; texts shorter than ``length`` lose none. NULL ids come before all others. Rows of
     equal id count as documents in the order of a hash of their text; exact repeats of a row get that row's result and are
-    no copies of each other. ``length`` is 40 to 65535 bytes, ``gram`` at most ``length``. Other columns are ignored.
+    no copies of each other. ``length`` is 40 to 65535 bytes, ``gram`` at most ``length``; no task sorts ``hot`` or more contexts
+    of one gram. Other columns are ignored.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("k0"), F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b"")).alias("text"))
     keys = ["k0"]
@@ -373,7 +390,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     if not one:
         rows, keys = rows.withColumn("k1", F.xxhash64("text")), ["k0", "k1"]
     distinct = rows if one else materialized(rows.dropDuplicates(keys), "lpf-distinct")
-    spans = removed_spans(distinct, keys, length, gram).select(*[F.col(k).alias(f"s_{k}") for k in keys], "spans")
+    spans = removed_spans(distinct, keys, length, gram, hot).select(*[F.col(k).alias(f"s_{k}") for k in keys], "spans")
     runs = T.ArrayType(T.StructType([T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType())]))
     schema = T.StructType([T.StructField("k0", rows.schema["k0"].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("spans", runs), T.StructField("kept", T.BinaryType())])
     arrow = to_arrow_schema(schema)

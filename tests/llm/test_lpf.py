@@ -5,6 +5,7 @@ import pytest
 from edge import frame, repeated, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from dimforge.llm import lpf
 
@@ -23,8 +24,9 @@ def brute(documents, length):
     return out
 
 
-def check(spark, data, length=100, gram=32):
-    got = {r.doc_id: r for r in lpf.dedup(frame(spark, data), length=length, gram=gram).collect()}
+def check(spark, data, length=100, gram=32, hot=lpf.HOT, parts=None):
+    docs = frame(spark, data)
+    got = {r.doc_id: r for r in lpf.dedup(docs.repartition(parts) if parts else docs, length=length, gram=gram, hot=hot).collect()}
     texts = [(d[1] or "").encode() for d in sorted(data)]
     for d, text, runs in zip(sorted(data), texts, brute(texts, length)):
         r = got[d[0]]
@@ -43,10 +45,27 @@ def passages(seed):
 
 
 @pytest.mark.parametrize("hot", [3, 4096])
-def test_shared_passages_on_the_sorted_and_the_joined_path(spark, monkeypatch, hot):
-    monkeypatch.setattr(lpf, "HOT", hot)
-    monkeypatch.setattr(lpf, "_LOCALLY_COMMON", 2)
-    check(spark, passages(3))
+def test_shared_passages_on_the_sorted_and_the_joined_path(spark, hot):
+    check(spark, passages(3), hot=hot)
+
+
+def test_a_gram_common_overall_but_rare_in_each_batch_is_not_sorted_in_one_task(spark, monkeypatch):
+    r = np.random.default_rng(8)
+    line = "".join(r.choice(list("defg"), 70))
+    data = [(i, "".join(r.choice(list("abc"), 60)) + line + "".join(r.choice(list("abc"), 40)) + line * (i % 4), None, None, None) for i in range(48)]
+    seen = []
+    kept = lpf.materialized
+
+    def watched(df, name):
+        out = kept(df, name)
+        if name == "lpf-marked":
+            seen.append(out.groupBy("gram").count().agg(F.max("count")).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(lpf, "materialized", watched)
+    check(spark, data, hot=1_000_000, parts=24)  # all sorted
+    check(spark, data, hot=12, parts=24)
+    assert seen[0] >= 12 > seen[1]
 
 
 def test_repeated_rows_null_ids_and_nothing(spark):
