@@ -8,8 +8,9 @@ No task can hold the suffixes of the whole corpus, so they are dealt by content.
 same anchor at the same place, so equal windows always meet in the group of an anchor.
 
 1. Documents are scanned once for anchors: (hash of the gram, hash of all bytes a window through it can hold, place).
-   Grams of very many contexts are counted over all of them; their windows are joined by a hash of 128 bits instead of
-   sorted in one task.
+   Grams of very many contexts, counted over all anchors, are split by longer strings: the gram with bytes after it for the
+   windows that start late, with bytes before it for the others. The windows of halves that are common still are joined
+   by a hash of 128 bits.
 2. All other anchors are dealt by gram hash. A gram that occurs once can be in no repeat. Where all the bytes around an
    anchor occurred earlier, everything around it is removed; one hash of 64 bits a gram and one of 64 a
    context stand for the bytes. Only the first of each context needs its bytes.
@@ -22,6 +23,7 @@ same anchor at the same place, so equal windows always meet in the group of an a
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,11 +41,12 @@ from dimforge.llm.tables import materialized
 
 LENGTH = 100
 GRAM = 32
-HOT = 1024  # a gram of fewer contexts is sorted by one task; the windows of more common grams are joined
-HOT_BITS = 1 << 28  # bits of the filter that tells common grams; 32 MB whatever the corpus
+HOT = 1024  # contexts of a gram that no task sorts together: more common grams are split
+HOT_BITS = 1 << 28  # bits of the filter that tells common grams; at most 64 MB whatever the corpus
 _BYTES_AT_ONCE = 1 << 20
 _ANCHORS_AT_ONCE = 1 << 19
 _WINDOWS_AT_ONCE = 1 << 18
+_HALVES_AT_ONCE = 1 << 16
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -203,6 +206,53 @@ def _local_firsts(batch: pa.RecordBatch, keys: list[str], length: int, gram: int
         yield joined(parts)
 
 
+def _common_grams(anchors_: DataFrame, hot: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """A filter of HOT_BITS bits over the grams with at least ``hot`` rows: its words that are not zero, and where; None if there are none.
+
+    It has at most HOT_BITS / 64 words for any corpus. A gram that it takes for a common one is treated as one, with the same result.
+    """
+    slot = F.col("gram").bitwiseAND(HOT_BITS - 1)
+    common = anchors_.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))
+    words = common.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    if not words.num_rows:
+        return None
+    words = words.sort_by("word")
+    return words.column("word").to_numpy(), words.column("bits").to_numpy().view(_U)
+
+
+def _marked(marks: tuple[np.ndarray, np.ndarray], grams: np.ndarray) -> np.ndarray:
+    where, bits = marks
+    slot = grams & (HOT_BITS - 1)
+    word = slot >> 6
+    at = np.minimum(np.searchsorted(where, word), len(where) - 1)
+    return (where[at] == word) & (bits[at] >> (slot & 63).view(_U) & _U(1)).astype(bool)
+
+
+def _rare(anchors_: DataFrame, shared) -> DataFrame:
+    """The anchors of the grams that a broadcast filter does not mark."""
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(~_marked(shared.value, b.column("gram").to_numpy())))
+
+    return anchors_.mapInArrow(run, anchors_.schema)
+
+
+def halves(text: bytes, at: int, first: int, last: int, length: int, gram: int) -> list[tuple[int, int, int]]:
+    """(key, first start, last start) of the windows around the gram at ``at`` that start late and of those that start early.
+
+    A late window holds the gram and about half of a window's other bytes after it, an early one as many before it. Equal
+    windows have their gram at the same place, so they are of the same half and key.
+    """
+    middle = (length - gram) // 2
+    late, early, out = max(first, at - middle), min(last, at - middle - 1), []
+    if late <= last:
+        out.append((xxhash.xxh3_64_intdigest(text[at:at + length - middle], seed=1), late, last))
+    if first <= early:
+        out.append((xxhash.xxh3_64_intdigest(text[at - middle - 1:at + gram], seed=2), first, early))
+    return out
+
+
 def removed_spans(docs: DataFrame, keys: list[str], length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """(keys, spans: array of the covered runs' pieces lo and hi) of documents (keys, text as binary) with distinct keys.
 
@@ -244,25 +294,33 @@ def removed_spans(docs: DataFrame, keys: list[str], length: int = LENGTH, gram:
     seen = materialized(docs.mapInArrow(survey, seen_schema), "lpf-survey")
     found = seen.where("kind = 1")
 
-    # grams of at least ``hot`` contexts, counted over all anchors; the windows around them are joined, not gathered
-    slot = F.col("a").bitwiseAND(HOT_BITS - 1)
-    common = found.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot)
-    words = common.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))).alias("bits")).toArrow()
-    marks = np.zeros(HOT_BITS >> 6 if words.num_rows else 0, np.int64)  # a filter of fixed size: a gram that it takes for a common one is joined, too
-    marks[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    shared = spark.sparkContext.broadcast(marks.view(_U))
-
-    def is_common(grams: np.ndarray) -> np.ndarray:
-        bit = grams.view(_U) & _U(HOT_BITS - 1)
-        return (shared.value[bit >> _U(6)] >> (bit & _U(63)) & _U(1)).astype(bool)
-
-    def rare(batches):
-        for b in batches:
-            yield b.filter(pa.array(~is_common(b.column("gram").to_numpy())))
+    # grams of at least ``hot`` contexts, counted over all anchors, are split into halves; common halves into windows
+    dealt = seen.where("kind = 1").select(F.col("a").alias("gram"), F.col("b").alias("context"), *keys, F.col("c").alias("place"))
+    marks = _common_grams(dealt, hot)
+    if marks is not None:
+        shared = spark.sparkContext.broadcast(marks)
+        place_schema, place_arrow = table(T.StructField("gram", T.LongType()), T.StructField("context", T.LongType()), *key_fields, T.StructField("place", T.LongType()))
+
+        def common_halves(b):
+            """(document, text, place of the gram, half) for the anchors of common grams of a batch."""
+            for a, first, _ in _local_firsts(b, keys, length, gram):
+                for k in first[_marked(shared.value, a.gram[first])].tolist():
+                    doc, at = int(a.doc[k]), int(a.at[k])
+                    text = b.column("text")[doc].as_buffer()
+                    for half in halves(text, at, int(a.first[k]), int(a.last[k]), length, gram):
+                        yield doc, text, at, half
+
+        def split(batches):
+            for b in batches:
+                for some in itertools.batched(common_halves(b), _HALVES_AT_ONCE):
+                    found = [(doc, key, xxhash.xxh3_64_intdigest(text[lo:hi + length], seed=at - lo), at << 32 | (at - lo) << 16 | (hi + length - at)) for doc, text, at, (key, lo, hi) in some]
+                    doc, key, context, place = (np.array(x, kind) for x, kind in zip(zip(*found), (np.int64, _U, _U, np.int64)))
+                    own = pa.array(doc)
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(context.view(np.int64)), *[b.column(k).take(own) for k in keys], pa.array(place)], schema=place_arrow)
 
-    dealt = found.select(F.col("a").alias("gram"), F.col("b").alias("context"), *keys, F.col("c").alias("place"))
-    if len(marks):
-        dealt = dealt.mapInArrow(rare, dealt.schema)
+        half = materialized(docs.mapInArrow(split, place_schema), "lpf-halves")
+        half_marks = _common_grams(half, hot)
+        dealt = _rare(dealt, shared).union(half if half_marks is None else _rare(half, spark.sparkContext.broadcast(half_marks)))
 
     by_gram = Window.partitionBy("gram").orderBy("context", *keys, "place")
     whole = by_gram.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -328,26 +386,27 @@ def removed_spans(docs: DataFrame, keys: list[str], length: int = LENGTH, gram:
 
     spans.append(found.repartition("gram").sortWithinPartitions("gram", *keys, "lo").mapInArrow(factors, part_schema))
 
-    if len(marks):
+    if marks is not None and half_marks is not None:
+        shared_halves = spark.sparkContext.broadcast(half_marks)
         window_schema, window_arrow = table(T.StructField("window", T.BinaryType()), *key_fields, T.StructField("lo", T.LongType()))
 
         def windows(batches):
             for b in batches:
-                own, lo, digest = [], [], []
+                own, start, digest = [], [], []
 
                 def rows():
-                    return pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), *[b.column(c).take(pa.array(own, pa.int64())) for c in keys], pa.array(lo, pa.int64())], schema=window_arrow)
-
-                for a, first, _ in _local_firsts(b, keys, length, gram):
-                    for k in first[is_common(a.gram[first])]:
-                        text = b.column("text")[int(a.doc[k])].as_buffer()
-                        for s in range(int(a.first[k]), int(a.last[k]) + 1):
-                            own.append(a.doc[k])
-                            lo.append(s)
-                            digest.append(xxhash.xxh3_128_digest(text[s:s + length]))
-                        if len(lo) >= _WINDOWS_AT_ONCE:
-                            yield rows()
-                            own, lo, digest = [], [], []
+                    return pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), *[b.column(c).take(pa.array(own, pa.int64())) for c in keys], pa.array(start, pa.int64())], schema=window_arrow)
+
+                for doc, text, _, (key, lo, hi) in common_halves(b):
+                    if not _marked(shared_halves.value, np.array([key], _U).view(np.int64))[0]:
+                        continue
+                    for s in range(lo, hi + 1):
+                        own.append(doc)
+                        start.append(s)
+                        digest.append(xxhash.xxh3_128_digest(text[s:s + length]))
+                    if len(start) >= _WINDOWS_AT_ONCE:
+                        yield rows()
+                        own, start, digest = [], [], []
                 yield rows()
 
         every = materialized(docs.mapInArrow(windows, window_schema), "lpf-windows").withColumn("me", F.struct(*keys, "lo"))

@@ -64,10 +64,17 @@ def test_a_gram_common_overall_but_rare_in_each_batch_is_not_sorted_in_one_task(
 
     monkeypatch.setattr(lpf, "materialized", watched)
     check(spark, data, hot=1_000_000, parts=24)  # all sorted
-    check(spark, data, hot=12, parts=24)
+    check(spark, data, hot=12, parts=24)  # halves, and the windows of common halves
     assert seen[0] >= 12 > seen[1]
 
 
+def test_halves_hold_each_window_once():
+    text = bytes(range(256))
+    for at, first, last in ((100, 40, 100), (100, 32, 60), (100, 90, 100), (80, 12, 80)):
+        got = lpf.halves(text, at, first, last, 100, 32)
+        assert sorted(s for _, lo, hi in got for s in range(lo, hi + 1)) == list(range(first, last + 1))
+
+
 def test_repeated_rows_null_ids_and_nothing(spark):
     data = repeated()
     got = lpf.dedup(frame(spark, data)).collect()
