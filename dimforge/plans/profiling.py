@@ -104,17 +104,16 @@ def prof_iucr_combos(raw: DataFrame) -> DataFrame:
 
 
 def prof_iucr_varies(raw: DataFrame) -> DataFrame:
-    """Which attribute varies within a code (functional-dependency check)."""
-    per = raw.groupBy("iucr").agg(
-        F.countDistinct("primary_type").alias("n_primary"),
-        F.countDistinct("description").alias("n_desc"),
-        F.countDistinct("fbi_code").alias("n_fbi"),
-    )
-    return per.agg(
-        F.count_if(F.col("n_primary") > 1).alias("iucr_varia_primary_type"),
-        F.count_if(F.col("n_desc") > 1).alias("iucr_varia_description"),
-        F.count_if(F.col("n_fbi") > 1).alias("iucr_varia_fbi_code"),
-    )
+    """Which attribute varies within a code (functional-dependency check).
+
+    The rows collapse to their distinct combinations before the shuffle, without being expanded once per attribute.
+    """
+    attrs = {"iucr_varia_primary_type": "primary_type", "iucr_varia_description": "description", "iucr_varia_fbi_code": "fbi_code"}
+    # counted, as the optimizer would drop a mere distinct below the least and greatest and sort every row for them
+    combos = raw.groupBy("iucr", *attrs.values()).agg(F.count(F.lit(1)).alias("_n")).where("_n > 0")
+    # more than one value (NULL is none): the least and the greatest differ
+    per = combos.groupBy("iucr").agg(*[(F.min(c) != F.max(c)).alias(a) for a, c in attrs.items()])
+    return per.agg(*[F.count_if(F.col(a)).alias(a) for a in attrs])
 
 
 def prof_description_drift(raw: DataFrame, top: int = 30) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.joins import size_bound
 from .history import SnapshotRun
 from .landing import LANDING_COLUMNS
 
@@ -54,15 +55,27 @@ LINE_ORDER = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_disc
               "l_linestatus", "l_shipdate")
 
 
+SORTED_BYTES = 16 << 20  # of the files' size in one sorted partition: some ten times as much in memory
+MOST_PARTITIONS = 50_000
+
+
+def _by_order(lineitem: DataFrame) -> DataFrame:
+    """Lines dealt by order key, into so many partitions that each is sorted in memory whatever the table's size."""
+    size, session = size_bound(lineitem), int(lineitem.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = min(-(-size // SORTED_BYTES), MOST_PARTITIONS)
+    unknown = size > 1 << 50  # rows that do not come from files
+    return lineitem.repartition("l_orderkey") if unknown or n <= session else lineitem.repartition(n, "l_orderkey")
+
+
 def crimes_raw_from_tpch(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Build ``crimes_raw``; one incident per lineitem row.
 
     The incident id is made of order key, line number and the row's number among those that
-    share both (a handful; rows equal in every column are interchangeable), so one shuffle of
-    lineitem on the two keys, then an equi-join with orders on the order key.
+    share both (a handful; rows equal in every column are interchangeable). Lines are dealt by order
+    key once: that one shuffle and sort serves the numbering and the join with orders.
     """
     same_line = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*[F.asc_nulls_first(c) for c in LINE_ORDER])
-    li = lineitem.select(
+    li = _by_order(lineitem.where("l_orderkey IS NOT NULL").select("l_orderkey", "l_linenumber", *LINE_ORDER)).select(
         "l_orderkey", "l_linenumber", F.col("l_partkey").alias("pk"), F.col("l_suppkey").alias("sk"), F.col("l_quantity").alias("qty"),
         "l_returnflag", "l_linestatus", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("rid"), F.row_number().over(same_line).alias("rn"),
     )
