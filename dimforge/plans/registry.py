@@ -308,7 +308,7 @@ def _quarantine(spark, sf):
     raw = wh(spark, sf).raw.withColumn("date", F.when(number % 103 == 4, "someday").when(number % 107 == 5, None).otherwise(F.col("date")))
     line = F.to_csv(F.struct(*LANDING_COLUMNS), {"nullValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
     path = scratch_path(spark, "landing-damaged")
-    raw.select(F.when(number % 101 == 3, F.substring_index(line, ",", 5)).otherwise(line)).write.text(path)
+    raw.select(F.when(number % 101 == 3, F.substring_index(line, ",", 5)).otherwise(line)).write.text(path, compression="gzip")
     landed = spark.read.schema(CHECKED_SCHEMA).options(**checked_options(header=False)).csv(path)
     staged, bad = staged_and_quarantined(landed)
     return bad.select("reason").unionByName(staged.select(F.lit("staged").alias("reason"))).groupBy("reason").agg(F.count(F.lit(1)).alias("linhas"))

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import re
 
 import pytest
+
 from conftest import raw_rows, row
 from dimforge.plans import profiling as P
+from dimforge.plans import registry
 from dimforge.sources import fixture
 
 LINES = ("l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, "
@@ -54,3 +57,14 @@ def test_varying_attributes_without_expanding_rows(spark):
     plan = plan_of(found)
     assert "Expand" not in plan
     assert re.search(r"HashAggregate\(keys=\[iucr#\d+, primary_type#\d+, description#\d+, fbi_code#\d+\], functions=\[partial_count", plan)  # rows collapse first
+
+
+def test_damaged_landing_is_compressed(spark, tmp_path, monkeypatch):
+    raw = raw_rows(spark, [row(id=str(i)) for i in range(1, 2001)])
+    monkeypatch.setattr(registry, "wh", lambda *a: type("W", (), {"raw": raw}))
+    monkeypatch.setattr(registry, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    got = dict(tuple(r) for r in registry.QUERIES["landing_quarantine"](spark, "none").collect())
+    cut, bad, none = (sum(ok(i) for i in range(1, 2001)) for ok in (lambda i: i % 101 == 3, lambda i: i % 101 != 3 and i % 103 == 4, lambda i: i % 101 != 3 and i % 103 != 4 and i % 107 == 5))
+    assert got == {"not in the landing layout": cut, "date is no timestamp": bad, "no date": none, "staged": 2000 - cut - bad - none}
+    files = glob.glob(f"{tmp_path}/landing-damaged/part-*")
+    assert files and all(f.endswith(".gz") for f in files)
