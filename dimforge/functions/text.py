@@ -23,10 +23,12 @@ def clean_upper(c: Column) -> Column:
 def digits_to_int(c: Column) -> Column:
     """Keep only digits, blank -> NULL, then integer: '004' -> 4, '12.0' -> 120, 'x' -> NULL.
 
-    A digit string longer than an int raises under ANSI mode, like the reference's cast.
+    A digit string longer than an int raises under ANSI mode, like the reference's cast. Text of digits alone is cast as it is;
+    the expression that takes other characters out runs on the rest.
     """
     d = F.regexp_replace(c, r"\D", "")
-    return F.when(d == "", F.lit(None).cast("int")).otherwise(d.cast("int"))
+    kept = F.when(F.ltrim(c, F.lit("0123456789")) == "", c).otherwise(d)
+    return F.when(kept == "", F.lit(None).cast("int")).otherwise(kept.cast("int"))
 
 
 def initcap_words(c: Column) -> Column:

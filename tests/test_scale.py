@@ -7,8 +7,10 @@ import glob
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import raw_rows, row
+from dimforge.functions.text import digits_to_int
 from dimforge.plans import profiling as P
 from dimforge.plans import registry
 from dimforge.sources import fixture
@@ -68,3 +70,9 @@ def test_damaged_landing_is_compressed(spark, tmp_path, monkeypatch):
     assert got == {"not in the landing layout": cut, "date is no timestamp": bad, "no date": none, "staged": 2000 - cut - bad - none}
     files = glob.glob(f"{tmp_path}/landing-damaged/part-*")
     assert files and all(f.endswith(".gz") for f in files)
+
+
+def test_digits_of_plain_and_mixed_text(spark):
+    rows = [("004", 4), ("12.0", 120), ("x", None), ("", None), (" ", None), (" 7 ", 7), ("-5", 5), ("٣", None), ("0", 0), (None, None), ("2147483647", 2147483647)]
+    got = spark.createDataFrame(rows, "t string, n int").select(digits_to_int(F.col("t")).alias("got"), "n", "t").collect()
+    assert [(r.t, r.got) for r in got] == rows
