@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.keys import surrogate_key
 from ..functions.text import initcap_words
-from ..operators.joins import asof_join
+from ..operators.joins import asof_join, size_bound
 from ..operators.latest import latest_per_key
 from ..operators.quality import relationships_check
 from ..operators.scd2 import merge_changes, scd2_from_events, scd2_validity, with_current
@@ -166,6 +166,9 @@ def _history_store(spark, sf):
     return store.latest()
 
 
+ID_BUCKET_BYTES = 64 << 20  # of the raw table's files to an id bucket: some two million ids
+
+
 def incremental_fixture(spark: SparkSession, sf: str, root: str, after_run=lambda w: None) -> IncrementalWarehouse:
     """The test data's three snapshot runs as incremental runs over parts of the raw table.
 
@@ -180,7 +183,7 @@ def incremental_fixture(spark: SparkSession, sf: str, root: str, after_run=lambd
     start = early.withColumn("arrest", F.when(wrong, "false").otherwise(F.col("arrest"))).withColumn("location_description", F.when(wrong, F.lit("STREET")).otherwise(F.col("location_description")))
     blank = {"iucr": F.lit(None).cast("string"), "beat": F.lit(None).cast("string"), "district": F.lit(None).cast("string"), "location_description": F.lit(None).cast("string"), "date": F.lit("02/03/2009 04:05:06 AM")}
     start = start.unionByName(raw.where((year > 2010) & misdated).withColumns(blank)).unionByName(early.where(extra).withColumns({**blank, "id": (-number).cast("string")}))
-    w = IncrementalWarehouse(spark, root, id_buckets=8)
+    w = IncrementalWarehouse(spark, root, id_buckets=max(8, -(-size_bound(raw) // ID_BUCKET_BYTES)))
     after_run(w.run(start, first))
     deletes = early.where(extra).select((-number).alias("id_ocorrencia"))
     after_run(w.run(raw.where((year > 2010) | wrong), second, deletes))

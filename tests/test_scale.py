@@ -72,6 +72,18 @@ def test_damaged_landing_is_compressed(spark, tmp_path, monkeypatch):
     assert files and all(f.endswith(".gz") for f in files)
 
 
+def test_id_buckets_grow_with_the_raw_table(spark, tmp_path, monkeypatch):
+    raw = raw_rows(spark, [row(id=str(i), year="2009") for i in range(1, 40)])
+    raw.write.parquet(f"{tmp_path}/raw")
+    raw = spark.read.parquet(f"{tmp_path}/raw")
+    monkeypatch.setattr(registry, "wh", lambda *a: type("W", (), {"raw": raw}))
+    monkeypatch.setattr(registry, "ID_BUCKET_BYTES", registry.size_bound(raw) // 11)
+    asked = []
+    monkeypatch.setattr(registry, "IncrementalWarehouse", lambda spark, root, id_buckets: asked.append(id_buckets) or type("I", (), {"run": lambda self, *a: self})())
+    registry.incremental_fixture(spark, "none", f"{tmp_path}/w")
+    assert asked[0] in (11, 12)
+
+
 def test_digits_of_plain_and_mixed_text(spark):
     rows = [("004", 4), ("12.0", 120), ("x", None), ("", None), (" ", None), (" 7 ", 7), ("-5", 5), ("٣", None), ("0", 0), (None, None), ("2147483647", 2147483647)]
     got = spark.createDataFrame(rows, "t string, n int").select(digits_to_int(F.col("t")).alias("got"), "n", "t").collect()
