@@ -18,7 +18,8 @@ def date_rank(date_key: Column) -> Column:
 
 def hex_rank(key: Column) -> Column:
     """The first BITS bits of a hexadecimal key, ascending with its text; keys that are none ('-1', NULL) 0."""
-    return F.coalesce(F.conv(F.when(key.rlike("^[0-9a-f]{2}"), F.substring(key, 1, 2)), 16, 10).cast("int"), F.lit(0))
+    high, low = (F.position(F.substring(key, i, 1), F.lit("0123456789abcdef")) - 1 for i in (1, 2))
+    return F.when((F.length(key) >= 2) & (high >= 0) & (low >= 0), high * 16 + low).otherwise(0).cast("int")
 
 
 def z_value(ranks: Sequence[Column], bits: int = BITS) -> Column:

@@ -2,7 +2,8 @@
 
 ``fct_ocorrencias``: one row per staged incident, never dropped. Four equi lookups and two
 as-of lookups against size-checked broadcast dimensions: the fact is built in a single
-map-only stage without a shuffle; writing it as a table deals it to even files by year.
+map-only stage without a shuffle. To be written as a table it is dealt to even files by year: once the versions are
+known, before the other keys are attached, so that the shuffle carries no text keys.
 
 ``fct_desempenho_mensal``: month x district x type, additive measures only. The grain is
 reduced first (broadcast joins to the three dimensions, then a partial + final
@@ -12,11 +13,12 @@ few aggregated rows afterwards.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.zorder import date_rank, hex_rank, z_value
-from ..operators.joins import asof_join, lookup_join
+from ..operators.joins import asof_join, fits_broadcast, lookup_join
+from ..sources.tables import dealt
 from . import constants as K
 
 CALENDAR_ROWS = (K.CALENDAR_END - K.CALENDAR_START).days + 1
@@ -33,6 +35,33 @@ def access_order() -> Column:
     return z_value([date_rank(F.col("sk_data")), hex_rank(F.col("sk_geografia")), hex_rank(F.col("sk_crime"))])
 
 
+def lookups_fit(*dims: DataFrame) -> bool:
+    """No lookup shuffles the fact: rows that were dealt to files stay where they are."""
+    return all(fits_broadcast(d) for d in dims)
+
+
+def _numbered(dim: DataFrame, sk: str) -> DataFrame:
+    """A (broadcastable) dimension with a small number for each key, ``_n``, and the key's place in the access order."""
+    return dim.withColumn("_n", F.dense_rank().over(Window.orderBy(sk))).withColumn("_rank", hex_rank(F.col(sk)))
+
+
+def _dealt_with_versions(f: DataFrame, dim_crime: DataFrame, dim_geografia: DataFrame) -> DataFrame:
+    """The staged rows with ``sk_crime`` and ``sk_geografia``, dealt to files by year and ``access_order``. The versions cross the
+    shuffle as numbers; text keys follow afterwards."""
+    crime, geo = _numbered(dim_crime, "sk_crime"), _numbered(dim_geografia, "sk_geografia")
+    f = asof_join(f, crime, "iucr", "iucr", "data_hora_ocorrencia", {"_n": "_crime", "_rank": "_crime_rank"}, unknown={"_crime_rank": 0})
+    f = asof_join(f, geo, "beat", "beat", "data_hora_ocorrencia", {"_n": "_geo", "_rank": "_geo_rank"}, unknown={"_geo_rank": 0})
+    order = z_value([date_rank(F.col("sk_data")), F.col("_geo_rank"), F.col("_crime_rank")])
+    f = dealt(f.withColumn(YEAR, _year()), YEAR, order).drop(YEAR, "_crime_rank", "_geo_rank")
+    for dim, sk, n in ((crime, "sk_crime", "_crime"), (geo, "sk_geografia", "_geo")):
+        f = lookup_join(f, dim.select("_n", sk).distinct(), [(n, "_n")], {sk: sk}, unknown={sk: K.UNKNOWN_KEY})
+    return f
+
+
+def _year() -> Column:
+    return (F.col("sk_data") / 10000).cast("int")
+
+
 def fct_ocorrencias(
     stg: DataFrame,
     dim_data: DataFrame,
@@ -41,13 +70,17 @@ def fct_ocorrencias(
     dim_flags: DataFrame,
     dim_crime: DataFrame,
     dim_geografia: DataFrame,
+    deal: bool = False,
 ) -> DataFrame:
+    """``deal`` places the rows for a table by year and access order, if ``lookups_fit``; the rows are the same."""
     f = stg.select(
-        "id_ocorrencia", "case_number", "data_hora_ocorrencia", "data_ocorrencia", "hora_ocorrencia",
-        "location_description", "flag_prisao", "flag_domestico", "iucr", "beat", "latitude", "longitude",
+        "id_ocorrencia", "data_hora_ocorrencia", "latitude", "longitude", "case_number", "data_ocorrencia", "hora_ocorrencia",
+        "location_description", "flag_prisao", "flag_domestico", "iucr", "beat",
     )
     f = lookup_join(f, dim_data, [("data_ocorrencia", "data_completa")], {"sk_data": "sk_data"},
                     unknown={"sk_data": K.UNKNOWN_INT}, known_rows=CALENDAR_ROWS)
+    if deal:
+        f = _dealt_with_versions(f, dim_crime, dim_geografia)
     f = lookup_join(f, dim_hora, [("hora_ocorrencia", "sk_hora")], {"sk_hora": "sk_hora"},
                     unknown={"sk_hora": K.UNKNOWN_INT}, known_rows=25)
     f = lookup_join(f, dim_local, [("location_description", "descricao_local")], {"sk_local": "sk_local"},
@@ -55,10 +88,11 @@ def fct_ocorrencias(
     # the only key without a fallback to the unknown member, as in the original
     f = lookup_join(f, dim_flags, [("flag_prisao", "flag_prisao"), ("flag_domestico", "flag_domestico")],
                     {"sk_flags": "sk_flags"}, known_rows=4)
-    f = asof_join(f, dim_crime, "iucr", "iucr", "data_hora_ocorrencia", {"sk_crime": "sk_crime"},
-                  unknown={"sk_crime": K.UNKNOWN_KEY})
-    f = asof_join(f, dim_geografia, "beat", "beat", "data_hora_ocorrencia", {"sk_geografia": "sk_geografia"},
-                  unknown={"sk_geografia": K.UNKNOWN_KEY})
+    if not deal:
+        f = asof_join(f, dim_crime, "iucr", "iucr", "data_hora_ocorrencia", {"sk_crime": "sk_crime"},
+                      unknown={"sk_crime": K.UNKNOWN_KEY})
+        f = asof_join(f, dim_geografia, "beat", "beat", "data_hora_ocorrencia", {"sk_geografia": "sk_geografia"},
+                      unknown={"sk_geografia": K.UNKNOWN_KEY})
     return f.select(
         F.col("id_ocorrencia").alias("sk_ocorrencia"),
         "id_ocorrencia", "case_number",
@@ -67,7 +101,7 @@ def fct_ocorrencias(
         F.lit(1).alias("qtd_ocorrencia"),
         F.when(F.col("flag_prisao"), 1).otherwise(0).alias("qtd_prisao"),
         F.when(F.col("flag_domestico"), 1).otherwise(0).alias("qtd_domestico"),
-        (F.col("sk_data") / 10000).cast("int").alias(YEAR),
+        _year().alias(YEAR),
     )
 
 

@@ -115,11 +115,11 @@ class Warehouse:
             raw = _materialize(spark, raw, "crimes_raw")
         return cls(spark, raw, kw.pop("runs", FIXTURE_RUNS), **kw)
 
-    def _m(self, name: str, df: DataFrame, sort_within=None, partition_by=None, cluster=None, lookup=()) -> DataFrame:
+    def _m(self, name: str, df: DataFrame, sort_within=None, partition_by=None, cluster=None, lookup=(), is_dealt=False) -> DataFrame:
         if self.out_root is not None:
             path = f"{self.out_root}/{name}/{self.run_label}"
-            return write_observed(self.spark, df, path, "overwrite", sort_within, partition_by, cluster, lookup)  # a retry replaces its folder
-        return _materialize(self.spark, df, name, sort_within, partition_by, cluster, lookup) if self.materialize else df
+            return write_observed(self.spark, df, path, "overwrite", sort_within, partition_by, cluster, lookup, is_dealt)  # a retry replaces its folder
+        return _materialize(self.spark, df, name, sort_within, partition_by, cluster, lookup, is_dealt) if self.materialize else df
 
     def _snapshots(self, key, check, state_fn, filt) -> DataFrame:
         f = replay_snapshots if self.history == "replay" else fold_snapshots
@@ -177,10 +177,12 @@ class Warehouse:
 
     @cached_property
     def fct_ocorrencias(self) -> DataFrame:
+        deal = self.materialize and facts.lookups_fit(self.dim_local, self.dim_crime, self.dim_geografia)
         return self._m(
             "fct_ocorrencias",
             facts.fct_ocorrencias(self.stg, self.dim_data, self.dim_hora, self.dim_local, self.dim_flags,
-                                  self.dim_crime, self.dim_geografia),
+                                  self.dim_crime, self.dim_geografia, deal),
+            is_dealt=deal,
             partition_by=facts.YEAR,  # date ranges open only their years' files
             cluster=facts.access_order(),  # dates, places and codes prune row groups inside a year
             lookup=["id_ocorrencia"],  # as do single ids

@@ -64,7 +64,7 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 
 def materialize(
     spark: SparkSession, df: DataFrame, name: str, sort_within: Sequence[str] | None = None, partition_by: str | None = None,
-    cluster: Column | None = None, lookup: Sequence[str] = ()
+    cluster: Column | None = None, lookup: Sequence[str] = (), is_dealt: bool = False
 ) -> DataFrame:
     """Write ``df`` to a fresh folder below the shared checkpoint root and read it back.
 
@@ -74,17 +74,34 @@ def materialize(
     file so Parquet row-group min/max statistics prune range filters on those columns.
     """
     path = scratch_path(spark, name)
-    return write_observed(spark, df, path, "errorifexists", sort_within, partition_by, cluster, lookup)
+    return write_observed(spark, df, path, "errorifexists", sort_within, partition_by, cluster, lookup, is_dealt)
 
 
-def clustered(df: DataFrame, partition_by: str | None, cluster: Column, cells: int = 64) -> DataFrame:
-    """Rows of a partition dealt to files by the upper part of ``cluster`` (a z-order value) and sorted by it inside each file.
+def dealt(df: DataFrame, partition_by: str | None, cluster: Column, cells: int = 64) -> DataFrame:
+    """Rows of a partition dealt to files by the upper part of ``cluster`` (a z-order value).
 
     The shuffle is by (partition, cell): AQE joins small cells and splits large ones, so files are of an even size and each
-    covers few cells. Row-group statistics then prune by every column that the z-order value is made of (A8)."""
+    covers few cells."""
     top = F.shiftright(cluster, 3 * BITS - (cells - 1).bit_length()).cast("int")
     keys = [partition_by] if partition_by else []
-    return df.withColumn("__z", cluster).withColumn("__cell", top).hint("rebalance", *keys, "__cell").sortWithinPartitions(*keys, "__z").drop("__z", "__cell")
+    return df.withColumn("__cell", top).hint("rebalance", *keys, "__cell").drop("__cell")
+
+
+def sorted_by(df: DataFrame, partition_by: str | None, cluster: Column) -> DataFrame:
+    """Rows sorted by ``cluster`` inside each file of a partition. Row-group statistics then prune by every column that
+    the z-order value is made of (A8)."""
+    keys = [partition_by] if partition_by else []
+    return df.withColumn("__z", cluster).sortWithinPartitions(*keys, "__z").drop("__z")
+
+
+def clustered(df: DataFrame, partition_by: str | None, cluster: Column, cells: int = 64) -> DataFrame:
+    """``dealt`` to files and ``sorted_by`` the same z-order value inside each."""
+    z = F.col("__zc")
+    return sorted_by(dealt(df.withColumn("__zc", cluster), partition_by, z, cells), partition_by, z).drop("__zc")
+
+
+# Models are written once and read a few times: a stronger codec and delta-encoded pages cost less than the bytes they save.
+STORED = {"compression": "zstd", "parquet.writer.version": "v2"}
 
 
 def lookup_options(columns: Sequence[str]) -> dict[str, str]:
@@ -95,11 +112,11 @@ def lookup_options(columns: Sequence[str]) -> dict[str, str]:
 
 def write_observed(
     spark: SparkSession, df: DataFrame, path: str, mode: str = "errorifexists", sort_within: Sequence[str] | None = None,
-    partition_by: str | None = None, cluster: Column | None = None, lookup: Sequence[str] = (),
+    partition_by: str | None = None, cluster: Column | None = None, lookup: Sequence[str] = (), is_dealt: bool = False,
 ) -> DataFrame:
     """Write ``df`` as Parquet, in a folder per value of ``partition_by``, and read it back; the exact row count is observed as a metric
     of the write itself (no extra job) and remembered for later broadcast size checks. ``cluster`` orders rows inside a partition by
-    a z-order value instead of ``sort_within``; ``lookup`` columns get Bloom filters."""
+    a z-order value instead of ``sort_within``, without a shuffle if ``df`` ``is_dealt`` to files by it; ``lookup`` columns get Bloom filters."""
     from pyspark.sql import Observation
 
     from ..operators.joins import remember_row_count
@@ -108,12 +125,12 @@ def write_observed(
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer_keys = [*([partition_by] if partition_by else []), *(sort_within or [])]
     if cluster is not None:
-        out = clustered(out, partition_by, cluster)
+        out = sorted_by(out, partition_by, cluster) if is_dealt else clustered(out, partition_by, cluster)
     elif partition_by:  # files of an even size: small values share a task, large ones are split
         out = out.hint("rebalance", partition_by)
     if writer_keys and cluster is None:
         out = out.sortWithinPartitions(*writer_keys)
-    writer = out.write.mode(mode).options(**lookup_options(lookup))
+    writer = out.write.mode(mode).options(**STORED, **lookup_options(lookup))
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     back = spark.read.schema(df.schema).parquet(path).select(*df.columns)
     remember_row_count(back, obs.get["rows"])
