@@ -64,13 +64,15 @@ def accepted_values_checks(df: DataFrame, tests: Sequence[DataTest]) -> DataFram
 
 
 def unique_checks(tables: dict[str, DataFrame], tests: Sequence[DataTest]) -> DataFrame:
-    """All uniqueness tests of all tables in one shuffle of (test, integer key or key text), partially aggregated."""
+    """All uniqueness tests of all tables in one shuffle of (table, integer key or key text), partially aggregated.
+
+    Each key has a count per test of its table, so a value that a row holds under several tests crosses the shuffle once."""
     by_model: dict[str, list[int]] = {}
     for i, t in enumerate(tests):
         by_model.setdefault(t.model, []).append(i)
-    parts = []
-    for model, own in by_model.items():
-        df, cells = tables[model], []
+    most, parts = max(len(own) for own in by_model.values()), []
+    for m, (model, own) in enumerate(by_model.items()):
+        df, keys = tables[model], []
         for i in own:
             t, number, text = tests[i], F.lit(None).cast("long"), F.lit(None).cast("string")
             if t.kind == "unique":
@@ -80,14 +82,25 @@ def unique_checks(tables: dict[str, DataFrame], tests: Sequence[DataTest]) -> Da
                     text = F.col(t.columns[0]).cast("string")
             else:  # NULL parts count as values; lengths keep the parts apart
                 text = F.concat(*[F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in t.columns])
-            cells.append(F.struct(F.lit(i).alias("_i"), number.alias("_n"), text.alias("_t")))
+            keys.append((number, text))
+        cells = []
+        for j, (number, text) in enumerate(keys):
+            same = [number.eqNullSafe(n) & text.eqNullSafe(s) for n, s in keys]
+            held = [F.lit(True) if k == j else same[k] if k > j else F.lit(False) for k in range(len(keys))]
+            first = F.lit(True)
+            for k in range(j):
+                first = first & ~same[k]
+            counts = [h.cast("int") for h in held] + [F.lit(0)] * (most - len(keys))
+            cell = F.struct(F.lit(m).alias("_m"), number.alias("_n"), text.alias("_t"), *[c.alias(f"_c{k}") for k, c in enumerate(counts)])
+            cells.append(F.when(first & (number.isNotNull() | text.isNotNull()), cell))
         cell = F.explode(F.array(*cells)) if len(cells) > 1 else cells[0]
-        parts.append(df.select(cell.alias("_c")).select("_c.*").where("_n IS NOT NULL OR _t IS NOT NULL"))
+        parts.append(df.select(cell.alias("_c")).where("_c IS NOT NULL").select("_c.*"))
     stacked = parts[0]
     for p in parts[1:]:
         stacked = stacked.unionByName(p)
-    dup = stacked.groupBy("_i", "_n", "_t").agg(F.count(F.lit(1)).alias("_many")).where("_many > 1")
-    a = dup.agg(*[F.count_if(F.col("_i") == i).alias(f"_f{i}") for i in range(len(tests))])
+    dup = stacked.groupBy("_m", "_n", "_t").agg(*[F.sum(f"_c{k}").alias(f"_many{k}") for k in range(most)]).where(" OR ".join(f"_many{k} > 1" for k in range(most)))
+    place = {i: (m, k) for m, own in enumerate(by_model.values()) for k, i in enumerate(own)}
+    a = dup.agg(*[F.count_if((F.col("_m") == place[i][0]) & (F.col(f"_many{place[i][1]}") > 1)).alias(f"_f{i}") for i in range(len(tests))])
     return a.select(F.inline(F.array(*[_row(t, F.col(f"_f{i}")) for i, t in enumerate(tests)])))
 
 
